@@ -47,19 +47,19 @@ def is_phone(value: Column) -> Column:
 def iso_date(value: Column) -> Column:
     """The date in the first ten characters when they read year-month-day."""
     head = F.substring(value, 1, 10)
-    return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(head, "yyyy-MM-dd"))
+    return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), head.try_cast("date"))
 
 
 def local_date(value: Column, day_first: bool) -> Column:
     """The date in the first ten characters written day/month/year or month/day/year.
 
-    ``/``, ``-`` and ``.`` are all accepted between the parts.
+    ``/``, ``-`` and ``.`` are all accepted between the parts. The parts are put in ISO
+    order for the cast, which rejects an impossible date without raising.
     """
-    head = F.translate(F.substring(value, 1, 10), "/.", "--")
-    layout = "dd-MM-yyyy" if day_first else "MM-dd-yyyy"
-    return F.when(
-        value.rlike(r"^\d{2}([/.-])\d{2}\1\d{4}"), F.try_to_date(head, layout)
-    )
+    first, second, year = (F.substring(value, at, n) for at, n in ((1, 2), (4, 2), (7, 4)))
+    month, day = (second, first) if day_first else (first, second)
+    iso = F.concat_ws("-", year, month, day)
+    return F.when(value.rlike(r"^\d{2}([/.-])\d{2}\1\d{4}"), iso.try_cast("date"))
 
 
 def any_date(value: Column, day_first: bool) -> Column:

@@ -85,9 +85,9 @@ STATUSES = ["Failed", "Error", "Warning", "Passed"]
 # Whole-value number forms accepted when typing text.
 INTEGER = r"^[+-]?\d+$"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-# A date followed by a time of day, as one whole value.
-CLOCK_SUFFIX = r"^[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
-CLOCK = r"^\d{2}:\d{2}(:\d{2})?$"
+# A time of day after a date, and as a whole value; both always convert.
+CLOCK_SUFFIX = r"^[ T]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?$"
+CLOCK = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"
 
 
 def any_prefix(patterns: list[str]) -> str:

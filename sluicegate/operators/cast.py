@@ -18,6 +18,7 @@ from sluicegate.functions.sizes import two_decimals
 
 BAD_LINE = "_bad_line"
 SOURCE_FILE = "source_file"
+_TYPED = "_typed_"
 _INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
 
@@ -46,7 +47,7 @@ def convert(value: Column, kind: str, day_first: bool = True) -> Column:
         return stamp.try_cast(kind)
     if kind == "time":
         clock = F.when(F.length(value) == 5, F.concat(value, F.lit(":00"))).otherwise(value)
-        return F.when(clock.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"), clock)
+        return F.when(clock.rlike(P.CLOCK), clock)
     raise ValueError(f"no conversion to {kind}")
 
 
@@ -54,14 +55,15 @@ def _cell(name: str) -> Column:
     return C.missing_to_null(F.col(f"`{name}`"))
 
 
+def _typed(name: str, kind: str, day_first: Mapping[str, bool]) -> Column:
+    return convert(_cell(name), kind, day_first.get(name, True))
+
+
 def typed_cast(
     df: DataFrame, types: Mapping[str, str], day_first: Mapping[str, bool] | None = None
 ) -> DataFrame:
     """The columns of ``types`` converted; what does not convert becomes NULL."""
-    day_first = day_first or {}
-    return df.select(
-        *[convert(_cell(c), kind, day_first.get(c, True)).alias(c) for c, kind in types.items()]
-    )
+    return df.select(*[_typed(c, kind, day_first or {}).alias(c) for c, kind in types.items()])
 
 
 def classify(
@@ -70,11 +72,18 @@ def classify(
     required: Sequence[str] = (),
     day_first: Mapping[str, bool] | None = None,
 ) -> DataFrame:
-    """Add ``error_type`` and ``error_message`` to text rows; both are NULL on good rows."""
-    day_first = day_first or {}
+    """Add ``error_type`` and ``error_message`` to text rows; both are NULL on good rows.
+
+    The converted values stay beside the text, so good rows are converted once. The two
+    error columns come out of a generator: a filter on them is then not pushed below the
+    conversions, where every mention would convert again.
+    """
+    converted = df.select(
+        "*", *[_typed(c, kind, day_first or {}).alias(_TYPED + c) for c, kind in types.items()]
+    )
     failed = [
         F.when(
-            _cell(c).isNotNull() & convert(_cell(c), kind, day_first.get(c, True)).isNull(),
+            _cell(c).isNotNull() & F.col(f"`{_TYPED}{c}`").isNull(),
             F.concat(F.lit(f"{c}: cannot read '"), F.col(f"`{c}`"), F.lit(f"' as {kind}")),
         )
         for c, kind in types.items()
@@ -82,26 +91,20 @@ def classify(
     ]
     missing = [F.when(_cell(c).isNull(), F.lit(f"{c}: missing")) for c in required]
     nothing = F.lit(None).cast("string")
-    bad_line = F.col(BAD_LINE) if BAD_LINE in df.columns else nothing
-    cast_message = F.coalesce(*failed) if failed else nothing
-    null_message = F.coalesce(*missing) if missing else nothing
-    marked = df.withColumn("_cast", cast_message).withColumn("_null", null_message)
-    malformed = bad_line.isNotNull()
-    return (
-        marked.withColumn(
-            "error_type",
-            F.when(malformed, "malformed_row")
-            .when(F.col("_cast").isNotNull(), "cast_error")
-            .when(F.col("_null").isNotNull(), "null_violation"),
-        )
-        .withColumn(
-            "error_message",
-            F.when(malformed, F.concat(F.lit("too many fields: "), bad_line)).otherwise(
-                F.coalesce("_cast", "_null")
-            ),
-        )
-        .drop("_cast", "_null")
+    line = F.col(BAD_LINE) if BAD_LINE in df.columns else nothing
+    bad_cast = F.coalesce(*failed) if failed else nothing
+    bad_null = F.coalesce(*missing) if missing else nothing
+    marked = converted.select("*", bad_cast.alias("_cast"), bad_null.alias("_null"))
+    error = F.struct(
+        F.when(line.isNotNull(), "malformed_row")
+        .when(F.col("_cast").isNotNull(), "cast_error")
+        .when(F.col("_null").isNotNull(), "null_violation")
+        .alias("error_type"),
+        F.coalesce(F.concat(F.lit("too many fields: "), line), "_cast", "_null").alias(
+            "error_message"
+        ),
     )
+    return marked.select("*", F.inline(F.array(error))).drop("_cast", "_null")
 
 
 def mark_duplicate_keys(classified: DataFrame, key: Sequence[str], position: str) -> DataFrame:
@@ -131,11 +134,18 @@ def mark_duplicate_keys(classified: DataFrame, key: Sequence[str], position: str
     )
 
 
-def good_rows(
-    classified: DataFrame, types: Mapping[str, str], day_first: Mapping[str, bool] | None = None
-) -> DataFrame:
+def good_rows(classified: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows without an error, typed."""
-    return typed_cast(classified.where(F.col("error_type").isNull()), types, day_first)
+    good = classified.where(F.col("error_type").isNull())
+    return good.select(*[F.col(f"`{_TYPED}{c}`").alias(c) for c in columns])
+
+
+def loaded_and_rejected(classified: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every row typed as far as it converts, with ``is_good`` telling which ones load."""
+    return classified.select(
+        F.col("error_type").isNull().alias("is_good"),
+        *[F.col(f"`{_TYPED}{c}`").alias(c) for c in columns],
+    )
 
 
 def quarantine_rows(

@@ -44,40 +44,53 @@ def _cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(F.array(*entries)))
 
 
-def _share(pattern: str) -> Column:
-    return F.count_if(F.col("value").rlike("^(?:" + pattern + ")"))
-
-
 def column_facts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Counts per column from which every inference below is decided."""
+    """Counts per column from which every inference below is decided.
+
+    Cheap shape tests gate the parsing of dates, and each parse is done once per cell.
+    """
     columns = list(columns) if columns is not None else df.columns
     v = F.col("value")
-    as_long = F.when(C.is_integer(v), F.expr("try_cast(value AS bigint)"))
+    shaped = _cells(df, columns).select(
+        "*",
+        C.is_integer(v).alias("is_integer"),
+        C.has_date_prefix(v).alias("dated"),
+        C.has_time_prefix(v).alias("timed"),
+    )
+    dated, whole = F.col("dated"), F.col("is_integer")
+    parsed = shaped.select(
+        "*",
+        F.when(whole, F.expr("try_cast(value AS bigint)")).alias("as_long"),
+        F.when(dated, C.any_date(v, True)).isNotNull().alias("day_first_date"),
+        F.when(dated, C.any_date(v, False)).isNotNull().alias("month_first_date"),
+        F.when(dated, C.clock_part(v)).alias("clock"),
+    )
+    # a CASE, not AND: only cells beyond 64 bits reach the decimal cast
     wide = F.expr("try_cast(value AS decimal(20,0))")
-    as_unsigned = C.is_integer(v) & wide.between(F.lit(0), F.lit(UINT64_MAX).cast("decimal(20,0)"))
-
-    def converts(kind: str, day_first: bool = True) -> Column:
-        return F.count_if(convert(v, kind, day_first).isNotNull())
-
-    marked = _cells(df, columns).withColumn("as_long", as_long)
-    return marked.groupBy("position", "column_name").agg(
+    unsigned = F.when(F.col("as_long").isNotNull(), F.col("as_long") >= 0).when(
+        whole, wide.between(F.lit(0), F.lit(UINT64_MAX).cast("decimal(20,0)"))
+    )
+    alone = F.col("clock") == ""
+    with_clock = alone | F.col("clock").rlike(P.CLOCK_SUFFIX)
+    count = F.count_if
+    return parsed.groupBy("position", "column_name").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(v).alias("present"),
-        F.count_if(C.is_boolean(v)).alias("booleans"),
+        count(C.is_boolean(v)).alias("booleans"),
         F.count("as_long").alias("longs"),
         F.min("as_long").alias("min_long"),
         F.max("as_long").alias("max_long"),
-        F.count_if(as_unsigned).alias("unsigned"),
-        F.count_if(C.is_number(v)).alias("numbers"),
-        converts("date", True).alias("dates_day_first"),
-        converts("date", False).alias("dates_month_first"),
-        converts("timestamp_ntz", True).alias("stamps_day_first"),
-        converts("timestamp_ntz", False).alias("stamps_month_first"),
-        converts("time").alias("times"),
-        F.count_if(C.has_date_prefix(v)).alias("date_prefixes"),
-        F.count_if(C.has_time_prefix(v)).alias("time_prefixes"),
-        F.count_if(C.is_email(v)).alias("emails"),
-        F.count_if(C.is_phone(v)).alias("phones"),
+        count(unsigned).alias("unsigned"),
+        count(whole | C.is_number(v)).alias("numbers"),
+        count(F.col("day_first_date") & alone).alias("dates_day_first"),
+        count(F.col("month_first_date") & alone).alias("dates_month_first"),
+        count(F.col("day_first_date") & with_clock).alias("stamps_day_first"),
+        count(F.col("month_first_date") & with_clock).alias("stamps_month_first"),
+        count(F.col("timed") & convert(v, "time").isNotNull()).alias("times"),
+        count(dated).alias("date_prefixes"),
+        count("timed").alias("time_prefixes"),
+        count(C.is_email(v)).alias("emails"),
+        count(C.is_phone(v)).alias("phones"),
         F.max(F.length(v)).cast("bigint").alias("max_length"),
     )
 
@@ -163,7 +176,12 @@ def infer_semantic_type(df: DataFrame, columns: Sequence[str] | None = None) ->
 def likely_datetime(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Date-time when one pattern fits over 70 % of the values, or every value parses."""
     columns = list(columns) if columns is not None else df.columns
-    hits = [_share(p).alias(f"p{i}") for i, p in enumerate(P.DATETIME_PREFIXES)]
+    # every pattern starts with two digits, so most text is settled by one test
+    digits = F.when(F.col("value").rlike(r"^\d{2}"), F.col("value"))
+    hits = [
+        F.count_if(digits.rlike(P.any_prefix([p]))).alias(f"p{i}")
+        for i, p in enumerate(P.DATETIME_PREFIXES)
+    ]
     parses = F.expr("try_cast(value AS timestamp)").isNotNull()  # a time alone parses too
     counted = (
         _cells(df, columns)

@@ -58,7 +58,7 @@ def load_delimited(
     types = {c: SPARK_TYPES.get(t.upper(), t) for c, t in types.items()}
     classified = classify(rows, types, required, day_first)
     observed = Observation()
-    good = good_rows(classified.observe(observed, *load_counts()), types, day_first)
+    good = good_rows(classified.observe(observed, *load_counts()), columns)
     if id_column is not None:
         good = add_surrogate_id(good, id_order or columns, id_column)
     write_table(good, table, if_exists)

@@ -56,6 +56,15 @@ def _schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType(fields)
 
 
+def _split(line: str, columns: Sequence[str], layout: Layout) -> Column:
+    """The cells of a line as columns.
+
+    A generator of one row, so that a later filter on a cell does not parse the line again.
+    """
+    cells = F.from_csv(line, _schema(columns).toDDL(), _csv_options(layout))
+    return F.inline(F.array(cells))
+
+
 def _fields_in(line: Column, layout: Layout) -> Column:
     """Number of fields of a line, separators inside quotes not counted."""
     q = layout.quote
@@ -152,9 +161,7 @@ def _scan_by_line(
     lines = lines.select("file", text.alias("line"))
     if layout.skip_blank_lines:
         lines = lines.where(F.trim("line") != "")
-    cells = F.from_csv("line", _schema(columns).toDDL(), _csv_options(layout))
-    parsed = lines.select("file", cells.alias("cells"))
-    return parsed.select("cells.*", F.col("file").alias(SOURCE_FILE))
+    return lines.select(_split("line", columns, layout), F.col("file").alias(SOURCE_FILE))
 
 
 def header_names(
@@ -175,10 +182,8 @@ def parse_lines(
     on_bad_lines: str = "warn", short_rows: str = "pad",
 ) -> DataFrame:
     """Cells of delimited lines that are already in a column, under the same policies."""
-    cells = F.from_csv(column, _schema(columns).toDDL(), _csv_options(layout))
-    others = [F.col(c) for c in lines.columns if c != column]
-    parsed = lines.select(*others, cells.alias("cells"))
-    rows = parsed.select("cells.*", *[c for c in lines.columns if c != column])
+    others = [c for c in lines.columns if c != column]
+    rows = lines.select(_split(column, columns, layout), *others)
     return apply_bad_line_policy(rows, columns, layout, on_bad_lines, short_rows)
 
 

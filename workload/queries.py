@@ -41,7 +41,7 @@ def messy_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How clean is this load? Totals, errors by type and missing values in one report."""
     rows = X.parsed_orders(spark, sf_dir)
     classified = cast.classify(rows, PARSE_TYPES)
-    good = cast.good_rows(classified, PARSE_TYPES)
+    good = cast.good_rows(classified, X.ORDER_COLUMNS)
     totals = cast.load_stats(classified)
     facts = F.array(
         *[
@@ -411,13 +411,9 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     classified = cast.classify(X.parsed_orders(spark, sf_dir), PARSE_TYPES)
-    good = F.col("error_type").isNull()
-    text = {c: "string" for c in X.ORDER_COLUMNS}
-    rows = classified.select(
-        good.alias("ok"), *[cast.convert(cast._cell(c), k).alias(c) for c, k in text.items()]
-    )
+    rows = cast.loaded_and_rejected(classified, X.ORDER_COLUMNS)
     return validate.quality_gate(
-        rows, F.col("ok"), required=["order_id", "status"], unique_key=["order_id"]
+        rows, F.col("is_good"), required=["order_id", "status"], unique_key=["order_id"]
     )
 
 
