@@ -83,6 +83,8 @@ def csv_reader(reader, columns: Sequence[str], layout: Layout):
         .option("encoding", encoding)
         .option("multiLine", layout.multiline or encoding.upper().startswith("UTF-16"))
         .option("recursiveFileLookup", True)
+        # all fields are looked at whatever a query reads, or bad lines would go unseen
+        .option("columnPruning", False)
     )
 
 
@@ -94,7 +96,9 @@ def apply_bad_line_policy(
     short_rows: str = "pad",
 ) -> DataFrame:
     """Keep, drop or stop at lines with too many fields; see :func:`scan_delimited`."""
-    bad = F.col(_RAW).isNotNull()
+    # the reader refuses a query that needs its raw line alone, so a cell is always needed too
+    with_cell = F.length(F.concat(F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")), F.lit("|"))) > 0
+    bad = F.col(_RAW).isNotNull() & with_cell
     if short_rows == "pad":
         # the reader reports short and long rows alike; only long ones are bad lines
         bad = bad & (_fields_in(F.col(_RAW), layout) > len(columns))

@@ -19,15 +19,30 @@ UTF16_NUL_SHARE = 0.2
 _CANDIDATES = list(dict.fromkeys(CONSISTENT_DELIMITERS + FREQUENT_DELIMITERS))
 
 
-def file_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, file_size) of every file; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(
+def file_list(
+    spark: SparkSession, path: str | list[str], include_empty: bool = False
+) -> DataFrame:
+    """(file, file_size) of every file; contents are not read.
+
+    Scans leave out files without a byte. ``include_empty`` adds them from the listing that
+    the driver holds for the scan anyway: paths only, one per file.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = found.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_size")
     )
+    if include_empty:
+        listed = spark.createDataFrame([(f,) for f in found.inputFiles()], "file string")
+        # a listing writes scheme:///path where a scan writes scheme:/path
+        listed = listed.select(F.regexp_replace("file", "^([a-z0-9]+):///", "$1:/").alias("file"))
+        empty = listed.join(files, "file", "left_anti")
+        files = files.unionAll(empty.select("file", F.lit(0).cast("bigint")))
+    return files
 
 
-def encoding_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def encoding_report(
+    spark: SparkSession, path: str | list[str], include_empty: bool = False
+) -> DataFrame:
     """The encoding of every file, decided over all its bytes.
 
     Lines are tested where they are read and only counters leave a task, so a file of any
@@ -47,7 +62,7 @@ def encoding_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.bool_and(F.is_valid_utf8("value")).alias("valid"),
         F.min_by(first_bytes.cast("bigint"), at_start).alias("first_bytes"),
     )
-    files = file_list(spark, path).join(facts, "file", "left")
+    files = file_list(spark, path, include_empty).join(facts, "file", "left")
     hexed = F.lpad(F.hex("first_bytes"), 8, "0")
     dropped = F.col("file_size") - F.col("line_bytes") - F.col("lines")
     mostly_zero = F.col("zero_bytes") > F.col("line_bytes") * F.lit(UTF16_NUL_SHARE)
@@ -116,9 +131,11 @@ def delimiter_votes(heads: DataFrame) -> DataFrame:
     )
 
 
-def delimiter_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def delimiter_report(
+    spark: SparkSession, path: str | list[str], include_empty: bool = False
+) -> DataFrame:
     """The separator of every file; a comma where the file has no text."""
-    encodings = encoding_report(spark, path)
+    encodings = encoding_report(spark, path, include_empty)
     votes = delimiter_votes(decoded_heads(spark, path, encodings))
     return encodings.join(votes, "file", "left").select(
         "file", F.coalesce("delimiter", F.lit(DEFAULT_DELIMITER)).alias("delimiter")
@@ -190,12 +207,14 @@ def header_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def dialect_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def dialect_report(
+    spark: SparkSession, path: str | list[str], include_empty: bool = False
+) -> DataFrame:
     """Everything a scan needs to know, one row per file.
 
     (file, file_size, encoding, delimiter, has_header, num_columns, column_names)
     """
-    encodings = encoding_report(spark, path)
+    encodings = encoding_report(spark, path, include_empty)
     heads = decoded_heads(spark, path, encodings)
     votes = delimiter_votes(heads)
     fields = heads.join(votes, "file").select(

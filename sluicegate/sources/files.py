@@ -30,13 +30,14 @@ def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .when(F.col("lines").isNull(), 1)
         .otherwise(F.greatest(estimate, F.lit(1)))
     )
+    decoded = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
     return (
-        file_list(spark, path)
+        file_list(spark, path, include_empty=True)
         .join(sampled, "file", "left")
         .select(
             "file",
             F.lower(F.regexp_extract("file", r"\.([^./]*)$", 1)).alias("extension"),
-            table_name_from_path(F.col("file")).alias("table_name"),
+            table_name_from_path(decoded).alias("table_name"),
             "file_size",
             size_text(F.col("file_size")).alias("size_text"),
             rows.cast("bigint").alias("estimated_rows"),
