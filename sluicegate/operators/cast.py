@@ -134,10 +134,12 @@ def mark_duplicate_keys(classified: DataFrame, key: Sequence[str], position: str
     )
 
 
-def good_rows(classified: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows without an error, typed."""
+def good_rows(
+    classified: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """The rows without an error, typed; columns of ``keep`` come along as they are."""
     good = classified.where(F.col("error_type").isNull())
-    return good.select(*[F.col(f"`{_TYPED}{c}`").alias(c) for c in columns])
+    return good.select(*[F.col(f"`{_TYPED}{c}`").alias(c) for c in columns], *keep)
 
 
 def loaded_and_rejected(classified: DataFrame, columns: Sequence[str]) -> DataFrame:

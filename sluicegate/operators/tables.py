@@ -33,10 +33,17 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def next_id(spark: SparkSession, table: str, id_column: str = "id") -> int:
+    """The id after the largest one of a table; 1 when there is none."""
+    if not spark.catalog.tableExists(table) or id_column not in spark.table(table).columns:
+        return 1
+    return (spark.table(table).agg(F.max(id_column)).first()[0] or 0) + 1
+
+
 def add_surrogate_id(
-    df: DataFrame, order_by: Sequence[str], id_column: str = "id"
+    df: DataFrame, order_by: Sequence[str], id_column: str = "id", start: int = 1
 ) -> DataFrame:
-    """Number the rows 1..N in the given order, without bringing them to one task.
+    """Number the rows ``start``, ``start``+1, ... in the given order, in parallel.
 
     Rows are range-partitioned by the order key (ties by row hash, then at random, so that a
     key or a row with very many copies is spread over partitions), sorted inside their
@@ -71,7 +78,7 @@ def add_surrogate_id(
     return (
         placed.withColumn("_part", partition)
         .join(F.broadcast(offsets), "_part")
-        .select((F.col("_offset") + place + 1).alias(id_column), *df.columns)
+        .select((F.col("_offset") + place + F.lit(start)).alias(id_column), *df.columns)
     )
 
 

@@ -14,8 +14,8 @@ from sluicegate.operators.cast import (
     quarantine_rows,
 )
 from sluicegate.operators.infer import SPARK_TYPES, schema_report
-from sluicegate.operators.tables import add_surrogate_id, write_table
-from sluicegate.sources.delimited import Layout, scan_delimited
+from sluicegate.operators.tables import add_surrogate_id, next_id, write_table
+from sluicegate.sources.delimited import FILE_ORDER, Layout, scan_delimited
 
 
 def infer_types(
@@ -47,22 +47,37 @@ def load_delimited(
 ) -> DataFrame:
     """Scan, infer, type, write, and set bad rows aside; returns the load statistics.
 
-    The counts are observed while the good rows are written. The bad rows are written in
-    a second scan, and only when there are any. With explicit ``types`` no inference pass
-    runs. ``overrides`` fixes the SQL type of some columns and infers the rest.
+    The counts are observed while the good rows are written; with surrogate ids, whose
+    range sort reads its input more than once, they come from an aggregate of their own.
+    Ids follow ``id_order``, or the order of the lines in the files, and go on after the
+    largest one when rows are appended.
+    The bad rows are written in a second scan, and only when there are any. With explicit
+    ``types`` no inference pass runs. ``overrides`` fixes the SQL type of some columns and
+    infers the rest.
     """
-    rows = scan_delimited(spark, path, columns, layout, on_bad_lines, with_file=True)
+    if if_exists == "fail" and spark.catalog.tableExists(table):
+        raise ValueError(f"table {table} already exists")
+    by_file = id_column is not None and not id_order
+    rows = scan_delimited(
+        spark, path, columns, layout, on_bad_lines, with_file=True, with_position=by_file
+    )
     day_first: dict[str, bool] = {}
     if types is None:
         types, day_first = infer_types(rows, columns, overrides)
     types = {c: SPARK_TYPES.get(t.upper(), t) for c, t in types.items()}
     classified = classify(rows, types, required, day_first)
-    observed = Observation()
-    good = good_rows(classified.observe(observed, *load_counts()), columns)
-    if id_column is not None:
-        good = add_surrogate_id(good, id_order or columns, id_column)
-    write_table(good, table, if_exists)
-    counts = observed.get
+    if id_column is None:
+        observed = Observation()
+        good = good_rows(classified.observe(observed, *load_counts()), columns)
+        write_table(good, table, if_exists)
+        counts = observed.get
+    else:
+        order = FILE_ORDER if by_file else list(id_order)
+        good = good_rows(classified, columns, keep=FILE_ORDER if by_file else ())
+        start = next_id(spark, table, id_column) if if_exists == "append" else 1
+        numbered = add_surrogate_id(good, order, id_column, start)
+        write_table(numbered.select(id_column, *columns), table, if_exists)
+        counts = classified.agg(*load_counts()).first().asDict()
     if counts["failed_rows"] > 0 and quarantine_path is not None:
         bad = quarantine_rows(classified, columns)
         bad.write.mode("append").partitionBy("source_file").format(quarantine_format).option(

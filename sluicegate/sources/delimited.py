@@ -17,6 +17,8 @@ from sluicegate.operators.cast import BAD_LINE, SOURCE_FILE
 from sluicegate.sources.lines import decode, file_heads, raw_lines
 
 _RAW = "_raw_line"
+# Together these give every row its place in the file set.
+FILE_ORDER = [SOURCE_FILE, "_block_start", "_position"]
 
 
 @dataclass(frozen=True)
@@ -122,21 +124,28 @@ def scan_delimited(
     on_bad_lines: str = "warn",
     short_rows: str = "pad",
     with_file: bool = False,
+    with_position: bool = False,
 ) -> DataFrame:
     """The cells of a file set as text columns.
 
     ``on_bad_lines``: ``error`` stops the job, ``skip`` leaves bad lines out, ``warn`` keeps
     them with the raw line in ``_bad_line`` so that they can be counted and set aside. A row
     with too few fields is filled with NULLs, or bad when ``short_rows="bad"``.
+    ``with_file`` adds the path, ``with_position`` the columns of ``FILE_ORDER``.
     """
     by_line = layout.header and layout.header_row > 0 or not layout.skip_blank_lines
     if by_line:
         rows = _scan_by_line(spark, path, columns, layout)
     else:
         rows = csv_reader(spark.read, columns, layout).csv(path)
-        rows = rows.select(*rows.columns, F.col("_metadata.file_path").alias(SOURCE_FILE))
-    if not with_file:
-        rows = rows.drop(SOURCE_FILE)
+        rows = rows.select(
+            *rows.columns,
+            F.col("_metadata.file_path").alias(SOURCE_FILE),
+            F.col("_metadata.file_block_start").alias("_block_start"),
+            *([F.monotonically_increasing_id().alias("_position")] if with_position else []),
+        )
+    if not with_position:
+        rows = rows.drop(*FILE_ORDER[0 if not with_file else 1 :])
     return apply_bad_line_policy(rows, columns, layout, on_bad_lines, short_rows)
 
 
@@ -162,10 +171,15 @@ def _scan_by_line(
         )
         lines = _after_header(lines, heads)
     text = F.rtrim(decode(F.col("value"), F.lit(layout.encoding)), F.lit("\r"))
-    lines = lines.select("file", text.alias("line"))
+    lines = lines.select("file", "block_start", "pos", text.alias("line"))
     if layout.skip_blank_lines:
         lines = lines.where(F.trim("line") != "")
-    return lines.select(_split("line", columns, layout), F.col("file").alias(SOURCE_FILE))
+    return lines.select(
+        _split("line", columns, layout),
+        F.col("file").alias(SOURCE_FILE),
+        F.col("block_start").alias("_block_start"),
+        F.col("pos").alias("_position"),
+    )
 
 
 def header_names(

@@ -57,13 +57,13 @@ def ingest_incremental(
 
 def loaded_rows(spark: SparkSession, target: str, types: Mapping[str, str]) -> DataFrame:
     """The good rows of an incremental load, typed."""
-    return typed_cast(spark.read.parquet(target).where(~F.col("is_bad")), types)
+    return typed_cast(spark.read.parquet(target).where(F.col("is_bad") == "false"), types)
 
 
 def rejected_rows(spark: SparkSession, target: str, columns: Sequence[str]) -> DataFrame:
     """The bad rows of an incremental load, as text with their error."""
     return (
         spark.read.parquet(target)
-        .where(F.col("is_bad"))
+        .where(F.col("is_bad") == "true")
         .select(*columns, "error_type", "error_message", "source_file")
     )
