@@ -170,7 +170,7 @@ def _scan_by_line(
             F.col("line_no") == layout.header_row + 1
         )
         lines = _after_header(lines, heads)
-    text = F.rtrim(decode(F.col("value"), F.lit(layout.encoding)), F.lit("\r"))
+    text = decode(F.col("value"), F.lit(layout.encoding))
     lines = lines.select("file", "block_start", "pos", text.alias("line"))
     if layout.skip_blank_lines:
         lines = lines.where(F.trim("line") != "")
@@ -189,7 +189,7 @@ def header_names(
     from sluicegate.sources.dialect import split_line
 
     heads = file_heads(raw_lines(spark, path), layout.header_row + 1)
-    line = F.rtrim(decode(F.col("value"), F.lit(layout.encoding)), F.lit("\r"))
+    line = decode(F.col("value"), F.lit(layout.encoding))
     return heads.where(F.col("line_no") == layout.header_row + 1).select(
         "file", split_line(line, F.lit(layout.sep)).alias("column_names")
     )

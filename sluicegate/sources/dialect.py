@@ -50,19 +50,21 @@ def encoding_report(
     it shows as the bytes missing from the sum of the line lengths.
     """
     lines = raw_lines(spark, path)
-    head = F.rpad(F.hex(F.expr("substring(cast(value as binary), 1, 4)")), 8, "0")
-    first_bytes = F.conv(head, 16, 10)
+    head = F.rpad(F.hex(F.substring(F.col("value").cast("binary"), 1, 4)), 8, "0")
+    first_bytes = F.conv(head, 16, 10).cast("bigint")
     size = F.octet_length("value").cast("bigint")
     zeros = size - F.octet_length(F.replace(F.col("value"), F.lit(NUL), F.lit("")))
     at_start = F.when((F.col("block_start") == 0) & (size > 0), F.col("pos"))
     facts = lines.groupBy("file").agg(
+        F.max("file_size").alias("file_size"),
         F.count(F.lit(1)).alias("lines"),
         F.sum(size).alias("line_bytes"),
         F.sum(zeros).alias("zero_bytes"),
         F.bool_and(F.is_valid_utf8("value")).alias("valid"),
-        F.min_by(first_bytes.cast("bigint"), at_start).alias("first_bytes"),
+        F.min_by(first_bytes, at_start).alias("first_bytes"),
     )
-    files = file_list(spark, path, include_empty).join(facts, "file", "left")
+    if include_empty:
+        facts = file_list(spark, path, True).join(facts.drop("file_size"), "file", "left")
     hexed = F.lpad(F.hex("first_bytes"), 8, "0")
     dropped = F.col("file_size") - F.col("line_bytes") - F.col("lines")
     mostly_zero = F.col("zero_bytes") > F.col("line_bytes") * F.lit(UTF16_NUL_SHARE)
@@ -76,70 +78,74 @@ def encoding_report(
         .when(F.col("valid"), "UTF-8")
         .otherwise("ISO-8859-1")
     )
-    return files.select("file", "file_size", encoding.alias("encoding"))
+    return facts.select("file", "file_size", encoding.alias("encoding"))
 
 
-def decoded_heads(
-    spark: SparkSession, path: str | list[str], encodings: DataFrame, lines: int = HEAD_LINES
+def _heads(
+    spark: SparkSession, path: str | list[str], include_empty: bool, lines: int = HEAD_LINES
 ) -> DataFrame:
-    """The first non-blank lines of every file as text: (file, line_no, line)."""
-    heads = file_heads(raw_lines(spark, path), lines)
-    text = F.rtrim(decode(F.col("value"), F.col("encoding")), F.lit("\r"))
-    return heads.join(encodings.select("file", "encoding"), "file").select(
-        "file", "line_no", text.alias("line")
+    """(file, file_size, encoding, lines): each file's first non-blank lines as one array.
+
+    At most ``lines`` lines per file are gathered. Both sides are grouped by file already,
+    so the join moves nothing, and all that follows happens inside one row per file.
+    """
+    first = (
+        file_heads(raw_lines(spark, path), lines)
+        .groupBy("file")
+        .agg(F.sort_array(F.collect_list(F.struct("line_no", "value"))).alias("heads"))
+    )
+    text = F.transform("heads", lambda h: decode(h["value"], F.col("encoding")))
+    joined = encoding_report(spark, path, include_empty).join(first, "file", "left")
+    return joined.select(
+        "file", "file_size", "encoding", F.coalesce(text, F.array().cast("array<string>")).alias("lines")
+    )
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda acc, x: acc + x)
+
+
+def _occurrences(delimiter: str) -> Column:
+    """How often a separator stands on each of the lines in ``bare``."""
+    return F.transform(
+        "bare", lambda b: F.length(b) - F.length(F.replace(b, F.lit(delimiter), F.lit("")))
     )
 
 
-def delimiter_votes(heads: DataFrame) -> DataFrame:
-    """The separator of every file from its first lines.
+def _with_delimiter(heads: DataFrame) -> DataFrame:
+    """Add the separator voted for by the first lines of each file.
 
     A candidate found equally often on every line wins over one that is not; among equals
     the more frequent, then the order of preference. A candidate that is not found equally
     often must fill less than half of the text. Otherwise a comma. Quoted parts do not count.
     """
-    bare = F.regexp_replace("line", '"[^"]*"', "")
-    options = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("rank"),
-                F.lit(d).alias("delimiter"),
-                F.lit(d in CONSISTENT_DELIMITERS).alias("by_count"),
-                F.lit(d in FREQUENT_DELIMITERS).alias("by_total"),
-            )
-            for i, d in enumerate(_CANDIDATES)
-        ]
-    )
-    counted = heads.select("file", bare.alias("bare"), F.explode(options).alias("o")).select(
-        "file",
-        "o.*",
-        F.length("bare").alias("size"),
-        (F.length("bare") - F.length(F.replace(F.col("bare"), F.col("o.delimiter"), F.lit("")))).alias("n"),
-    )
-    per_candidate = counted.groupBy("file", "rank", "delimiter", "by_count", "by_total").agg(
-        F.min("n").alias("least"),
-        F.max("n").alias("most"),
-        F.sum("n").alias("total"),
-        F.sum("size").alias("size"),
-    )
-    steady = F.col("by_count") & (F.col("least") == F.col("most")) & (F.col("least") > 0)
-    frequent = F.col("by_total") & (F.col("total") > 0) & (F.col("total") < F.col("size") / 2)
-    score = F.when(steady, F.struct(F.lit(2), F.col("total"), -F.col("rank"))).when(
-        frequent, F.struct(F.lit(1), F.col("total"), -F.col("rank"))
-    )
-    return per_candidate.groupBy("file").agg(
-        F.coalesce(F.max_by("delimiter", score), F.lit(DEFAULT_DELIMITER)).alias("delimiter")
-    )
+    bare = F.transform("lines", lambda line: F.regexp_replace(line, '"[^"]*"', ""))
+    counted = heads.withColumn("bare", bare)
+    counts = [_occurrences(d).alias(f"n{i}") for i, d in enumerate(_CANDIDATES)]
+    size = _total(F.transform("bare", lambda b: F.length(b)))
+    counted = counted.select("*", *counts, size.alias("size")).drop("bare")
+    scores = []
+    for i, d in enumerate(_CANDIDATES):
+        n = F.col(f"n{i}")
+        total = _total(n)
+        steady = F.lit(d in CONSISTENT_DELIMITERS) & (F.array_min(n) == F.array_max(n)) & (total > 0)
+        frequent = F.lit(d in FREQUENT_DELIMITERS) & (total > 0) & (total < F.col("size") / 2)
+        level = F.when(steady, 2).when(frequent, 1).otherwise(0)
+        ranked = F.when(level > 0, total).otherwise(0)
+        scores.append(
+            F.struct(level.alias("level"), ranked.alias("total"), F.lit(-i).alias("rank"),
+                     F.lit(d).alias("delimiter"))
+        )
+    best = F.array_max(F.array(*scores))
+    delimiter = F.when(best["level"] > 0, best["delimiter"]).otherwise(DEFAULT_DELIMITER)
+    return counted.withColumn("delimiter", delimiter).drop("size", *[f"n{i}" for i in range(len(_CANDIDATES))])
 
 
 def delimiter_report(
     spark: SparkSession, path: str | list[str], include_empty: bool = False
 ) -> DataFrame:
     """The separator of every file; a comma where the file has no text."""
-    encodings = encoding_report(spark, path, include_empty)
-    votes = delimiter_votes(decoded_heads(spark, path, encodings))
-    return encodings.join(votes, "file", "left").select(
-        "file", F.coalesce("delimiter", F.lit(DEFAULT_DELIMITER)).alias("delimiter")
-    )
+    return _with_delimiter(_heads(spark, path, include_empty)).select("file", "delimiter")
 
 
 def split_line(line: Column, sep: Column) -> Column:
@@ -157,54 +163,22 @@ def split_line(line: Column, sep: Column) -> Column:
     return F.transform(fields, unquote)
 
 
-def header_votes(split_heads: DataFrame) -> DataFrame:
-    """Whether the first line of every file is a header, by a vote of its columns.
+def _column_vote(first: Column, data: Column) -> Column:
+    """One column's vote: 1 for a header, -1 against, 0 undecided.
 
-    A column whose data are all numbers votes for a header when its first cell is not a
-    number, and against when it is; a column whose data all have one length votes for when
-    the first cell's length differs, and against when not. The sum must be positive.
-    ``split_heads`` has (file, line_no, fields).
+    A column whose data are all numbers votes for when its first cell is not a number, and
+    against when it is; a column whose data have one length and no number votes for when
+    the first cell's length differs, and against when not.
     """
-    first = F.col("line_no") == 1
-    width = split_heads.groupBy("file").agg(
-        F.max(F.when(first, F.size("fields"))).alias("width")
-    )
-    cells = (
-        split_heads.join(width, "file")
-        .where(F.size("fields") == F.col("width"))
-        .select("file", "line_no", "width", F.posexplode("fields").alias("col_pos", "cell"))
-    )
-    data = ~first
-    number = is_number(F.trim("cell"))
-    per_column = cells.groupBy("file", "width", "col_pos").agg(
-        F.count_if(data).alias("rows"),
-        F.count_if(data & number).alias("numbers"),
-        F.min(F.when(data, F.length("cell"))).alias("shortest"),
-        F.max(F.when(data, F.length("cell"))).alias("longest"),
-        F.bool_or(first & number).alias("head_is_number"),
-        F.max(F.when(first, F.length("cell"))).alias("head_length"),
-    )
-    vote = (
-        F.when(F.col("rows") == 0, 0)
-        .when(
-            F.col("numbers") == F.col("rows"), F.when(F.col("head_is_number"), -1).otherwise(1)
-        )
-        .when(
-            (F.col("numbers") == 0) & (F.col("shortest") == F.col("longest")),
-            F.when(F.col("head_length") != F.col("shortest"), 1).otherwise(-1),
-        )
+    numbers = F.size(F.filter(data, lambda cell: is_number(F.trim(cell))))
+    lengths = F.transform(data, lambda cell: F.length(cell))
+    even = (numbers == 0) & (F.array_min(lengths) == F.array_max(lengths))
+    return (
+        F.when(F.size(data) == 0, 0)
+        .when(numbers == F.size(data), F.when(is_number(F.trim(first)), -1).otherwise(1))
+        .when(even, F.when(F.length(first) != F.array_min(lengths), 1).otherwise(-1))
         .otherwise(0)
     )
-    return per_column.groupBy("file").agg(
-        F.max("width").cast("bigint").alias("num_columns"), (F.sum(vote) > 0).alias("has_header")
-    )
-
-
-def header_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Whether every file has a header, its number of columns and their names."""
-    return dialect_report(spark, path).select(
-        "file", "has_header", "num_columns", "column_names"
-    )
 
 
 def dialect_report(
@@ -212,33 +186,46 @@ def dialect_report(
 ) -> DataFrame:
     """Everything a scan needs to know, one row per file.
 
-    (file, file_size, encoding, delimiter, has_header, num_columns, column_names)
+    (file, file_size, encoding, delimiter, has_header, num_columns, column_names). The
+    first line is a header when the votes of its columns sum to more than zero; a file
+    without lines is taken to have one.
     """
-    encodings = encoding_report(spark, path, include_empty)
-    heads = decoded_heads(spark, path, encodings)
-    votes = delimiter_votes(heads)
-    fields = heads.join(votes, "file").select(
-        "file", "line_no", split_line(F.col("line"), F.col("delimiter")).alias("fields")
+    voted = _with_delimiter(_heads(spark, path, include_empty))
+    fields = F.transform("lines", lambda line: split_line(line, F.col("delimiter")))
+    first = F.coalesce(F.get("fields", F.lit(0)), F.array().cast("array<string>"))
+    rows = voted.withColumn("fields", fields).withColumn("first", first)
+    rows = rows.withColumn("width", F.size("first"))
+    data = F.filter(
+        F.slice("fields", 2, HEAD_LINES), lambda cells: F.size(cells) == F.col("width")
+    )
+    rows = rows.withColumn("data", data)
+    votes = F.transform(
+        "first",
+        lambda cell, i: _column_vote(
+            cell, F.transform("data", lambda cells: F.get(cells, i))
+        ),
     )
-    headers = header_votes(fields)
-    first_line = fields.where(F.col("line_no") == 1).select("file", "fields")
     positional = F.transform(
-        F.sequence(F.lit(1), F.col("num_columns").cast("int")),
-        lambda i: F.concat(F.lit("column_"), i.cast("string")),
+        "first", lambda cell, i: F.concat(F.lit("column_"), (i + 1).cast("string"))
     )
-    return (
-        encodings.join(votes, "file", "left")
-        .join(headers, "file", "left")
-        .join(first_line, "file", "left")
-        .select(
-            "file",
-            "file_size",
-            "encoding",
-            F.coalesce("delimiter", F.lit(DEFAULT_DELIMITER)).alias("delimiter"),
-            F.coalesce("has_header", F.lit(True)).alias("has_header"),
-            F.coalesce("num_columns", F.lit(0).cast("bigint")).alias("num_columns"),
-            F.when(F.col("has_header"), F.col("fields")).otherwise(positional).alias("column_names"),
-        )
+    has_header = (F.col("width") == 0) | (_total(votes) > 0)
+    return rows.withColumn("has_header", has_header).select(
+        "file",
+        "file_size",
+        "encoding",
+        "delimiter",
+        "has_header",
+        F.col("width").cast("bigint").alias("num_columns"),
+        F.when(F.col("has_header"), F.col("first")).otherwise(positional).alias("column_names"),
+    )
+
+
+def header_report(
+    spark: SparkSession, path: str | list[str], include_empty: bool = False
+) -> DataFrame:
+    """Whether every file has a header, its number of columns and their names."""
+    return dialect_report(spark, path, include_empty).select(
+        "file", "has_header", "num_columns", "column_names"
     )
 
 

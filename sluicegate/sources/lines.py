@@ -50,12 +50,11 @@ def decode(value: Column, encoding: Column) -> Column:
     lines start with it, big-endian lines end with it. A byte-order mark is dropped.
     """
     raw = value.cast("binary")
-    odd = F.octet_length(value) % 2 == 1
+    size = F.octet_length(value)
+    odd = size % 2 == 1
     starts_nul = F.substring(value, 1, 1) == NUL
-    little = F.when(odd & starts_nul, F.expr("substring(cast(value as binary), 2)")).otherwise(raw)
-    big = F.when(
-        odd, F.expr("substring(cast(value as binary), 1, octet_length(value) - 1)")
-    ).otherwise(raw)
+    little = F.when(odd & starts_nul, F.substring(raw, F.lit(2), size)).otherwise(raw)
+    big = F.when(odd, F.substring(raw, F.lit(1), size - 1)).otherwise(raw)
     name = F.upper(encoding)
     text = (
         F.when(name == "UTF-16LE", F.decode(little, "UTF-16LE"))
@@ -63,4 +62,4 @@ def decode(value: Column, encoding: Column) -> Column:
         .when(name == "ISO-8859-1", F.decode(raw, "ISO-8859-1"))
         .otherwise(value)
     )
-    return F.regexp_replace(text, "^\ufeff", "")
+    return F.rtrim(F.regexp_replace(text, "^\ufeff", ""), F.lit("\r"))
