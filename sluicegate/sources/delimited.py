@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from sluicegate.operators.cast import BAD_LINE, SOURCE_FILE
 from sluicegate.sources.lines import decode, file_heads, raw_lines
+from sluicegate.workspace import ensure_checkpoint_dir
 
 _RAW = "_raw_line"
 # Together these give every row its place in the file set.
@@ -149,13 +150,24 @@ def scan_delimited(
     return apply_bad_line_policy(rows, columns, layout, on_bad_lines, short_rows)
 
 
+# The header positions are broadcast up to this size, else joined by shuffle.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
 def _after_header(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """Lines below the header line of their file.
 
-    The header position is joined on (file, block start): a key holds at most one block of
-    one file, so a file with a third of all lines is spread over its blocks.
+    The positions, one small row per file, are kept in a checkpoint and measured. Within
+    the limit they are broadcast, so the lines are not shuffled; beyond it the join key is
+    (file, block start), which holds at most one block of one file, so a file with a third
+    of all lines is spread over its blocks.
     """
-    header = heads.select("file", "block_start", F.col("pos").alias("_header_pos"))
+    ensure_checkpoint_dir(lines.sparkSession)
+    header = heads.select("file", "block_start", F.col("pos").alias("_header_pos")).checkpoint()
+    row_bytes = F.octet_length("file").cast("bigint") + 64
+    size = header.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        header = F.broadcast(header)
     return lines.join(header, ["file", "block_start"], "left").where(
         F.col("_header_pos").isNull() | (F.col("pos") > F.col("_header_pos"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.functions.names import table_name_from_path
@@ -11,12 +11,18 @@ from sluicegate.sources.dialect import file_list
 from sluicegate.sources.lines import raw_lines
 
 
-def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def file_inventory(
+    spark: SparkSession, path: str | list[str], estimate_rows: bool = True
+) -> DataFrame:
     """Size, extension, table name and estimated rows of every file.
 
     The mean line length is taken over each file's first split, counted where it is read;
-    rows are file size over that mean: 0 for an empty file, else at least 1.
+    rows are file size over that mean: 0 for an empty file, else at least 1. Without
+    ``estimate_rows`` only the listing is read and the estimate is NULL.
     """
+    files = file_list(spark, path, include_empty=True)
+    if not estimate_rows:
+        return _described(files, F.lit(None).cast("bigint"))
     lines = raw_lines(spark, path).where(F.col("block_start") == 0)
     sampled = lines.groupBy("file").agg(
         F.count(F.lit(1)).alias("lines"),
@@ -30,16 +36,16 @@ def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .when(F.col("lines").isNull(), 1)
         .otherwise(F.greatest(estimate, F.lit(1)))
     )
+    return _described(files.join(sampled, "file", "left"), rows.cast("bigint"))
+
+
+def _described(files: DataFrame, rows: Column) -> DataFrame:
     decoded = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
-    return (
-        file_list(spark, path, include_empty=True)
-        .join(sampled, "file", "left")
-        .select(
-            "file",
-            F.lower(F.regexp_extract("file", r"\.([^./]*)$", 1)).alias("extension"),
-            table_name_from_path(decoded).alias("table_name"),
-            "file_size",
-            size_text(F.col("file_size")).alias("size_text"),
-            rows.cast("bigint").alias("estimated_rows"),
-        )
+    return files.select(
+        "file",
+        F.lower(F.regexp_extract("file", r"\.([^./]*)$", 1)).alias("extension"),
+        table_name_from_path(decoded).alias("table_name"),
+        "file_size",
+        size_text(F.col("file_size")).alias("size_text"),
+        rows.alias("estimated_rows"),
     )

@@ -163,3 +163,5 @@ def test_inventory(spark, write, tmp_path):
     }
     assert rows["three.csv"].table_name == "three"
     assert rows["big%20file-1.csv"].table_name == "big_file_1"
+    listed = by_name(file_inventory(spark, str(tmp_path), estimate_rows=False))
+    assert {n: r.file_size for n, r in listed.items()} == {n: f[1] for n, f in facts.items()}

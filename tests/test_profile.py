@@ -157,3 +157,10 @@ def test_result_does_not_depend_on_partitions(small):
     one = sorted(map(str, profile.unique_counts(small.repartition(1)).collect()))
     many = sorted(map(str, profile.unique_counts(small.repartition(6)).collect()))
     assert one == many
+
+
+def test_wide_tables_are_profiled_in_column_groups(spark, plan):
+    df = spark.range(3).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(150)])
+    rows = as_dict(profile.null_counts(df))
+    assert len(rows) == 150 and rows["c149"].position == 150
+    assert as_dict(profile.column_stats(df))["c100"].max_val == 102.0

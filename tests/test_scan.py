@@ -1,5 +1,6 @@
 import pytest
 
+from sluicegate.sources import delimited
 from sluicegate.operators.cast import typed_cast
 from sluicegate.sources.delimited import (
     Layout,
@@ -84,7 +85,9 @@ def test_no_header(spark, write):
     assert df.count() == 2
 
 
-def test_header_row_in_split_files(spark, write, tmp_path):
+@pytest.mark.parametrize("limit", [delimited.BROADCAST_BYTES, 0])
+def test_header_row_in_split_files(spark, write, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(delimited, "BROADCAST_BYTES", limit)
     top = "# comment, with commas\n\n# more\nid,name,value\n"
     write("in/a.csv", top + "".join(f"{i},a,{i}\n" for i in range(2000)))
     write("in/b.csv", top + "".join(f"{i},b,{i}\n" for i in range(2000, 2010)))
