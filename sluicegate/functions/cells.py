@@ -44,22 +44,34 @@ def is_phone(value: Column) -> Column:
     return F.length(value).between(7, 21) & value.rlike(P.PHONE)
 
 
+def _iso_head(value: Column) -> Column:
+    return F.substring(value, 1, 10).try_cast("date")
+
+
+def _local_head(value: Column, day_first: bool) -> Column:
+    first, second, year = (F.substring(value, at, n) for at, n in ((1, 2), (4, 2), (7, 4)))
+    month, day = (second, first) if day_first else (first, second)
+    # in ISO order the cast rejects an impossible date without raising
+    return F.concat_ws("-", year, month, day).try_cast("date")
+
+
 def iso_date(value: Column) -> Column:
     """The date in the first ten characters when they read year-month-day."""
-    head = F.substring(value, 1, 10)
-    return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), head.try_cast("date"))
+    return F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}"), _iso_head(value))
 
 
 def local_date(value: Column, day_first: bool) -> Column:
     """The date in the first ten characters written day/month/year or month/day/year.
 
-    ``/``, ``-`` and ``.`` are all accepted between the parts. The parts are put in ISO
-    order for the cast, which rejects an impossible date without raising.
+    ``/``, ``-`` and ``.`` are all accepted between the parts.
     """
-    first, second, year = (F.substring(value, at, n) for at, n in ((1, 2), (4, 2), (7, 4)))
-    month, day = (second, first) if day_first else (first, second)
-    iso = F.concat_ws("-", year, month, day)
-    return F.when(value.rlike(r"^\d{2}([/.-])\d{2}\1\d{4}"), iso.try_cast("date"))
+    return F.when(value.rlike(r"^\d{2}([/.-])\d{2}\1\d{4}"), _local_head(value, day_first))
+
+
+def date_of_prefixed(value: Column, day_first: bool) -> Column:
+    """The same date for a value already known to have a date prefix: no pattern needed."""
+    iso = F.substring(value, 5, 1) == "-"
+    return F.when(iso, _iso_head(value)).otherwise(_local_head(value, day_first))
 
 
 def any_date(value: Column, day_first: bool) -> Column:

@@ -19,6 +19,7 @@ from sluicegate.functions.sizes import two_decimals
 BAD_LINE = "_bad_line"
 SOURCE_FILE = "source_file"
 _TYPED = "_typed_"
+ERROR_TYPES = ["malformed_row", "cast_error", "null_violation", "duplicate_key"]
 _INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
 
@@ -209,3 +210,30 @@ def load_stats(classified: DataFrame) -> DataFrame:
         .otherwise("Completed with errors")
         .alias("status"),
     )
+
+
+def load_report(classified: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Totals, errors by type and missing values of the good rows: (section, subject, value).
+
+    One aggregate over the load, whatever the number of columns; error types that do not
+    occur have no row.
+    """
+    good = F.col("error_type").isNull()
+    errors = [F.count_if(F.col("error_type") == e).alias(e) for e in ERROR_TYPES]
+    nulls = [
+        F.count_if(good & F.col(f"`{_TYPED}{c}`").isNull()).alias(f"n{i}")
+        for i, c in enumerate(columns)
+    ]
+
+    def row(section: str, subject: str, counter: str) -> Column:
+        return F.struct(
+            F.lit(section).alias("section"), F.lit(subject).alias("subject"), F.col(counter).alias("value")
+        )
+
+    rows = [row("load", c, c) for c in ("total_rows", "successful_rows", "failed_rows")]
+    rows += [row("error", e, e) for e in ERROR_TYPES]
+    rows += [row("null", c, f"n{i}") for i, c in enumerate(columns)]
+    counted = classified.agg(*load_counts(), *errors, *nulls)
+    return counted.select(F.inline(F.array(*rows))).where(
+        (F.col("section") != "error") | (F.col("value") > 0)
+    )

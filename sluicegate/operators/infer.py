@@ -51,18 +51,18 @@ def column_facts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """
     columns = list(columns) if columns is not None else df.columns
     v = F.col("value")
-    shaped = _cells(df, columns).select(
+    dated, whole = F.col("dated"), F.col("is_integer")
+    shaped = _cells(df, columns).select("*", C.is_integer(v).alias("is_integer"))
+    shaped = shaped.select(
         "*",
-        C.is_integer(v).alias("is_integer"),
-        C.has_date_prefix(v).alias("dated"),
-        C.has_time_prefix(v).alias("timed"),
+        F.when(whole, False).otherwise(C.has_date_prefix(v)).alias("dated"),
+        F.when(whole, False).otherwise(C.has_time_prefix(v)).alias("timed"),
     )
-    dated, whole = F.col("dated"), F.col("is_integer")
     parsed = shaped.select(
         "*",
         F.when(whole, F.expr("try_cast(value AS bigint)")).alias("as_long"),
-        F.when(dated, C.any_date(v, True)).isNotNull().alias("day_first_date"),
-        F.when(dated, C.any_date(v, False)).isNotNull().alias("month_first_date"),
+        F.when(dated, C.date_of_prefixed(v, True)).isNotNull().alias("day_first_date"),
+        F.when(dated, C.date_of_prefixed(v, False)).isNotNull().alias("month_first_date"),
         F.when(dated, C.clock_part(v)).alias("clock"),
     )
     # a CASE, not AND: only cells beyond 64 bits reach the decimal cast
@@ -76,17 +76,17 @@ def column_facts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return parsed.groupBy("position", "column_name").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(v).alias("present"),
-        count(C.is_boolean(v)).alias("booleans"),
+        count(F.when(F.length(v) <= 5, C.is_boolean(v))).alias("booleans"),
         F.count("as_long").alias("longs"),
         F.min("as_long").alias("min_long"),
         F.max("as_long").alias("max_long"),
         count(unsigned).alias("unsigned"),
-        count(whole | C.is_number(v)).alias("numbers"),
+        count(F.when(whole, True).otherwise(C.is_number(v))).alias("numbers"),
         count(F.col("day_first_date") & alone).alias("dates_day_first"),
         count(F.col("month_first_date") & alone).alias("dates_month_first"),
         count(F.col("day_first_date") & with_clock).alias("stamps_day_first"),
         count(F.col("month_first_date") & with_clock).alias("stamps_month_first"),
-        count(F.col("timed") & convert(v, "time").isNotNull()).alias("times"),
+        count(F.when(F.col("timed"), convert(v, "time").isNotNull())).alias("times"),
         count(dated).alias("date_prefixes"),
         count("timed").alias("time_prefixes"),
         count(C.is_email(v)).alias("emails"),

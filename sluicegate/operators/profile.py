@@ -58,7 +58,7 @@ def exact_sum(df: DataFrame, name: str) -> Column:
 COLUMNS_PER_PASS = 60
 
 
-def _one_pass(
+def one_pass(
     df: DataFrame, columns: Sequence[str], facts: dict, whole: dict | None = None
 ) -> DataFrame:
     """One aggregate over ``df`` (one per 60 columns), returned as one row per column.
@@ -106,7 +106,7 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
             "column_name string, min_val double, max_val double, avg_val double, "
             "sum_val double, count_val bigint, non_null_count bigint",
         )
-    report = _one_pass(
+    report = one_pass(
         df,
         columns,
         {
@@ -131,7 +131,7 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column and their share of the rows in percent (two decimals)."""
     columns = list(columns) if columns is not None else df.columns
-    report = _one_pass(
+    report = one_pass(
         df,
         columns,
         {"null_count": _count_missing(df)},
@@ -150,7 +150,7 @@ def string_lengths(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     columns = list(columns) if columns is not None else string_columns(df)
     if not columns:
         return _nothing(df, "column_name string, avg_length double, max_length bigint")
-    return _one_pass(
+    return one_pass(
         df,
         columns,
         {
@@ -283,7 +283,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
             "column_name string, min_val double, max_val double, mean_val double, "
             "median_val double, std_val double",
         )
-    basics = _one_pass(
+    basics = one_pass(
         df,
         columns,
         {
@@ -323,6 +323,28 @@ def _cells(df: DataFrame, columns: Sequence[str], as_key: bool) -> DataFrame:
     return df.select(F.inline(cells)).where(F.col("value").isNotNull())
 
 
+def value_frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """How often every value of every column occurs: (column_name, value, frequency)."""
+    columns = list(columns) if columns is not None else df.columns
+    return (
+        _cells(df, columns, as_key=False)
+        .groupBy("column_name", "value")
+        .agg(F.count(F.lit(1)).alias("frequency"))
+    )
+
+
+def most_frequent(frequencies: DataFrame, k: int) -> DataFrame:
+    """The ``k`` first values per column by frequency, then by value."""
+    rank = F.row_number().over(
+        Window.partitionBy("column_name").orderBy(F.desc("frequency"), F.asc("value"))
+    )
+    return (
+        frequencies.withColumn("rank", rank)
+        .where(F.col("rank") <= k)
+        .select("column_name", "value", "frequency", F.col("rank").cast("bigint").alias("rank"))
+    )
+
+
 def unique_counts(
     df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
 ) -> DataFrame:
@@ -333,7 +355,7 @@ def unique_counts(
     """
     columns = list(columns) if columns is not None else df.columns
     if approximate:
-        return _one_pass(
+        return one_pass(
             df, columns, {"unique_count": lambda c: F.approx_count_distinct(present(df, c))}
         ).select("column_name", "unique_count")
     counted = (
@@ -359,17 +381,7 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5)
     columns = list(columns) if columns is not None else string_columns(df)
     if not columns:
         return _nothing(df, "column_name string, value string, frequency bigint, rank bigint")
-    rank = F.row_number().over(
-        Window.partitionBy("column_name").orderBy(F.desc("frequency"), F.asc("value"))
-    )
-    return (
-        _cells(df, columns, as_key=False)
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("frequency"))
-        .withColumn("rank", rank)
-        .where(F.col("rank") <= k)
-        .select("column_name", "value", "frequency", F.col("rank").cast("bigint").alias("rank"))
-    )
+    return most_frequent(value_frequencies(df, columns), k)
 
 
 # ----------------------------------------------------------------------------- tables

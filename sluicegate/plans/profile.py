@@ -8,32 +8,67 @@ from pyspark.sql import functions as F
 from sluicegate.operators import profile as P
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, k: int = 5) -> DataFrame:
     """Type, missing and distinct counts of every column, numeric or text facts, top values.
 
-    The parts have one row per column, so joining them moves only report rows.
+    Counts, numeric and text facts share one aggregate; distinct counts and top values share
+    one grouping by (column, value), whose shuffle is written once and read by both. The
+    parts have one row per column, so joining them moves only report rows.
     """
-    kinds = F.array(
-        *[
-            F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("dtype"))
-            for f in df.schema.fields
-        ]
+    numbers, texts = set(P.numeric_columns(df)), set(P.string_columns(df))
+    nothing = F.max(F.lit(None).cast("double"))
+
+    def of(kind: set[str], make):
+        return lambda c: make(c) if c in kind else nothing
+
+    facts = P.one_pass(
+        df,
+        df.columns,
+        {
+            "null_count": lambda c: F.count_if(P.is_missing(df, c)),
+            "min_val": of(numbers, lambda c: F.min(P.present(df, c)).cast("double")),
+            "max_val": of(numbers, lambda c: F.max(P.present(df, c)).cast("double")),
+            "mean_val": of(numbers, lambda c: F.avg(P.present(df, c).cast("double"))),
+            "std_val": of(numbers, lambda c: F.stddev_samp(P.present(df, c).cast("double"))),
+            "avg_length": of(texts, lambda c: F.coalesce(F.avg(F.length(df[c])), F.lit(0.0))),
+        },
+        {"row_count": F.count(F.lit(1))},
+    )
+    frequencies = P.value_frequencies(df)
+    # counting on the frequency keeps both readers of the shuffle alike
+    unique = frequencies.groupBy("column_name").agg(
+        F.count_if(F.col("frequency") > 0).alias("unique_count")
     )
-    frame = df.sparkSession.range(1, numPartitions=1).select(F.inline(kinds))
     entry = F.struct("rank", "value", "frequency")
-    top = P.top_values(df).groupBy("column_name").agg(
+    top = P.most_frequent(frequencies, k).groupBy("column_name").agg(
         F.transform(
-            F.sort_array(F.collect_list(entry)),  # five entries per column
+            F.sort_array(F.collect_list(entry)),  # k entries per column
             lambda e: F.struct(e["value"].alias("value"), e["frequency"].alias("frequency")),
-        ).alias("top_values")
+        ).alias("top")
+    )
+    kinds = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
+    report = facts.join(unique, "column_name", "left").join(top, "column_name", "left")
+    if numbers:
+        report = report.join(P.exact_medians(df, sorted(numbers)), "column_name", "left")
+    else:
+        report = report.withColumn("median_val", F.lit(None).cast("double"))
+    percentage = F.when(F.col("row_count") == 0, 0.0).otherwise(
+        F.round(F.col("null_count") * 100.0 / F.col("row_count"), 2)
     )
-    parts = [
-        P.null_counts(df),
-        P.unique_counts(df),
-        P.numeric_summary(df),
-        P.string_lengths(df).select("column_name", "avg_length"),
-        top,
-    ]
-    for part in parts:
-        frame = frame.join(part, "column_name", "left")
-    return frame.orderBy("position")
+    is_text = F.col("column_name").isin(*texts) if texts else F.lit(False)
+    return report.select(
+        "position",
+        "column_name",
+        F.element_at(kinds, F.col("column_name")).alias("dtype"),
+        "row_count",
+        "null_count",
+        percentage.alias("null_percentage"),
+        F.coalesce("unique_count", F.lit(0).cast("bigint")).alias("unique_count"),
+        "min_val",
+        "max_val",
+        "mean_val",
+        "median_val",
+        "std_val",
+        "avg_length",
+        F.when(is_text, F.col("top")).alias("top_values"),
+    ).orderBy("position")

@@ -9,19 +9,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.operators import validate as V
-from sluicegate.operators.profile import _one_pass, column_stats, is_missing, numeric_columns
+from sluicegate.operators.profile import (
+    exact_sum,
+    is_missing,
+    numeric_columns,
+    one_pass,
+    present,
+)
 
 REPORT = "test string, status string, message string, metric string, value double"
 
 
 def _result(
-    test: str, status: Column | str, message: Column | str, metric: Column | str, value: Column
+    test: Column | str, status: Column | str, message: Column | str, metric: Column | str, value: Column
 ) -> list[Column]:
     def text(x: Column | str) -> Column:
         return F.lit(x) if isinstance(x, str) else x
 
     return [
-        F.lit(test).alias("test"),
+        text(test).alias("test"),
         text(status).alias("status"),
         text(message).alias("message"),
         text(metric).alias("metric"),
@@ -41,34 +47,52 @@ def _table_exists(spark: SparkSession, exists: bool) -> DataFrame:
     )
 
 
-def row_count_check(df: DataFrame, expected: int | None) -> DataFrame:
-    message = (
-        F.when(F.col("status") == "Info", "no expected count")
-        .when(F.col("status") == "Passed", "row count matches")
-        .otherwise("row count differs")
-    )
-    return V.check_row_count(df, expected).select(
-        *_result("row_count", F.col("status"), message, "actual_count", F.col("actual_count"))
-    )
+COUNT, NULLS, STATS = "row_count", "null_values", "column_stats"
 
 
-def null_check(df: DataFrame) -> DataFrame:
-    counts = _one_pass(df, df.columns, {"n": lambda c: F.count_if(is_missing(df, c))})
-    return counts.select(
-        *_result("null_values", "Info", "missing values", F.col("column_name"), F.col("n"))
+def profile_checks(
+    df: DataFrame, expected: int | None = None, tests: Sequence[str] = (COUNT, NULLS, STATS)
+) -> DataFrame:
+    """Row count, missing values and numeric statistics of all columns, from one aggregate."""
+    numeric = set(numeric_columns(df)) if STATS in tests else set()
+
+    def fact(make):
+        nothing = F.max(F.lit(None).cast("double"))
+        return lambda c: make(c) if c in numeric else nothing
+
+    report = one_pass(
+        df,
+        df.columns,
+        {
+            "nulls": lambda c: F.count_if(is_missing(df, c)),
+            "min": fact(lambda c: F.min(present(df, c)).cast("double")),
+            "max": fact(lambda c: F.max(present(df, c)).cast("double")),
+            "sum": fact(lambda c: exact_sum(df, c).cast("double")),
+        },
+        {"total": F.count(F.lit(1))},
     )
-
-
-def stats_check(df: DataFrame) -> DataFrame | None:
-    if not numeric_columns(df):
-        return None
-    names = ["min", "max", "avg", "sum"]
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("fact"), F.col(f"{n}_val").alias("v")) for n in names]
+    report = report.withColumn("avg", F.expr("try_divide(`sum`, total - nulls)"))
+    goal = F.lit(expected).cast("bigint")
+    status = F.when(goal.isNull(), "Info").when(F.col("total") == goal, "Passed").otherwise("Failed")
+    message = (
+        F.when(goal.isNull(), "no expected count")
+        .when(F.col("total") == goal, "row count matches")
+        .otherwise("row count differs")
     )
-    rows = column_stats(df).select("column_name", F.inline(pairs))
-    metric = F.concat_ws(".", "column_name", "fact")
-    return rows.select(*_result("column_stats", "Info", "numeric column", metric, F.col("v")))
+    name = F.col("column_name")
+    rows = []
+    if COUNT in tests:
+        once = F.when(F.col("position") == 1, COUNT)
+        rows.append(_result(once, status, message, "actual_count", F.col("total")))
+    if NULLS in tests:
+        rows.append(_result(NULLS, "Info", "missing values", name, F.col("nulls")))
+    is_numeric = F.when(name.isin(*numeric), STATS) if numeric else F.lit(None).cast("string")
+    rows += [
+        _result(is_numeric, "Info", "numeric column", F.concat(name, F.lit(f".{f}")), F.col(f))
+        for f in (("min", "max", "avg", "sum") if numeric else ())
+    ]
+    laid_out = report.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
+    return laid_out.where(F.col("test").isNotNull())
 
 
 def duplicate_check(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
@@ -91,9 +115,7 @@ def source_check(source: DataFrame | None, df: DataFrame) -> DataFrame:
 
 def _checks(df, source, expected, duplicate_columns):
     return [
-        ("row_count", lambda: row_count_check(df, expected)),
-        ("null_values", lambda: null_check(df)),
-        ("column_stats", lambda: stats_check(df)),
+        ("profile", lambda: profile_checks(df, expected)),
         ("duplicates", lambda: duplicate_check(df, duplicate_columns)),
         ("csv_comparison", lambda: source_check(source, df) if source is not None else None),
     ]
@@ -122,6 +144,15 @@ def validation_report(
     return _with_overall(results)
 
 
+def _attempt(name: str, make) -> list[tuple]:
+    """The result rows of one check, or one Error row."""
+    try:
+        part = make()
+        return [] if part is None else [tuple(r) for r in part.collect()]
+    except PySparkException as error:
+        return [(name, "Error", str(error).splitlines()[0], name, None)]
+
+
 def validate_table(
     spark: SparkSession,
     table: str,
@@ -139,12 +170,16 @@ def validate_table(
         report = _with_overall(_table_exists(spark, False))
     else:
         rows = [tuple(r) for r in _table_exists(spark, True).collect()]
-        for name, make in _checks(spark.table(table), source, expected, duplicate_columns):
-            try:
-                part = make()
-                rows += [] if part is None else [tuple(r) for r in part.collect()]
-            except PySparkException as error:
-                rows.append((name, "Error", str(error).splitlines()[0], name, None))
+        df = spark.table(table)
+        checks = dict(_checks(df, source, expected, duplicate_columns))
+        outcome = _attempt("profile", checks.pop("profile"))
+        if any(r[1] == "Error" for r in outcome):  # find out which of the three broke
+            outcome = []
+            for test in (COUNT, NULLS, STATS):
+                outcome += _attempt(test, lambda: profile_checks(df, expected, [test]))
+        rows += outcome
+        for name, make in checks.items():
+            rows += _attempt(name, make)
         report = _with_overall(spark.createDataFrame(rows, REPORT))
     if save_to is not None:
         report.write.mode("overwrite").json(save_to)

@@ -39,25 +39,8 @@ def rounded(df: DataFrame, digits: int = 2) -> DataFrame:
 
 def messy_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How clean is this load? Totals, errors by type and missing values in one report."""
-    rows = X.parsed_orders(spark, sf_dir)
-    classified = cast.classify(rows, PARSE_TYPES)
-    good = cast.good_rows(classified, X.ORDER_COLUMNS)
-    totals = cast.load_stats(classified)
-    facts = F.array(
-        *[
-            F.struct(F.lit(c).alias("subject"), F.col(c).alias("value"))
-            for c in ["total_rows", "successful_rows", "failed_rows"]
-        ]
-    )
-    return (
-        totals.select(F.lit("load").alias("section"), F.inline(facts))
-        .unionAll(
-            cast.error_stats(classified).select(F.lit("error"), "error_type", "error_count")
-        )
-        .unionAll(
-            profile.null_counts(good).select(F.lit("null"), "column_name", "null_count")
-        )
-    )
+    classified = cast.classify(X.parsed_orders(spark, sf_dir), PARSE_TYPES)
+    return cast.load_report(classified, X.ORDER_COLUMNS)
 
 
 # -- scans, sources, sinks --------------------------------------------------------------
