@@ -448,14 +448,17 @@ def table_summary(df: DataFrame) -> DataFrame:
     missing = [F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns)]
     counts = df.agg(F.count(F.lit(1)).alias("row_count"), *missing)
     nulls = sum((F.col(f"m{i}") for i in range(1, len(df.columns))), F.col("m0"))
-    counts = counts.select("row_count", nulls.alias("null_values_total"))
-    repeated = duplicate_row_count(df).select(F.col("extra_rows").alias("duplicated_rows"))
-    # both sides are single-row aggregates
-    return counts.withColumn("one", F.lit(1)).join(
-        repeated.withColumn("one", F.lit(1)), "one"
-    ).select(
-        "row_count",
-        F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-        "duplicated_rows",
-        "null_values_total",
+    nothing = F.lit(None).cast("bigint")
+    repeated = duplicate_row_count(df).select(nothing, nothing, "extra_rows")
+    # two single-row aggregates put into one row
+    return (
+        counts.select("row_count", nulls.alias("null_values_total"), nothing.alias("duplicated_rows"))
+        .unionAll(repeated)
+        .agg(*[F.max(c).alias(c) for c in ("row_count", "null_values_total", "duplicated_rows")])
+        .select(
+            "row_count",
+            F.lit(len(df.columns)).cast("bigint").alias("column_count"),
+            "duplicated_rows",
+            "null_values_total",
+        )
     )

@@ -106,10 +106,6 @@ def reconcile_multiset(
     )
 
 
-def _as_text(column: Column) -> Column:
-    return column.cast("string")
-
-
 def sample_comparison(
     source: DataFrame,
     target: DataFrame,
@@ -125,23 +121,28 @@ def sample_comparison(
     columns = _shared(source, target, columns)
 
     def first_rows(df: DataFrame, side: str) -> DataFrame:
-        head = df.select(*order_by, *[c for c in columns if c not in order_by])
-        head = head.orderBy(*order_by).limit(rows)
-        # at most ``rows`` rows: one array of rows, in key order
-        row = F.struct(*[F.col(c) for c in order_by], *[_as_text(F.col(c)).alias(f"t{i}")
-                         for i, c in enumerate(columns)])
-        ordered = F.sort_array(F.collect_list(row))
-        values = [F.col("sample")[f"t{i}"].alias(f"{side}{i}") for i in range(len(columns))]
-        return head.agg(ordered.alias("sample")).select(F.lit(1).alias("one"), *values)
-
-    both = first_rows(source, "s").join(first_rows(target, "t"), "one")
+        head = df.select(*dict.fromkeys([*order_by, *columns])).orderBy(*order_by).limit(rows)
+        row = F.struct(
+            *[F.col(c) for c in order_by],
+            *[F.col(c).cast("string").alias(f"t{i}") for i, c in enumerate(columns)],
+        )
+        return head.select(F.lit(side).alias("side"), row.alias("row"))
+
+    # at most ``rows`` rows a side meet in one aggregate, as one array per side in key order
+    samples = first_rows(source, "s").unionAll(first_rows(target, "t")).agg(
+        *[F.sort_array(F.collect_list(F.when(F.col("side") == s, F.col("row")))).alias(s) for s in "st"]
+    )
+
+    def values(side: str, i: int) -> Column:
+        return F.col(side)[f"t{i}"]
+
     entries = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.to_json(F.col(f"s{i}")).alias("source_sample"),
-            F.to_json(F.col(f"t{i}")).alias("table_sample"),
-            F.col(f"s{i}").eqNullSafe(F.col(f"t{i}")).alias("match"),
+            F.to_json(values("s", i)).alias("source_sample"),
+            F.to_json(values("t", i)).alias("table_sample"),
+            values("s", i).eqNullSafe(values("t", i)).alias("match"),
         )
         for i, c in enumerate(columns)
     ]
-    return both.select(F.inline(F.array(*entries)))
+    return samples.select(F.inline(F.array(*entries)))
