@@ -15,6 +15,7 @@ from sluicegate.operators.cast import (
 )
 from sluicegate.operators.infer import SPARK_TYPES, schema_report
 from sluicegate.operators.tables import add_surrogate_id, next_id, write_table
+from sluicegate.plans.analyze import detect_layout
 from sluicegate.sources.delimited import FILE_ORDER, Layout, scan_delimited
 
 
@@ -33,8 +34,8 @@ def load_delimited(
     spark: SparkSession,
     path: str | list[str],
     table: str,
-    columns: Sequence[str],
-    layout: Layout = Layout(),
+    columns: Sequence[str] | None = None,
+    layout: Layout | None = None,
     if_exists: str = "fail",
     on_bad_lines: str = "warn",
     types: Mapping[str, str] | None = None,
@@ -47,6 +48,7 @@ def load_delimited(
 ) -> DataFrame:
     """Scan, infer, type, write, and set bad rows aside; returns the load statistics.
 
+    Without ``layout`` it is detected, and with it the column names unless they are given.
     The counts are observed while the good rows are written; with surrogate ids, whose
     range sort reads its input more than once, they come from an aggregate of their own.
     Ids follow ``id_order``, or the order of the lines in the files, and go on after the
@@ -57,6 +59,10 @@ def load_delimited(
     """
     if if_exists == "fail" and spark.catalog.tableExists(table):
         raise ValueError(f"table {table} already exists")
+    if layout is None or columns is None:
+        found, names = detect_layout(spark, path)
+        layout = layout or found
+        columns = columns or names
     by_file = id_column is not None and not id_order
     rows = scan_delimited(
         spark, path, columns, layout, on_bad_lines, with_file=True, with_position=by_file

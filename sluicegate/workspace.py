@@ -11,20 +11,19 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, read from ``spark.checkpoint.dir``.
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or the checkpoint folder set in code.
 
-    Only a local-mode session without that setting (a test) falls back to a fresh
-    temporary folder; on a cluster a missing setting is an error, because a folder of
-    one machine is not visible to the others.
+    Only a local-mode session with neither (a test) falls back to a fresh temporary folder;
+    on a cluster that is an error, because a folder of one machine is not visible to the
+    others.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="sluicegate-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluicegate-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

@@ -152,3 +152,27 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert workspace.staging_path(spark, "x").startswith(folder + "/")
     assert workspace.staging_path(spark, "x") != workspace.staging_path(spark, "x")
+
+
+class _Session:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_of_a_session_without_one():
+    with pytest.raises(ValueError):
+        workspace.shared_folder(_Session("spark://cluster:7077"))
+    local = _Session("local[2]")
+    assert workspace.shared_folder(local) == workspace.shared_folder(local) == local.folder

@@ -368,6 +368,12 @@ SELECT file_no, 'txt' AS extension, size AS file_size, {size_text("size")} AS si
     "load_delimited": f"""WITH {PARSED}
 SELECT row_number() OVER (ORDER BY order_id) AS id, order_id, customer_id, status, amount,
   {DATE_OF} AS order_date, priority FROM parsed WHERE error_type IS NULL""",
+    "analyze_files": f"""WITH cells AS (SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+  CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+  CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer),
+facts AS ({_facts("cells", CUSTOMER_COLUMNS)})
+SELECT CAST(position AS BIGINT) AS position, column_name, {SQL_TYPE} AS sql_type, n > p AS nullable,
+  len AS max_length, 'UTF-8' AS encoding, ',' AS delimiter, true AS has_header FROM facts""",
     "infer_column_types": _inferred(SQL_TYPE, "sql_type"),
     "infer_nullability": f"""WITH {MESSY}, facts AS ({_facts("messy", ORDER_COLUMNS)})
 SELECT CAST(position AS BIGINT) AS position, column_name, n - p AS null_count, n > p AS nullable FROM facts""",

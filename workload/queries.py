@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluicegate.functions import names as N
 from sluicegate.operators import cast, infer, profile, reconcile, tables, validate
+from sluicegate.plans.analyze import analyze_files
 from sluicegate.plans.profile import column_profile
 from sluicegate.plans.load import load_delimited
 from sluicegate.plans.validation import validation_report
@@ -196,6 +197,15 @@ def load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded
 
 
+def analyze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layout and schema of the customer files, nothing given but the folder."""
+    report = analyze_files(spark, X.customer_files(spark, sf_dir, header=True))
+    return report.select(
+        "position", "column_name", "sql_type", "nullable", "max_length",
+        "encoding", "delimiter", "has_header",
+    )
+
+
 # -- inference --------------------------------------------------------------------------
 
 
@@ -434,6 +444,7 @@ QUERIES = {
     "load_stats": load_stats,
     "file_inventory": file_inventory,
     "load_delimited": load_files,
+    "analyze_files": analyze,
     "infer_column_types": infer_column_types,
     "infer_nullability": infer_nullability,
     "infer_varchar_bucket": infer_varchar_bucket,
