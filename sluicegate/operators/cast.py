@@ -18,7 +18,7 @@ from sluicegate.functions.sizes import two_decimals
 
 BAD_LINE = "_bad_line"
 SOURCE_FILE = "source_file"
-_TYPED = "_typed_"
+TYPED = "_typed_"
 ERROR_TYPES = ["malformed_row", "cast_error", "null_violation", "duplicate_key"]
 _INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
@@ -80,11 +80,11 @@ def classify(
     conversions, where every mention would convert again.
     """
     converted = df.select(
-        "*", *[_typed(c, kind, day_first or {}).alias(_TYPED + c) for c, kind in types.items()]
+        "*", *[_typed(c, kind, day_first or {}).alias(TYPED + c) for c, kind in types.items()]
     )
     failed = [
         F.when(
-            _cell(c).isNotNull() & F.col(f"`{_TYPED}{c}`").isNull(),
+            _cell(c).isNotNull() & F.col(f"`{TYPED}{c}`").isNull(),
             F.concat(F.lit(f"{c}: cannot read '"), F.col(f"`{c}`"), F.lit(f"' as {kind}")),
         )
         for c, kind in types.items()
@@ -140,14 +140,14 @@ def good_rows(
 ) -> DataFrame:
     """The rows without an error, typed; columns of ``keep`` come along as they are."""
     good = classified.where(F.col("error_type").isNull())
-    return good.select(*[F.col(f"`{_TYPED}{c}`").alias(c) for c in columns], *keep)
+    return good.select(*[F.col(f"`{TYPED}{c}`").alias(c) for c in columns], *keep)
 
 
 def loaded_and_rejected(classified: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every row typed as far as it converts, with ``is_good`` telling which ones load."""
     return classified.select(
         F.col("error_type").isNull().alias("is_good"),
-        *[F.col(f"`{_TYPED}{c}`").alias(c) for c in columns],
+        *[F.col(f"`{TYPED}{c}`").alias(c) for c in columns],
     )
 
 
@@ -221,7 +221,7 @@ def load_report(classified: DataFrame, columns: Sequence[str]) -> DataFrame:
     good = F.col("error_type").isNull()
     errors = [F.count_if(F.col("error_type") == e).alias(e) for e in ERROR_TYPES]
     nulls = [
-        F.count_if(good & F.col(f"`{_TYPED}{c}`").isNull()).alias(f"n{i}")
+        F.count_if(good & F.col(f"`{TYPED}{c}`").isNull()).alias(f"n{i}")
         for i, c in enumerate(columns)
     ]
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.operators.cast import (
+    SOURCE_FILE,
+    TYPED,
     classify,
     good_rows,
     load_counts,
@@ -17,6 +19,7 @@ from sluicegate.operators.infer import SPARK_TYPES, schema_report
 from sluicegate.operators.tables import add_surrogate_id, next_id, write_table
 from sluicegate.plans.analyze import detect_layout
 from sluicegate.sources.delimited import FILE_ORDER, Layout, scan_delimited
+from sluicegate.workspace import staging_path
 
 
 def infer_types(
@@ -30,6 +33,24 @@ def infer_types(
     return {c: types[c] for c in columns}, {r.column_name: r.day_first for r in report}
 
 
+def stage_rows(classified: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Classified rows written once to the shared folder, good and bad ones apart.
+
+    Text is kept for bad rows only; a filter on ``_is_bad`` reads one part.
+    """
+    spark = classified.sparkSession
+    is_bad = F.col("error_type").isNotNull()
+    text = [F.when(is_bad, F.col(f"`{c}`")).alias(c) for c in columns]
+    typed = [c for c in classified.columns if c.startswith(TYPED)]
+    rows = classified.select(
+        *text, *[F.col(f"`{c}`") for c in typed], *keep, "error_type", "error_message",
+        is_bad.cast("int").alias("_is_bad"),
+    )
+    path = staging_path(spark, "load")
+    rows.write.partitionBy("_is_bad").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def load_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -49,13 +70,12 @@ def load_delimited(
     """Scan, infer, type, write, and set bad rows aside; returns the load statistics.
 
     Without ``layout`` it is detected, and with it the column names unless they are given.
-    The counts are observed while the good rows are written; with surrogate ids, whose
-    range sort reads its input more than once, they come from an aggregate of their own.
-    Ids follow ``id_order``, or the order of the lines in the files, and go on after the
+    The counts are observed while the rows are written. Ids follow ``id_order``, or the order of the lines in the files, and go on after the
     largest one when rows are appended.
-    The bad rows are written in a second scan, and only when there are any. With explicit
-    ``types`` no inference pass runs. ``overrides`` fixes the SQL type of some columns and
-    infers the rest.
+    The range sort behind them reads its input more than once, so the parsed rows are first
+    staged in columnar form. Without ids the bad rows are written in a second scan of the
+    files, and only when there are any. With explicit ``types`` no inference pass runs.
+    ``overrides`` fixes the SQL type of some columns and infers the rest.
     """
     if if_exists == "fail" and spark.catalog.tableExists(table):
         raise ValueError(f"table {table} already exists")
@@ -72,20 +92,22 @@ def load_delimited(
         types, day_first = infer_types(rows, columns, overrides)
     types = {c: SPARK_TYPES.get(t.upper(), t) for c, t in types.items()}
     classified = classify(rows, types, required, day_first)
+    observed = Observation()
+    counted = classified.observe(observed, *load_counts())
     if id_column is None:
-        observed = Observation()
-        good = good_rows(classified.observe(observed, *load_counts()), columns)
-        write_table(good, table, if_exists)
-        counts = observed.get
+        write_table(good_rows(counted, columns), table, if_exists)
+        rejected = classified
     else:
         order = FILE_ORDER if by_file else list(id_order)
-        good = good_rows(classified, columns, keep=FILE_ORDER if by_file else ())
+        staged = stage_rows(counted, columns, keep=FILE_ORDER if by_file else [SOURCE_FILE])
         start = next_id(spark, table, id_column) if if_exists == "append" else 1
+        good = good_rows(staged.where("_is_bad = 0"), columns, keep=FILE_ORDER if by_file else ())
         numbered = add_surrogate_id(good, order, id_column, start)
         write_table(numbered.select(id_column, *columns), table, if_exists)
-        counts = classified.agg(*load_counts()).first().asDict()
+        rejected = staged.where("_is_bad = 1")
+    counts = observed.get
     if counts["failed_rows"] > 0 and quarantine_path is not None:
-        bad = quarantine_rows(classified, columns)
+        bad = quarantine_rows(rejected, columns)
         bad.write.mode("append").partitionBy("source_file").format(quarantine_format).option(
             "header", True
         ).save(quarantine_path)

@@ -101,7 +101,9 @@ def test_load(spark, write, table, tmp_path):
 def test_load_with_explicit_types_and_append(spark, write, table):
     path = write("a.csv", "k,v\n1,x\n2,y\n")
     for mode in ["fail", "append"]:
-        stats = load_delimited(spark, path, table, ["k", "v"], types={"k": "bigint", "v": "string"}, if_exists=mode)
+        stats = load_delimited(
+            spark, path, table, ["k", "v"], Layout(), mode, types={"k": "bigint", "v": "string"}
+        )
         assert stats.first().status == "Completed"
     assert spark.table(table).count() == 4
     with pytest.raises(ValueError):
