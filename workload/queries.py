@@ -107,6 +107,13 @@ def _fresh_table(label: str) -> str:
     return f"sluicegate_{label}_{uuid.uuid4().hex}"
 
 
+def _fresh_database(spark: SparkSession) -> str:
+    """A database of its own in the shared folder."""
+    name = _fresh_table("db")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{staging_path(spark, 'database')}'")
+    return name
+
+
 def table_write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders, then their changed copy with the columns in another order."""
     name, path = _fresh_table("append"), staging_path(spark, "append")
@@ -184,7 +191,7 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files to table: scan, infer, type, number, write, quarantine; then read the table."""
     path = X.messy_order_files(spark, sf_dir)
-    name = _fresh_table("loaded")
+    name = f"{_fresh_database(spark)}.orders"
     load_delimited(
         spark, path, name, X.ORDER_COLUMNS, X.ORDER_LAYOUT,
         overrides={"amount": "DOUBLE", "order_id": "BIGINT", "customer_id": "BIGINT",
@@ -193,8 +200,7 @@ def load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         id_column="id", id_order=["order_id"],
         quarantine_path=staging_path(spark, "rejected"),
     )
-    loaded = spark.table(name)
-    return loaded
+    return spark.table(name)
 
 
 def analyze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -412,8 +418,7 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_stats_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of a database with three tables; sizes depend on the writer and are left out."""
-    database = _fresh_table("db")
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{staging_path(spark, 'database')}'")
+    database = _fresh_database(spark)
     for name in ["orders", "customer", "part"]:
         tables.write_table(table(spark, sf_dir, name), f"{database}.{name}")
     stats = tables.table_stats_report(spark, database)
