@@ -16,6 +16,7 @@ from sluicegate.sources.lines import NUL, decode, file_heads, raw_lines
 
 # Above this share of zero bytes a file is two bytes per character.
 UTF16_NUL_SHARE = 0.2
+COMPRESSED = r"(?i)\.(gz|bz2|zst|snappy|lz4|deflate)$"
 _CANDIDATES = list(dict.fromkeys(CONSISTENT_DELIMITERS + FREQUENT_DELIMITERS))
 
 
@@ -67,6 +68,7 @@ def encoding_report(
         facts = file_list(spark, path, True).join(facts.drop("file_size"), "file", "left")
     hexed = F.lpad(F.hex("first_bytes"), 8, "0")
     dropped = F.col("file_size") - F.col("line_bytes") - F.col("lines")
+    compressed = F.col("file").rlike(COMPRESSED)  # the size on disk says nothing of its lines
     mostly_zero = F.col("zero_bytes") > F.col("line_bytes") * F.lit(UTF16_NUL_SHARE)
     encoding = (
         F.when(F.col("lines").isNull(), "UTF-8")
@@ -74,7 +76,7 @@ def encoding_report(
         .when(hexed.startswith("FEFF"), "UTF-16BE")
         .when(mostly_zero & hexed.startswith("00"), "UTF-16BE")
         .when(mostly_zero, "UTF-16LE")
-        .when(F.col("valid") & (dropped >= 2), "UTF-8-SIG")
+        .when(F.col("valid") & (dropped >= 2) & ~compressed, "UTF-8-SIG")
         .when(F.col("valid"), "UTF-8")
         .otherwise("ISO-8859-1")
     )

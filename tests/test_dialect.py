@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +44,14 @@ def test_encodings(spark, write, tmp_path):
     }
 
 
+def test_compressed_files(spark, write, tmp_path):
+    # short content grows when compressed, which must not look like a byte-order mark
+    write("a.csv.gz", gzip.compress("id,name\n1,é\n".encode()))
+    write("b.csv.gz", gzip.compress("id,name\n1,é\n".encode("iso-8859-1")))
+    found = {n: r.encoding for n, r in by_name(dialect.encoding_report(spark, str(tmp_path))).items()}
+    assert found == {"a.csv.gz": "UTF-8", "b.csv.gz": "ISO-8859-1"}
+
+
 def test_late_bytes_decide_the_encoding(spark, write, tmp_path):
     write("late.csv", b"id,name\n" + b"1,plain\n" * 20_000 + b"2,caf\xe9\n")
     assert by_name(dialect.encoding_report(spark, str(tmp_path)))["late.csv"].encoding == "ISO-8859-1"
