@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import curve_shards, mixing, quality
+from sluicegate.llm import curve_shards, mixing, packing, quality, sequences, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,12 +81,49 @@ def op8_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every training sequence at its slot, with a checksum of its ids as they stand in the shard."""
+    ordered = sequences.training_order(_table(spark, sf_dir, "documents"))
+    return ordered.select(
+        "doc_id", "part", "n_tokens", "number", "slot", "shard", "offset", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every fiftieth vector."""
+    vectors = topk.whole_numbers(_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_training_order": op4_training_order,
     "op5_hilbert_shards": op5_hilbert_shards,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_fair_queue_mix": op8_fair_queue_mix,
+    "op10_packed_sequences": op10_packed_sequences,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3_SQL,
+    "op7_exact_top_k": OP7_SQL,
 }

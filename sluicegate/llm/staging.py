@@ -1,7 +1,11 @@
-"""Written intermediate tables in the shared folder of the session."""
+"""Written intermediate tables in the shared folder, and Python steps over Arrow batches."""
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicegate.workspace import staging_path
@@ -22,3 +26,27 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def shuffle_partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session, as a number to size groups by."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def arrow_map(df: DataFrame, step, schema: str) -> DataFrame:
+    """``df.mapInArrow``, with this package at hand in the Python workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(step, schema)
+
+
+def arrow_groups(df: DataFrame, keys: list[str], step, schema: str) -> DataFrame:
+    """``df.groupBy(keys).applyInArrow``, with this package at hand in the Python workers."""
+    ship(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(step, schema)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per context, as ``spark-submit --py-files`` would."""
+    context = spark.sparkContext
+    if not getattr(context, "_sluicegate_shipped", False):
+        package = Path(__file__).resolve().parents[1]
+        made = shutil.make_archive(
+            f"{tempfile.mkdtemp()}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name
+        )
+        context.addPyFile(made)
+        context._sluicegate_shipped = True
