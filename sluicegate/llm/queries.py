@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import curve_shards, mixing, packing, quality, sequences, topk
+from sluicegate.llm import curve_shards, licenses, mixing, packing, quality, sequences, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,11 @@ def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document, by template."""
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every fiftieth vector."""
     vectors = topk.whole_numbers(_table(spark, sf_dir, "embeddings"))
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_training_order": op4_training_order,
     "op5_hilbert_shards": op5_hilbert_shards,
+    "op6_license_scan": op6_license_scan,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_fair_queue_mix": op8_fair_queue_mix,
     "op10_packed_sequences": op10_packed_sequences,
