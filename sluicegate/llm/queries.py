@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import curve_shards, licenses, mixing, packing, quality, sequences, topk
+from sluicegate.llm import curve_shards, licenses, mixing, packing, quality, sequences, substrings, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document repeat an earlier one in runs of fifty, and what stays."""
+    return substrings.removals(_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i+49], ' ')) AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY gram) AS least FROM g) WHERE least < doc_id),
+c AS (SELECT DISTINCT doc_id, i + k AS pos FROM r, range(50) AS s(k)),
+p AS (SELECT doc_id, w[pos] AS word, pos FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM d)),
+k AS (SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.pos) AS kept, count(*) AS n
+      FROM p ANTI JOIN c ON p.doc_id = c.doc_id AND p.pos = c.pos GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's measurements, its base rules and the current policy's verdict."""
     ledger = quality.apply_policy(quality.rule_ledger(_table(spark, sf_dir, "documents")))
@@ -120,6 +140,7 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_training_order": op4_training_order,
     "op5_hilbert_shards": op5_hilbert_shards,
@@ -130,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
     "op7_exact_top_k": OP7_SQL,
 }
