@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import quality
+from sluicegate.llm import jaccard, mixing, packing, quality, substrings
 from sluicegate.llm.staging import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,8 +17,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_documents(docs)
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    return jaccard.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages of fifty words and more that an earlier document holds."""
+    return substrings.remove_repeats(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mix_documents(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 1024 tokens."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", jaccard_join),
+    ("substring dedup", substring_dedup),
+    ("mixing sources", source_mix),
+    ("packing", packed_sequences),
 ]
 
 #: Near-duplicate components and packing cannot be said in SQL; the tests compare with brute force.

@@ -33,9 +33,14 @@ TIME_SLICES = 4096
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and the number of words of each text."""
+    """doc_id, text_hash, source and the number of words of each text."""
     words = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE_RUN), ""))
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words.cast("long").alias("size"))
+    return docs.select(
+        "doc_id",
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+        F.col("source").cast("string").alias("source"),
+        words.cast("long").alias("size"),
+    )
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, share: float = 1.0, most: int = ROUNDS) -> DataFrame:
@@ -137,6 +142,32 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.0, seed: int = 0) ->
         F.col("target").cast("double").alias("target"),
         (F.col("size") * copies).alias("taken"),
         copies.alias("copies"),
-        "row",
+        "text_hash",
         "source",
     )
+
+
+def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = 1.0, seed: int = 0) -> DataFrame:
+    """The mix itself: each row of ``docs``, all columns, as often as the mix takes it.
+
+    Rows of one id, source and text are told apart by nothing; their copies are added up.
+    """
+    keys = ["_id", "_source", "_hash"]
+    mixed = mix(docs, weights, share, seed).where("copies > 0")
+    taken = mixed.groupBy(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
+        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_source"),
+        F.col("text_hash").alias("_hash"),
+    ).agg(F.sum("copies").cast("int").alias("_copies"))
+    inner = [f"_in_{i}" for i in range(len(docs.columns))]
+    place = {c.lower(): F.col(inner[i]) for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*inner).withColumns(
+        {
+            "_id": F.coalesce(place["doc_id"].cast("string"), F.lit("")),
+            "_source": F.coalesce(F.concat(F.lit("="), place["source"].cast("string")), F.lit("")),
+            "_hash": F.xxhash64(place["text"].cast("string")),
+        }
+    )
+    one = Window.partitionBy(*keys).orderBy(F.lit(0))
+    first = rows.join(taken, keys).withColumn("_n", F.row_number().over(one)).where("_n = 1")
+    return first.withColumn("_n", F.explode(F.sequence(F.lit(1), "_copies"))).select(*inner).toDF(*docs.columns)

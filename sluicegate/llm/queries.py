@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import curve_shards, licenses, mixing, packing, quality, sequences, substrings, topk
+from sluicegate.llm import curve_shards, jaccard, licenses, mixing, packing, quality, sequences, substrings, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,6 +134,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op9_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingles and its component of links at a similarity of 0.85 on four words."""
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence of 1024 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -147,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_fair_queue_mix": op8_fair_queue_mix,
+    "op9_jaccard_components": op9_jaccard_components,
     "op10_packed_sequences": op10_packed_sequences,
 }
 
