@@ -163,5 +163,7 @@ def keep_documents(docs: DataFrame, version: int = CURRENT) -> DataFrame:
     place = {c.lower(): i for i, c in enumerate(docs.columns)}
     row = F.struct(*(F.col(inner[i]).alias(f"c{i}") for i in range(len(inner))))
     ledger = rule_ledger(carried.select(row.alias("doc_id"), F.col(inner[place["text"]]).alias("text")))
-    kept = apply_policy(ledger, version).where("kept")
+    judged = apply_policy(ledger, version)
+    # Above a generator the filter is not pushed down, where it would evaluate the rules again.
+    kept = judged.select("doc_id", F.explode(F.array(F.struct("kept"))).alias("verdict")).where("verdict.kept")
     return kept.select(*(F.col(f"doc_id.c{i}").alias(c) for i, c in enumerate(docs.columns)))
