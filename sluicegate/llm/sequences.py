@@ -61,7 +61,9 @@ def feistel(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
 
 
 def cut_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = tokens.VOCABULARY) -> DataFrame:
-    """doc_id, part (of its document), n_tokens and ids: ``length`` little-endian 32-bit numbers."""
+    """doc_id, part (of its document), n_tokens and ids: ``length`` numbers of ``tokens.id_type``."""
+    kind = tokens.id_type(vocabulary)
+    stride = np.dtype(kind).itemsize * length
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -71,12 +73,12 @@ def cut_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = token
                 parts = -(-n // length)
                 row = np.repeat(np.arange(len(n)), parts)
                 part = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
-                wide = np.zeros(len(row) * length, "<u4")
+                wide = np.zeros(len(row) * length, kind)
                 first = (np.cumsum(parts) - parts) * length
                 wide[np.arange(len(flat)) + np.repeat(first - before[:-1], n - 1)] = flat
                 wide[first + n - 1] = tokens.END
                 ids = pa.FixedSizeBinaryArray.from_buffers(
-                    pa.binary(4 * length), len(row), [None, pa.py_buffer(wide)]
+                    pa.binary(stride), len(row), [None, pa.py_buffer(wide)]
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -132,9 +134,10 @@ def training_order(
     """
     cut = cut_sequences(docs, length, vocabulary).withColumn("_at", F.monotonically_increasing_id())
     placed = assign_slots(staged(cut, "sequences"), key)
+    stride = np.dtype(tokens.id_type(vocabulary)).itemsize * length
     return (
         placed.withColumn("shard", F.expr(f"slot div {per_shard}").cast("int"))
-        .withColumn("offset", F.col("slot") % per_shard * (4 * length))
+        .withColumn("offset", F.col("slot") % per_shard * stride)
         .repartitionByRange("slot")
         .sortWithinPartitions("slot")
     )

@@ -37,3 +37,8 @@ def encode(texts: pa.Array, vocabulary: str = VOCABULARY) -> tuple[np.ndarray, n
     found = [np.array(ordinary(t.as_py() or ""), np.uint32) for t in texts]
     before = np.cumsum([0, *map(len, found)])
     return np.concatenate([np.zeros(0, np.uint32), *found]), before
+
+
+def id_type(vocabulary: str = VOCABULARY) -> str:
+    """The narrowest little-endian type that holds every id."""
+    return "<u2" if encoder(vocabulary).max_token_value < 1 << 16 else "<u4"
