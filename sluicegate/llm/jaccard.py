@@ -212,41 +212,29 @@ def probes(shared: DataFrame, percent: int) -> DataFrame:
 
 
 def chunk_pairs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes with their label and chunk, pairs of chunks that hold a candidate pair).
+    """(nodes with their chunk, pairs of chunks (a, b) with the nodes to compare in each).
 
-    A node's label is the least node it meets; the nodes of a label are dealt to as many chunks
-    as their names fill. Pairs of labels come from the names they meet at.
+    A node's label is the least node that it or what it meets has met; the nodes of a label are
+    dealt to as many chunks as their names fill. Every node is compared inside its chunk, and in
+    a pair of chunks if it meets a node of the other chunk at a name that one of them asks for.
     """
     at = ["level", "name"]
     groups = found.groupBy(*at).agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c"), F.max("asks").alias("asked"))
     groups = groups.where("c > 1 AND asked").select(*at, "hub")
     meeting = staged(found.join(groups, at), "jaccard-meeting")
-    labels = meeting.groupBy("node").agg(F.min("hub").alias("label"), F.max("n").alias("n"))
-    chunks = labels.groupBy("label").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("chunks"))
-    nodes = staged(
-        labels.join(chunks, "label").select(
-            "node", "label", "chunks", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk")
-        ),
-        "jaccard-nodes",
-    )
-    by_label = (
-        meeting.join(nodes.select("node", "label", "chunks"), "node")
-        .groupBy(*at, "label", "chunks")
-        .agg(F.max("asks").alias("asks"), F.count(F.lit(1)).alias("c"))
-    )
-    left = by_label.select(*at, F.col("label").alias("a"), F.col("chunks").alias("na"), F.col("asks").alias("asks_a"), "c")
-    right = by_label.select(*at, F.col("label").alias("b"), F.col("chunks").alias("nb"), F.col("asks").alias("asks_b"))
-    pairs = (
-        left.join(right, at)
-        .where("a < b AND (asks_a OR asks_b) OR a = b AND c > 1 AND asks_a")
-        .select("a", "na", "b", "nb")
-        .distinct()
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("na") - 1)))
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        .where("a < b OR i <= j")
-        .select("a", "i", "b", "j")
-    )
-    return nodes, pairs
+    near = meeting.groupBy("node").agg(F.min("hub").alias("near"))
+    hubs = meeting.select(*at, "node").join(near, "node").groupBy(*at).agg(F.min("near").alias("far"))
+    labels = meeting.select(*at, "node", "n").join(hubs, at).groupBy("node").agg(F.min("far").alias("label"), F.max("n").alias("n"))
+    chunks = labels.groupBy("label").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
+    chunk = F.xxhash64("label", F.pmod(F.xxhash64("node"), "chunks"))
+    nodes = staged(labels.join(chunks, "label").select("node", chunk.alias("chunk")), "jaccard-nodes")
+    placed = meeting.select(*at, "node", "asks").join(nodes, "node")
+    by_chunk = placed.groupBy(*at, "chunk").agg(F.max("asks").alias("asked"))
+    several = by_chunk.groupBy(*at).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*at)
+    others = by_chunk.join(several, at).withColumnRenamed("chunk", "other")
+    across = placed.join(others, at).where("chunk <> other AND (asks OR asked)")
+    pairs = across.select(F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "node").distinct()
+    return nodes, pairs.union(nodes.select("chunk", F.col("chunk"), "node"))
 
 
 def local_components(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -284,33 +272,28 @@ def overlaps(name: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
 def verify(docs: DataFrame, scanned: DataFrame, classes: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int,
            percent: int, lower: bool) -> DataFrame:
     """node, root, links: links of each node inside each pair of chunks, and its component there."""
-    chosen = nodes.join(classes, "node").select(F.col("first").alias("id"), "node", "label", "chunk", "size")
+    chosen = nodes.join(classes, "node").select(F.col("first").alias("id"), "node", "chunk", "size")
     texts = _keyed(docs).select("id", "text").join(chosen, "id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, name, bounds in _batches(batches, words, lower):
             own = set_signatures(name, bounds).view(np.int64) == batch.column("node").to_numpy()
             packed = [name[a:b].tobytes() for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]
-            kept = [batch.column(c) for c in ("node", "label", "chunk", "size")]
-            made = pa.RecordBatch.from_arrays([*kept, pa.array(packed, pa.binary())], ["node", "label", "chunk", "size", "names"])
+            kept = [batch.column(c) for c in ("node", "chunk", "size")]
+            made = pa.RecordBatch.from_arrays([*kept, pa.array(packed, pa.binary())], ["node", "chunk", "size", "names"])
             yield made.filter(pa.array(own))
 
-    schema = "node long, label long, chunk int, size long, names binary"
-    members = arrow_map(texts, sets, schema)
-    key = F.struct("a", "i", "b", "j")
-    sides = pairs.select(F.col("a").alias("label"), F.col("i").alias("chunk"), F.lit(0).alias("side"), key.alias("pair")).union(
-        pairs.where("a < b OR i < j").select("b", "j", F.lit(1), key)
-    )
+    members = arrow_map(texts, sets, "node long, chunk long, size long, names binary")
 
     def compare(table: pa.Table) -> pa.Table:
         node, which = np.unique(table.column("node").to_numpy(), return_index=True)
         names = table.column("names").take(pa.array(which)).to_pylist()
         size = table.column("size").to_numpy()[which]
-        side = table.column("side").to_numpy()[which]
+        side = table.column("chunk").to_numpy()[which]
         n = np.array([len(x) // 8 for x in names], np.int64)
         both = overlaps(np.frombuffer(b"".join(names), np.uint64), np.repeat(np.arange(len(n)), n), len(n))
         linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
-        if len(np.unique(side)) > 1:
+        if table.column("a")[0] != table.column("b")[0]:
             linked &= side[:, None] != side[None, :]  # pairs inside a chunk are another pair's
         np.fill_diagonal(linked, False)
         links = linked @ size
@@ -318,10 +301,7 @@ def verify(docs: DataFrame, scanned: DataFrame, classes: DataFrame, nodes: DataF
         keep = links > 0
         return pa.table([pa.array(x[keep], pa.int64()) for x in (node, root, links)], ["node", "root", "links"])
 
-    grouped = members.join(sides, ["label", "chunk"]).select(
-        "pair.a", "pair.i", "pair.b", "pair.j", "node", "size", "side", "names"
-    )
-    return arrow_groups(grouped, ["a", "i", "b", "j"], compare, "node long, root long, links long")
+    return arrow_groups(members.join(pairs, "node"), ["a", "b"], compare, "node long, root long, links long")
 
 
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
