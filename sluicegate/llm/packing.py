@@ -28,7 +28,7 @@ from sluicegate.llm.staging import arrow_groups, arrow_map
 
 LENGTH = 1024
 GROUP_SIZE = 2048
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 

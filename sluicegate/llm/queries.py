@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import curve_shards, jaccard, licenses, mixing, packing, quality, sequences, substrings, topk
+from sluicegate.llm import curve_shards, jaccard, licenses, lm, mixing, packing, quality, sequences, substrings, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ FROM d LEFT JOIN k USING (doc_id)
 """
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log-probability of every document under the recurrent model and under word counts."""
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's measurements, its base rules and the current policy's verdict."""
     ledger = quality.apply_policy(quality.rule_ledger(_table(spark, sf_dir, "documents")))
@@ -146,6 +151,7 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_language_model": op2_language_model,
     "op3_quality_rules": op3_quality_rules,
     "op4_training_order": op4_training_order,
     "op5_hilbert_shards": op5_hilbert_shards,
