@@ -3,8 +3,9 @@
 Every source is a flow. Its documents are put in a random, repeatable order, up to three rounds
 of them after another, and each copy gets a virtual finish time: the tokens of its source up to
 and with it, divided by the source's target. All flows are merged in order of finish time and
-the merged list is cut at the total budget, so that at any point of it the sources stand in the
-proportion of their targets.
+the merged list is cut at the total budget, which all sources reach at time 1, so that at any
+point of it the sources stand in the proportion of their targets. A copy that would end after
+time 1 is left out, so a source falls short of its target by less than one document.
 
 Defined results: a null text has size 0; a null source is a source of its own, the last one;
 documents of size 0 take no part in the queue and get ``taken`` 0; repeated rows with one id are
@@ -101,6 +102,7 @@ def queue(sized: DataFrame, goals: DataFrame, seed: int = 0, rounds: int = ROUND
     return (
         joined.withColumn("round", F.explode(F.array(*(F.lit(i) for i in range(rounds)))))
         .select("doc_id", "row", "source", "size", "round", "place", (passed / F.col("target")).alias("finish"))
+        .where("finish <= 1")
     )
 
 
@@ -110,12 +112,12 @@ def schedule(queued: DataFrame, budget: float) -> DataFrame:
     Slices of finish time are summed first; only the words before a slice cross from one
     slice to another.
     """
-    at = F.floor(F.least(F.col("finish"), F.lit(4.0)) * TIME_SLICES).cast("int")
+    at = F.floor(F.col("finish") * TIME_SLICES).cast("int")
     sliced = queued.withColumn("slice", at)
     per_slice = sliced.groupBy("slice").agg(F.sum("size").alias("slice_size"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_slice.select("slice", F.coalesce(F.sum("slice_size").over(before), F.lit(0)).alias("start"))
-    # At most 4 * TIME_SLICES + 1 rows.
+    # At most TIME_SLICES + 1 rows.
     starts = F.broadcast(starts.where(F.col("start") < budget))
     order = Window.partitionBy("slice").orderBy("finish", F.col("source").asc_nulls_last(), "round", "place", "row")
     upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("start")
