@@ -7,8 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check_queries import _rows
-
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from workload.oracle import ORACLE_SQL as ORACLE
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
