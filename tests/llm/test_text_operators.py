@@ -414,7 +414,7 @@ def test_jaccard_components(docs, rows, monkeypatch, words, percent, chunk):
 
 def test_keep_one(docs, rows):
     kept = jaccard.keep_one(docs)
-    want = Counter(r[2] for r in {(r[0], r[2]) for r in brute_components(rows, 5, 80) if r[1] and r[0] == r[2]})
+    want = Counter(r[1] for r in {(r[0], r[2]) for r in brute_components(rows, 5, 80) if r[1] and r[0] == r[2]})
     got = Counter(r.doc_id for r in kept.collect() if words_of(r.text))
     assert kept.columns == docs.columns and got == want
 
