@@ -111,19 +111,22 @@ def classify(
 def mark_duplicate_keys(classified: DataFrame, key: Sequence[str], position: str) -> DataFrame:
     """Mark every good row but the first of its key as ``duplicate_key``.
 
-    ``position`` is a unique, stable row order. The first position of a repeated key comes
+    Keys are compared as they load, by their converted values; a row with a missing key
+    repeats nothing. ``position`` is a unique, stable row order. The first position of a repeated key comes
     from one map-side aggregate; rows then meet at most one such key, so no pairs form, and
     a hot key can be split over tasks by adaptive skew handling.
     """
-    good = F.col("error_type").isNull()
+    typed = [F.col(f"`{TYPED}{c}`" if TYPED + c in classified.columns else f"`{c}`") for c in key]
+    names = [f"_key_{i}" for i in range(len(key))]
+    rows = classified.withColumns(dict(zip(names, typed, strict=True)))
     first = (
-        classified.where(good)
-        .groupBy(*key)
+        rows.where(F.col("error_type").isNull())
+        .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("_copies"), F.min(position).alias("_first"))
         .where(F.col("_copies") > 1)
         .drop("_copies")
     )
-    joined = classified.join(first, list(key), "left")
+    joined = rows.join(first, names, "left")
     later = F.col("error_type").isNull() & (F.col(position) > F.col("_first"))
     return (
         joined.withColumn(
@@ -151,32 +154,17 @@ def loaded_and_rejected(classified: DataFrame, columns: Sequence[str]) -> DataFr
     )
 
 
-def quarantine_rows(
-    classified: DataFrame, columns: Sequence[str], max_rows_per_file: int | None = None
-) -> DataFrame:
-    """The rows with an error, as text, with type, message, time and file.
-
-    ``max_rows_per_file`` is the declared cap on *kept* rows; it is off unless asked for.
-    """
+def quarantine_rows(classified: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows with an error, as text, with type, message, time and file."""
     bad = classified.where(F.col("error_type").isNotNull())
     file = F.col(SOURCE_FILE) if SOURCE_FILE in classified.columns else F.lit(None).cast("string")
-    kept = bad.select(
+    return bad.select(
         *[F.col(f"`{c}`") for c in columns],
         "error_type",
         "error_message",
         F.current_timestamp().alias("error_timestamp"),
         file.alias(SOURCE_FILE),
     )
-    if max_rows_per_file is None:
-        return kept
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(SOURCE_FILE).orderBy("error_type", "error_message", *columns)
-    return (
-        kept.withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= max_rows_per_file)
-        .drop("_n")
-    )
 
 
 def error_stats(classified: DataFrame) -> DataFrame:

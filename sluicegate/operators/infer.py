@@ -8,6 +8,7 @@ converts to it, so no value is lost to a sample that missed it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,10 +29,41 @@ SPARK_TYPES = {
     "DATETIME": "timestamp_ntz",
     "TIME": "time",
 }
+# Further SQL types that an override may name; DECIMAL, CHAR and VARCHAR take their numbers.
+OVERRIDE_TYPES = SPARK_TYPES | {
+    "TINYINT": "tinyint",
+    "SMALLINT": "smallint",
+    "INTEGER": "int",
+    "FLOAT": "float",
+    "TIMESTAMP": "timestamp_ntz",
+    "TEXT": "string",
+    "LONGTEXT": "string",
+    "STRING": "string",
+}
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 UINT64_MAX = str(2**64 - 1)
 
 
+def spark_type_of(sql_type: str) -> str:
+    """The Spark type of a SQL type given by name, in any case; unknown types raise."""
+    name = " ".join(sql_type.upper().split())
+    if re.fullmatch(r"(VAR)?CHAR ?\(\d+\)", name):
+        return "string"
+    number = re.fullmatch(r"(?:DECIMAL|NUMERIC)(?: ?\( ?(\d+) ?(?:, ?(\d+) ?)?\))?", name)
+    if number:
+        precision, scale = int(number[1] or 10), int(number[2] or 0)
+        if scale <= precision <= 38 and precision:
+            return f"decimal({precision},{scale})"
+    if name not in OVERRIDE_TYPES:
+        raise ValueError(f"unknown type {sql_type!r}")
+    return OVERRIDE_TYPES[name]
+
+
+def _lookup(entries: Mapping[str, str], key: Column) -> Column:
+    pairs = F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+    return F.try_element_at(pairs, key)
+
+
 def _cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     entries = [
         F.struct(
@@ -132,8 +164,7 @@ def _semantic_type() -> Column:
 
 
 def _spark_type(sql_type: Column) -> Column:
-    lookup = F.create_map(*[F.lit(x) for pair in SPARK_TYPES.items() for x in pair])
-    return F.coalesce(F.try_element_at(lookup, sql_type), F.lit("string"))
+    return F.coalesce(_lookup(SPARK_TYPES, sql_type), F.lit("string"))
 
 
 def infer_column_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -216,14 +247,20 @@ def schema_report(
 ) -> DataFrame:
     """The inferred schema as rows: position, name, types, nullability, longest value.
 
-    ``overrides`` fixes the SQL type of named columns. ``key`` marks the key column; when
+    ``overrides`` fixes the SQL type of named columns; types and columns that do not exist
+    raise. ``key`` marks the key column; when
     no such column exists a leading ``id`` row stands for the surrogate key.
     """
     columns = list(columns) if columns is not None else df.columns
     sql_type = _sql_type()
+    spark_type = _spark_type(F.col("sql_type"))
     if overrides:
-        fixed = F.create_map(*[F.lit(x) for pair in overrides.items() for x in pair])
-        sql_type = F.coalesce(F.try_element_at(fixed, F.col("column_name")), sql_type)
+        unknown = sorted(set(overrides) - set(columns))
+        if unknown:
+            raise ValueError(f"no column {', '.join(unknown)} to override")
+        fixed = {c: spark_type_of(t) for c, t in overrides.items()}
+        sql_type = F.coalesce(_lookup({c: t.upper() for c, t in overrides.items()}, F.col("column_name")), sql_type)
+        spark_type = F.coalesce(_lookup(fixed, F.col("column_name")), spark_type)
     has_day_first = F.greatest("dates_day_first", "stamps_day_first")
     has_month_first = F.greatest("dates_month_first", "stamps_month_first")
     is_key = F.col("column_name").eqNullSafe(F.lit(key))
@@ -231,7 +268,7 @@ def schema_report(
         "position",
         "column_name",
         "sql_type",
-        _spark_type(F.col("sql_type")).alias("spark_type"),
+        spark_type.alias("spark_type"),
         ((F.col("present") < F.col("row_count")) & ~is_key).alias("nullable"),
         _semantic_type().alias("semantic_type"),
         "max_length",

@@ -20,7 +20,10 @@ OUTCOMES = ["same", "changed", "only_source", "only_target"]
 def _shared(source: DataFrame, target: DataFrame, columns: Sequence[str] | None) -> list[str]:
     if columns is not None:
         return list(columns)
-    return [c for c in source.columns if c in target.columns]
+    apart = set(source.columns) ^ set(target.columns)
+    if apart:
+        raise ValueError(f"only one side has {', '.join(sorted(apart))}; say which columns to compare")
+    return list(source.columns)
 
 
 def key_outcomes(

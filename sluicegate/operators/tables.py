@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,20 +18,56 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above the
 def write_table(
     df: DataFrame, table: str, if_exists: str = "fail", path: str | None = None
 ) -> None:
-    """Write to a catalog table in one atomic job.
+    """Write to a catalog table.
 
-    ``fail`` raises when the table exists and leaves it alone, ``replace`` replaces it,
-    ``append`` adds rows by column name.
+    ``fail`` raises when the table exists and leaves it alone. ``append`` adds rows by column
+    name; a column the table does not have raises, one that only the table has is NULL.
+    ``replace`` writes a table beside the old one and swaps them when it is complete, so a
+    write that fails leaves the old table as it was; with a ``path`` it needs another path
+    than the old table's.
     """
     if if_exists not in _MODES:
         raise ValueError("if_exists must be 'fail', 'replace' or 'append'")
     spark = df.sparkSession
-    if if_exists == "append" and spark.catalog.tableExists(table):
-        df = df.select(*[F.col(f"`{c}`") for c in spark.table(table).columns])
+    exists = spark.catalog.tableExists(table)
+    if if_exists == "append" and exists:
+        df = _in_table_order(df, spark.table(table))
+    target = table
+    if if_exists == "replace" and exists:
+        if path is not None and path.rstrip("/") == _location(spark, table):
+            raise ValueError(f"{path} holds the table that is to be replaced")
+        target = f"{table}_new_{uuid.uuid4().hex}"
     writer = df.write.format("parquet").mode(_MODES[if_exists])
     if path is not None:
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    try:
+        writer.saveAsTable(target)
+    except Exception:
+        if target != table:
+            spark.sql(f"DROP TABLE IF EXISTS {target}")
+        raise
+    if target != table:
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {target} RENAME TO {table}")
+
+
+def _in_table_order(df: DataFrame, old: DataFrame) -> DataFrame:
+    have = {c.lower(): c for c in df.columns}
+    extra = sorted(set(have) - {c.lower() for c in old.columns})
+    if extra:
+        raise ValueError(f"the table has no column {', '.join(have[c] for c in extra)}")
+    return df.select(
+        *[
+            F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in old.schema
+        ]
+    )
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    facts = json.loads(spark.sql(f"DESCRIBE EXTENDED {table} AS JSON").first()[0])
+    return facts.get("location", "").removeprefix("file:").rstrip("/")
 
 
 def next_id(spark: SparkSession, table: str, id_column: str = "id") -> int:

@@ -13,6 +13,7 @@ from sluicegate.operators.cast import (
     classify,
     good_rows,
     load_counts,
+    mark_duplicate_keys,
     quarantine_rows,
 )
 from sluicegate.operators.infer import SPARK_TYPES, schema_report
@@ -66,6 +67,8 @@ def load_delimited(
     id_order: Sequence[str] = (),
     quarantine_path: str | None = None,
     quarantine_format: str = "json",
+    day_first: Mapping[str, bool] | None = None,
+    unique_key: Sequence[str] = (),
 ) -> DataFrame:
     """Scan, infer, type, write, and set bad rows aside; returns the load statistics.
 
@@ -75,7 +78,10 @@ def load_delimited(
     The range sort behind them reads its input more than once, so the parsed rows are first
     staged in columnar form. Without ids the bad rows are written in a second scan of the
     files, and only when there are any. With explicit ``types`` no inference pass runs.
-    ``overrides`` fixes the SQL type of some columns and infers the rest.
+    ``overrides`` fixes the SQL type of some columns and infers the rest. ``day_first`` tells
+    per column whether dates like 03/04/2024 begin with the day; it goes before what is
+    inferred, and columns without either are read day first. An id column that the files
+    already have loads as it is. Later rows of a ``unique_key`` are set aside.
     """
     if if_exists == "fail" and spark.catalog.tableExists(table):
         raise ValueError(f"table {table} already exists")
@@ -83,15 +89,22 @@ def load_delimited(
         found, names = detect_layout(spark, path)
         layout = layout or found
         columns = columns or names
+    if id_column in columns:
+        id_column = None
     by_file = id_column is not None and not id_order
     rows = scan_delimited(
-        spark, path, columns, layout, on_bad_lines, with_file=True, with_position=by_file
+        spark, path, columns, layout, on_bad_lines, with_file=True, with_position=by_file or bool(unique_key)
     )
-    day_first: dict[str, bool] = {}
+    orders: dict[str, bool] = {}
     if types is None:
-        types, day_first = infer_types(rows, columns, overrides)
+        types, orders = infer_types(rows, columns, overrides)
     types = {c: SPARK_TYPES.get(t.upper(), t) for c, t in types.items()}
-    classified = classify(rows, types, required, day_first)
+    classified = classify(rows, types, required, orders | dict(day_first or {}))
+    if unique_key:
+        # Places in the files are fixed before rows are compared by them.
+        place = F.struct(*FILE_ORDER)
+        fixed = stage_rows(classified, columns, keep=FILE_ORDER).withColumn("_place", place)
+        classified = mark_duplicate_keys(fixed, unique_key, "_place").drop("_place", "_is_bad")
     observed = Observation()
     counted = classified.observe(observed, *load_counts())
     if id_column is None:

@@ -6,6 +6,7 @@ step, so that one bad value costs a row and not a column.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.operators.cast import BAD_LINE, SOURCE_FILE
-from sluicegate.sources.lines import decode, file_heads, raw_lines
-from sluicegate.workspace import ensure_checkpoint_dir
+from sluicegate.sources.lines import decode, file_heads, line_encoding, raw_lines
+from sluicegate.workspace import staging_path
 
 _RAW = "_raw_line"
 # Together these give every row its place in the file set.
@@ -69,9 +70,13 @@ def _split(line: str, columns: Sequence[str], layout: Layout) -> Column:
 
 
 def _fields_in(line: Column, layout: Layout) -> Column:
-    """Number of fields of a line, separators inside quotes not counted."""
-    q = layout.quote
-    bare = F.regexp_replace(line, f"{q}[^{q}]*{q}", "")
+    """Number of fields of a line, separators inside quotes not counted.
+
+    As for the reader, a quote opens a quoted field only where the field begins; any other
+    quote is a letter.
+    """
+    q, sep = re.escape(layout.quote), re.escape(layout.sep)
+    bare = F.regexp_replace(line, f"(^|{sep})[ \\t]*{q}(?:[^{q}]|{q}{q})*+{q}", "$1")
     gone = F.replace(bare, F.lit(layout.sep), F.lit(""))
     return (F.length(bare) - F.length(gone)) / len(layout.sep) + 1
 
@@ -154,35 +159,41 @@ def scan_delimited(
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _after_header(lines: DataFrame, heads: DataFrame) -> DataFrame:
-    """Lines below the header line of their file.
+def _after_header(lines: DataFrame, header_row: int) -> DataFrame:
+    """Lines below the header line of their file; none of a file that does not reach it.
 
-    The positions, one small row per file, are kept in a checkpoint and measured. Within
-    the limit they are broadcast, so the lines are not shuffled; beyond it the join key is
-    (file, block start), which holds at most one block of one file, so a file with a third
-    of all lines is spread over its blocks.
+    ``lines`` is a staged table: positions are only compared within one reading of the files,
+    because another reading may deal the files to tasks otherwise. The headers, one small row
+    per file, are measured and broadcast within the limit, so the lines are not shuffled.
     """
-    ensure_checkpoint_dir(lines.sparkSession)
-    header = heads.select("file", "block_start", F.col("pos").alias("_header_pos")).checkpoint()
+    heads = file_heads(lines, header_row + 1).where(F.col("line_no") == header_row + 1)
+    header = heads.select("file", F.col("pos").alias("_header_pos"))
     row_bytes = F.octet_length("file").cast("bigint") + 64
     size = header.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
         header = F.broadcast(header)
-    return lines.join(header, ["file", "block_start"], "left").where(
-        F.col("_header_pos").isNull() | (F.col("pos") > F.col("_header_pos"))
+    return lines.join(header, "file").where(
+        (F.col("block_start") > 0) | (F.col("pos") > F.col("_header_pos"))
     )
 
 
+def _staged_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The numbered lines of a file set, written once to the shared folder."""
+    lines = raw_lines(spark, path).withColumn("value", F.col("value").cast("binary"))
+    place = staging_path(spark, "lines")
+    lines.write.parquet(place)
+    return spark.read.schema(lines.schema).parquet(place).withColumn("value", F.col("value").cast("string"))
+
+
 def _scan_by_line(
     spark: SparkSession, path: str | list[str], columns: Sequence[str], layout: Layout
 ) -> DataFrame:
-    lines = raw_lines(spark, path)
-    if layout.header:
-        heads = file_heads(lines, layout.header_row + 1).where(
-            F.col("line_no") == layout.header_row + 1
-        )
-        lines = _after_header(lines, heads)
-    text = decode(F.col("value"), F.lit(layout.encoding))
+    if layout.multiline:
+        raise ValueError("multiline files cannot be read below a header row or with blank lines kept")
+    encoding = line_encoding(layout.encoding)
+    below = layout.header and layout.header_row >= 0
+    lines = _after_header(_staged_lines(spark, path), layout.header_row) if below else raw_lines(spark, path)
+    text = decode(F.col("value"), F.lit(encoding))
     lines = lines.select("file", "block_start", "pos", text.alias("line"))
     if layout.skip_blank_lines:
         lines = lines.where(F.trim("line") != "")
@@ -201,7 +212,7 @@ def header_names(
     from sluicegate.sources.dialect import split_line
 
     heads = file_heads(raw_lines(spark, path), layout.header_row + 1)
-    line = decode(F.col("value"), F.lit(layout.encoding))
+    line = decode(F.col("value"), F.lit(line_encoding(layout.encoding)))
     return heads.where(F.col("line_no") == layout.header_row + 1).select(
         "file", split_line(line, F.lit(layout.sep)).alias("column_names")
     )

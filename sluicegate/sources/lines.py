@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,28 @@ def file_heads(lines: DataFrame, count: int) -> DataFrame:
     )
 
 
+_LINE_ENCODINGS = {
+    "utf-8": "UTF-8",
+    "utf-8-sig": "UTF-8",
+    "ascii": "UTF-8",
+    "iso8859-1": "ISO-8859-1",
+    "utf-16": "UTF-16",
+    "utf-16-le": "UTF-16LE",
+    "utf-16-be": "UTF-16BE",
+}
+
+
+def line_encoding(name: str) -> str:
+    """The name under which :func:`decode` knows an encoding, any alias allowed; others raise."""
+    try:
+        known = _LINE_ENCODINGS.get(codecs.lookup(name).name)
+    except LookupError:
+        known = None
+    if known is None:
+        raise ValueError(f"lines in {name} cannot be read one by one")
+    return known
+
+
 def decode(value: Column, encoding: Column) -> Column:
     """The bytes of one line as text.
 

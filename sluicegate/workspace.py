@@ -20,7 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluicegate-"))
     return spark.sparkContext.getCheckpointDir()

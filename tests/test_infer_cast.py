@@ -179,13 +179,23 @@ def test_duplicate_keys(messy):
     assert sorted(r.amount for r in later) == ["2.5", "3"]
 
 
-def test_declared_cap_is_per_file(spark, messy):
-    two = messy.withColumn(cast.SOURCE_FILE, F.lit("a")).unionAll(
-        messy.withColumn(cast.SOURCE_FILE, F.lit("b"))
-    )
-    classified = cast.classify(two, TYPES)
-    assert cast.quarantine_rows(classified, list(TYPES)).count() == 6
-    assert cast.quarantine_rows(classified, list(TYPES), max_rows_per_file=2).count() == 4
+def test_unique_keys_are_compared_as_they_load(spark):
+    rows = spark.createDataFrame([("1", 0), ("01", 1), ("2", 2), (None, 3), (None, 4)], "id string, row_no long")
+    classified = cast.classify(rows, {"id": "bigint"})
+    marked = cast.mark_duplicate_keys(classified, ["id"], "row_no")
+    assert marked.columns == classified.columns
+    assert [r.row_no for r in marked.where("error_type IS NOT NULL").collect()] == [1]
+
+
+def test_override_types(spark):
+    df = spark.createDataFrame([("1", "2", "3", "4", "x")], "a string, b string, c string, d string, e string")
+    given = {"a": "decimal(12, 2)", "b": "SMALLINT", "c": "double", "d": "bigint", "e": "varchar(30)"}
+    found = {r.column_name: r.spark_type for r in infer.schema_report(df, overrides=given).collect()}
+    assert found == {"a": "decimal(12,2)", "b": "smallint", "c": "double", "d": "bigint", "e": "string"}
+    with pytest.raises(ValueError, match="unknown type"):
+        infer.schema_report(df, overrides={"a": "MONEY"})
+    with pytest.raises(ValueError, match="no column"):
+        infer.schema_report(df, overrides={"z": "INT"})
 
 
 def test_load_stats(spark, messy):

@@ -131,3 +131,34 @@ def test_sample_is_a_top_k(spark, plan):
     sample = sample_rows(spark.range(1000), ["id"], 5)
     assert [r.id for r in sample.collect()] == [0, 1, 2, 3, 4]
     assert "TakeOrderedAndProject" in plan(sample)
+
+
+@pytest.mark.parametrize("parallelism", ["1", "4", "64"])
+def test_header_rows_do_not_depend_on_parallelism(spark, tmp_path, parallelism):
+    for i in range(40):
+        (tmp_path / f"{i}.csv").write_text(f"# note\nk,v\n{i},x{i}\n")
+    (tmp_path / "short.csv").write_text("# note\n")
+    frame = scan_delimited(spark, str(tmp_path), ["k", "v"], Layout(header_row=1))
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", parallelism)
+    try:
+        assert sorted(int(r.k) for r in frame.collect()) == list(range(40))
+        again = scan_delimited(spark, str(tmp_path), ["k", "v"], Layout(header_row=1))
+        assert sorted(int(r.k) for r in again.collect()) == list(range(40))
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+def test_a_quote_inside_a_field_is_a_letter(spark, write):
+    path = write("pipes.csv", 'a;b;c\n1;5" pipe;x\n1;5" pipe;x;3" bolt\n2;"a;b";y\n3;"a "";"" b";z\n')
+    found = scan_delimited(spark, path, ["a", "b", "c"], Layout(sep=";")).collect()
+    assert [r._bad_line is not None for r in found] == [False, True, False, False]
+
+
+def test_what_lines_cannot_hold_is_refused(spark, write):
+    path = write("refused.csv", "x\na,b\n1,2\n")
+    with pytest.raises(ValueError, match="multiline"):
+        scan_delimited(spark, path, ["a", "b"], Layout(header_row=1, multiline=True))
+    with pytest.raises(ValueError, match="windows-1252"):
+        scan_delimited(spark, path, ["a", "b"], Layout(header_row=1, encoding="windows-1252"))
+    latin = scan_delimited(spark, path, ["a", "b"], Layout(header_row=1, encoding="latin1")).collect()
+    assert [(r.a, r.b) for r in latin] == [("1", "2")]

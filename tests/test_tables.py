@@ -178,3 +178,66 @@ def test_shared_folder_of_a_session_without_one():
         workspace.shared_folder(_Session("spark://cluster:7077"))
     local = _Session("local[2]")
     assert workspace.shared_folder(local) == workspace.shared_folder(local) == local.folder
+
+
+@pytest.fixture
+def database(spark):
+    spark.sql("CREATE DATABASE made_by_test_db")
+    yield "made_by_test_db"
+    spark.sql("DROP DATABASE made_by_test_db CASCADE")
+
+
+def test_append_refuses_unknown_columns(spark, database):
+    name = f"{database}.grown"
+    tables.write_table(spark.createDataFrame([(1, "a")], "k int, v string"), name)
+    with pytest.raises(ValueError, match="no column extra"):
+        tables.write_table(spark.createDataFrame([(2, "b", "lost")], "k int, v string, extra string"), name, "append")
+    tables.write_table(spark.createDataFrame([(3,)], "K int"), name, "append")
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a"), (3, None)]
+
+
+def test_failed_replace_keeps_the_table(spark, database):
+    name = f"{database}.kept"
+    tables.write_table(spark.range(3), name)
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_table(broken, name, "replace")
+    assert spark.table(name).count() == 3
+    tables.write_table(spark.table(name).where("id > 0"), name, "replace")
+    assert spark.table(name).count() == 2
+    assert [t.name for t in spark.catalog.listTables(database) if "kept" in t.name] == ["kept"]
+
+
+def test_load_with_an_id_column_of_its_own(spark, write, database):
+    path = write("own/a.csv", "id,name\n7,x\n9,y\n")
+    load_delimited(spark, path, f"{database}.own", ["id", "name"], id_column="id")
+    assert sorted(map(tuple, spark.table(f"{database}.own").collect())) == [(7, "x"), (9, "y")]
+
+
+def test_load_month_first_and_unique(spark, write, database):
+    path = write("dates/a.csv", "k,d\n1,03/04/2024\n01,12/31/2024\n2,12/31/2024\n")
+    stats = load_delimited(
+        spark, path, f"{database}.dates", ["k", "d"], types={"k": "bigint", "d": "date"},
+        day_first={"d": False}, unique_key=["k"],
+    ).first()
+    assert (stats.successful_rows, stats.failed_rows) == (2, 1)
+    assert sorted((r.k, str(r.d)) for r in spark.table(f"{database}.dates").collect()) == [(1, "2024-03-04"), (2, "2024-12-31")]
+
+
+def test_stream_month_first_layout_and_nothing_loaded(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    types = {"k": "int", "d": "date"}
+
+    def run(**more):
+        ingest_incremental(spark, str(source), target, str(tmp_path / "state"), types, **more).awaitTermination()
+
+    run()
+    assert loaded_rows(spark, target, types).count() == 0
+    (source / "a.csv").write_text("k,d\n1,12/31/2024\nx,01/01/2024\n2,03/04/2024,more\n")
+    run(day_first={"d": False})
+    assert [(r.k, str(r.d)) for r in loaded_rows(spark, target, types).collect()] == [(1, "2024-12-31")]
+    errors = sorted(r.error_type for r in rejected_rows(spark, target, types).collect())
+    assert errors == ["cast_error", "malformed_row"]
+    with pytest.raises(ValueError, match="header on top"):
+        run(layout=Layout(header_row=1))

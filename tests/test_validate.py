@@ -141,3 +141,9 @@ def test_validate_table(spark, source, tmp_path):
 def test_validate_missing_table(spark):
     report = validate_table(spark, "no_such_table").collect()
     assert [(r.test, r.status) for r in report] == [("table_exists", "Failed"), ("overall", "Failed")]
+
+
+def test_reconcile_does_not_hide_lost_columns(source):
+    with pytest.raises(ValueError, match="only one side has x"):
+        reconcile.reconcile_multiset(source, source.drop("x"))
+    assert rows(reconcile.reconcile_multiset(source, source.drop("x"), ["k", "s"])) == []

@@ -404,7 +404,7 @@ SELECT CAST(position AS BIGINT) AS position, column_name, sql_type, {SPARK_TYPE}
 s AS (SELECT name, regexp_replace(regexp_replace(name, '[^\p{L}\p{N}_]', '_', 'g'), '_+', '_', 'g') AS w FROM names)
 SELECT name, CASE WHEN regexp_matches(w, '^\p{Nd}') THEN 'col_' || w ELSE w END AS sanitized FROM s""",
     "normalize_names": r"""WITH names AS (SELECT p_name AS name FROM part
-  UNION SELECT CASE WHEN turn > 0 THEN text END FROM conversations),
+  UNION SELECT text FROM conversations UNION ALL SELECT NULL),
 s AS (SELECT name, regexp_replace(regexp_replace(name, '[^\p{L}\p{N}_\s]', '_', 'g'), '\s+', '_', 'g') AS w FROM names)
 SELECT name, CASE WHEN name IS NULL THEN 'unnamed_column'
   WHEN w <> '' AND NOT regexp_matches(w, '^[a-zA-Z_]') THEN lower('col_' || w) ELSE lower(w) END AS normalized

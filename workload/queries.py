@@ -169,7 +169,10 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quarantine_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors by type with a unique order key and a required status."""
-    rows = X.parsed_orders(spark, sf_dir).withColumn("row_no", F.monotonically_increasing_id())
+    numbered = X.parsed_orders(spark, sf_dir).withColumn("row_no", F.monotonically_increasing_id())
+    place = staging_path(spark, "numbered")
+    numbered.write.parquet(place)  # the numbers are the same wherever they are read
+    rows = spark.read.schema(numbered.schema).parquet(place)
     classified = cast.classify(rows, PARSE_TYPES, required=["status"])
     marked = cast.mark_duplicate_keys(classified, ["order_id"], "row_no")
     return cast.error_stats(marked)
@@ -273,10 +276,9 @@ def sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
-    turns = table(spark, sf_dir, "conversations").select(
-        F.when(F.col("turn") > 0, F.col("text")).alias("name")
-    )
-    names = parts.unionAll(turns).distinct()
+    turns = table(spark, sf_dir, "conversations").select(F.col("text").alias("name"))
+    nothing = spark.range(1).select(F.lit(None).cast("string").alias("name"))
+    names = parts.unionAll(turns).distinct().unionAll(nothing)
     return names.select("name", N.normalize_name(F.col("name")).alias("normalized"))
 
 
