@@ -216,31 +216,41 @@ def probes(shared: DataFrame, percent: int) -> DataFrame:
 def chunk_pairs(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(nodes with their chunk, pairs of chunks (a, b) with the nodes to compare in each).
 
-    A node's label is the least node that it, or what it meets at a rare name, has met at one;
-    the nodes of a label are dealt to as many chunks as their names fill. Every node is compared
-    inside its chunk, and in a pair of chunks if enough names of its prefix stand in the other.
-    Names that stand in the same chunks are counted together before they meet those.
+    Nodes that meet at rare names, directly or through others, get one label; most labels are
+    families that fit in one chunk, inside which all are compared. The nodes of a larger label
+    are dealt to chunks by the least node they meet, so that close ones stay together (or by
+    themselves, where too many meet one); a node is compared with another chunk too if it
+    shares enough names of its prefix with it, a rare one among them. Names that stand in the
+    same chunks are counted together before they meet those.
     """
     at = ["level", "name"]
     groups = found.groupBy(*at).agg(
         F.min(F.when(F.col("rare"), F.col("node"))).alias("hub"),
         F.count(F.lit(1)).alias("c"),
+        F.count_if("rare").alias("rare_c"),
         F.max("asks").alias("asked"),
     )
-    groups = groups.where("c > 1 AND asked").select(*at, "hub")
+    groups = groups.where("c > 1 AND asked").select(*at, "hub", (F.col("rare_c") > 1).alias("meets"))
     meeting = staged(found.drop("asks").join(groups, at), "jaccard-meeting")
-    rare = meeting.where("rare").select(*at, "node", "n", "hub")
-    near = rare.groupBy("node").agg(F.min("hub").alias("near"))
-    hubs = rare.select(*at, "node").join(near, "node").groupBy(*at).agg(F.min("near").alias("far"))
-    labels = rare.join(hubs, at).groupBy("node").agg(F.min("far").alias("label"), F.max("n").alias("n"))
-    chunks = labels.groupBy("label").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
-    chunk = F.xxhash64("label", F.pmod(F.xxhash64("node"), "chunks"))
-    nodes = staged(labels.join(chunks, "label").select("node", "n", chunk.alias("chunk")), "jaccard-nodes")
-    placed = meeting.select(*at, "node").join(nodes, "node")
+    near = meeting.where("rare AND meets").groupBy("node").agg(F.min("hub").alias("near"), F.max("n").alias("n"))
+    near = staged(near, "jaccard-near")
+    edges = meeting.where("rare AND meets AND node <> hub").select("node", "hub").distinct()
+    label = connected(edges, "node", "hub").select("node", F.col("component").alias("label"))
+    known = staged(near.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "jaccard-labels")
+    chunks = known.groupBy("label").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
+    hubs = known.groupBy("near").agg(F.sum("n").alias("mass"))
+    dealt = F.when(F.col("mass") > CHUNK, F.col("node")).otherwise(F.col("near"))
+    chunk = F.xxhash64("label", F.pmod(F.xxhash64(dealt), "chunks"))
+    placed_nodes = known.join(chunks, "label").join(hubs, "near")
+    nodes = staged(placed_nodes.select("node", "n", chunk.alias("chunk"), (F.col("chunks") > 1).alias("cut")), "jaccard-nodes")
+    # Only nodes of labels with several chunks can meet another chunk at a rare name.
+    placed = meeting.select(*at, "node", "rare").join(nodes.where("cut").drop("cut"), "node")
     by_chunk = placed.select(*at, "chunk").distinct()
     mark = F.xxhash64("level", F.bit_xor(F.xxhash64("chunk")), F.count(F.lit(1)))
     marks = by_chunk.groupBy(*at).agg(mark.alias("mark"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    own = placed.join(marks, at).groupBy("mark", "level", "node", "n", "chunk").agg(F.count(F.lit(1)).alias("k"))
+    own = placed.join(marks, at).groupBy("mark", "level", "node", "n", "chunk").agg(
+        F.count(F.lit(1)).alias("k"), F.max("rare").alias("rare")
+    )
     other = by_chunk.join(marks, at).select("mark", F.col("chunk").alias("other")).distinct()
     growth = F.element_at(F.array(*(F.lit(g) for g in GROWTH)), (F.col("level") + 1).cast("int"))
     least = 1 + F.floor(growth * F.ceil(F.col("n") * percent / 100))
@@ -248,8 +258,8 @@ def chunk_pairs(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         own.join(other, "mark")
         .where("chunk <> other")
         .groupBy("level", "node", "n", "chunk", "other")
-        .agg(F.sum("k").alias("k"))
-        .where(F.col("k") >= least)
+        .agg(F.sum("k").alias("k"), F.max("rare").alias("rare"))
+        .where((F.col("k") >= least) & F.col("rare"))
     )
     sides = across.select(
         F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "node"
