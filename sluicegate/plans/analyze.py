@@ -20,7 +20,7 @@ def layouts(dialects: DataFrame) -> DataFrame:
     )
 
 
-def _distinct(names: list[str]) -> list[str]:
+def distinct_names(names: list[str]) -> list[str]:
     """Names told apart by a number when two became the same."""
     seen: dict[str, int] = {}
     out = []
@@ -52,7 +52,7 @@ def detect_layout(spark: SparkSession, path: str | list[str]) -> tuple[Layout, l
         )
     row = found[0]
     layout = Layout(sep=row.delimiter, encoding=row.encoding, header=row.has_header)
-    return layout, _distinct([name or UNNAMED for name in row.column_names])
+    return layout, distinct_names([name or UNNAMED for name in row.column_names])
 
 
 def analyze_files(

@@ -19,6 +19,7 @@ from sluicegate.operators.cast import (
 from sluicegate.operators.infer import SPARK_TYPES, schema_report
 from sluicegate.operators.tables import add_surrogate_id, next_id, write_table
 from sluicegate.plans.analyze import detect_layout
+from sluicegate.plans.mixed import data_columns, scan_mixed
 from sluicegate.sources.delimited import FILE_ORDER, Layout, scan_delimited
 from sluicegate.workspace import staging_path
 
@@ -69,6 +70,7 @@ def load_delimited(
     quarantine_format: str = "json",
     day_first: Mapping[str, bool] | None = None,
     unique_key: Sequence[str] = (),
+    mixed: bool = False,
 ) -> DataFrame:
     """Scan, infer, type, write, and set bad rows aside; returns the load statistics.
 
@@ -80,21 +82,27 @@ def load_delimited(
     files, and only when there are any. With explicit ``types`` no inference pass runs.
     ``overrides`` fixes the SQL type of some columns and infers the rest. ``day_first`` tells
     per column whether dates like 03/04/2024 begin with the day; it goes before what is
-    inferred, and columns without either are read day first. An id column that the files
+    inferred, and columns without either are read day first. With ``mixed``, files may differ in
+    layout and columns (:func:`sluicegate.plans.mixed.scan_mixed`); ``columns`` then names the
+    columns of files without a header. An id column that the files
     already have loads as it is. Later rows of a ``unique_key`` are set aside.
     """
     if if_exists == "fail" and spark.catalog.tableExists(table):
         raise ValueError(f"table {table} already exists")
-    if layout is None or columns is None:
+    mixed_rows = scan_mixed(spark, path, columns or (), on_bad_lines) if mixed else None
+    if mixed_rows is not None:
+        columns = data_columns(mixed_rows)
+    elif layout is None or columns is None:
         found, names = detect_layout(spark, path)
         layout = layout or found
         columns = columns or names
     if id_column in columns:
         id_column = None
     by_file = id_column is not None and not id_order
-    rows = scan_delimited(
-        spark, path, columns, layout, on_bad_lines, with_file=True, with_position=by_file or bool(unique_key)
-    )
+    rows = mixed_rows
+    if rows is None:
+        placed = by_file or bool(unique_key)
+        rows = scan_delimited(spark, path, columns, layout, on_bad_lines, with_file=True, with_position=placed)
     orders: dict[str, bool] = {}
     if types is None:
         types, orders = infer_types(rows, columns, overrides)

@@ -177,7 +177,7 @@ def _after_header(lines: DataFrame, header_row: int) -> DataFrame:
     )
 
 
-def _staged_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The numbered lines of a file set, written once to the shared folder."""
     lines = raw_lines(spark, path).withColumn("value", F.col("value").cast("binary"))
     place = staging_path(spark, "lines")
@@ -192,7 +192,7 @@ def _scan_by_line(
         raise ValueError("multiline files cannot be read below a header row or with blank lines kept")
     encoding = line_encoding(layout.encoding)
     below = layout.header and layout.header_row >= 0
-    lines = _after_header(_staged_lines(spark, path), layout.header_row) if below else raw_lines(spark, path)
+    lines = _after_header(numbered_lines(spark, path), layout.header_row) if below else raw_lines(spark, path)
     text = decode(F.col("value"), F.lit(encoding))
     lines = lines.select("file", "block_start", "pos", text.alias("line"))
     if layout.skip_blank_lines:

@@ -117,9 +117,10 @@ def _occurrences(delimiter: str) -> Column:
 def _with_delimiter(heads: DataFrame) -> DataFrame:
     """Add the separator voted for by the first lines of each file.
 
-    A candidate found equally often on every line wins over one that is not, the first in
-    order of preference among several. Without one the most frequent candidate that fills
-    less than half of the text wins. Otherwise a comma. Quoted parts do not count.
+    A candidate found equally often on every line wins over one that is not; among equals
+    the more frequent, then the order of preference, but a colon only if it is alone. A
+    candidate that is not found equally often must fill less than half of the text. Otherwise
+    a comma. Quoted parts do not count.
     """
     bare = F.transform("lines", lambda line: F.regexp_replace(line, '"[^"]*"', ""))
     counted = heads.withColumn("bare", bare)
@@ -132,8 +133,9 @@ def _with_delimiter(heads: DataFrame) -> DataFrame:
         total = _total(n)
         steady = F.lit(d in CONSISTENT_DELIMITERS) & (F.array_min(n) == F.array_max(n)) & (total > 0)
         frequent = F.lit(d in FREQUENT_DELIMITERS) & (total > 0) & (total < F.col("size") / 2)
-        level = F.when(steady, 2).when(frequent, 1).otherwise(0)
-        ranked = F.when(level == 1, total).otherwise(0)
+        # a colon stands in times, so it separates only where nothing else does
+        level = F.when(steady, 2 if d == ":" else 3).when(frequent, 1).otherwise(0)
+        ranked = F.when(level > 0, total).otherwise(0)
         scores.append(
             F.struct(level.alias("level"), ranked.alias("total"), F.lit(-i).alias("rank"),
                      F.lit(d).alias("delimiter"))

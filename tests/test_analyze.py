@@ -56,3 +56,25 @@ def test_rejected_rows_as_csv(spark, write, tmp_path):
         assert [r.error_type for r in bad.collect()] == ["malformed_row"]
     finally:
         spark.sql("DROP TABLE IF EXISTS with_rejects")
+
+
+def test_files_of_several_layouts(spark, write, tmp_path):
+    from sluicegate.plans.mixed import data_columns, scan_mixed
+
+    write("in/a.csv", "k,name\n1,plain\n10,more\n")
+    write("in/b.csv", "k;name;extra\n2;caf\u00e9;x\n20;b;y\n", "iso-8859-1")
+    write("in/header_only.csv", "k,name\n")
+    write("in/blank.csv", "\n\n")
+    write("in/empty.csv", "")
+    write("in/plain.csv", "3\tthree\n30\tthirty\n")
+    rows = scan_mixed(spark, str(tmp_path / "in"), ["k", "name"])
+    assert sorted(data_columns(rows)) == ["extra", "k", "name"]
+    assert sorted((r.k, r.name, r.extra) for r in rows.collect()) == [
+        ("1", "plain", None), ("10", "more", None), ("2", "caf\u00e9", "x"), ("20", "b", "y"), ("3", "three", None), ("30", "thirty", None),
+    ]
+    spark.sql("CREATE DATABASE mixed_db")
+    try:
+        load_delimited(spark, str(tmp_path / "in"), "mixed_db.t", ["k", "name"], mixed=True, id_column="id")
+        assert sorted(r.k for r in spark.table("mixed_db.t").collect()) == [1, 2, 3, 10, 20, 30]
+    finally:
+        spark.sql("DROP DATABASE mixed_db CASCADE")

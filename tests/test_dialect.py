@@ -177,6 +177,6 @@ def test_inventory(spark, write, tmp_path):
     assert {n: r.file_size for n, r in listed.items()} == {n: f[1] for n, f in facts.items()}
 
 
-def test_steady_separators_go_by_preference(spark, write, tmp_path):
+def test_times_do_not_make_a_colon_the_separator(spark, write, tmp_path):
     write("times.csv", "1,10:20:30,11:30:40\n2,12:00:00,13:00:00\n")
     assert by_name(dialect.delimiter_report(spark, str(tmp_path)))["times.csv"].delimiter == ","

@@ -169,6 +169,12 @@ EXTRACT_COLUMNS = [
 ]
 
 
+EXTRACT_TYPES = {
+    "customer_id": "bigint", "full_name": "string", "nation": "int", "balance": "double",
+    "opened": "date", "segment": "string", "note": "string", "channel": "string",
+}
+
+
 def extract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers with a date and a note that holds separators, quotes' worth of them."""
     customers = customer_cells(spark, sf_dir)

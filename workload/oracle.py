@@ -397,9 +397,20 @@ SELECT CAST(position AS BIGINT) AS position, column_name, sql_type, {SPARK_TYPE}
   n > p AND column_name <> 'order_id' AS nullable, {SEMANTIC} AS semantic_type, len AS max_length,
   column_name = 'order_id' AS is_key, greatest(dmy, sdmy) >= greatest(mdy, smdy) AS day_first FROM typed""",
     "schema_override": f"""WITH {MESSY}, facts AS ({_facts("messy", ORDER_COLUMNS)}),
-typed AS (SELECT *, CASE column_name WHEN 'amount' THEN 'DOUBLE' WHEN 'customer_id' THEN 'BIGINT'
-  ELSE {SQL_TYPE} END AS sql_type FROM facts)
-SELECT CAST(position AS BIGINT) AS position, column_name, sql_type, {SPARK_TYPE} AS spark_type FROM typed""",
+typed AS (SELECT *, CASE column_name WHEN 'amount' THEN 'DECIMAL(12,2)' WHEN 'customer_id' THEN 'BIGINT'
+  WHEN 'priority' THEN 'SMALLINT' ELSE {SQL_TYPE} END AS sql_type FROM facts)
+SELECT CAST(position AS BIGINT) AS position, column_name, sql_type,
+  CASE column_name WHEN 'amount' THEN 'decimal(12,2)' WHEN 'priority' THEN 'smallint' ELSE {SPARK_TYPE} END AS spark_type
+FROM typed""",
+    "load_mixed_files": """SELECT c_custkey AS customer_id, c_name AS full_name, c_nationkey AS nation,
+  CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance,
+  CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS opened,
+  CASE WHEN d <> 5 THEN c_mktsegment END AS segment,
+  'café, ' || lower(c_mktsegment) || '; visit|call' AS note, CASE WHEN d = 4 THEN 'web' END AS channel
+FROM (SELECT *, (c_custkey // 50) % 6 AS d FROM customer)""",
+    "load_with_id": "SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus FROM orders",
+    "csv_stray_quotes": """SELECT o_orderkey AS id, '5" pipe' AS item, o_orderstatus AS status,
+  o_orderkey % 7 = 0 AS bad FROM orders""",
     "sanitize_names": r"""WITH names AS (SELECT p_name AS name FROM part UNION SELECT text FROM conversations),
 s AS (SELECT name, regexp_replace(regexp_replace(name, '[^\p{L}\p{N}_]', '_', 'g'), '_+', '_', 'g') AS w FROM names)
 SELECT name, CASE WHEN regexp_matches(w, '^\p{Nd}') THEN 'col_' || w ELSE w END AS sanitized FROM s""",

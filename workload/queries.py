@@ -13,6 +13,7 @@ from sluicegate.operators import cast, infer, profile, reconcile, tables, valida
 from sluicegate.plans.analyze import analyze_files
 from sluicegate.plans.profile import column_profile
 from sluicegate.plans.load import load_delimited
+from sluicegate.plans.mixed import scan_mixed
 from sluicegate.plans.validation import validation_report
 from sluicegate.sources import delimited, dialect, files
 from sluicegate.sources.delimited import Layout
@@ -206,6 +207,34 @@ def load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def load_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers from files of six dialects, matched by column name."""
+    rows = scan_mixed(spark, X.mixed_files(spark, sf_dir), X.EXTRACT_COLUMNS)
+    absent = [c for c in X.EXTRACT_TYPES if c not in rows.columns]  # few files: not every dialect
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent})
+    return cast.typed_cast(rows, X.EXTRACT_TYPES)
+
+
+def load_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose files bring the id column that the load would add."""
+    path = staging_path(spark, "own-ids")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", "o_orderstatus")
+    orders.write.option("header", True).csv(path)
+    name = f"{_fresh_database(spark)}.own_ids"
+    load_delimited(spark, path, name, orders.columns, Layout(), id_column="id")
+    return spark.table(name)
+
+
+def stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in lines with a quote inside a field; every seventh has a field too many."""
+    path = staging_path(spark, "stray")
+    more = F.when(F.col("o_orderkey") % 7 == 0, ';3" bolt').otherwise("")
+    line = F.concat(F.col("o_orderkey").cast("string"), F.lit(';5" pipe;'), "o_orderstatus", more)
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    rows = delimited.scan_delimited(spark, path, ["id", "item", "status"], Layout(sep=";", header=False))
+    return rows.select(F.col("id").cast("bigint").alias("id"), "item", "status", F.col("_bad_line").isNotNull().alias("bad"))
+
+
 def analyze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layout and schema of the customer files, nothing given but the folder."""
     report = analyze_files(spark, X.customer_files(spark, sf_dir, header=True))
@@ -263,7 +292,7 @@ def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _inference_input(spark, sf_dir)
-    report = infer.schema_report(rows, overrides={"amount": "DOUBLE", "customer_id": "BIGINT"})
+    report = infer.schema_report(rows, overrides={"amount": "decimal(12,2)", "customer_id": "bigint", "priority": "SMALLINT"})
     return report.select("position", "column_name", "sql_type", "spark_type")
 
 
@@ -451,6 +480,9 @@ QUERIES = {
     "load_stats": load_stats,
     "file_inventory": file_inventory,
     "load_delimited": load_files,
+    "load_mixed_files": load_mixed_files,
+    "load_with_id": load_with_id,
+    "csv_stray_quotes": stray_quotes,
     "analyze_files": analyze,
     "infer_column_types": infer_column_types,
     "infer_nullability": infer_nullability,
