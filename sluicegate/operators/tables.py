@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluicegate.workspace import ensure_checkpoint_dir
+from sluicegate.workspace import ensure_checkpoint_dir, staging_path
 
 _MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
@@ -23,8 +23,8 @@ def write_table(
     ``fail`` raises when the table exists and leaves it alone. ``append`` adds rows by column
     name; a column the table does not have raises, one that only the table has is NULL.
     ``replace`` writes a table beside the old one and swaps them when it is complete, so a
-    write that fails leaves the old table as it was; with a ``path`` it needs another path
-    than the old table's.
+    query that fails leaves the old table as it was. A table that keeps its ``path`` is
+    computed to a staging folder first and then copied over the old one.
     """
     if if_exists not in _MODES:
         raise ValueError("if_exists must be 'fail', 'replace' or 'append'")
@@ -34,9 +34,13 @@ def write_table(
         df = _in_table_order(df, spark.table(table))
     target = table
     if if_exists == "replace" and exists:
-        if path is not None and path.rstrip("/") == _location(spark, table):
-            raise ValueError(f"{path} holds the table that is to be replaced")
-        target = f"{table}_new_{uuid.uuid4().hex}"
+        if path is not None and path.removeprefix("file:").rstrip("/") == _location(spark, table):
+            # in place: everything is computed and written elsewhere before the old files go
+            staged = staging_path(spark, "replace")
+            df.write.parquet(staged)
+            df = spark.read.schema(df.schema).parquet(staged)
+        else:
+            target = f"{table}_new_{uuid.uuid4().hex}"
     writer = df.write.format("parquet").mode(_MODES[if_exists])
     if path is not None:
         writer = writer.option("path", path)
