@@ -216,13 +216,11 @@ def probes(shared: DataFrame, percent: int) -> DataFrame:
 def chunk_pairs(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(nodes with their chunk, pairs of chunks (a, b) with the nodes to compare in each).
 
-    Nodes that meet at rare names, directly or through others, get one label; most labels are
-    families that fit in one chunk, inside which all are compared. The nodes of a larger label
-    are dealt to chunks by the least node within three steps, so that close ones stay together
-    (or within one step, or one by one, where too many have the same); a node is compared with another chunk too if it
-    shares enough names of its prefix, a rare one among them, with a family there (the nodes
-    of a chunk that have one least node). Names that stand in the same families are counted
-    together before they meet those.
+    A node's label is the least node within two steps over shared rare names; the nodes of a
+    label are dealt to as many chunks as their names fill. Every node is compared inside its
+    chunk. It is compared with another chunk too if a name that is rare for it is rare for a
+    node there, and if enough names of its prefix stand there. Names that stand in the same
+    chunks are counted together before they meet those.
     """
     at = ["level", "name"]
     groups = found.groupBy(*at).agg(
@@ -234,53 +232,37 @@ def chunk_pairs(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     groups = groups.where("c > 1 AND asked").select(*at, "hub", (F.col("rare_c") > 1).alias("meets"))
     meeting = staged(found.drop("asks").join(groups, at), "jaccard-meeting")
     rare = meeting.where("rare AND meets").select(*at, "node", "n", "hub")
-    near = staged(rare.groupBy("node").agg(F.min("hub").alias("near"), F.max("n").alias("n")), "jaccard-near")
-    # The same, two steps further: what those that it meets have met.
-    far = near.select("node", F.col("near").alias("family"))
-    for _ in range(2):
-        met = rare.select(*at, "node").join(far, "node").groupBy(*at).agg(F.min("family").alias("family"))
-        far = rare.select(*at, "node").join(met, at).groupBy("node").agg(F.min("family").alias("family"))
-    edges = rare.where("node <> hub").select("node", "hub").distinct()
-    label = connected(edges, "node", "hub").select("node", F.col("component").alias("label"))
-    known = near.join(far, "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    known = staged(known, "jaccard-labels")
-    chunks = known.groupBy("label").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
-    families = known.groupBy("family").agg(F.sum("n").alias("family_mass"))
-    hubs = known.groupBy("near").agg(F.sum("n").alias("mass"))
-    dealt = F.when(F.col("family_mass") <= CHUNK, F.col("family")).when(F.col("mass") <= CHUNK, F.col("near"))
-    dealt = dealt.otherwise(F.col("node"))
-    chunk = F.xxhash64("label", F.pmod(F.xxhash64(dealt), "chunks"))
-    placed_nodes = known.join(chunks, "label").join(families, "family").join(hubs, "near")
-    nodes = staged(
-        placed_nodes.select("node", "n", "near", chunk.alias("chunk"), (F.col("chunks") > 1).alias("cut")), "jaccard-nodes"
-    )
-    # Only nodes of labels with several chunks can meet another chunk at a rare name.
-    placed = meeting.select(*at, "node", "rare").join(nodes.where("cut").drop("cut"), "node")
-    by_family = placed.select(*at, "near", "chunk").distinct()
-    mark = F.xxhash64("level", F.bit_xor(F.xxhash64("near", "chunk")), F.count(F.lit(1)))
-    spread = F.min("chunk") != F.max("chunk")
-    marks = by_family.groupBy(*at).agg(mark.alias("mark"), spread.alias("spread")).where("spread").drop("spread")
-    own = placed.join(marks, at).groupBy("mark", "level", "node", "n", "chunk").agg(
-        F.count(F.lit(1)).alias("k"), F.max("rare").alias("rare")
-    )
-    other = by_family.join(marks, at).select("mark", F.col("near").alias("family"), F.col("chunk").alias("other")).distinct()
+    near = rare.groupBy("node").agg(F.min("hub").alias("near"))
+    hubs = rare.select(*at, "node").join(near, "node").groupBy(*at).agg(F.min("near").alias("far"))
+    labels = rare.join(hubs, at).groupBy("node").agg(F.min("far").alias("label"), F.max("n").alias("n"))
+    chunks = labels.groupBy("label").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
+    chunk = F.xxhash64("label", F.pmod(F.xxhash64("node"), "chunks"))
+    nodes = staged(labels.join(chunks, "label").select("node", "n", chunk.alias("chunk")), "jaccard-nodes")
+    placed = meeting.select(*at, "node", F.expr("rare AND meets AS rare")).join(nodes, "node")
+    met = _met(placed.where("rare")).select("node", "chunk", "other").distinct()
     growth = F.element_at(F.array(*(F.lit(g) for g in GROWTH)), (F.col("level") + 1).cast("int"))
     least = 1 + F.floor(growth * F.ceil(F.col("n") * percent / 100))
-    across = (
-        own.join(other, "mark")
-        .where("chunk <> other")
-        .groupBy("level", "node", "n", "chunk", "family", "other")
-        .agg(F.sum("k").alias("k"), F.max("rare").alias("rare"))
-        .where((F.col("k") >= least) & F.col("rare"))
-    )
-    sides = across.select(
+    enough = _met(placed).groupBy("level", "node", "n", "chunk", "other").agg(F.sum("k").alias("k"))
+    enough = enough.where(F.col("k") >= least).select("node", "chunk", "other").distinct()
+    sides = met.join(enough, ["node", "chunk", "other"]).select(
         F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "node"
-    ).distinct()
+    )
     both = sides.groupBy("a", "b").agg(F.min("chunk").alias("x"), F.max("chunk").alias("y")).where("x <> y")
     pairs = sides.join(both.select("a", "b"), ["a", "b"]).select("a", "b", "node")
     return nodes.select("node", "chunk"), pairs.union(nodes.select("chunk", F.col("chunk"), "node"))
 
 
+def _met(placed: DataFrame) -> DataFrame:
+    """level, node, n, chunk, other and k: how many names of a node stand in another chunk, in parts."""
+    at = ["level", "name"]
+    by_chunk = placed.select(*at, "chunk").distinct()
+    mark = F.xxhash64("level", F.bit_xor(F.xxhash64("chunk")), F.count(F.lit(1)))
+    marks = by_chunk.groupBy(*at).agg(mark.alias("mark"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    own = placed.join(marks, at).groupBy("mark", "level", "node", "n", "chunk").agg(F.count(F.lit(1)).alias("k"))
+    other = by_chunk.join(marks, at).select("mark", F.col("chunk").alias("other")).distinct()
+    return own.join(other, "mark").where("chunk <> other").drop("mark")
+
+
 def local_components(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least member of each member's component, for links a-b among 0..count-1."""
     label = np.arange(count)
