@@ -21,7 +21,7 @@ from sluicegate.operators.tables import add_surrogate_id, next_id, write_table
 from sluicegate.plans.analyze import detect_layout
 from sluicegate.plans.mixed import data_columns, scan_mixed
 from sluicegate.sources.delimited import FILE_ORDER, Layout, scan_delimited
-from sluicegate.workspace import staging_path
+from sluicegate.workspace import remove_staged, staging_path
 
 
 def infer_types(
@@ -35,8 +35,10 @@ def infer_types(
     return {c: types[c] for c in columns}, {r.column_name: r.day_first for r in report}
 
 
-def stage_rows(classified: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Classified rows written once to the shared folder, good and bad ones apart.
+def stage_rows(
+    classified: DataFrame, columns: Sequence[str], keep: Sequence[str], path: str
+) -> DataFrame:
+    """Classified rows written once to ``path``, good and bad ones apart.
 
     Text is kept for bad rows only; a filter on ``_is_bad`` reads one part.
     """
@@ -48,7 +50,6 @@ def stage_rows(classified: DataFrame, columns: Sequence[str], keep: Sequence[str
         *text, *[F.col(f"`{c}`") for c in typed], *keep, "error_type", "error_message",
         is_bad.cast("int").alias("_is_bad"),
     )
-    path = staging_path(spark, "load")
     rows.write.partitionBy("_is_bad").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -108,10 +109,12 @@ def load_delimited(
         types, orders = infer_types(rows, columns, overrides)
     types = {c: SPARK_TYPES.get(t.upper(), t) for c, t in types.items()}
     classified = classify(rows, types, required, orders | dict(day_first or {}))
+    places = []
     if unique_key:
         # Places in the files are fixed before rows are compared by them.
         place = F.struct(*FILE_ORDER)
-        fixed = stage_rows(classified, columns, keep=FILE_ORDER).withColumn("_place", place)
+        places.append(staging_path(spark, "load"))
+        fixed = stage_rows(classified, columns, FILE_ORDER, places[-1]).withColumn("_place", place)
         classified = mark_duplicate_keys(fixed, unique_key, "_place").drop("_place", "_is_bad")
     observed = Observation()
     counted = classified.observe(observed, *load_counts())
@@ -120,7 +123,8 @@ def load_delimited(
         rejected = classified
     else:
         order = FILE_ORDER if by_file else list(id_order)
-        staged = stage_rows(counted, columns, keep=FILE_ORDER if by_file else [SOURCE_FILE])
+        places.append(staging_path(spark, "load"))
+        staged = stage_rows(counted, columns, FILE_ORDER if by_file else [SOURCE_FILE], places[-1])
         start = next_id(spark, table, id_column) if if_exists == "append" else 1
         good = good_rows(staged.where("_is_bad = 0"), columns, keep=FILE_ORDER if by_file else ())
         numbered = add_surrogate_id(good, order, id_column, start)
@@ -132,6 +136,8 @@ def load_delimited(
         bad.write.mode("append").partitionBy("source_file").format(quarantine_format).option(
             "header", True
         ).save(quarantine_path)
+    for place in places:
+        remove_staged(spark, place)
     total = counts["total_rows"]
     rate = counts["successful_rows"] * 100.0 / total if total else 0.0
     return spark.range(1, numPartitions=1).select(

@@ -32,6 +32,14 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/sluicegate/{label}-{uuid.uuid4().hex}"
 
 
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Delete a path made by :func:`staging_path` when nothing reads it any more."""
+    if "/sluicegate/" not in path:
+        raise ValueError(f"{path} is not a staging path")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point reliable checkpoints at the shared folder unless the session already has one."""
     if spark.sparkContext.getCheckpointDir() is None:
