@@ -3,17 +3,16 @@
 A text is the set of its shingles (runs of ``words`` words), each named by a hash. In any fixed
 order of names, two sets whose Jaccard similarity reaches the threshold share at least l of the
 first n - need + l names of either, for every l: the more names of a set are looked at, the
-more must be shared. Two lengths of prefix are tried per text (``GROWTH``). A text that shares too
-few names at either length is dropped. A text asks with the length for which the texts to
-compare with are fewest, by the frequencies counted over all texts; of that prefix, the most
-frequent names, which may all be among the l - 1 spare ones, need not be asked for (the others
-are called rare), but count as shared.
-
-What asking finds is verified exactly. Texts that meet at rare names get a common label, labels
-are cut into chunks of bounded size, and texts are compared inside their chunk, and with those
-of another chunk if they share l names of their prefix with it, by products of incidence
-matrices. So a group of copies costs no row per pair, each pair of texts is compared once, and
-no link is lost.
+more must be shared. Two lengths of prefix are tried per text (``GROWTH``). From the names
+that only one text has among its prefix, a text is dropped that shares too few at any length;
+for the others, the most frequent names of a prefix, which may all be among the l - 1 spare
+ones, need not be probed. A text probes with the length for which the texts to compare with are
+fewest, by the frequencies counted over all texts.
+
+What probes find is verified exactly. Texts that meet are collected into classes, classes into
+chunks of bounded size, and each pair of chunks that holds a candidate pair is compared as a
+whole by products of incidence matrices, so a group of copies costs no row per pair, each pair
+of texts is compared once, and no link is lost.
 
 Defined results: texts of equal sets (exact copies) are one node, compared once; a text with
 fewer words than a shingle is one shingle of all its words; a null, empty or blank text has no
@@ -144,7 +143,7 @@ def shared_names(scanned: DataFrame, percent: int) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) > 0)) if len(order) else order
             ends = np.append(cuts[1:], len(order))
-            columns = [x[order] for x in (name, node, (n * 4 + level).astype(np.int32))]
+            columns = [x[order] for x in (name, node, n * 4 + level)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(bucket[order][cuts], pa.int64()),
@@ -155,8 +154,7 @@ def shared_names(scanned: DataFrame, percent: int) -> DataFrame:
 
     def count(table: pa.Table) -> pa.Table:
         name, node, info = (
-            np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-            for c, kind in (("name", np.int64), ("node", np.int64), ("info", np.int32))
+            np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("name", "node", "info")
         )
         order = np.lexsort((node, name))
         name, node, info = name[order], node[order], info[order]
@@ -175,9 +173,9 @@ def shared_names(scanned: DataFrame, percent: int) -> DataFrame:
 
 
 def probes(shared: DataFrame, percent: int) -> DataFrame:
-    """level, name, node, n, asks, rare: each node's shared names at every level, and the one it asks at."""
+    """level, name, node, n, asks: what each node is found by at every level, and at which one it asks."""
     parts = 4 * shuffle_partitions(shared.sparkSession)
-    schema = "level long, name long, node long, n long, asks boolean, rare boolean"
+    schema = "level long, name long, node long, n long, asks boolean"
 
     def choose(table: pa.Table) -> pa.Table:
         node, n, name, level, df = (table.column(c).to_numpy() for c in ("node", "n", "name", "level", "df"))
@@ -196,16 +194,16 @@ def probes(shared: DataFrame, percent: int) -> DataFrame:
             # A similar set has at least needed(size) names, and the pair shares l of the smaller.
             least = matches(needed(size, percent), k)
             alive &= count >= least
-            rare = inside & (rank < (count - least + 1)[which])
-            found.append((inside, rare))
-            costs.append(np.add.reduceat(np.where(rare, df - 1, 0), first) if len(first) else first)
+            used = inside & (rank < (count - least + 1)[which])
+            found.append(used)
+            costs.append(np.add.reduceat(np.where(used, df - 1, 0), first) if len(first) else first)
         best = np.argmin(np.stack(costs), axis=0) if len(first) else first
         out = []
-        for k, (inside, rare) in enumerate(found):
-            at = np.flatnonzero(inside & alive[which])
-            out.append((np.full(len(at), k), name[at], node[at], n[at], best[which[at]] == k, rare[at]))
+        for k, used in enumerate(found):
+            at = np.flatnonzero(used & alive[which])
+            out.append((np.full(len(at), k), name[at], node[at], n[at], best[which[at]] == k))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        kinds = [pa.int64()] * 4 + [pa.bool_()] * 2
+        kinds = [pa.int64()] * 4 + [pa.bool_()]
         names = [c.split()[0] for c in schema.split(", ")]
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
@@ -213,54 +211,33 @@ def probes(shared: DataFrame, percent: int) -> DataFrame:
     return arrow_groups(rows, ["part"], choose, schema)
 
 
-def chunk_pairs(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def chunk_pairs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes with their chunk, pairs of chunks (a, b) with the nodes to compare in each).
 
-    A node's label is the least node within two steps over shared rare names; the nodes of a
-    label are dealt to as many chunks as their names fill. Every node is compared inside its
-    chunk. It is compared with another chunk too if a name that is rare for it is rare for a
-    node there, and if enough names of its prefix stand there. Names that stand in the same
-    chunks are counted together before they meet those.
+    A node's label is the least node that it or what it meets has met; the nodes of a label are
+    dealt to as many chunks as their names fill. Every node is compared inside its chunk, and in
+    a pair of chunks if it meets a node of the other chunk at a name that one of them asks for.
     """
     at = ["level", "name"]
-    groups = found.groupBy(*at).agg(
-        F.min(F.when(F.col("rare"), F.col("node"))).alias("hub"),
-        F.count(F.lit(1)).alias("c"),
-        F.count_if("rare").alias("rare_c"),
-        F.max("asks").alias("asked"),
-    )
-    groups = groups.where("c > 1 AND asked").select(*at, "hub", (F.col("rare_c") > 1).alias("meets"))
-    meeting = staged(found.drop("asks").join(groups, at), "jaccard-meeting")
-    rare = meeting.where("rare AND meets").select(*at, "node", "n", "hub")
-    near = rare.groupBy("node").agg(F.min("hub").alias("near"))
-    hubs = rare.select(*at, "node").join(near, "node").groupBy(*at).agg(F.min("near").alias("far"))
-    labels = rare.join(hubs, at).groupBy("node").agg(F.min("far").alias("label"), F.max("n").alias("n"))
+    groups = found.groupBy(*at).agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c"), F.max("asks").alias("asked"))
+    groups = groups.where("c > 1 AND asked").select(*at, "hub")
+    meeting = staged(found.join(groups, at), "jaccard-meeting")
+    near = meeting.groupBy("node").agg(F.min("hub").alias("near"))
+    hubs = meeting.select(*at, "node").join(near, "node").groupBy(*at).agg(F.min("near").alias("far"))
+    labels = meeting.select(*at, "node", "n").join(hubs, at).groupBy("node").agg(F.min("far").alias("label"), F.max("n").alias("n"))
     chunks = labels.groupBy("label").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
     chunk = F.xxhash64("label", F.pmod(F.xxhash64("node"), "chunks"))
-    nodes = staged(labels.join(chunks, "label").select("node", "n", chunk.alias("chunk")), "jaccard-nodes")
-    placed = meeting.select(*at, "node", F.expr("rare AND meets AS rare")).join(nodes, "node")
-    met = _met(placed.where("rare")).select("node", "chunk", "other").distinct()
-    growth = F.element_at(F.array(*(F.lit(g) for g in GROWTH)), (F.col("level") + 1).cast("int"))
-    least = 1 + F.floor(growth * F.ceil(F.col("n") * percent / 100))
-    enough = _met(placed).groupBy("level", "node", "n", "chunk", "other").agg(F.sum("k").alias("k"))
-    enough = enough.where(F.col("k") >= least).select("node", "chunk", "other").distinct()
-    sides = met.join(enough, ["node", "chunk", "other"]).select(
-        F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "node"
-    )
-    both = sides.groupBy("a", "b").agg(F.min("chunk").alias("x"), F.max("chunk").alias("y")).where("x <> y")
-    pairs = sides.join(both.select("a", "b"), ["a", "b"]).select("a", "b", "node")
-    return nodes.select("node", "chunk"), pairs.union(nodes.select("chunk", F.col("chunk"), "node"))
-
-
-def _met(placed: DataFrame) -> DataFrame:
-    """level, node, n, chunk, other and k: how many names of a node stand in another chunk, in parts."""
-    at = ["level", "name"]
-    by_chunk = placed.select(*at, "chunk").distinct()
-    mark = F.xxhash64("level", F.bit_xor(F.xxhash64("chunk")), F.count(F.lit(1)))
+    nodes = staged(labels.join(chunks, "label").select("node", chunk.alias("chunk")), "jaccard-nodes")
+    placed = meeting.select(*at, "node", "asks").join(nodes, "node")
+    by_chunk = placed.groupBy(*at, "chunk").agg(F.max("asks").alias("asked"))
+    # Names that stand in the same chunks are put together before they meet those.
+    mark = F.xxhash64("level", F.bit_xor(F.xxhash64("chunk", "asked")), F.count(F.lit(1)))
     marks = by_chunk.groupBy(*at).agg(mark.alias("mark"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    own = placed.join(marks, at).groupBy("mark", "level", "node", "n", "chunk").agg(F.count(F.lit(1)).alias("k"))
-    other = by_chunk.join(marks, at).select("mark", F.col("chunk").alias("other")).distinct()
-    return own.join(other, "mark").where("chunk <> other").drop("mark")
+    own = placed.join(marks, at).groupBy("mark", "node", "chunk").agg(F.max("asks").alias("asks"))
+    other = by_chunk.join(marks, at).select("mark", F.col("chunk").alias("other"), "asked").distinct()
+    across = own.join(other, "mark").where("chunk <> other AND (asks OR asked)")
+    pairs = across.select(F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "node").distinct()
+    return nodes, pairs.union(nodes.select("chunk", F.col("chunk"), "node"))
 
 
 def local_components(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -363,7 +340,7 @@ def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame
         rows.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")), "jaccard-classes"
     )
     found = staged(probes(shared_names(rows, percent), percent), "jaccard-probes")
-    nodes, pairs = chunk_pairs(found, percent)
+    nodes, pairs = chunk_pairs(found)
     links = staged(verify(docs, scanned, classes, nodes, pairs, words, percent, lower), "jaccard-links")
     parts = connected(links, "node", "root")
     least = parts.join(classes, "node").groupBy("component").agg(F.min("first").alias("least"))
