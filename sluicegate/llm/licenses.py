@@ -4,7 +4,9 @@ Texts and templates are compared as words (lower-case letters, digits and dots i
 Overlapping windows as long as a template are taken wherever one can match; each window gets a
 MinHash signature over its two-word shingles, and a signature that agrees with a template's in
 one of the bands makes the pair a candidate. What decides is exact: the share of the template's
-shingles that stand in the window, widened by the distance between windows.
+shingles that stand in the window, widened by the distance between windows. Where notices of
+several licenses differ in a word or two only, the shingles that tell them apart must stand there
+as well (``MARKS``); of an SPDX line these are all, and of an expression the first license.
 
 Where a window can match: a match holds more than a share t of a template's shingles, so if the
 shingles that contain one of some anchor words make up at least 1 - t of all, a match contains
@@ -52,7 +54,65 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0",
-    "all-rights-reserved": "Copyright All rights reserved",
+    "all-rights-reserved": "All rights reserved",
+}
+
+_FREE = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License "
+    "as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version"
+)
+_CC = "This work is licensed under a Creative Commons {kind} 4.0 International License"
+_SPDX = (
+    "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 MPL-2.0 EPL-2.0 BSL-1.0 Zlib "
+    "Unlicense CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-NC-ND-4.0"
+).split()
+
+#: The notices that public licenses themselves prescribe, named by license and kind.
+STANDARD = {
+    "Apache-2.0/terms": "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+    'distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied',
+    "MIT/permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    'associated documentation files (the "Software"), to deal in the Software without restriction, including without '
+    "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    "ISC/permission": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "BSD/redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met",
+    "BSD/source-clause": "Redistributions of source code must retain the above copyright notice, this list of conditions and "
+    "the following disclaimer",
+    "BSD/binary-clause": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+    "and the following disclaimer in the documentation and/or other materials provided with the distribution",
+    "BSD-3-Clause/endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission",
+    "Unlicense/dedication": "This is free and unencumbered software released into the public domain",
+    "CC0-1.0/waiver": "has waived all copyright and related or neighboring rights to this work",
+    "GPL-2.0/paragraph": _FREE.format(what="program", kind="General", version="2"),
+    "GPL-3.0/paragraph": _FREE.format(what="program", kind="General", version="3"),
+    "LGPL-2.1/paragraph": _FREE.format(what="library", kind="Lesser General", version="2.1"),
+    "LGPL-3.0/paragraph": _FREE.format(what="library", kind="Lesser General", version="3"),
+    "AGPL-3.0/paragraph": _FREE.format(what="program", kind="Affero General", version="3"),
+    "CC-BY-4.0/sentence": _CC.format(kind="Attribution"),
+    "CC-BY-SA-4.0/sentence": _CC.format(kind="Attribution-ShareAlike"),
+    "CC-BY-ND-4.0/sentence": _CC.format(kind="Attribution-NoDerivatives"),
+    "CC-BY-NC-4.0/sentence": _CC.format(kind="Attribution-NonCommercial"),
+    "CC-BY-NC-SA-4.0/sentence": _CC.format(kind="Attribution-NonCommercial-ShareAlike"),
+    "CC-BY-NC-ND-4.0/sentence": _CC.format(kind="Attribution-NonCommercial-NoDerivatives"),
+} | {f"{name}/spdx": f"SPDX-License-Identifier: {name}" for name in _SPDX}
+
+#: Shingles that must stand in a match, where licenses share all other words of a notice. Every
+#: match then holds the first word of the first of them.
+MARKS = {
+    "GPL-2.0/paragraph": ["gnu general", "version 2"],
+    "GPL-3.0/paragraph": ["gnu general", "version 3"],
+    "LGPL-2.1/paragraph": ["gnu lesser", "version 2.1"],
+    "LGPL-3.0/paragraph": ["gnu lesser", "version 3"],
+    "AGPL-3.0/paragraph": ["gnu affero", "version 3"],
+    "CC-BY-4.0/sentence": ["attribution 4.0"],
+    "CC-BY-SA-4.0/sentence": ["attribution sharealike", "sharealike 4.0"],
+    "CC-BY-ND-4.0/sentence": ["attribution noderivatives", "noderivatives 4.0"],
+    "CC-BY-NC-4.0/sentence": ["attribution noncommercial", "noncommercial 4.0"],
+    "CC-BY-NC-SA-4.0/sentence": ["noncommercial sharealike", "sharealike 4.0"],
+    "CC-BY-NC-ND-4.0/sentence": ["noncommercial noderivatives", "noderivatives 4.0"],
 }
 
 
@@ -81,12 +141,23 @@ def anchors(words: list[str], threshold: float) -> set[str]:
     return chosen
 
 
+MARKS |= {
+    name: [" ".join(pair) for pair in zip(w, w[1:], strict=False)]
+    for name, w in ((n, template_words(t)) for n, t in STANDARD.items() if n.endswith("/spdx"))
+}
+
+
+def template_anchors(name: str, text: str, threshold: float) -> set[str]:
+    """Anchors of a template: of its marks, if it has any, else of all its words."""
+    return {MARKS[name][0].split()[0]} if name in MARKS else anchors(template_words(text), threshold)
+
+
 def _step(size: int) -> int:
     return 1 if size <= 32 else size // 8
 
 
 def template_table(spark: SparkSession, templates: dict[str, str], threshold: float) -> DataFrame:
-    """license, size (words), step (between windows) and shingles of each template."""
+    """license, size (words), step (between windows), shingles and marks of each template."""
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"more than {MOST_TEMPLATES} templates")
     rows = []
@@ -94,8 +165,8 @@ def template_table(spark: SparkSession, templates: dict[str, str], threshold: fl
         words = template_words(text)
         if len(words) < 2:
             raise ValueError(f"template {name!r} has fewer than two words")
-        rows.append((name, len(words), _step(len(words)), _shingles(words)))
-    return spark.createDataFrame(rows, "license string, size int, step int, shingles array<string>")
+        rows.append((name, len(words), _step(len(words)), _shingles(words), MARKS.get(name, [])))
+    return spark.createDataFrame(rows, "license string, size int, step int, shingles array<string>, marks array<string>")
 
 
 def signature(shingles: Column, bands: int = BANDS) -> Column:
@@ -119,12 +190,17 @@ def shingles_between(words: str, first: Column, size: Column) -> Column:
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, bands: int = BANDS
+    docs: DataFrame, templates: dict[str, str] = TEMPLATES | STANDARD, threshold: float = THRESHOLD, bands: int = BANDS
 ) -> DataFrame:
     """doc_id, license, containment (the best), n_places (separate matches), first_word (from 0)."""
     spark = docs.sparkSession
     known = template_table(spark, templates, threshold)
-    chosen = sorted(set().union(*(anchors(template_words(t), threshold) for t in templates.values())))
+    grids: dict[str, set[tuple[int, int]]] = {}
+    for name, text in templates.items():
+        size = len(template_words(text))
+        for word in template_anchors(name, text, threshold):
+            grids.setdefault(word, set()).add((size, _step(size)))
+    chosen = sorted(grids)
     has_anchor = F.lit(False)
     lowered = F.lower(F.coalesce("text", F.lit("")))
     for word in chosen:
@@ -143,14 +219,23 @@ def scan_licenses(
         lambda i: F.array_contains(F.array(*(F.lit(w) for w in chosen)), F.element_at("words", i)),
     )
     at = rows.where(F.size("words") > 0).withColumn("anchor", F.explode(places))
-    # Windows of each template size that hold the anchor, on the grid of that size. Only the
-    # words around it go on.
-    sizes = sorted({(len(template_words(t)), _step(len(template_words(t)))) for t in templates.values()})
-    grids = F.explode(F.array(*(F.struct(F.lit(a).alias("size"), F.lit(b).alias("step")) for a, b in sizes)))
+    # Windows that hold the anchor, of each size of the templates it is chosen for, on the grid of
+    # that size. Only the words around it go on.
+    per_word = F.create_map(
+        *(
+            column
+            for word in chosen
+            for column in (
+                F.lit(word),
+                F.array(*(F.struct(F.lit(a).alias("size"), F.lit(b).alias("step")) for a, b in sorted(grids[word]))),
+            )
+        )
+    )
+    sizes = F.explode(F.element_at(per_word, F.element_at("words", F.col("anchor"))))
     first = F.greatest(F.lit(1), F.col("anchor") - F.col("g.size") + 1)
     on_grid = F.ceil((first - 1) / F.col("g.step")).cast("int") * F.col("g.step") + 1
     windows = (
-        at.withColumn("g", grids)
+        at.withColumn("g", sizes)
         .withColumn("start", F.explode(F.sequence(F.least(on_grid, F.col("anchor")), F.col("anchor"), F.col("g.step"))))
         .select(
             "doc_id",
@@ -169,6 +254,7 @@ def scan_licenses(
         "license",
         F.col("size").alias("t_size"),
         F.col("shingles").alias("t_shingles"),
+        "marks",
         F.posexplode(signature(F.col("shingles"), bands)).alias("t_band", "t_least"),
     )
     candidates = hashed.join(
@@ -176,7 +262,8 @@ def scan_licenses(
         (F.col("size") == F.col("t_size")) & (F.col("band") == F.col("t_band")) & (F.col("least") == F.col("t_least")),
     )
     share = F.size(F.array_intersect("t_shingles", "around")) / F.size("t_shingles")
-    verified = candidates.select("doc_id", "row", "license", "start", "size", share.alias("containment")).where(
+    marked = F.size(F.array_except("marks", "around")) == 0
+    verified = candidates.where(marked).select("doc_id", "row", "license", "start", "size", share.alias("containment")).where(
         F.col("containment") >= threshold
     )
     # One template's matches that overlap are one place: a start is new if none stands within

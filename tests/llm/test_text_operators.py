@@ -331,6 +331,56 @@ def test_anchors_stand_in_every_match():
         assert without < licenses.THRESHOLD * len(shingles)
 
 
+def test_notices_that_are_not_copied_from_the_templates(spark):
+    gpl = """ * {0} is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU {1} Public License as published by
+ * the Free Software Foundation; either version {2} of the License, or
+ * (at your option) any later version."""
+    cases = [
+        ("Text. All rights reserved.", {"all-rights-reserved"}),
+        ("Copyright 2020 Jane Doe. All rights reserved.", {"all-rights-reserved"}),
+        ("Copyright (c) 1999-2004, Acme Inc.\nAll Rights Reserved", {"all-rights-reserved"}),
+        (
+            'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+            'documentation files (the "Materials"), to deal in the Materials without restriction, including without limitation '
+            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Materials, and",
+            {"MIT/permission"},
+        ),
+        (
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+            "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+            "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+            "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+            "with the distribution. 3. Neither the name of Acme Inc. nor the names of its contributors may be used to endorse "
+            "or promote products derived from this software without specific prior written permission.",
+            {"BSD/redistribution", "BSD/source-clause", "BSD/binary-clause", "BSD-3-Clause/endorsement"},
+        ),
+        (gpl.format("Foo", "General", "3"), {"GPL-3.0/paragraph"}),
+        (gpl.format("This program", "General", "2"), {"GPL-2.0/paragraph"}),
+        (gpl.format("Bar", "Lesser General", "2.1"), {"LGPL-2.1/paragraph"}),
+        (gpl.format("This file", "Affero General", "3"), {"AGPL-3.0/paragraph"}),
+        ("// SPDX-License-Identifier: GPL-3.0-or-later\nint x;", {"GPL-3.0/spdx"}),
+        ("# SPDX-License-Identifier: MIT", {"MIT/spdx"}),
+        ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", {"CC-BY-NC-SA-4.0/spdx"}),
+        (
+            "This article is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+            {"CC-BY-SA-4.0/sentence"},
+        ),
+        ("all the rights of man reserved in version 3 of the gnu list", set()),
+    ]
+    rows = [(i, f"lorem ipsum {t} dolor sit", None) for i, (t, _) in enumerate(cases)]
+    got = {i: set() for i in range(len(cases))}
+    for r in licenses.scan_licenses(table(spark, rows)).collect():
+        got[r.doc_id].add(r.license)
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+    for name, text in licenses.STANDARD.items():
+        shingles = licenses._shingles(licenses.template_words(text))
+        chosen = licenses.template_anchors(name, text, licenses.THRESHOLD)
+        without = sum(1 for s in shingles if not chosen & set(s.split()))
+        assert set(licenses.MARKS.get(name, [])) <= set(shingles)
+        assert name in licenses.MARKS or without < licenses.THRESHOLD * len(shingles)
+
+
 # -- mixing ---------------------------------------------------------------------------------
 
 
