@@ -333,7 +333,7 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame:
-    """id, text_hash, node, n, first (of the component) and links of every row of ``docs``."""
+    """id, text_hash, node, n, component (its least node), least (id of the component) and links of every row of ``docs``."""
     scanned = staged(scan(docs, words, percent, lower), "jaccard-scan")
     rows = scanned.where("n > 0")
     classes = staged(
@@ -351,6 +351,7 @@ def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame
         .join(degree, "node", "left")
         .select(
             F.col("node").alias("of"),
+            F.coalesce("component", "node").alias("component"),
             F.coalesce("least", "first").alias("least"),
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
         )
@@ -362,6 +363,7 @@ def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame
         "text_hash",
         "node",
         "n",
+        "component",
         F.when(alone, F.col("id")).otherwise(F.col("least")).alias("least"),
         F.when(alone, F.lit(0)).otherwise(F.col("links")).cast("long").alias("links"),
     )
@@ -378,10 +380,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, lower: bool = True) -> DataFrame:
     """``docs`` with one document of each component, the one of the least id, and all without words.
 
-    Rows of one id and one text are one document.
+    Rows of one id and one text are one document; different texts under one id, or without an id,
+    are documents of their own.
     """
     joined = staged(_joined(docs, words, percent, lower), "jaccard-joined")
-    group = joined.where("n > 0").groupBy("least").agg(F.min(F.struct("id", "text_hash")).alias("kept"))
+    group = joined.where("n > 0").groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("kept"))
     kept = group.select("kept.id", "kept.text_hash").union(joined.where("n = 0").select("id", "text_hash")).distinct()
     inner = [f"_in_{i}" for i in range(len(docs.columns))]
     place = {c.lower(): inner[i] for i, c in enumerate(docs.columns)}

@@ -469,6 +469,14 @@ def test_keep_one(docs, rows):
     assert kept.columns == docs.columns and got == want
 
 
+def test_keep_one_of_texts_without_an_id_and_with_one_id(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(None, text("a"), "s"), (None, text("b"), "s"), (None, text("a"), "t"), (7, text("c"), "s"), (7, text("d"), "s")]
+    rows += [(None, text("e"), "s"), (3, text("e") + " more", "s"), (None, "short one", "s")]
+    got = Counter((r.doc_id, r.text) for r in jaccard.keep_one(table(spark, rows)).collect())
+    assert got == Counter([(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (3, text("e") + " more"), (None, "short one")])
+
+
 # -- packing --------------------------------------------------------------------------------
 
 
