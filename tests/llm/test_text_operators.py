@@ -252,6 +252,24 @@ def test_ranks_give_the_ids_of_the_tokenizers_file(sf_dir, spark):
     assert [encoded(t)[:-1] for t in texts] == [reference.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_added_tokens_are_encoded_as_in_the_tokenizers_file(spark):
+    import numpy as np
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext| >", "<|ENDOFTEXT|>", "", "it's"]
+    want = [reference.encode(t, add_special_tokens=False).ids for t in texts]
+    flat, before = tokens.encode(pa.array(texts))
+    assert [x.tolist() for x in np.split(flat, before[1:-1])] == want
+    assert want[0] == [64, 220, 50256, 275]
+    pieces = packing.pack(table(spark, [(1, texts[0], "s")])).collect()
+    assert [r.doc_tokens for r in pieces] == [len(want[0]) + 1]
+    ordered = sequences.training_order(table(spark, [(1, texts[0], "s")])).collect()
+    assert np.frombuffer(ordered[0].ids, tokens.id_type())[:5].tolist() == [*want[0], tokens.END]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000])
 def test_feistel_is_a_permutation(size):
     import numpy as np
