@@ -47,6 +47,10 @@ PERCENT = 80
 GROWTH = (0.0, 0.08)
 #: Names in a chunk of texts that are compared in one task, about.
 CHUNK = 1 << 18
+#: Sets in such a chunk, about: bounds the table of pairs of two chunks, however short the sets are.
+SETS = 2048
+#: Rows of that table that are made at once.
+ROWS = 512
 
 
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -215,7 +219,7 @@ def chunk_pairs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes with their chunk, pairs of chunks (a, b) with the nodes to compare in each).
 
     A node's label is the least node that it or what it meets has met; the nodes of a label are
-    dealt to as many chunks as their names fill. Every node is compared inside its chunk, and in
+    dealt to as many chunks as their names or their number fill. Every node is compared inside its chunk, and in
     a pair of chunks if it meets a node of the other chunk at a name that one of them asks for.
     """
     at = ["level", "name"]
@@ -225,7 +229,8 @@ def chunk_pairs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     near = meeting.groupBy("node").agg(F.min("hub").alias("near"))
     hubs = meeting.select(*at, "node").join(near, "node").groupBy(*at).agg(F.min("near").alias("far"))
     labels = meeting.select(*at, "node", "n").join(hubs, at).groupBy("node").agg(F.min("far").alias("label"), F.max("n").alias("n"))
-    chunks = labels.groupBy("label").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
+    filled = F.ceil(F.greatest(F.sum("n") / CHUNK, F.count(F.lit(1)) / SETS))
+    chunks = labels.groupBy("label").agg(filled.alias("chunks"))
     chunk = F.xxhash64("label", F.pmod(F.xxhash64("node"), "chunks"))
     nodes = staged(labels.join(chunks, "label").select("node", chunk.alias("chunk")), "jaccard-nodes")
     placed = meeting.select(*at, "node", "asks").join(nodes, "node")
@@ -254,22 +259,23 @@ def local_components(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def overlaps(name: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
-    """Shared names of every two of ``count`` sets."""
+def overlaps(name: np.ndarray, owner: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Shared names of every two of ``count`` sets, ``ROWS`` sets at a time: (first set, table)."""
     _, column, times = np.unique(name, return_inverse=True, return_counts=True)
     keep = times[column] > 1
     number = np.cumsum(times > 1) - 1
     column, owner = number[column[keep]], owner[keep]
-    total = np.zeros((count, count), np.float32)
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
     width = 4096
-    for cut in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        lo, hi = np.searchsorted(column, [cut, cut + width])
-        part = np.zeros((count, width), np.float32)
-        part[owner[lo:hi], column[lo:hi] - cut] = 1
-        total += part @ part.T
-    return total.astype(np.int64)
+    for first in range(0, count, ROWS):
+        total = np.zeros((min(ROWS, count - first), count), np.float32)
+        for cut in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            lo, hi = np.searchsorted(column, [cut, cut + width])
+            part = np.zeros((count, min(width, int(column[-1]) + 1 - cut)), np.float32)
+            part[owner[lo:hi], column[lo:hi] - cut] = 1
+            total += part[first : first + ROWS] @ part.T
+        yield first, total
 
 
 def verify(docs: DataFrame, scanned: DataFrame, classes: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int,
@@ -294,13 +300,21 @@ def verify(docs: DataFrame, scanned: DataFrame, classes: DataFrame, nodes: DataF
         size = table.column("size").to_numpy()[which]
         side = table.column("chunk").to_numpy()[which]
         n = np.array([len(x) // 8 for x in names], np.int64)
-        both = overlaps(np.frombuffer(b"".join(names), np.uint64), np.repeat(np.arange(len(n)), n), len(n))
-        linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
-        if table.column("a")[0] != table.column("b")[0]:
-            linked &= side[:, None] != side[None, :]  # pairs inside a chunk are another pair's
-        np.fill_diagonal(linked, False)
-        links = linked @ size
-        root = node[local_components(len(node), *np.nonzero(linked))]
+        across = table.column("a")[0] != table.column("b")[0]
+        links, label = np.zeros(len(n), np.int64), np.arange(len(n))
+        for first, both in overlaps(np.frombuffer(b"".join(names), np.uint64), np.repeat(np.arange(len(n)), n), len(n)):
+            # Shared names are whole and below 2**24; sums of 64 bits, for the sets that share any.
+            i, j = np.nonzero(both)
+            shared = both[i, j].astype(np.int64)
+            i += first
+            linked = (100 * shared >= percent * (n[i] + n[j] - shared)) & (i != j)
+            if across:
+                linked &= side[i] != side[j]  # pairs inside a chunk are another pair's
+            i, j = i[linked], j[linked]
+            np.add.at(links, i, size[j])
+            every = np.arange(len(n))
+            label = local_components(len(n), np.append(i, every), np.append(j, label))
+        root = node[label]
         keep = links > 0
         return pa.table([pa.array(x[keep], pa.int64()) for x in (node, root, links)], ["node", "root", "links"])
 

@@ -480,6 +480,27 @@ def test_jaccard_components(docs, rows, monkeypatch, words, percent, chunk):
     assert collected(jaccard.jaccard_components(docs, words, percent)) == brute_components(rows, words, percent)
 
 
+def test_chunks_are_bounded_by_their_number_of_sets(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(jaccard, "SETS", 40)
+    monkeypatch.setattr(jaccard, "ROWS", 16)
+    # Nodes that meet at one name: many short sets of one label.
+    found = spark.range(600).selectExpr("0L level", "5L name", "id node", "4L n", "true asks")
+    nodes, pairs = jaccard.chunk_pairs(found)
+    sizes = [r["count"] for r in nodes.groupBy("chunk").count().collect()]
+    assert sum(sizes) == 600 and max(sizes) <= 2 * 40
+    assert max(r["count"] for r in pairs.groupBy("a", "b").count().collect()) <= 4 * 40
+    sets = [set(np.random.default_rng(i).integers(0, 60, 20).tolist()) for i in range(70)]
+    name = np.array([x for s in sets for x in s], np.uint64)
+    owner = np.repeat(np.arange(70), [len(s) for s in sets])
+    blocks = list(jaccard.overlaps(name, owner, 70))
+    assert max(len(b) for _, b in blocks) <= 16 and [f for f, _ in blocks] == [0, 16, 32, 48, 64]
+    assert np.concatenate([b for _, b in blocks]).tolist() == [[len(a & b) for b in sets] for a in sets]
+    short = [(i, f"click here to read more about X{i // 2}", "s") for i in range(120)]
+    assert collected(jaccard.jaccard_components(table(spark, short), 4, 85)) == brute_components(short, 4, 85)
+
+
 def test_keep_one(docs, rows):
     kept = jaccard.keep_one(docs)
     want = Counter(r[1] for r in {(r[0], r[2]) for r in brute_components(rows, 5, 80) if r[1] and r[0] == r[2]})
