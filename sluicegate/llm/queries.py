@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm import curve_shards, jaccard, licenses, lm, mixing, packing, quality, sequences, substrings, topk
+from sluicegate.workspace import staging_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,10 +108,11 @@ def op8_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every training sequence at its slot, with a checksum of its ids as they stand in the shard."""
-    ordered = sequences.training_order(_table(spark, sf_dir, "documents"))
-    return ordered.select(
-        "doc_id", "part", "n_tokens", "number", "slot", "shard", "offset", F.crc32("ids").alias("ids_crc32")
+    """Every training sequence at its slot, with a checksum of its ids as they stand in the written shard."""
+    path = staging_path(spark, "training-order")
+    index = sequences.write_order(sequences.training_order(_table(spark, sf_dir, "documents")), path)
+    return sequences.checksums(index, path).select(
+        "doc_id", "part", "n_tokens", "number", "slot", "shard", "offset", "ids_crc32"
     )
 
 

@@ -4,30 +4,36 @@ Documents are tokenised and cut into sequences of a fixed length, the last one p
 sequences are numbered from 0 without gaps, and a keyed Feistel permutation of these numbers
 gives each its slot in training order, without sorting by random numbers and without a table:
 the slot of a sequence, and the sequence of a slot, can be computed by anyone with the key.
-Slots are cut into shards of equal length; a shard is written in slot order with the same
-number of bytes for every sequence, so reading can stop after any slot and go on there.
+Slots are cut into shards of equal length; a shard is one raw file of its sequences' ids in slot
+order, the same number of bytes for every sequence, so reading can stop after any slot and go on
+there by seeking. An index of what stands in each slot lies beside the shards, as Parquet. A shard
+appears under its name only when it is whole.
 
 Defined results: a null or empty text is one sequence with its end token; repeated rows are
 sequences of their own; an empty table gives no sequence; a null ``doc_id`` stays null; other
 columns are neither read nor returned.
 
 Shape: texts are tokenised once, to a staged table; numbering needs the row counts of its
-partitions only. Token ids cross the network once, to range partitions of slots, which are
-even because slots are dense.
+partitions only. Token ids cross the network once, to one partition per shard; these are even
+because slots are dense. Shards are written by the workers to a folder that all of them reach
+(``staging.file_system``).
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluicegate.llm import tokens
 from sluicegate.llm.packing import batches_by_bytes
-from sluicegate.llm.staging import arrow_map, staged
+from sluicegate.llm.staging import arrow_map, file_system, staged
 from sluicegate.llm.words import mix
 
 LENGTH = 512
@@ -129,27 +135,120 @@ def training_order(
 ) -> DataFrame:
     """Every sequence at its place: doc_id, part, n_tokens, ids, number, slot, shard, offset.
 
-    ``offset`` is the first byte of the sequence in its shard. Rows are range-partitioned and
-    sorted by slot.
+    ``offset`` is the first byte of the sequence in its shard. A partition is a shard, sorted by
+    slot.
     """
     cut = cut_sequences(docs, length, vocabulary).withColumn("_at", F.monotonically_increasing_id())
-    placed = assign_slots(staged(cut, "sequences"), key)
+    rows = staged(cut, "sequences", "zstd")
+    shards = max(1, -(-rows.count() // per_shard))
+    placed = assign_slots(rows, key)
     stride = np.dtype(tokens.id_type(vocabulary)).itemsize * length
     return (
         placed.withColumn("shard", F.expr(f"slot div {per_shard}").cast("int"))
         .withColumn("offset", F.col("slot") % per_shard * stride)
-        .repartitionByRange("slot")
+        .repartitionById(shards, F.col("shard"))
         .sortWithinPartitions("slot")
     )
 
 
-def write_order(ordered: DataFrame, path: str) -> None:
-    """Write the sequences, one folder per shard, in slot order."""
-    ordered.write.partitionBy("shard").parquet(path)
+def shard_file(folder: str, shard: int) -> str:
+    return f"{folder}/shards/{shard:08d}.ids"
+
+
+def write_order(ordered: DataFrame, path: str) -> DataFrame:
+    """Write the shards and the index of ``training_order``; returns the index, without ids."""
+    kept = [c for c in ordered.columns if c != "ids"]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, folder = file_system(path)
+        files.create_dir(f"{folder}/shards", recursive=True)
+        shard = out = temporary = None
+        size = 0
+
+        def close() -> None:
+            out.close()
+            files.move(temporary, shard_file(folder, shard))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            shards, offsets = (batch.column(c).to_numpy() for c in ("shard", "offset"))
+            cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+            ids = batch.column("ids")
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if shards[a] != shard:
+                    if out:
+                        close()
+                    shard, size = int(shards[a]), 0
+                    temporary = f"{folder}/shards/_{shard:08d}-{uuid.uuid4().hex}"
+                    out = files.open_output_stream(temporary, compression=None)
+                data = b"".join(ids.slice(a, b - a).to_pylist())
+                stride = len(data) // (b - a)
+                if (offsets[a:b] != size + stride * np.arange(b - a)).any():
+                    raise ValueError(f"shard {shard}: sequences out of place")
+                out.write(data)
+                size += len(data)
+            columns = [batch.column(c) for c in kept]
+            stride = pa.array(pc.binary_length(ids), pa.int32())
+            yield pa.RecordBatch.from_arrays([*columns, stride], [*kept, "stride"])
+        if out:
+            close()
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in ordered.dtypes if c != "ids") + ", stride int"
+    index = arrow_map(ordered, write, schema)
+    index.write.parquet(f"{path}/index")
+    return ordered.sparkSession.read.schema(index.schema).parquet(f"{path}/index")
+
+
+def read_shards(wanted: DataFrame, path: str, columns: str, value) -> DataFrame:
+    """``wanted`` (with shard, offset and stride) and a column made by ``value`` of each sequence's bytes.
+
+    ``columns`` names and types all columns of the result.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, folder = file_system(path)
+        shard = source = None
+        for batch in batches:
+            places = zip(*(batch.column(c).to_pylist() for c in ("shard", "offset", "stride")), strict=True)
+            found = []
+            for at, offset, stride in places:
+                if at != shard:
+                    if source:
+                        source.close()
+                    shard, source = at, files.open_input_file(shard_file(folder, at))
+                source.seek(offset)
+                data = source.read(stride)
+                if len(data) != stride:
+                    raise ValueError(f"shard {at} ends before byte {offset + stride}")
+                found.append(value(data))
+            names = [c.split()[0] for c in columns.split(", ")]
+            kind = pa.binary() if columns.endswith("binary") else pa.int64()
+            arrays = [batch.column(c) for c in names[:-1]]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, kind)], names)
+        if source:
+            source.close()
+
+    return arrow_map(wanted, read, columns)
+
+
+def checksums(index: DataFrame, path: str) -> DataFrame:
+    """The index with ids_crc32, the checksum of each sequence's bytes as they stand in its shard."""
+    columns = ", ".join(f"{c} {t}" for c, t in index.dtypes)
+    return read_shards(index, path, f"{columns}, ids_crc32 bigint", zlib.crc32).drop("stride")
 
 
 def read_from(spark: SparkSession, path: str, slot: int, count: int, per_shard: int = PER_SHARD) -> DataFrame:
-    """The sequences of ``count`` slots from ``slot`` on; only the shards that hold them are read."""
-    first, last = slot // per_shard, (slot + count - 1) // per_shard
-    rows = spark.read.parquet(path).where(F.col("shard").between(first, last))
-    return rows.where(F.col("slot").between(slot, slot + count - 1)).orderBy("slot")
+    """slot, shard, offset and ids of ``count`` slots from ``slot`` on, by seeking in their shards."""
+    index = spark.read.parquet(f"{path}/index")
+    one = index.select("stride").first()
+    stride = one[0] if one else 0
+    end = min(slot + count, index.count())
+    places = spark.range(slot, max(slot, end), 1, max(1, -(-count // per_shard))).select(
+        F.col("id").alias("slot"),
+        F.expr(f"id div {per_shard}").cast("int").alias("shard"),
+        (F.col("id") % per_shard * stride).alias("offset"),
+        F.lit(stride).alias("stride"),
+    )
+    ids = read_shards(places, path, "slot bigint, shard int, offset bigint, ids binary", bytes)
+    return ids.orderBy("slot")

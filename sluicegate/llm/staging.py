@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sluicegate.workspace import staging_path
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
     What follows reads the table instead of computing it anew, and a lost executor loses
@@ -19,10 +19,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_system(path: str):
+    """The Arrow file system of a folder and its path there, for raw files of the shared folder."""
+    from pyarrow import fs
+
+    if path.startswith("s3a://"):
+        path = path.replace("s3a://", "s3://", 1)
+    elif path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session, as a number to size groups by."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

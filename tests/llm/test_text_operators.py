@@ -301,6 +301,29 @@ def test_training_order_holds_every_token_and_resumes(spark, docs, rows, tmp_pat
     assert [(r.slot, r.ids) for r in again] == [(r.slot, r.ids) for r in got[45:75]]
 
 
+def test_shards_are_raw_files_of_a_fixed_stride(spark, docs, tmp_path):
+    import numpy as np
+
+    ordered = sequences.training_order(docs, length=64, per_shard=50, key=3)
+    got = ordered.collect()
+    index = sequences.write_order(ordered, f"file://{tmp_path}/order")
+    files = sorted((tmp_path / "order" / "shards").iterdir())
+    assert [f.name for f in files] == [f"{i:08d}.ids" for i in range(-(-len(got) // 50))]
+    stride = 64 * np.dtype(tokens.id_type()).itemsize
+    assert [f.stat().st_size for f in files] == [min(50, len(got) - 50 * i) * stride for i in range(len(files))]
+    for r in got:
+        with open(files[r.shard], "rb") as file:
+            file.seek(r.offset)
+            assert file.read(stride) == r.ids
+    sums = {r.slot: r.ids_crc32 for r in sequences.checksums(index, f"file://{tmp_path}/order").collect()}
+    assert sums == {r.slot: zlib.crc32(r.ids) for r in got}
+    files[1].write_bytes(b"\0" * files[1].stat().st_size)  # what is read is the shard, not the table
+    again = sequences.read_from(spark, f"file://{tmp_path}/order", 45, 10, per_shard=50).collect()
+    assert [r.ids for r in again] == [r.ids for r in got[45:50]] + [b"\0" * stride] * 5
+    last = sequences.read_from(spark, f"file://{tmp_path}/order", len(got) - 3, 10, per_shard=50).collect()
+    assert [r.slot for r in last] == [len(got) - 3, len(got) - 2, len(got) - 1]
+
+
 # -- license scan ---------------------------------------------------------------------------
 
 
