@@ -1,7 +1,7 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every source is a flow. Its documents are put in a random, repeatable order, up to three rounds
-of them after another, and each copy gets a virtual finish time: the tokens of its source up to
+Every source is a flow. Its documents are put in a random order that depends on their ids and
+texts only, not on how the input was split or ordered, up to three rounds of them after another, and each copy gets a virtual finish time: the tokens of its source up to
 and with it, divided by the source's target. All flows are merged in order of finish time and
 the merged list is cut at the total budget, which all sources reach at time 1, so that at any
 point of it the sources stand in the proportion of their targets. A copy that would end after
@@ -81,8 +81,8 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = 1.0, most: int = R
 
 
 def queue(sized: DataFrame, goals: DataFrame, seed: int = 0, rounds: int = ROUNDS) -> DataFrame:
-    """Every copy of every document with its finish time: doc_id, row, source, size, round, finish."""
-    place = F.xxhash64(F.lit(seed), "doc_id", "row")
+    """Every copy of every document with its finish time: doc_id, text_hash, row, source, size, round, place, finish."""
+    place = F.xxhash64(F.lit(seed), "doc_id", "text_hash")
     flow = (
         sized.where("size > 0")
         .withColumn("place", place)
@@ -94,14 +94,14 @@ def queue(sized: DataFrame, goals: DataFrame, seed: int = 0, rounds: int = ROUND
     starts = starts.join(goals, starts.source.eqNullSafe(goals.source), "inner").select(
         starts.source.alias("of"), F.col("slice").alias("in_slice"), "start", "source_size", "target"
     )
-    inside = Window.partitionBy("source", "slice").orderBy("place", "doc_id", "row")
+    inside = Window.partitionBy("source", "slice").orderBy("place", "doc_id", "text_hash", "row")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordered = flow.withColumn("within", F.sum("size").over(inside))
     joined = ordered.join(starts, ordered.source.eqNullSafe(F.col("of")) & (F.col("slice") == F.col("in_slice")))
     passed = F.col("round") * F.col("source_size") + F.col("start") + F.col("within")
     return (
         joined.withColumn("round", F.explode(F.array(*(F.lit(i) for i in range(rounds)))))
-        .select("doc_id", "row", "source", "size", "round", "place", (passed / F.col("target")).alias("finish"))
+        .select("doc_id", "text_hash", "row", "source", "size", "round", "place", (passed / F.col("target")).alias("finish"))
         .where("finish <= 1")
     )
 
@@ -119,7 +119,7 @@ def schedule(queued: DataFrame, budget: float) -> DataFrame:
     starts = per_slice.select("slice", F.coalesce(F.sum("slice_size").over(before), F.lit(0)).alias("start"))
     # At most TIME_SLICES + 1 rows.
     starts = F.broadcast(starts.where(F.col("start") < budget))
-    order = Window.partitionBy("slice").orderBy("finish", F.col("source").asc_nulls_last(), "round", "place", "row")
+    order = Window.partitionBy("slice").orderBy("finish", F.col("source").asc_nulls_last(), "round", "place", "doc_id", "text_hash", "row")
     upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("start")
     return sliced.join(starts, "slice").withColumn("upto", upto).where(F.col("upto") <= budget)
 

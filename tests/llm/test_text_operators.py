@@ -462,6 +462,13 @@ def test_mix(docs, rows):
     assert sum(len(words_of(r.text)) for r in mixed.collect()) == sum(taken.values())
 
 
+def test_mix_does_not_depend_on_the_split_or_order_of_its_input(spark, rows):
+    docs = table(spark, rows)
+    taken = lambda df: sorted(((r.doc_id, r.source, r.text_hash, r.taken) for r in mixing.mix(df).collect()), key=repr)
+    want = taken(docs.coalesce(1))
+    assert taken(docs.repartition(7)) == want and taken(table(spark, rows[::-1])) == want
+
+
 def test_mix_when_small_sources_are_full(spark):
     rows = [(i, "w " * (5 if i % 2 else 300), "ab"[i % 2]) for i in range(40)]
     got = {r.source: r.target for r in mixing.mix(table(spark, [*rows, (99, None, "c"), (98, "x", None)])).collect()}
