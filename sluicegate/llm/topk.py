@@ -7,8 +7,9 @@ norms, and candidates that can no longer reach the k-th best are compacted away.
 
 Defined results: vectors that are null or hold a null, NaN or infinite component take no part;
 ties go to the smaller id; only vectors of one length are compared; repeated rows count once,
-and an id that stands for several vectors counts with the first of them in array order; a null
-id takes no part; an empty table gives an empty result; other columns are neither read nor
+and an id that stands for several vectors counts with the first of them in array order
+(``every_row`` keeps them all, as the query's SQL does: a row is compared with those of other ids,
+and the best k of a query id are those of all its rows); a null id takes no part; an empty table gives an empty result; other columns are neither read nor
 returned.
 
 Shape: candidates and queries are cut into blocks by hash, and each pair of a query block and a
@@ -32,18 +33,20 @@ DIMENSIONS = 8
 _LARGEST = 2**26
 
 
-def whole_numbers(vectors: DataFrame, vector: str = "embedding", scale: int = 256) -> DataFrame:
-    """vec_id and v: floor(scale * x) of every component x, for the vectors that take part."""
+def whole_numbers(
+    vectors: DataFrame, vector: str = "embedding", scale: int = 256, every_row: bool = False
+) -> DataFrame:
+    """vec_id and v: floor(scale * x) of every component x, for the vectors that take part.
+
+    One vector per id, or with ``every_row`` all of them.
+    """
     finite = F.forall(
         vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != F.lit(float("inf")))
     )
     numbers = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
-    return (
-        vectors.where(F.col(vector).isNotNull() & F.col("vec_id").isNotNull())
-        .where(finite)
-        .groupBy("vec_id")
-        .agg(F.min(numbers).alias("v"))
-    )
+    whole = vectors.where(F.col(vector).isNotNull() & F.col("vec_id").isNotNull()).where(finite)
+    whole = whole.select("vec_id", numbers.alias("v"))
+    return whole if every_row else whole.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def branch_and_bound(
@@ -68,13 +71,30 @@ def branch_and_bound(
     return alive[best], score[best]
 
 
+def search_large(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int):
+    """The k best candidates of each query in whole numbers: of 64 bits where they hold every score, else Python's."""
+    largest = [max(abs(int(x.max())), abs(int(x.min()))) for x in (q, c)]
+    kind = np.int64 if largest[0] * largest[1] * q.shape[1] < 2**63 else object
+    q, c = q.astype(kind), c.astype(kind)
+    found = []
+    for query, own in zip(q, q_ids, strict=True):
+        others = np.flatnonzero(c_ids != own)
+        scores = c[others] @ query
+        order = np.lexsort((c_ids[others], -scores)) if kind is np.int64 else sorted(
+            range(len(others)), key=lambda i: (-scores[i], c_ids[others[i]])
+        )
+        found += [(own, c_ids[others[i]], scores[i]) for i in order[:k]]
+    # An int64 refuses a score beyond 64 bits, as BIGINT does.
+    return tuple(np.array([int(row[i]) for row in found], np.int64) for i in range(3))
+
+
 def search_block(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int, step: int = DIMENSIONS):
     """The k best candidates of each query of a block: query ids, candidate ids, scores."""
     width = np.argsort(-(c.astype(np.float64) ** 2).sum(axis=0), kind="stable")
     columns = np.ascontiguousarray(c[:, width].T, np.float64)
-    q = q[:, width].astype(np.float64)
+    q_whole, q = q, q[:, width].astype(np.float64)
     if columns.size and q.size and max(abs(columns).max(), abs(q).max()) > _LARGEST / max(1, len(columns)) ** 0.5:
-        raise ValueError("components too large for exact scores")
+        return search_large(q_whole, q_ids, c, c_ids, k)
     squares = np.add.reduceat(columns**2, np.arange(0, len(columns), step), axis=0) if columns.size else columns
     left = np.sqrt(np.append(np.cumsum(squares[::-1], axis=0)[::-1], np.zeros((1, len(c_ids))), axis=0))
     found = [branch_and_bound(q[i], columns, left, c_ids, q_ids[i], k, step) for i in range(len(q))]
@@ -92,8 +112,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, candidates: int = CA
     sized = vectors.select("vec_id", "v", is_query.alias("asks"))
     counts = sized.agg(F.count(F.lit(1)), F.count_if("asks")).first()
     blocks, asking = max(1, -(-counts[0] // candidates)), max(1, -(-counts[1] // queries))
-    mine = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    mine_asking = F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(asking)).cast("int")
+    mine = F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")
+    mine_asking = F.pmod(F.xxhash64(F.lit(1), "vec_id", "v"), F.lit(asking)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     sides = sized.select("vec_id", "v", F.lit(False).alias("asks"), mine.alias("c"), all_of(asking).alias("q")).union(
         sized.where("asks").select("vec_id", "v", "asks", all_of(blocks).alias("c"), mine_asking.alias("q"))

@@ -85,6 +85,19 @@ def test_top_k(spark, block):
     assert sorted(tuple(r) for r in found.collect()) == brute_top(rows)
 
 
+def test_query_of_large_vectors_and_repeated_ids_matches_sql(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(16)]) for i in range(60)]
+    rows += [(60, [3e6] + [0.1] * 15), (61, [-40000.0] * 16), (100, [1e6, 2.0] * 8)]
+    rows += [(50, [0.5] * 16), (50, [0.5] * 16), (3, [0.9] * 16), (3, [0.8] * 16), rows[7]]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    got = QUERIES["op7_exact_top_k"](spark, str(tmp_path))
+    want = con.execute(ORACLE_SQL["op7_exact_top_k"]).fetchall()
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(topk.whole_numbers(df), F.col("vec_id") % 50 == 0).count() == 0
