@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import curve_shards, jaccard, licenses, lm, mixing, packing, quality, sequences, substrings, topk
+from sluicegate.llm import (
+    curve_shards,
+    fim,
+    jaccard,
+    licenses,
+    lm,
+    merkle,
+    mixing,
+    packing,
+    quality,
+    sequences,
+    substrings,
+    topk,
+    toxicity,
+)
 from sluicegate.workspace import staging_path
 
 
@@ -151,6 +165,117 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-the-middle form, and digests of its output and of what it restores to."""
+    return fim.digests(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS h FROM documents),
+k AS (SELECT doc_id, t, n, CAST('0x' || substring(h, 1, 8) AS BIGINT) % (n + 1) AS a,
+             CAST('0x' || substring(h, 9, 8) AS BIGINT) % (n + 1) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                       OR CAST('0x' || substring(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+                  WHEN CAST('0x' || substring(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+c AS (SELECT *, least(a, b) AS p, greatest(a, b) AS m FROM k),
+s AS (SELECT *, substring(t, 1, p) AS prefix, substring(t, p + 1, m - p) AS middle, substring(t, m + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN m - p END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's leaf, its proof and whether it still folds to the dataset's root after tampering."""
+    return merkle.verify(merkle.proofs(merkle.build(_table(spark, sf_dir, "documents"))))
+
+
+def _merkle_sql(depth: int = 6) -> str:
+    """Levels, proofs and folds of trees of up to 16 ** depth leaves, one clause per level."""
+    written = "coalesce(CAST(strlen({0}) AS VARCHAR) || ':' || {0}, '-')"
+    number = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+    head = " || ".join([number.format("doc_id"), written.format("source"), written.format("lang"), number.format("n_chars")])
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    shift = "(x >> 1)" "::BIGINT"
+    bit = "xor(x >> 1, (x & 1) * 3988292384::BIGINT)"
+    eight = "list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: " + bit + ")"
+    parts = [
+        f"""
+r AS (SELECT *, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+      FROM documents),
+z AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda crc, byte: {eight}), 4294967295::BIGINT) AS crc
+      FROM r),
+leaf AS (SELECT doc_id, source, sha256({head} || {written.format("text")}) AS digest,
+                CASE WHEN crc % 5 = 0 THEN sha256({head} || {written.format(lowered)}) END AS tampered FROM z),
+s0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest, rowid_) - 1 AS slot,
+              count(*) OVER (PARTITION BY source) AS n, {written.format("source")} AS tree
+       FROM (SELECT *, row_number() OVER () AS rowid_ FROM leaf))"""
+    ]
+
+    def above(prefix: str) -> None:
+        for k in range(1, depth + 1):
+            parts.append(
+                f"{prefix}{k} AS (SELECT tree, slot // 16 AS slot, (any_value(n) + 15) // 16 AS n, "
+                f"CASE WHEN any_value(n) > 1 THEN sha256(string_agg(digest, '' ORDER BY slot)) ELSE any_value(digest) END AS digest "
+                f"FROM {prefix}{k - 1} GROUP BY tree, slot // 16)"
+            )
+
+    above("s")
+    parts.append(
+        f"""
+t0 AS (SELECT 'root' AS tree, s.tree AS source_tree, s.digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS slot,
+              count(*) OVER () AS n
+       FROM s{depth} AS s JOIN (SELECT DISTINCT tree, source FROM s0) AS names ON names.tree = s.tree)"""
+    )
+    above("t")
+
+    def sides(prefix: str, carried: str) -> None:
+        for k in range(depth):
+            parts.append(
+                f"{prefix}p{k} AS (SELECT tree, slot, digest, {carried if not k else ''} n, "
+                "CASE WHEN n > 1 THEN coalesce(string_agg(digest, '' ) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS l, "
+                "CASE WHEN n > 1 THEN coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS r "
+                f"FROM {prefix}{k} WINDOW w AS (PARTITION BY tree, slot // 16 ORDER BY slot))"
+            )
+
+    sides("s", "doc_id, tampered,")
+    sides("t", "source_tree,")
+    joins = [f"s0.n AS n0, s0.l AS l0, s0.r AS r0, {', '.join(f's{k}.n AS n{k}, s{k}.l AS l{k}, s{k}.r AS r{k}' for k in range(1, depth))}"]
+    joins.append(", ".join(f"t{k}.n AS n{depth + k}, t{k}.l AS l{depth + k}, t{k}.r AS r{depth + k}" for k in range(depth)))
+    source = "FROM sp0 AS s0 "
+    for k in range(1, depth):
+        source += f"JOIN sp{k} AS s{k} ON s{k}.tree = s0.tree AND s{k}.slot = s0.slot // {16**k} "
+    source += "JOIN tp0 AS t0 ON t0.source_tree = s0.tree "
+    for k in range(1, depth):
+        source += f"JOIN tp{k} AS t{k} ON t{k}.slot = t0.slot // {16**k} "
+    parts.append(
+        f"f0 AS (SELECT s0.doc_id, s0.digest AS leaf, t0.digest AS subroot, coalesce(s0.tampered, s0.digest) AS node, "
+        f"'' AS proof, {', '.join(joins)} {source})"
+    )
+    for k in range(2 * depth):
+        parts.append(
+            f"f{k + 1} AS (SELECT * REPLACE (CASE WHEN n{k} > 1 THEN sha256(l{k} || node || r{k}) ELSE node END AS node, "
+            f"proof || l{k} || r{k} AS proof) FROM f{k})"
+        )
+    last = 2 * depth
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, "
+        f"node AS folded_root, node = t.digest AS verified FROM f{last}, t{depth} AS t"
+    )
+
+
+OP12_SQL = _merkle_sql()
+
+
+def op13_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by the marginals of its tokens, and the places that offend."""
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_model": op2_language_model,
@@ -162,10 +287,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fair_queue_mix": op8_fair_queue_mix,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_packed_sequences": op10_packed_sequences,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_toxic_spans": op13_toxic_spans,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
     "op7_exact_top_k": OP7_SQL,
+    "op11_fill_in_middle": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
