@@ -1,18 +1,18 @@
 """Fill-in-the-middle texts, put together from pieces by a secondary sort.
 
 Every text is cut at two places drawn from its id and emitted as pieces of at most ``chunk``
-code points, keyed by document and by place in the output. ``repartitionAndSortWithinPartitions``
-brings the pieces of a document together in output order, where they stream into a digest or a
-new text. Restoring reads the output only: the sentinels in it say which part a piece belongs to,
-the pieces get the place that part has in the source, and are sorted once more. The second sort
-keeps the partitioning of the first, so it moves nothing between executors.
+code points, keyed by document and by place in the output. Repartitioned by document and sorted
+within partitions by place (``repartitionAndSortWithinPartitions``, in its DataFrame form), the
+pieces of a document stream into a digest or a new text. Restoring reads the output only: the
+sentinels in it say which part a piece belongs to, the pieces get the place that part has in the
+source, and are sorted within their partition once more, without a second shuffle.
 
 Defined results: a null text is empty, and an empty text stays plain; a null id is hashed as
-``-``; very long texts are cut into pieces like all others, a task sorts pieces and spills them,
-so only the row itself is ever held whole by a digest; repeated rows and rows that share an id
-are documents of their own, also on a retry, because a document is known by its content, its
-input partition and its count there; an empty table gives no rows; other columns are neither
-read nor returned.
+``-``; very long texts are cut into pieces like all others, and sorts spill, so that a digest
+never holds more than a batch of pieces (the new text of :func:`assemble` is a row, like its
+source); repeated rows and rows that share an id are documents of their own, also on a retry,
+because a document is known by its content, its input partition and its count there; an empty
+table gives no rows; other columns are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -20,19 +20,20 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import groupby, islice
 
-from pyspark import RDD
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from sluicegate.llm.staging import ship, shuffle_partitions
+from sluicegate.llm.staging import arrow_map
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SENTINELS = (PREFIX, SUFFIX, MIDDLE)
 #: The parts in the order they have in the source, and in the output by form.
 SOURCE_ORDER = {PREFIX: 0, MIDDLE: 1, SUFFIX: 2}
 FORMS = {"psm": (PREFIX, SUFFIX, MIDDLE), "spm": (SUFFIX, PREFIX, MIDDLE)}
-HEAD = -1  # the place of a document's own record, before its pieces
+HEAD = -1  # the part of a document's own row, before its pieces
 
 
 @dataclass(frozen=True)
@@ -73,107 +74,127 @@ def output_pieces(text: str, form: str, first: int | None, last: int | None, chu
             lead = ""
 
 
-def pieces(docs: DataFrame, plan: Plan = Plan()) -> RDD:
-    """((document, place in the output), piece) of all rows, and each document's head record.
+HEAD_COLUMNS = "doc_id long, n long, form string, prefix_chars long, middle_chars long"
+PIECES = f"document binary, place long, piece string, {HEAD_COLUMNS}"
+RETURNED = f"document binary, part int, place long, piece string, {HEAD_COLUMNS}, output_sha256 string"
+NO_HEAD = (None,) * 5
+ROWS_AT_ONCE = 1000
 
-    The head is (doc_id, n, form, prefix_chars, middle_chars).
-    """
-    ship(docs.sparkSession)
 
-    def of_partition(part: int, rows: Iterable) -> Iterator:
+def _types(schema: str) -> pa.Schema:
+    kinds = {"binary": pa.binary(), "long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in schema.split(","))])
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
+def _batches(rows: Iterable[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    types, rows = _types(schema), iter(rows)
+    while some := list(islice(rows, ROWS_AT_ONCE)):
+        columns = [pa.array(values, kind) for values, kind in zip(zip(*some, strict=True), types.types, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, schema=types)
+
+
+def pieces(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """All pieces: document, place in the output, piece; the first of a document has its head as well."""
+
+    def emitted(rows: Iterable[tuple]) -> Iterator[tuple]:
+        partition = TaskContext.get().partitionId().to_bytes(4, "big")
         seen: dict[bytes, int] = {}
         for doc_id, text in rows:
             text = text or ""
             content = hashlib.blake2b(f"{doc_id}:".encode() + text.encode(), digest_size=16).digest()
             seen[content] = count = seen.get(content, -1) + 1
-            document = content + part.to_bytes(4, "big") + count.to_bytes(6, "big")
+            document = content + partition + count.to_bytes(6, "big")
             form, first, last = cut(doc_id, text, plan)
-            middle = None if form == "plain" else last - first
-            yield (document, HEAD), (doc_id, len(text), form, first, middle)
+            head = doc_id, len(text), form, first, None if form == "plain" else last - first
             for place, piece in output_pieces(text, form, first, last, plan.chunk):
-                yield (document, place), piece
+                yield document, place, piece, *(NO_HEAD if place else head)
 
-    return docs.select("doc_id", "text").rdd.mapPartitionsWithIndex(of_partition)
+    return arrow_map(docs.select("doc_id", "text"), lambda batches: _batches(emitted(_rows(batches)), PIECES), PIECES)
 
 
-def by_document(key: tuple) -> int:
-    """The partition number of a piece: the content hash its document is known by."""
-    return int.from_bytes(key[0][:8], "big")
+def in_order(found: DataFrame) -> DataFrame:
+    """Pieces side by side with those of their document, in order of place."""
+    return found.repartition("document").sortWithinPartitions("document", "place")
 
 
-def in_order(found: RDD, partitions: int) -> RDD:
-    """Pieces side by side with those of their document, in order of place."""
-    return found.repartitionAndSortWithinPartitions(partitions, by_document)
+def documents_of(rows: Iterable[tuple]) -> Iterator[tuple[bytes, tuple, Iterator[tuple]]]:
+    """(document, first row, all rows) of a sorted stream; rows must be read before the next document."""
+    for document, group in groupby(rows, key=lambda row: row[0]):
+        first = next(group)
+        yield document, first, _again(first, group)
 
 
-def documents_of(stream: Iterable) -> Iterator[tuple[bytes, tuple, Iterator[str]]]:
-    """(document, head, pieces in order) of a sorted stream; pieces must be read before the next."""
-    for document, records in groupby(stream, key=lambda record: record[0][0]):
-        _, head = next(records)
-        yield document, head, (piece for _, piece in records)
+def _again(first: tuple, rest: Iterator[tuple]) -> Iterator[tuple]:
+    yield first
+    yield from rest
 
 
-def source_places(stream: Iterable) -> Iterator:
+def source_places(rows: Iterable[tuple]) -> Iterator[tuple]:
     """From the output of every document, in order: its pieces at their places in the source.
 
-    The head record grows by the digest of the output. Which part a piece belongs to is read
+    A head row before them has the digest of the output. Which part a piece belongs to is read
     from the sentinels; a transformed text holds them nowhere else.
     """
-    for document, head, output in documents_of(stream):
-        digest = hashlib.sha256()
+    for document, first, output in documents_of(rows):
+        digest, head = hashlib.sha256(), first[3:]
         part, transformed = 0, head[2] != "plain"
-        for at, piece in enumerate(output):
+        for _, at, piece, *_ in output:
             digest.update(piece.encode())
             if transformed and piece[:3] in SOURCE_ORDER:
                 part, piece = SOURCE_ORDER[piece[:3]], piece[3:]
-            yield (document, (part, at)), piece
-        yield (document, (HEAD, 0)), (*head, digest.hexdigest())
+            yield document, part, at, piece, *NO_HEAD, None
+        yield document, HEAD, 0, None, *head, digest.hexdigest()
+
+
+def there_and_back(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """Every document's head and its pieces in source order, read from its output."""
+    returned = arrow_map(
+        in_order(pieces(docs, plan)), lambda batches: _batches(source_places(_rows(batches)), RETURNED), RETURNED
+    )
+    return returned.sortWithinPartitions("document", "part", "place")
+
+
+def _per_document(stream: DataFrame, made, schema: str) -> DataFrame:
+    """One row per document of a sorted stream, by ``made`` of its first row and all of its rows."""
+
+    def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches((made(first, rows) for _, first, rows in documents_of(_rows(batches))), schema)
+
+    return arrow_map(stream, step, schema)
 
 
 def assemble(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """Every document's training text: doc_id, n, form, prefix_chars, middle_chars, output."""
-    sorted_pieces = in_order(pieces(docs, plan), shuffle_partitions(docs.sparkSession))
 
-    def joined(stream: Iterable) -> Iterator:
-        for _, head, output in documents_of(stream):
-            yield (*head, "".join(output))
+    def joined(first: tuple, rows: Iterator[tuple]) -> tuple:
+        return *first[3:], "".join(row[2] for row in rows)
 
-    schema = "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string"
-    return docs.sparkSession.createDataFrame(sorted_pieces.mapPartitions(joined), schema, verifySchema=False)
+    return _per_document(in_order(pieces(docs, plan)), joined, f"{HEAD_COLUMNS}, output string")
 
 
 def restored(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """Every document's text as it is read back from its output: doc_id, form, text."""
 
-    def joined(stream: Iterable) -> Iterator:
-        for _, head, source in documents_of(stream):
-            yield head[0], head[2], "".join(source)
+    def joined(first: tuple, rows: Iterator[tuple]) -> tuple:
+        return first[4], first[6], "".join(row[3] for row in rows if row[1] != HEAD)
 
-    both = _there_and_back(docs, plan)
-    return docs.sparkSession.createDataFrame(
-        both.mapPartitions(joined), "doc_id long, form string, text string", verifySchema=False
-    )
+    return _per_document(there_and_back(docs, plan), joined, "doc_id long, form string, text string")
 
 
 def digests(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """Every document's form, its cuts, and digests of its output and of the text read back from it."""
 
-    def hashed(stream: Iterable) -> Iterator:
-        for _, head, source in documents_of(stream):
-            digest = hashlib.sha256()
-            for piece in source:
-                digest.update(piece.encode())
-            yield (*head, digest.hexdigest())
-
-    schema = (
-        "doc_id long, n long, form string, prefix_chars long, middle_chars long, "
-        "output_sha256 string, restored_sha256 string"
-    )
-    both = _there_and_back(docs, plan)
-    return docs.sparkSession.createDataFrame(both.mapPartitions(hashed), schema, verifySchema=False)
-
+    def hashed(first: tuple, rows: Iterator[tuple]) -> tuple:
+        digest = hashlib.sha256()
+        for row in rows:
+            if row[1] != HEAD:
+                digest.update(row[3].encode())
+        return *first[4:], digest.hexdigest()
 
-def _there_and_back(docs: DataFrame, plan: Plan) -> RDD:
-    partitions = shuffle_partitions(docs.sparkSession)
-    output = in_order(pieces(docs, plan), partitions)
-    return in_order(output.mapPartitions(source_places, preservesPartitioning=True), partitions)
+    schema = f"{HEAD_COLUMNS}, output_sha256 string, restored_sha256 string"
+    return _per_document(there_and_back(docs, plan), hashed, schema)

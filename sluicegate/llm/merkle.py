@@ -190,15 +190,22 @@ def proofs(manifest: Manifest) -> DataFrame:
     none = F.array().cast(f"array<{_STEP}>")
     above = manifest.top[-1].where("n = 1").select("tree", F.col("slot").alias("run"), none.alias("path"), F.col("digest").alias("root"))
     for part in reversed(manifest.top[1:]):
-        above = _steps(part, above, ["tree", F.col("slot").alias("run")])
+        above = staged(_steps(part, above, ["tree", F.col("slot").alias("run")]), "merkle-top-paths")
     sources = _steps(manifest.top[0], above, ["source_tree", F.col("digest").alias("subroot"), "level"])
-    ends = sources.select(F.col("source_tree").alias("tree"), F.lit(0).cast("long").alias("run"), "path", "subroot", "root", "level")
+    ends = staged(
+        sources.select(
+            F.col("source_tree").alias("tree"), F.lit(0).cast("long").alias("run"), "path", "subroot", "root", "level"
+        ),
+        "merkle-subroot-paths",
+    )
     above = None
     for k in range(len(manifest.sources) - 1, -1, -1):
         last = ends.where(F.col("level") == k).drop("level")
         above = last if above is None else above.unionByName(last)
         keep = ["tree", F.col("slot").alias("run")] if k else ["doc_id", "digest", "tampered"]
         above = _steps(manifest.sources[k], above, keep)
+        if k:  # a sixteenth of the nodes below; written, so that no plan holds more than a level
+            above = staged(above, "merkle-source-paths")
     return above
 
 
