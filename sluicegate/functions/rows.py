@@ -42,17 +42,19 @@ def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.unhex(F.sha2(F.concat(*[_encoded(df, c) for c in columns]), 256))
 
 
+def has_plain_keys(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether the columns are few and of fixed width, their own best key."""
+    kinds = [df.schema[c].dataType for c in columns]
+    return len(columns) <= _MAX_PLAIN_COLUMNS and all(isinstance(kind, _FIXED_WIDTH) for kind in kinds)
+
+
 def grouping_keys(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """Columns to group by so that equal groups mean equal rows.
 
     A few fixed-width columns are their own best key; wide or text rows are grouped by
     their digest.
     """
-    kinds = [df.schema[c].dataType for c in columns]
-    plain = len(columns) <= _MAX_PLAIN_COLUMNS and all(
-        isinstance(kind, _FIXED_WIDTH) for kind in kinds
-    )
-    if plain:
+    if has_plain_keys(df, columns):
         return [df[c].alias(f"key_{i}") for i, c in enumerate(columns)]
     return [row_digest(df, columns).alias("key_0")]
 

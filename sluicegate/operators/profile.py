@@ -8,7 +8,10 @@ third of the table.
 
 from __future__ import annotations
 
+import math
+import struct
 from collections.abc import Sequence
+from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -162,140 +165,251 @@ def string_lengths(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 # --------------------------------------------------------------------------- medians
 
+#: Bits of a key that the first scan tells apart, and those that the second does.
+FIRST_BITS, SECOND_BITS = 20, 42
+#: The bits of a key that its first prefix leaves out.
+_REST = (1 << (64 - FIRST_BITS)) - 1
+#: Rows around a median from which on the second scan is made.
 MEDIAN_GROUP_LIMIT = 1_000_000
-_BRACKET = 0.0005
 
 
-def exact_medians(
-    df: DataFrame, columns: Sequence[str], group_limit: int = MEDIAN_GROUP_LIMIT
-) -> DataFrame:
-    """Exact median of each numeric column without gathering a column in one place.
-
-    Rows are counted first. While a column still has more than ``group_limit`` candidate
-    rows, an approximate percentile narrows the interval the median lies in and the rows
-    below and inside the interval are counted exactly, all columns in one scan per step.
-    Only the candidates left are grouped by value and ranked, so the ranking window has a
-    bounded size however large the table is. Nothing but the interval ends reaches the
-    driver.
+def is_exact(kind: T.DataType) -> bool:
+    """Whether values of a type are written as they are by a decimal number."""
+    return isinstance(kind, (T.IntegralType, T.DecimalType))
+
+
+def _is_wide(kind: T.DataType) -> bool:
+    return isinstance(kind, T.DecimalType) and kind.precision > 18
+
+
+def order_key(df: DataFrame, name: str) -> Column:
+    """A 64-bit number in the order of a numeric column's values; NULL for a missing one.
+
+    Different values have different keys, except decimals of more than 18 digits, which have
+    the key of the nearest floating-point number.
     """
-    columns = list(columns)
-    spark = df.sparkSession
-    values = df.select(*[present(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    counts = values.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))]).first()
-    # per column: rows present, rows below the interval, rows up to its end, interval ends
-    state = [
-        {"n": counts[i], "below": 0, "upto": counts[i], "low": None, "high": None}
-        for i in range(len(columns))
-    ]
+    kind, value = df.schema[name].dataType, present(df, name)
+    if isinstance(kind, T.IntegralType):
+        return value.cast("bigint")
+    if isinstance(kind, T.DecimalType) and not _is_wide(kind):
+        return (value * F.lit(10**kind.scale).cast(T.DecimalType(kind.scale + 1, 0))).cast("bigint")
+    # the bits of a positive double are in its order, those of a negative one in the opposite
+    plain = value.cast("double") + F.lit(0.0)  # one zero
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), plain).cast("bigint")
+    ordered = F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
+    return F.when(value.isNotNull(), ordered)
+
+
+def _number(kind: T.DataType, key: int) -> Decimal | float:
+    """The value that :func:`order_key` made a key of."""
+    if isinstance(kind, T.IntegralType):
+        return Decimal(key)
+    if isinstance(kind, T.DecimalType):
+        return Decimal(key).scaleb(-kind.scale)
+    bits = key if key >= 0 else key ^ ((1 << 63) - 1)
+    return struct.unpack("<d", struct.pack("<q", bits))[0]
 
-    def inside(i: int) -> Column:
-        low, high = state[i]["low"], state[i]["high"]
-        condition = F.col(f"v{i}").isNotNull()
-        if low is not None:
-            condition = condition & (F.col(f"v{i}") >= F.lit(low))
-        if high is not None:
-            condition = condition & (F.col(f"v{i}") <= F.lit(high))
-        return condition
-
-    def narrow(open_columns: list[int]) -> None:
-        guesses = []
-        for i in open_columns:
-            s = state[i]
-            centre = ((s["n"] - 1) / 2 - s["below"]) / (s["upto"] - s["below"])
-            low, high = max(0.0, centre - _BRACKET), min(1.0, centre + _BRACKET)
-            guesses.append(
-                F.percentile_approx(
-                    F.when(inside(i), F.col(f"v{i}")), F.array(F.lit(low), F.lit(high)), F.lit(10_000)
-                ).alias(f"g{i}")
-            )
-        found = values.agg(*guesses).first()
-        tallies = []
-        for i in open_columns:
-            v, (low, high) = F.col(f"v{i}"), found[f"g{i}"]
-            tallies += [
-                F.count_if(v < F.lit(low)).alias(f"below{i}"),
-                F.count_if(v <= F.lit(high)).alias(f"upto{i}"),
-            ]
-        tally = values.agg(*tallies).first()
-        for i in open_columns:
-            s, (low, high) = state[i], found[f"g{i}"]
-            first, last = (s["n"] - 1) // 2, s["n"] // 2
-            below, upto = tally[f"below{i}"], tally[f"upto{i}"]
-            if below <= first:
-                s["low"], s["below"] = low, below
-            if upto > last:
-                s["high"], s["upto"] = high, upto
-
-    while True:
-        wide = [
-            i
-            for i, s in enumerate(state)
-            if s["upto"] - s["below"] > group_limit and (s["low"] is None or s["low"] != s["high"])
-        ]
-        if not wide:
-            break
-        before = [(state[i]["low"], state[i]["high"]) for i in wide]
-        narrow(wide)
-        if before == [(state[i]["low"], state[i]["high"]) for i in wide]:
-            break  # a few values with very many copies each: grouping makes them small
-
-    targets = ", ".join(
-        f"({i}, {s['below']}L, {(s['n'] - 1) // 2}L, {s['n'] // 2}L)" for i, s in enumerate(state)
-    )
-    bounds = spark.sql(f"SELECT * FROM VALUES {targets} AS t(idx, below, first_rank, last_rank)")
-    cells = F.array(
-        *[
-            F.struct(F.lit(i).alias("idx"), F.when(inside(i), F.col(f"v{i}")).alias("value"))
-            for i in range(len(columns))
-        ]
-    )
-    grouped = (
-        values.select(F.inline(cells))
-        .where(F.col("value").isNotNull())
-        .groupBy("idx", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
+
+def _cells_by_key(
+    df: DataFrame, columns: Sequence[str], near: dict[int, list[int]] | None, bits: int, lows: dict | None = None
+) -> DataFrame:
+    """(idx, key, value, text) of every number present, or of those whose prefix is in ``near``.
+
+    ``value`` is a double that loses nothing where it can: the last bits of an exact key, a wide
+    decimal's distance from its column's least (``lows``), else the number. ``text`` is exact
+    where the key is not.
+    """
+    cells = []
+    for i, c in enumerate(columns):
+        if near is not None and i not in near:
+            continue
+        key, kind, number = order_key(df, c), df.schema[c].dataType, present(df, c)
+        text = number.cast("string") if _is_wide(kind) else F.lit(None).cast("string")
+        if _is_wide(kind):
+            value = number - F.lit((lows or {}).get(c) or 0).cast(kind)
+        else:
+            value = key.bitwiseAND(F.lit(_REST)) if is_exact(kind) else number
+        cell = F.struct(F.lit(i).alias("idx"), key.alias("key"), value.cast("double").alias("value"), text.alias("text"))
+        wanted = key.isNotNull()
+        if near is not None:
+            wanted = wanted & F.shiftright(key, 64 - bits).isin(near[i])
+        cells.append(F.when(wanted, cell))
+    # the generator drops numbers that are missing or far from the median before anything is grouped
+    return df.select(F.inline(F.filter(F.array(*cells), lambda cell: cell.isNotNull())))
+
+
+def _middle(groups: DataFrame, by: list[str], below: dict[int, int], ranks: dict[int, tuple[int, int]] | None) -> DataFrame:
+    """Groups (idx, rows, ...) that hold their column's middle rows, with the rows before them.
+
+    ``below`` are the rows in front of all groups of a column; ``ranks`` the places of its middle
+    rows, else the middle of the groups themselves. Groups are few for every column: prefixes, or
+    the values that share one.
+    """
+    order = Window.partitionBy("idx").orderBy(*by)
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    front = F.lit(0)
+    for i, rows in below.items():
+        front = F.when(F.col("idx") == i, rows).otherwise(front)
+    placed = groups.withColumn("upto", F.sum("rows").over(running) + front).withColumn("below", F.col("upto") - F.col("rows"))
+    if ranks is None:
+        n = F.sum("rows").over(Window.partitionBy("idx"))
+        first, last = F.expr("(n - 1) div 2"), F.expr("n div 2")
+        placed = placed.withColumn("n", n)
+    else:
+        first = last = F.lit(0)
+        for i, (one, two) in ranks.items():
+            first = F.when(F.col("idx") == i, one).otherwise(first)
+            last = F.when(F.col("idx") == i, two).otherwise(last)
+    return placed.withColumn("middle", (F.col("below") <= last) & (first < F.col("upto")))
+
+
+def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIAN_GROUP_LIMIT) -> dict[str, dict]:
+    """Count, extremes, mean, sample deviation and exact median of numeric columns.
+
+    Values become 64-bit keys in their order. The first scan counts keys by their first bits and
+    takes all other facts along; where more than ``group_limit`` rows share the prefix of a
+    median, a second scan counts them by further bits; the last one counts the keys that are left,
+    at most 2**22 different ones for a prefix. So there are three scans at most, whatever the
+    values are, no column is gathered anywhere, and a few rows per column reach the driver.
+    Wide decimals take one aggregate more for their exact extremes.
+    """
+    columns, kinds = list(columns), {i: df.schema[c].dataType for i, c in enumerate(columns)}
+    facts = {c: {"n": 0, "low": None, "high": None, "mean": None, "deviation": None, "median": None} for c in columns}
+    wide = [c for i, c in enumerate(columns) if _is_wide(kinds[i])]
+    if wide:
+        ends = df.agg(*[f(df[c]) for c in wide for f in (F.min, F.max)]).first()
+        for k, c in enumerate(wide):
+            facts[c] |= {"low": ends[2 * k], "high": ends[2 * k + 1]}
+    whole = [i for i in kinds if is_exact(kinds[i]) and not _is_wide(kinds[i])]
+    groups = (
+        _cells_by_key(df, columns, None, 0, {c: facts[c]["low"] for c in wide})
+        .groupBy("idx", F.shiftright("key", 64 - FIRST_BITS).alias("prefix"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min("key").alias("low"),
+            F.max("key").alias("high"),
+            F.avg("value").alias("mean"),
+            F.var_pop("value").alias("spread"),
+        )
     )
-    order = Window.partitionBy("idx").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        grouped.withColumn("upto", F.sum("copies").over(order))
-        .join(F.broadcast(bounds), "idx")  # one row per column of the table
-        .withColumn("upto", F.col("upto") + F.col("below"))
-        .withColumn("from", F.col("upto") - F.col("copies"))
+    column = Window.partitionBy("idx")
+    # means of exact keys are taken from the column's least key on
+    exact = F.col("idx").isin(whole) if whole else F.lit(False)
+    start = F.shiftleft("prefix", 64 - FIRST_BITS).cast("decimal(20,0)") - F.min("low").over(column).cast("decimal(20,0)")
+    mean = F.when(exact, F.col("mean") + start.cast("double")).otherwise(F.col("mean"))
+    centre = F.sum(F.col("rows") * F.col("mean")).over(column) / F.sum("rows").over(column)
+    found = (
+        _middle(groups, ["prefix"], {}, None)
+        .withColumn("mean", mean)
+        .withColumn("centre", centre)
+        .groupBy("idx")
+        .agg(
+            F.max("n").alias("n"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.max("centre").alias("mean"),
+            F.sum(F.col("rows") * (F.col("spread") + (F.col("mean") - F.col("centre")) ** 2)).alias("squares"),
+            F.collect_list(F.when(F.col("middle"), F.struct("prefix", "below", "rows"))).alias("near"),  # at most two
+        )
+        .collect()
     )
+    ranks, below, near, rows = {}, {}, {}, {}
+
+    def keep(i: int, groups: list) -> None:
+        near[i] = [g["prefix"] for g in groups]
+        below[i] = min(g["below"] for g in groups)
+        rows[i] = sum(g["rows"] for g in groups)
+
+    for r in found:
+        i, n = r["idx"], r["n"]
+        ranks[i] = (n - 1) // 2, n // 2
+        keep(i, r["near"])
+        fact, mean = facts[columns[i]], r["mean"]
+        deviation = math.sqrt(r["squares"] / (n - 1)) if n > 1 else None
+        if i in whole:
+            unit = 10 ** getattr(kinds[i], "scale", 0)
+            mean, deviation = float((r["low"] + Decimal(mean)) / unit), deviation and deviation / unit
+        elif fact["low"] is not None:
+            mean = float(fact["low"] + Decimal(mean))
+        fact |= {"n": n, "mean": mean, "deviation": deviation}
+        if fact["low"] is None:
+            fact |= {"low": _number(kinds[i], r["low"]), "high": _number(kinds[i], r["high"])}
+    bits = FIRST_BITS
+    if any(count > group_limit for count in rows.values()):
+        # prefixes between the two that hold the middle rows hold nothing, so ranks go on in order
+        finer = (
+            _cells_by_key(df, columns, near, FIRST_BITS)
+            .groupBy("idx", F.shiftright("key", 64 - SECOND_BITS).alias("prefix"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+        bits, by_column = SECOND_BITS, {}
+        for g in _middle(finer, ["prefix"], dict(below), ranks).where("middle").collect():
+            by_column.setdefault(g["idx"], []).append(g)
+        for i, groups in by_column.items():
+            keep(i, groups)
+    if near:
+        values = (
+            _cells_by_key(df, columns, near, bits)
+            .groupBy("idx", "key", "text")
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+        middle: dict[int, list] = {}
+        for g in _middle(values, ["key", *_text_order()], dict(below), ranks).where("middle").collect():
+            middle.setdefault(g["idx"], []).append(g)
+        for i, groups in middle.items():
+            numbers = sorted(Decimal(g["text"]) if g["text"] is not None else _number(kinds[i], g["key"]) for g in groups)
+            facts[columns[i]]["median"] = numbers[0] if len(numbers) == 1 else _halfway(numbers[0], numbers[-1])
+    return facts
+
+
+def _text_order() -> list[Column]:
+    """Sort keys of decimals of one column written as text: sign, then digits of one length, by size."""
+    negative = F.col("text").startswith("-")
+    digits = F.regexp_replace("text", "^-", "")
+    length, back = F.length(digits), F.translate(digits, "0123456789", "9876543210")
+    return [
+        F.when(negative, 0).otherwise(1),
+        F.when(negative, -length).otherwise(length),
+        F.when(negative, back).otherwise(digits),
+    ]
 
-    def at(rank: str) -> Column:
-        hit = (F.col("from") <= F.col(rank)) & (F.col(rank) < F.col("upto"))
-        return F.max(F.when(hit, F.col("value")))
 
-    medians = ranked.groupBy("idx").agg(((at("first_rank") + at("last_rank")) / 2).alias("median_val"))
-    names = F.array(*[F.lit(c) for c in columns])
-    return medians.select(
-        F.get(names, F.col("idx")).alias("column_name"), "median_val"
-    )
+def _halfway(one, two):
+    if isinstance(one, Decimal):
+        with localcontext() as context:
+            context.prec = 60
+            return (one + two) / 2
+    return one / 2 + two / 2 if math.isinf(one + two) else (one + two) / 2
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIAN_GROUP_LIMIT) -> DataFrame:
+    """(column_name, median_val): the exact median of each numeric column; see :func:`number_facts`."""
+    facts = number_facts(df, columns, group_limit)
+    rows = [(c, None if f["median"] is None else float(f["median"])) for c, f in facts.items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, median_val double")
+
+
+def _as_text(number) -> str | None:
+    return format(number, "f") if isinstance(number, Decimal) else None
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Minimum, maximum, mean, exact median and sample deviation; NULLs when nothing is present."""
+    """Minimum, maximum, mean, exact median and sample deviation; NULLs when nothing is present.
+
+    Whole numbers and decimals also have their extremes and median as exact text.
+    """
     columns = list(columns) if columns is not None else numeric_columns(df)
-    if not columns:
-        return _nothing(
-            df,
-            "column_name string, min_val double, max_val double, mean_val double, "
-            "median_val double, std_val double",
-        )
-    basics = one_pass(
-        df,
-        columns,
-        {
-            "min_val": lambda c: F.min(present(df, c)).cast("double"),
-            "max_val": lambda c: F.max(present(df, c)).cast("double"),
-            "mean_val": lambda c: F.avg(present(df, c).cast("double")),
-            "std_val": lambda c: F.stddev_samp(present(df, c).cast("double")),
-        },
-    )
-    return basics.join(exact_medians(df, columns), "column_name", "left").select(
-        "column_name", "min_val", "max_val", "mean_val", "median_val", "std_val"
+    schema = (
+        "column_name string, min_val double, max_val double, mean_val double, median_val double, "
+        "std_val double, min_exact string, max_exact string, median_exact string"
     )
+    plain = lambda number: None if number is None else float(number)
+    rows = [
+        (c, plain(f["low"]), plain(f["high"]), f["mean"], plain(f["median"]), f["deviation"],
+         _as_text(f["low"]), _as_text(f["high"]), _as_text(f["median"]))
+        for c, f in (number_facts(df, columns) if columns else {}).items()
+    ]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 # ------------------------------------------------------------------- values and counts
@@ -372,16 +486,86 @@ def unique_counts(
     )
 
 
+#: Buckets of a column's values that the first scan of :func:`top_values` counts.
+VALUE_BUCKETS = 1 << 16
+_PREFIX_CHARS = 16
+
+
+def _digested(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per text present: (idx, bucket, one, two, prefix): a 128-bit name and the first letters."""
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("idx"),
+                F.xxhash64(df[c]).alias("one"),
+                F.xxhash64(F.lit("two"), df[c]).alias("two"),
+                F.substring(df[c], 1, _PREFIX_CHARS).alias("prefix"),
+            )
+            for i, c in enumerate(columns)
+        ]
+    )
+    rows = df.select(F.inline(cells)).where(F.col("prefix").isNotNull())
+    return rows.withColumn("bucket", F.col("one").bitwiseAND(F.lit(VALUE_BUCKETS - 1)).cast("int"))
+
+
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5) -> DataFrame:
     """The ``k`` most frequent values of each text column; ties go to the smaller value.
 
-    The rank filter becomes a per-partition top-k before the shuffle on the column name,
-    so a column of unique values sends ``k`` rows per task, not all of them.
+    A sketch of bounded size comes first: rows per bucket of values, and whether a bucket holds
+    one value only. The k-th largest count of such values bounds the winners from below, so only
+    buckets with more rows are counted value by value, by digest. Whole texts are fetched for the
+    winners alone, and for values that only texts longer than a prefix could tell from them.
     """
     columns = list(columns) if columns is not None else string_columns(df)
     if not columns:
         return _nothing(df, "column_name string, value string, frequency bigint, rank bigint")
-    return most_frequent(value_frequencies(df, columns), k)
+    rows = _digested(df, columns)
+    facts = [F.count(F.lit(1)).alias("rows"), F.min("prefix").alias("prefix")]
+    ends = [f(c).alias(f"{c}_{n}") for c in ("one", "two") for n, f in (("low", F.min), ("high", F.max))]
+    sketch = rows.groupBy("idx", "bucket").agg(*facts, *ends)
+    single = (F.col("one_low") == F.col("one_high")) & (F.col("two_low") == F.col("two_high"))
+    by_rows = Window.partitionBy("idx").orderBy(F.desc_nulls_last("known"))
+    bounded = (
+        sketch.withColumn("single", single)
+        .withColumn("known", F.when(F.col("single"), F.col("rows")))
+        .withColumn("place", F.row_number().over(by_rows))
+        .withColumn("least", F.max(F.when(F.col("place") == k, F.col("known"))).over(Window.partitionBy("idx")))
+    )
+    least = F.coalesce("least", F.lit(0))
+    sketched = bounded.where(F.col("single") & (F.col("rows") >= least)).select(
+        "idx", F.col("one_low").alias("one"), F.col("two_low").alias("two"), "rows", "prefix"
+    )
+    mixed = bounded.where(~F.col("single") & (F.col("rows") > least)).select("idx", "bucket", least.alias("least"))
+    counted = (
+        rows.join(mixed, ["idx", "bucket"])
+        .groupBy("idx", "one", "two")
+        .agg(*facts, F.first("least").alias("least"))
+        .where(F.col("rows") >= F.col("least"))
+        .drop("least")
+    )
+    rank = F.rank().over(Window.partitionBy("idx").orderBy(F.desc("rows"), "prefix"))
+    near = sketched.unionByName(counted).withColumn("near", rank).where(F.col("near") <= k)
+    winners = near.select("idx", "one", "two", "rows")
+    texts = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("idx"),
+                F.xxhash64(df[c]).alias("one"),
+                F.xxhash64(F.lit("two"), df[c]).alias("two"),
+                df[c].alias("value"),
+            )
+            for i, c in enumerate(columns)
+        ]
+    )
+    fetched = (
+        df.select(F.inline(texts))
+        .where(F.col("value").isNotNull())
+        .join(winners, ["idx", "one", "two"])
+        .groupBy("idx", "one", "two")
+        .agg(F.first("value").alias("value"), F.first("rows").alias("frequency"))
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    return most_frequent(fetched.withColumn("column_name", F.get(names, F.col("idx"))), k)
 
 
 # ----------------------------------------------------------------------------- tables
@@ -444,21 +628,21 @@ def duplicate_row_count(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 
 def table_summary(df: DataFrame) -> DataFrame:
-    """Rows, columns, repeated rows and missing cells of the table, in one row."""
-    missing = [F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns)]
-    counts = df.agg(F.count(F.lit(1)).alias("row_count"), *missing)
-    nulls = sum((F.col(f"m{i}") for i in range(1, len(df.columns))), F.col("m0"))
-    nothing = F.lit(None).cast("bigint")
-    repeated = duplicate_row_count(df).select(nothing, nothing, "extra_rows")
-    # two single-row aggregates put into one row
-    return (
-        counts.select("row_count", nulls.alias("null_values_total"), nothing.alias("duplicated_rows"))
-        .unionAll(repeated)
-        .agg(*[F.max(c).alias(c) for c in ("row_count", "null_values_total", "duplicated_rows")])
-        .select(
-            "row_count",
-            F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-            "duplicated_rows",
-            "null_values_total",
-        )
+    """Rows, columns, repeated rows and missing cells of the table, in one row.
+
+    One scan and one grouping: equal rows have equally many missing cells, so the counters of
+    missing cells go through the grouping of repeated rows.
+    """
+    missing = sum((is_missing(df, c).cast("int") for c in df.columns[1:]), is_missing(df, df.columns[0]).cast("int"))
+    keys = grouping_keys(df, df.columns)
+    names = [f"key_{i}" for i in range(len(keys))]
+    # a generator of one row keeps later steps from computing the row's values again
+    rows = df.select(F.inline(F.array(F.struct(*keys, missing.alias("missing")))))
+    copies = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"), F.sum("missing").alias("missing"))
+    nothing = F.lit(0).cast("bigint")
+    return copies.agg(
+        F.coalesce(F.sum("copies"), nothing).alias("row_count"),
+        F.lit(len(df.columns)).cast("bigint").alias("column_count"),
+        F.coalesce(F.sum(F.col("copies") - 1), nothing).alias("duplicated_rows"),
+        F.coalesce(F.sum("missing"), nothing).alias("null_values_total"),
     )

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluicegate.workspace import ensure_checkpoint_dir, staging_path
+from sluicegate.workspace import keep_staged, remove_staged, staged, staging_path
 
 _MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
@@ -22,9 +22,10 @@ def write_table(
 
     ``fail`` raises when the table exists and leaves it alone. ``append`` adds rows by column
     name; a column the table does not have raises, one that only the table has is NULL.
-    ``replace`` writes a table beside the old one and swaps them when it is complete, so a
-    query that fails leaves the old table as it was. A table that keeps its ``path`` is
-    computed to a staging folder first and then copied over the old one.
+    ``replace`` writes a table beside the old one, puts the old one aside by name, gives the new
+    one its name and only then drops the old one, so that whatever fails the old table is there,
+    under its name or put back. A table that keeps its ``path`` is computed to a staging folder
+    first and then copied over the old one; if the copy fails, the error says where the rows are.
     """
     if if_exists not in _MODES:
         raise ValueError("if_exists must be 'fail', 'replace' or 'append'")
@@ -32,27 +33,55 @@ def write_table(
     exists = spark.catalog.tableExists(table)
     if if_exists == "append" and exists:
         df = _in_table_order(df, spark.table(table))
-    target = table
     if if_exists == "replace" and exists:
         if path is not None and path.removeprefix("file:").rstrip("/") == _location(spark, table):
-            # in place: everything is computed and written elsewhere before the old files go
-            staged = staging_path(spark, "replace")
-            df.write.parquet(staged)
-            df = spark.read.schema(df.schema).parquet(staged)
+            _replace_in_place(df, table, path)
         else:
-            target = f"{table}_new_{uuid.uuid4().hex}"
-    writer = df.write.format("parquet").mode(_MODES[if_exists])
+            _replace_beside(df, table, path)
+        return
+    _save(df, table, _MODES[if_exists], path)
+
+
+def _save(df: DataFrame, table: str, mode: str, path: str | None) -> None:
+    writer = df.write.format("parquet").mode(mode)
     if path is not None:
         writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
+def _replace_beside(df: DataFrame, table: str, path: str | None) -> None:
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    new, old = f"{table}_new_{mark}", f"{table}_old_{mark}"
     try:
-        writer.saveAsTable(target)
+        _save(df, new, "errorifexists", path)
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     except Exception:
-        if target != table:
-            spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
         raise
-    if target != table:
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {target} RENAME TO {table}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _replace_in_place(df: DataFrame, table: str, path: str) -> None:
+    """Compute and write everything elsewhere before the old files go."""
+    spark = df.sparkSession
+    place = staging_path(spark, "replace")
+    try:
+        df.write.parquet(place)
+    except Exception:
+        remove_staged(spark, place)
+        raise
+    try:
+        _save(spark.read.schema(df.schema).parquet(place), table, "overwrite", path)
+    except Exception as error:
+        keep_staged(place)
+        raise RuntimeError(f"the rows of {table} were not copied from {place}") from error
+    remove_staged(spark, place)
 
 
 def _in_table_order(df: DataFrame, old: DataFrame) -> DataFrame:
@@ -74,9 +103,14 @@ def _location(spark: SparkSession, table: str) -> str:
     return facts.get("location", "").removeprefix("file:").rstrip("/")
 
 
+def has_column(df: DataFrame, name: str) -> bool:
+    """Whether there is a column of that name, in upper or lower case."""
+    return name.lower() in (c.lower() for c in df.columns)
+
+
 def next_id(spark: SparkSession, table: str, id_column: str = "id") -> int:
     """The id after the largest one of a table; 1 when there is none."""
-    if not spark.catalog.tableExists(table) or id_column not in spark.table(table).columns:
+    if not spark.catalog.tableExists(table) or not has_column(spark.table(table), id_column):
         return 1
     return (spark.table(table).agg(F.max(id_column)).first()[0] or 0) + 1
 
@@ -88,29 +122,27 @@ def add_surrogate_id(
 
     Rows are range-partitioned by the order key (ties by row hash, then at random, so that a
     key or a row with very many copies is spread over partitions), sorted inside their
-    partition and checkpointed, which fixes their places. A row's id is the number of rows
-    in earlier partitions plus its place in its own. A column of that name that is already
-    there is left as it is.
+    partition and written to the shared folder with their places. A row's id is the number of
+    rows in earlier partitions plus its place in its own. A column of that name, whatever its
+    case, that is already there is left as it is.
     """
-    if id_column in df.columns:
+    if has_column(df, id_column):
         return df
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order = [F.col(f"`{c}`") for c in order_by]
     tie, spread = F.col("_tie"), F.col("_spread")
-    placed = (
+    placed = staged(
         df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         .withColumn("_spread", F.rand(17))
         .repartitionByRange(*order, tie, spread)
         .sortWithinPartitions(*order, tie, spread)
         .drop("_tie", "_spread")
-        .checkpoint()
-        .withColumn("_mono", F.monotonically_increasing_id())
+        .withColumn("_mono", F.monotonically_increasing_id()),
+        "numbered",
     )
     partition = F.shiftright("_mono", _POSITION_BITS)
     sizes = placed.groupBy(partition.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition of the checkpoint: thousands at most, so the window over them
+    # one row per partition of the sort: thousands at most, so the window over them
     # and the broadcast are bounded by the partition count, not by the data
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
@@ -119,7 +151,7 @@ def add_surrogate_id(
     return (
         placed.withColumn("_part", partition)
         .join(F.broadcast(offsets), "_part")
-        .select((F.col("_offset") + place + F.lit(start)).alias(id_column), *df.columns)
+        .select((F.col("_offset") + place + F.lit(start)).alias(id_column), *[F.col(f"`{c}`") for c in df.columns])
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.functions.patterns import STATUSES
+from sluicegate.functions.rows import grouping_keys, has_plain_keys
 from sluicegate.operators.profile import duplicate_row_count
 
 
@@ -32,15 +33,25 @@ def check_row_count(df: DataFrame, expected: int | None = None) -> DataFrame:
 def duplicate_groups(
     df: DataFrame, columns: Sequence[str] | None = None, limit: int = 10
 ) -> DataFrame:
-    """The ``limit`` most repeated values of the given columns, with their counts."""
+    """The ``limit`` most repeated values of the given columns, with their counts.
+
+    Rows are counted by a digest where their columns are wide. Values are fetched for the groups
+    that reach the smallest count of the list only; ties go to the smaller values.
+    """
     columns = list(columns) if columns is not None else data_columns(df)
-    return (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") > 1)
-        .orderBy(F.desc("copies"), *[F.asc(c) for c in columns])
-        .limit(limit)
-    )
+    keys = grouping_keys(df, columns)
+    names = [f"key_{i}" for i in range(len(keys))]
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    least = repeated.orderBy(F.desc("copies")).limit(limit).agg(F.min("copies")).scalar()
+    near = repeated.where(F.col("copies") >= least)
+    if has_plain_keys(df, columns):
+        values = near.select(*[F.col(n).alias(c) for n, c in zip(names, columns, strict=True)], "copies")
+    else:
+        held = F.struct(*[df[c].alias(f"c{i}") for i, c in enumerate(columns)])
+        rows = df.select(keys[0], held.alias("row")).join(near, "key_0")
+        one = rows.groupBy("key_0").agg(F.first("row").alias("row"), F.first("copies").alias("copies"))
+        values = one.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)], "copies")
+    return values.orderBy(F.desc("copies"), *[F.asc(c) for c in columns]).limit(limit)
 
 
 def duplicate_total(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -86,7 +97,7 @@ def compare_status(source: DataFrame | None, table: DataFrame) -> DataFrame:
             F.lit(None).cast("bigint").alias("missing_columns"),
             F.lit("Skipped").alias("status"),
         )
-    missing = len(set(source.columns) - set(table.columns))
+    missing = len({c.lower() for c in source.columns} - {c.lower() for c in table.columns})
     complete = F.lit(missing == 0)
     return compare_row_counts(source, table).select(
         "*",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.operators.cast import (
+    BAD_LINE,
     SOURCE_FILE,
     TYPED,
     classify,
@@ -21,13 +22,18 @@ from sluicegate.operators.tables import add_surrogate_id, next_id, write_table
 from sluicegate.plans.analyze import detect_layout
 from sluicegate.plans.mixed import data_columns, scan_mixed
 from sluicegate.sources.delimited import FILE_ORDER, Layout, scan_delimited
-from sluicegate.workspace import remove_staged, staging_path
+from sluicegate.workspace import staging_path, stages_removed
 
 
 def infer_types(
     rows: DataFrame, columns: Sequence[str], overrides: Mapping[str, str] | None = None
 ) -> tuple[dict[str, str], dict[str, bool]]:
-    """Spark type and date order of every column: one pass, a few values per column returned."""
+    """Spark type and date order of every column: one pass, a few values per column returned.
+
+    Bad lines have no say.
+    """
+    if BAD_LINE in rows.columns:
+        rows = rows.where(F.col(BAD_LINE).isNull())
     report = schema_report(rows, columns, overrides).select(
         "column_name", "spark_type", "day_first"
     ).collect()
@@ -76,10 +82,10 @@ def load_delimited(
     """Scan, infer, type, write, and set bad rows aside; returns the load statistics.
 
     Without ``layout`` it is detected, and with it the column names unless they are given.
-    The counts are observed while the rows are written. Ids follow ``id_order``, or the order of the lines in the files, and go on after the
-    largest one when rows are appended.
+    The counts are observed while the rows are written. Ids follow ``id_order``, or the order of
+    the lines in the files, and go on after the largest one when rows are appended.
     The range sort behind them reads its input more than once, so the parsed rows are first
-    staged in columnar form. Without ids the bad rows are written in a second scan of the
+    staged in columnar form; whatever is staged is removed at the end. Without ids the bad rows are written in a second scan of the
     files, and only when there are any. With explicit ``types`` no inference pass runs.
     ``overrides`` fixes the SQL type of some columns and infers the rest. ``day_first`` tells
     per column whether dates like 03/04/2024 begin with the day; it goes before what is
@@ -90,6 +96,28 @@ def load_delimited(
     """
     if if_exists == "fail" and spark.catalog.tableExists(table):
         raise ValueError(f"table {table} already exists")
+    with stages_removed(spark):
+        counts = _load(
+            spark, path, table, columns, layout, if_exists, on_bad_lines, types, overrides, required,
+            id_column, id_order, quarantine_path, quarantine_format, day_first, unique_key, mixed,
+        )
+    total = counts["total_rows"]
+    rate = counts["successful_rows"] * 100.0 / total if total else 0.0
+    return spark.range(1, numPartitions=1).select(
+        F.lit(table).alias("table_name"),
+        F.lit(total).cast("bigint").alias("total_rows"),
+        F.lit(counts["successful_rows"]).cast("bigint").alias("successful_rows"),
+        F.lit(counts["failed_rows"]).cast("bigint").alias("failed_rows"),
+        F.lit(f"{rate:.2f}%").alias("success_rate"),
+        F.lit("Completed with errors" if counts["failed_rows"] else "Completed").alias("status"),
+    )
+
+
+def _load(
+    spark, path, table, columns, layout, if_exists, on_bad_lines, types, overrides, required,
+    id_column, id_order, quarantine_path, quarantine_format, day_first, unique_key, mixed,
+) -> dict[str, int]:
+    """The work of :func:`load_delimited`; returns its counts."""
     mixed_rows = scan_mixed(spark, path, columns or (), on_bad_lines) if mixed else None
     if mixed_rows is not None:
         columns = data_columns(mixed_rows)
@@ -97,7 +125,7 @@ def load_delimited(
         found, names = detect_layout(spark, path)
         layout = layout or found
         columns = columns or names
-    if id_column in columns:
+    if id_column is not None and id_column.lower() in (c.lower() for c in columns):
         id_column = None
     by_file = id_column is not None and not id_order
     rows = mixed_rows
@@ -109,12 +137,10 @@ def load_delimited(
         types, orders = infer_types(rows, columns, overrides)
     types = {c: SPARK_TYPES.get(t.upper(), t) for c, t in types.items()}
     classified = classify(rows, types, required, orders | dict(day_first or {}))
-    places = []
     if unique_key:
         # Places in the files are fixed before rows are compared by them.
         place = F.struct(*FILE_ORDER)
-        places.append(staging_path(spark, "load"))
-        fixed = stage_rows(classified, columns, FILE_ORDER, places[-1]).withColumn("_place", place)
+        fixed = stage_rows(classified, columns, FILE_ORDER, staging_path(spark, "load")).withColumn("_place", place)
         classified = mark_duplicate_keys(fixed, unique_key, "_place").drop("_place", "_is_bad")
     observed = Observation()
     counted = classified.observe(observed, *load_counts())
@@ -123,8 +149,8 @@ def load_delimited(
         rejected = classified
     else:
         order = FILE_ORDER if by_file else list(id_order)
-        places.append(staging_path(spark, "load"))
-        staged = stage_rows(counted, columns, FILE_ORDER if by_file else [SOURCE_FILE], places[-1])
+        kept = FILE_ORDER if by_file else [SOURCE_FILE]
+        staged = stage_rows(counted, columns, kept, staging_path(spark, "load"))
         start = next_id(spark, table, id_column) if if_exists == "append" else 1
         good = good_rows(staged.where("_is_bad = 0"), columns, keep=FILE_ORDER if by_file else ())
         numbered = add_surrogate_id(good, order, id_column, start)
@@ -136,15 +162,4 @@ def load_delimited(
         bad.write.mode("append").partitionBy("source_file").format(quarantine_format).option(
             "header", True
         ).save(quarantine_path)
-    for place in places:
-        remove_staged(spark, place)
-    total = counts["total_rows"]
-    rate = counts["successful_rows"] * 100.0 / total if total else 0.0
-    return spark.range(1, numPartitions=1).select(
-        F.lit(table).alias("table_name"),
-        F.lit(total).cast("bigint").alias("total_rows"),
-        F.lit(counts["successful_rows"]).cast("bigint").alias("successful_rows"),
-        F.lit(counts["failed_rows"]).cast("bigint").alias("failed_rows"),
-        F.lit(f"{rate:.2f}%").alias("success_rate"),
-        F.lit("Completed with errors" if counts["failed_rows"] else "Completed").alias("status"),
-    )
+    return counts

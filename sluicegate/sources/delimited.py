@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.operators.cast import BAD_LINE, SOURCE_FILE
+from sluicegate.sources.heads import head_lines
 from sluicegate.sources.lines import decode, file_heads, line_encoding, raw_lines
+from sluicegate.sources.ranges import codec_of, has_unknown_codec, list_files, range_lines, readable
 from sluicegate.workspace import staging_path
 
 _RAW = "_raw_line"
@@ -28,7 +30,8 @@ class Layout:
     """How a file set is written.
 
     ``header_row`` counts non-blank lines from 0. ``multiline`` allows line breaks inside
-    quotes and makes a file one task, so it is off unless a file needs it.
+    quotes and makes a file one task, so it is off unless a file needs it; UTF-16 files are cut
+    into ranges like others.
     """
 
     sep: str = ","
@@ -69,7 +72,16 @@ def _split(line: str, columns: Sequence[str], layout: Layout) -> Column:
     return F.inline(F.array(cells))
 
 
-def _fields_in(line: Column, layout: Layout) -> Column:
+def split_cells(line: Column, width: int, layout: Layout) -> Column:
+    """The first ``width`` cells of a line as an array."""
+    names = [f"c{i}" for i in range(width)]
+    options = {k: v for k, v in _csv_options(layout).items() if k != "columnNameOfCorruptRecord"}
+    cells = F.from_csv(line, ", ".join(f"{n} string" for n in names), options)
+    # bound once, so that the line is split once and not for every cell
+    return F.get(F.transform(F.array(cells), lambda row: F.array(*[row[n] for n in names])), F.lit(0))
+
+
+def fields_in(line: Column, layout: Layout) -> Column:
     """Number of fields of a line, separators inside quotes not counted.
 
     As for the reader, a quote opens a quoted field only where the field begins; any other
@@ -109,8 +121,12 @@ def apply_bad_line_policy(
     bad = F.col(_RAW).isNotNull() & with_cell
     if short_rows == "pad":
         # the reader reports short and long rows alike; only long ones are bad lines
-        bad = bad & (_fields_in(F.col(_RAW), layout) > len(columns))
-    rows = rows.withColumn(BAD_LINE, F.when(bad, F.col(_RAW))).drop(_RAW)
+        bad = bad & (fields_in(F.col(_RAW), layout) > len(columns))
+    return bad_lines_apart(rows.withColumn(BAD_LINE, F.when(bad, F.col(_RAW))).drop(_RAW), on_bad_lines)
+
+
+def bad_lines_apart(rows: DataFrame, on_bad_lines: str) -> DataFrame:
+    """Rows with ``_bad_line`` (null for good ones), without the bad ones, or an error at the first."""
     if on_bad_lines == "warn":
         return rows
     if on_bad_lines == "skip":
@@ -139,8 +155,9 @@ def scan_delimited(
     with too few fields is filled with NULLs, or bad when ``short_rows="bad"``.
     ``with_file`` adds the path, ``with_position`` the columns of ``FILE_ORDER``.
     """
+    wide = layout.encoding.upper().startswith("UTF-16") and not layout.multiline
     by_line = layout.header and layout.header_row > 0 or not layout.skip_blank_lines
-    if by_line:
+    if by_line or wide and opened_by_tasks(spark, path) is not None:
         rows = _scan_by_line(spark, path, columns, layout)
     else:
         rows = csv_reader(spark.read, columns, layout).csv(path)
@@ -185,16 +202,36 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(lines.schema).parquet(place).withColumn("value", F.col("value").cast("string"))
 
 
+def opened_by_tasks(spark: SparkSession, path: str | list[str]) -> DataFrame | None:
+    """The files of ``path`` if tasks can open all of them; None leaves them to Spark's scans."""
+    if not readable(path):
+        return None
+    files = list_files(spark, path)
+    return None if has_unknown_codec(files) else files
+
+
+def body_lines(spark: SparkSession, path: str | list[str], encoding: str, skip: int) -> DataFrame:
+    """(file, block_start, pos, line): decoded lines below the first ``skip`` lines with text.
+
+    Files are read range by range (:func:`sluicegate.sources.ranges.range_lines`). Where tasks
+    cannot open them, Spark's scan numbers the lines, which are written down first to fix their
+    numbers; it knows fewer encodings, and cuts UTF-16 wherever the byte of a line feed stands.
+    """
+    files = opened_by_tasks(spark, path)
+    if files is not None:
+        codec_of(encoding)
+        return range_lines(files.select("file", "file_size", F.lit(encoding).alias("encoding"), F.lit(skip).alias("skip")))
+    known = line_encoding(encoding)
+    lines = _after_header(numbered_lines(spark, path), skip - 1) if skip else raw_lines(spark, path)
+    return lines.select("file", "block_start", "pos", decode(F.col("value"), F.lit(known)).alias("line"))
+
+
 def _scan_by_line(
     spark: SparkSession, path: str | list[str], columns: Sequence[str], layout: Layout
 ) -> DataFrame:
     if layout.multiline:
         raise ValueError("multiline files cannot be read below a header row or with blank lines kept")
-    encoding = line_encoding(layout.encoding)
-    below = layout.header and layout.header_row >= 0
-    lines = _after_header(numbered_lines(spark, path), layout.header_row) if below else raw_lines(spark, path)
-    text = decode(F.col("value"), F.lit(encoding))
-    lines = lines.select("file", "block_start", "pos", text.alias("line"))
+    lines = body_lines(spark, path, layout.encoding, layout.header_row + 1 if layout.header else 0)
     if layout.skip_blank_lines:
         lines = lines.where(F.trim("line") != "")
     return lines.select(
@@ -211,7 +248,7 @@ def header_names(
     """The names in the header line of every file: (file, column_names)."""
     from sluicegate.sources.dialect import split_line
 
-    heads = file_heads(raw_lines(spark, path), layout.header_row + 1)
+    heads = head_lines(spark, path, layout.header_row + 1)
     line = decode(F.col("value"), F.lit(line_encoding(layout.encoding)))
     return heads.where(F.col("line_no") == layout.header_row + 1).select(
         "file", split_line(line, F.lit(layout.sep)).alias("column_names")

@@ -12,7 +12,10 @@ from sluicegate.functions.patterns import (
     FREQUENT_DELIMITERS,
     HEAD_LINES,
 )
-from sluicegate.sources.lines import NUL, decode, file_heads, raw_lines
+from sluicegate.sources.heads import first_lines
+from sluicegate.sources.lines import NUL, decode, raw_lines
+from sluicegate.sources.ranges import list_files, readable
+from sluicegate.workspace import staged
 
 # Above this share of zero bytes a file is two bytes per character.
 UTF16_NUL_SHARE = 0.2
@@ -20,25 +23,23 @@ COMPRESSED = r"(?i)\.(gz|bz2|zst|snappy|lz4|deflate)$"
 _CANDIDATES = list(dict.fromkeys(CONSISTENT_DELIMITERS + FREQUENT_DELIMITERS))
 
 
-def file_list(
-    spark: SparkSession, path: str | list[str], include_empty: bool = False
-) -> DataFrame:
-    """(file, file_size) of every file; contents are not read.
+def file_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, file_size) of every file, empty ones too; contents are not read.
 
-    Scans leave out files without a byte. ``include_empty`` adds them from the listing that
-    the driver holds for the scan anyway: paths only, one per file.
+    Tasks list the folders; only of a store that they cannot open, the list comes from the
+    driver's own listing for a scan.
     """
+    if readable(path):
+        return list_files(spark, path)
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     files = found.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_size")
     )
-    if include_empty:
-        listed = spark.createDataFrame([(f,) for f in found.inputFiles()], "file string")
-        # a listing writes scheme:///path where a scan writes scheme:/path
-        listed = listed.select(F.regexp_replace("file", "^([a-z0-9]+):///", "$1:/").alias("file"))
-        empty = listed.join(files, "file", "left_anti")
-        files = files.unionAll(empty.select("file", F.lit(0).cast("bigint")))
-    return files
+    listed = spark.createDataFrame([(f,) for f in found.inputFiles()], "file string")
+    # a listing writes scheme:///path where a scan writes scheme:/path
+    listed = listed.select(F.regexp_replace("file", "^([a-z0-9]+):///", "$1:/").alias("file"))
+    empty = listed.join(files, "file", "left_anti")
+    return files.unionAll(empty.select("file", F.lit(0).cast("bigint")))
 
 
 def encoding_report(
@@ -65,7 +66,7 @@ def encoding_report(
         F.min_by(first_bytes, at_start).alias("first_bytes"),
     )
     if include_empty:
-        facts = file_list(spark, path, True).join(facts.drop("file_size"), "file", "left")
+        facts = file_list(spark, path).join(facts.drop("file_size"), "file", "left")
     hexed = F.lpad(F.hex("first_bytes"), 8, "0")
     dropped = F.col("file_size") - F.col("line_bytes") - F.col("lines")
     compressed = F.col("file").rlike(COMPRESSED)  # the size on disk says nothing of its lines
@@ -88,19 +89,12 @@ def _heads(
 ) -> DataFrame:
     """(file, file_size, encoding, lines): each file's first non-blank lines as one array.
 
-    At most ``lines`` lines per file are gathered. Both sides are grouped by file already,
-    so the join moves nothing, and all that follows happens inside one row per file.
+    The files are scanned once, for their encodings; what that finds, one row per file, is
+    written down, and the first lines are read from the beginnings of these files.
     """
-    first = (
-        file_heads(raw_lines(spark, path), lines)
-        .groupBy("file")
-        .agg(F.sort_array(F.collect_list(F.struct("line_no", "value"))).alias("heads"))
-    )
-    text = F.transform("heads", lambda h: decode(h["value"], F.col("encoding")))
-    joined = encoding_report(spark, path, include_empty).join(first, "file", "left")
-    return joined.select(
-        "file", "file_size", "encoding", F.coalesce(text, F.array().cast("array<string>")).alias("lines")
-    )
+    report = staged(encoding_report(spark, path, include_empty), "encodings")
+    text = F.transform("heads", lambda head: decode(head.cast("string"), F.col("encoding")))
+    return first_lines(spark, path, lines, report).select("file", "file_size", "encoding", text.alias("lines"))
 
 
 def _total(numbers: Column) -> Column:
@@ -117,10 +111,9 @@ def _occurrences(delimiter: str) -> Column:
 def _with_delimiter(heads: DataFrame) -> DataFrame:
     """Add the separator voted for by the first lines of each file.
 
-    A candidate found equally often on every line wins over one that is not; among equals
-    the more frequent, then the order of preference, but a colon only if it is alone. A
-    candidate that is not found equally often must fill less than half of the text. Otherwise
-    a comma. Quoted parts do not count.
+    The first candidate of the list that stands equally often on every line wins. Without one,
+    the most frequent candidate does that fills less than half of the text, of equals the first
+    of the list. Otherwise a comma. Quoted parts do not count.
     """
     bare = F.transform("lines", lambda line: F.regexp_replace(line, '"[^"]*"', ""))
     counted = heads.withColumn("bare", bare)
@@ -133,9 +126,8 @@ def _with_delimiter(heads: DataFrame) -> DataFrame:
         total = _total(n)
         steady = F.lit(d in CONSISTENT_DELIMITERS) & (F.array_min(n) == F.array_max(n)) & (total > 0)
         frequent = F.lit(d in FREQUENT_DELIMITERS) & (total > 0) & (total < F.col("size") / 2)
-        # a colon stands in times, so it separates only where nothing else does
-        level = F.when(steady, 2 if d == ":" else 3).when(frequent, 1).otherwise(0)
-        ranked = F.when(level > 0, total).otherwise(0)
+        level = F.when(steady, 2).when(frequent, 1).otherwise(0)
+        ranked = F.when(level == 1, total).otherwise(0)
         scores.append(
             F.struct(level.alias("level"), ranked.alias("total"), F.lit(-i).alias("rank"),
                      F.lit(d).alias("delimiter"))

@@ -12,7 +12,7 @@ from sluicegate.operators.cast import SOURCE_FILE, TYPED, classify
 from sluicegate.sources.delimited import Layout, apply_bad_line_policy, csv_reader
 
 
-def _stream(
+def placed_stream(
     spark: SparkSession,
     path: str,
     columns: Sequence[str],
@@ -20,6 +20,7 @@ def _stream(
     files_per_batch: int,
     on_bad_lines: str,
 ) -> DataFrame:
+    """The cells of files as they come, with their file and the start of their split."""
     if layout.header and layout.header_row > 0 or not layout.skip_blank_lines:
         raise ValueError("a stream reads files with the header on top and skips blank lines")
     rows = (
@@ -27,7 +28,11 @@ def _stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
-    rows = rows.select(*rows.columns, F.col("_metadata.file_path").alias(SOURCE_FILE))
+    rows = rows.select(
+        *rows.columns,
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_block_start").alias("_block_start"),
+    )
     return apply_bad_line_policy(rows, columns, layout, on_bad_lines)
 
 
@@ -51,7 +56,7 @@ def ingest_incremental(
     converted values for good rows, text for bad ones (:func:`loaded_rows`,
     :func:`rejected_rows`).
     """
-    rows = _stream(spark, path, list(types), layout, files_per_batch, on_bad_lines)
+    rows = placed_stream(spark, path, list(types), layout, files_per_batch, on_bad_lines)
     classified = classify(rows, types, required, day_first)
     bad = F.col("error_type").isNotNull()
     marked = classified.select(

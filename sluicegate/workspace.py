@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+#: Per thread, what was staged inside each open :func:`stages_removed`, the innermost last.
+_open = threading.local()
+
+
+def _stages() -> list[list[str]]:
+    if not hasattr(_open, "stages"):
+        _open.stages = []
+    return _open.stages
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir``, or the checkpoint folder set in code.
@@ -29,7 +43,46 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/sluicegate/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/sluicegate/{label}-{uuid.uuid4().hex}"
+    if _stages():
+        _stages()[-1].append(path)
+    return path
+
+
+@contextmanager
+def stages_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end, also after an error, whatever is staged inside.
+
+    For work whose result is written for good inside, and for callers that have collected what
+    they need from a result that reads staged data.
+    """
+    made: list[str] = []
+    _stages().append(made)
+    try:
+        yield
+    finally:
+        _open.stages = [other for other in _stages() if other is not made]
+        for path in made:
+            remove_staged(spark, path)
+
+
+def keep_staged(path: str) -> None:
+    """Leave a path out of what :func:`stages_removed` removes."""
+    for made in _stages():
+        if path in made:
+            made.remove(path)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it again, so that what follows does not compute it anew."""
+    path = staging_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def remove_staged(spark: SparkSession, path: str) -> None:
@@ -40,7 +93,13 @@ def remove_staged(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the shared folder unless the session already has one."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per context, as ``spark-submit --py-files`` would."""
+    context = spark.sparkContext
+    if not getattr(context, "_sluicegate_shipped", False):
+        package = Path(__file__).resolve().parent
+        made = shutil.make_archive(
+            f"{tempfile.mkdtemp()}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name
+        )
+        context.addPyFile(made)
+        context._sluicegate_shipped = True

@@ -158,7 +158,7 @@ def test_what_lines_cannot_hold_is_refused(spark, write):
     path = write("refused.csv", "x\na,b\n1,2\n")
     with pytest.raises(ValueError, match="multiline"):
         scan_delimited(spark, path, ["a", "b"], Layout(header_row=1, multiline=True))
-    with pytest.raises(ValueError, match="windows-1252"):
-        scan_delimited(spark, path, ["a", "b"], Layout(header_row=1, encoding="windows-1252"))
+    with pytest.raises(ValueError, match="utf-32"):
+        scan_delimited(spark, path, ["a", "b"], Layout(header_row=1, encoding="utf-32"))
     latin = scan_delimited(spark, path, ["a", "b"], Layout(header_row=1, encoding="latin1")).collect()
     assert [(r.a, r.b) for r in latin] == [("1", "2")]

@@ -176,6 +176,7 @@ LINEITEM_NUMBERS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax",
 ]
+LINEITEM_WHOLE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -184,11 +185,31 @@ def _union(parts) -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def _numbers(column: str, table: str) -> str:
+def _numbers(column: str, table: str, digits: int | None = None) -> str:
+    """Statistics of a column; with ``digits`` after the point, exact ones as text too."""
+    mean, deviation = f'avg(CAST("{column}" AS DOUBLE))', f'stddev_samp(CAST("{column}" AS DOUBLE))'
+    exact = "CAST(NULL AS VARCHAR) AS min_exact, CAST(NULL AS VARCHAR) AS max_exact, CAST(NULL AS VARCHAR) AS median_exact"
+    median = f'CAST(median("{column}") AS DOUBLE)'
+    if digits is not None:
+        whole = f'CAST("{column}" * {10**digits} AS HUGEINT)'
+        l = f'list_sort(list({whole}))'
+        twice = f"({l}[(count(*) + 1) // 2] + {l}[count(*) // 2 + 1])"
+        point = f"|| '.' || lpad(CAST(({twice} // 2) % {10**digits} AS VARCHAR), {digits}, '0')" if digits else ""
+        half = "'5'" if digits else "'.5'"
+        exact = (
+            f'CAST(min("{column}") AS VARCHAR) AS min_exact, CAST(max("{column}") AS VARCHAR) AS max_exact, '
+            f"CAST(({twice} // 2) // {10**digits} AS VARCHAR) {point} "
+            f"|| CASE WHEN {twice} % 2 = 1 THEN {half} ELSE '' END AS median_exact"
+        )
+        median = f"CAST({twice} AS DOUBLE) / {2 * 10**digits}"
+        # taken from the least value on, which loses nothing
+        apart = f'CAST("{column}" - (SELECT min("{column}") FROM {table}) AS DOUBLE)'
+        mean = f'CAST(CAST(min("{column}") AS DECIMAL(38,4)) + CAST(avg({apart}) AS DECIMAL(38,4)) AS DOUBLE)'
+        deviation = f"stddev_samp({apart})"
     return f"""SELECT '{column}' AS column_name, round(CAST(min("{column}") AS DOUBLE), 4) AS min_val,
-  round(CAST(max("{column}") AS DOUBLE), 4) AS max_val, round(avg("{column}"), 4) AS mean_val,
-  round(CAST(median("{column}") AS DOUBLE), 4) AS median_val,
-  round(stddev_samp("{column}"), 4) AS std_val FROM {table}"""
+  round(CAST(max("{column}") AS DOUBLE), 4) AS max_val, round({mean}, 4) AS mean_val,
+  round({median}, 4) AS median_val,
+  round({deviation}, 4) AS std_val, {exact} FROM {table}"""
 
 
 def _stats(column: str, table: str) -> str:
@@ -258,42 +279,96 @@ def _column_diff() -> str:
 CHANGED_NUMBERS = ["o_orderkey", "o_custkey", "o_totalprice"]
 
 
-def _report() -> str:
-    def row(test, status, message, metric, value, source):
+def _overall(checks: str) -> str:
+    return (
+        "CASE WHEN bool_or(status = 'Failed') THEN 'Failed' WHEN bool_or(status = 'Error') THEN 'Error' "
+        "WHEN bool_or(status = 'Warning') THEN 'Warning' ELSE 'Passed' END"
+    )
+
+
+def _check_rows(table: str, source: str, numbers: list[str], columns: list[str]) -> list[str]:
+    """The rows of all checks of a table that is in order, but for the overall status."""
+
+    def row(test, status, message, metric, value, origin, detail="CAST(NULL AS VARCHAR)"):
         return (
             f"SELECT '{test}' AS test, {status} AS status, {message} AS message, {metric} AS metric, "
-            f"round(CAST({value} AS DOUBLE), 2) AS value FROM {source}"
+            f"round(CAST({value} AS DOUBLE), 2) AS value, {detail} AS detail FROM {origin}"
         )
 
     parts = [row("table_exists", "'Passed'", "'table found'", "'exists'", "1", "(SELECT 1)")]
-    parts.append(row("row_count", "'Info'", "'no expected count'", "'actual_count'", "count(*)", "changed"))
+    parts.append(row("row_count", "'Info'", "'no expected count'", "'actual_count'", "count(*)", table))
     parts += [
-        row("null_values", "'Info'", "'missing values'", f"'{c}'", f"count(*) - count({c})", "changed")
-        for c in ORDERS
+        row("null_values", "'Info'", "'missing values'", f"'{c}'", f"count(*) - count({c})", table) for c in columns
     ]
     parts += [
-        row("column_stats", "'Info'", "'numeric column'", f"'{c}.{f}'", f"{f}({c})", "changed")
-        for c in CHANGED_NUMBERS
+        row("column_stats", "'Info'", "'numeric column'", f"'{c}.{f}'", f"{f}({c})", table)
+        for c in numbers
         for f in ["min", "max", "avg", "sum"]
     ]
+    first = "(SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM {0})"
+    parts.append(
+        row("sample_data", "'Info'", "'sample row'", "'row ' || n", "NULL", first.format(table) + " WHERE n <= 5",
+            "CAST(o_orderkey AS VARCHAR)")
+    )
+    repeated = f"(SELECT o_orderkey, count(*) AS n FROM {table} GROUP BY o_orderkey HAVING count(*) > 1)"
     parts.append(
         row("duplicates", "CASE WHEN count(*) = 0 THEN 'Passed' ELSE 'Warning' END",
             "CASE WHEN count(*) = 0 THEN 'no repeated rows' ELSE 'repeated rows' END",
-            "'extra_rows'", "coalesce(sum(n - 1), 0)",
-            "(SELECT count(*) AS n FROM changed GROUP BY o_orderkey HAVING count(*) > 1)")
+            "'extra_rows'", "coalesce(sum(n - 1), 0)", repeated)
     )
     parts.append(
-        row("csv_comparison", "CASE WHEN s = t THEN 'Passed' ELSE 'Warning' END",
-            "CASE WHEN s = t THEN 'row counts match' ELSE 'row counts differ' END", "'source_rows'",
-            "s", "(SELECT (SELECT count(*) FROM orders) AS s, (SELECT count(*) FROM changed) AS t)")
+        row("duplicates", "'Info'", "'repeated group'", "'group ' || g", "n",
+            f"(SELECT *, row_number() OVER (ORDER BY n DESC, o_orderkey) AS g FROM {repeated}) WHERE g <= 10")
     )
-    overall = row(
-        "overall",
-        "CASE WHEN bool_or(status = 'Failed') THEN 'Failed' WHEN bool_or(status = 'Error') THEN 'Error' "
-        "WHEN bool_or(status = 'Warning') THEN 'Warning' ELSE 'Passed' END",
-        "'most severe status'", "'overall'", "NULL", "checks",
+    counts = f"(SELECT (SELECT count(*) FROM {source}) AS s, (SELECT count(*) FROM {table}) AS t)"
+    agree = "CASE WHEN s = t THEN 'row counts match' ELSE 'row counts differ' END"
+    parts.append(
+        row("csv_comparison", "CASE WHEN s = t THEN 'Passed' ELSE 'Warning' END", agree, "'source_rows'", "s", counts)
+    )
+    parts.append(row("csv_comparison", "'Info'", agree, "'table_rows'", "t", counts))
+    for c in ORDERS:
+        samples = " IS NOT DISTINCT FROM ".join(
+            f"(SELECT list({c} ORDER BY n) FROM {first.format(side)} WHERE n <= 5)" for side in (source, table)
+        )
+        parts.append(
+            row("csv_comparison", "'Info'", "CASE WHEN m THEN 'first values match' ELSE 'first values differ' END",
+                f"'{c}.first'", "CAST(m AS INTEGER)", f"(SELECT {samples} AS m)")
+        )
+    return parts
+
+
+def _report() -> str:
+    parts = _union(_check_rows("changed", "orders", CHANGED_NUMBERS, ORDERS))
+    return (
+        f"WITH {CHANGED}, checks AS ({parts}) SELECT * FROM checks UNION ALL SELECT 'overall', {_overall('checks')}, "
+        "'most severe status', 'overall', NULL, NULL FROM checks"
+    )
+
+
+def _validated_tables() -> str:
+    """A table in order; one of which a column cannot be read, so that checks that need it break; none."""
+    good = _union(_check_rows("orders", "orders", CHANGED_NUMBERS, ORDERS))
+    kept = "'good' AS subject, test, status, metric, value"
+    broken = [
+        "SELECT 'broken', 'table_exists', 'Passed', 'exists', 1",
+        "SELECT 'broken', 'row_count', 'Info', 'actual_count', count(*) FROM orders",
+        *[f"SELECT 'broken', '{t}', 'Error', '{t}', NULL" for t in ("null_values", "column_stats", "sample_data")],
+        "SELECT 'broken', 'duplicates', 'Passed', 'extra_rows', 0",
+        "SELECT 'broken', 'csv_comparison', 'Warning', 'source_rows', count(*) FROM orders",
+        "SELECT 'broken', 'csv_comparison', 'Info', 'table_rows', count(*) FROM orders",
+        *[
+            f"SELECT 'broken', 'csv_comparison', 'Info', '{c}', NULL"
+            for c in ("o_orderstatus", "o_orderdate", "o_orderpriority")
+        ],
+        "SELECT 'broken', 'csv_comparison', 'Error', 'source_samples', NULL",
+        "SELECT 'broken', 'overall', 'Error', 'overall', NULL",
+        "SELECT 'missing', 'table_exists', 'Failed', 'exists', 0",
+        "SELECT 'missing', 'overall', 'Failed', 'overall', NULL",
+    ]
+    return (
+        f"WITH checks AS ({good}) SELECT {kept} FROM checks UNION ALL "
+        f"SELECT 'good', 'overall', {_overall('checks')}, 'overall', NULL FROM checks UNION ALL " + _union(broken)
     )
-    return f"WITH {CHANGED}, checks AS ({_union(parts)}) SELECT * FROM checks UNION ALL {overall}"
 
 
 ORACLE_SQL = {
@@ -320,6 +395,8 @@ SELECT file_no, d <> 2 AS has_header,
   CASE d WHEN 2 THEN '{POSITIONAL}' WHEN 4 THEN '{NAMES},channel'
     WHEN 5 THEN '{NAMES.replace(",segment", "")}' ELSE '{NAMES}' END AS column_names FROM files""",
     "csv_header_row_skip": """SELECT c_custkey, c_name, c_nationkey,
+  CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer""",
+    "csv_utf16": """SELECT c_custkey, c_name || chr(266) AS c_name, c_nationkey,
   CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer""",
     "csv_no_header": """SELECT c_custkey AS column_1, c_name AS column_2, c_nationkey AS column_3,
   CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS column_4, c_mktsegment AS column_5 FROM customer""",
@@ -341,6 +418,9 @@ WHERE line_no <= 5""",
     "add_surrogate_id": "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id, * FROM orders",
     "ingest_incremental": """SELECT o_orderkey, o_custkey, o_orderstatus,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice, o_orderdate, o_orderpriority FROM orders""",
+    "ingest_table": """SELECT o_orderkey, o_custkey, o_orderstatus,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice, o_orderdate, o_orderpriority,
+  true AS ids_dense FROM orders""",
     "quarantine_rows": f"""WITH {PARSED}
 SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
   status_text AS status, NULLIF(amount_text, '') AS amount, order_date, priority, error_type,
@@ -406,7 +486,7 @@ FROM typed""",
   CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance,
   CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS opened,
   CASE WHEN d <> 5 THEN c_mktsegment END AS segment,
-  'café, ' || lower(c_mktsegment) || '; visit|call' AS note, CASE WHEN d = 4 THEN 'web' END AS channel
+  CASE WHEN c_custkey % 2 = 0 THEN 'café, ' || lower(c_mktsegment) || '; visit|call' ELSE 'café' END AS note, CASE WHEN d = 4 THEN 'web' END AS channel
 FROM (SELECT *, (c_custkey // 50) % 6 AS d FROM customer)""",
     "load_with_id": "SELECT CAST(o_orderkey AS INTEGER) AS id, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus FROM orders",
     "csv_stray_quotes": """SELECT o_orderkey AS id, '5" pipe' AS item, o_orderstatus AS status,
@@ -442,7 +522,16 @@ SELECT (SELECT count(*) FROM parsed) AS row_count, CAST(6 AS BIGINT) AS column_c
         for t, columns in [("orders", ORDERS), ("documents", DOCUMENTS)]
         for c in columns
     ),
-    "numeric_summary": _union(_numbers(c, "lineitem") for c in LINEITEM_NUMBERS),
+    "numeric_summary": "WITH b AS (SELECT o_orderkey * 3 + 9007199254740993 AS big, "
+    "CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CAST('100000000000000000000' AS DECIMAL(38,2)) AS DECIMAL(38,2)) AS wide "
+    "FROM orders) "
+    + _union(
+        [
+            *(_numbers(c, "lineitem", 0 if c in LINEITEM_WHOLE else None) for c in LINEITEM_NUMBERS),
+            _numbers("big", "b", 0),
+            _numbers("wide", "b", 2),
+        ]
+    ),
     "string_avg_length": _union(
         f"""SELECT '{c}' AS column_name, round(avg(length("{c}")), 4) AS avg_length FROM documents"""
         for c in ["text", "lang", "source"]
@@ -452,6 +541,7 @@ SELECT (SELECT count(*) FROM parsed) AS row_count, CAST(6 AS BIGINT) AS column_c
         for t, columns in [
             ("orders", ["o_orderstatus", "o_orderpriority"]),
             ("part", ["p_name", "p_brand", "p_type"]),
+            ("documents", ["text", "lang", "source"]),
         ]
         for c in columns
     ),
@@ -513,6 +603,7 @@ SELECT {", ".join(ORDERS)}, count(*) AS extra_in_source, CAST(0 AS BIGINT) AS ex
 FROM s GROUP BY ALL
 UNION ALL SELECT {", ".join(ORDERS)}, CAST(0 AS BIGINT), count(*) FROM t GROUP BY ALL""",
     "validation_report": _report(),
+    "validate_table": _validated_tables(),
     "quality_gate": f"""WITH {PARSED},
 good AS (SELECT * FROM parsed WHERE error_type IS NULL),
 r AS (SELECT (SELECT count(*) FROM good) * 100.0::DOUBLE / (SELECT count(*) FROM parsed) AS rate)
