@@ -19,7 +19,8 @@ fewer words than a shingle is one shingle of all its words; a null, empty or bla
 shingle, no link and its own id as component; a null ``doc_id`` counts as larger than all
 others and gives a null component only if nothing in it has an id; rows that share an id are
 nodes of their own; an empty table gives an empty result; other columns are neither read nor
-returned (``keep_one`` returns them as they were).
+returned (``keep_one`` returns them as they were). A very long text is a large set: it is held
+whole where its shingles are named and where it is compared, about 60 bytes a word.
 
 Names have 64 bits: two different shingles are taken for one with a chance of 2**-64 a pair.
 
@@ -281,8 +282,9 @@ def overlaps(name: np.ndarray, owner: np.ndarray, count: int) -> Iterator[tuple[
 def verify(docs: DataFrame, scanned: DataFrame, classes: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int,
            percent: int, lower: bool) -> DataFrame:
     """node, root, links: links of each node inside each pair of chunks, and its component there."""
-    chosen = nodes.join(classes, "node").select(F.col("first").alias("id"), "node", "chunk", "size")
-    texts = _keyed(docs).select("id", "text").join(chosen, "id")
+    chosen = nodes.join(classes, "node").select(F.col("first").alias("id"), "text_hash", "node", "chunk", "size")
+    # by id and text: rows without an id, or of one id, meet the sets of their own text only
+    texts = _keyed(docs).join(chosen, ["id", "text_hash"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, name, bounds in _batches(batches, words, lower):
@@ -350,8 +352,12 @@ def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame
     """id, text_hash, node, n, component (its least node), least (id of the component) and links of every row of ``docs``."""
     scanned = staged(scan(docs, words, percent, lower), "jaccard-scan")
     rows = scanned.where("n > 0")
+    least = F.min(F.struct("id", "text_hash")).alias("least")
     classes = staged(
-        rows.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")), "jaccard-classes"
+        rows.groupBy("node")
+        .agg(least, F.count(F.lit(1)).alias("size"))
+        .select("node", F.col("least.id").alias("first"), "least.text_hash", "size"),
+        "jaccard-classes",
     )
     found = staged(probes(shared_names(rows, percent), percent), "jaccard-probes")
     nodes, pairs = chunk_pairs(found)
