@@ -321,22 +321,32 @@ def deal(texts: list[np.ndarray], streams: int) -> list[np.ndarray]:
     return [np.concatenate(own) if own else np.zeros(0, np.uint16) for own in dealt]
 
 
+def side_by_side(texts: list[np.ndarray], cut: int) -> tuple[np.ndarray, np.ndarray]:
+    """The window at ``cut`` of all texts as [step, text], zeros behind their ends, and how long each is in it.
+
+    Windows are laid out one at a time, so that a very long text costs no more than its own ids.
+    """
+    parts = [text[cut : cut + WINDOW] for text in texts]
+    length = np.array([len(part) for part in parts], np.int64)
+    wide = np.zeros((len(parts), int(length.max(initial=0))), np.int64)
+    for j, part in enumerate(parts):
+        wide[j, : len(part)] = part
+    return np.ascontiguousarray(wide.T), length
+
+
 def train_streams(flat: np.ndarray, texts: list[np.ndarray], rate: float = RATE) -> np.ndarray:
     """Weights after one pass over the texts (Adam, one step per window)."""
     net = Gru(flat.copy())
     streams = deal(texts, STREAMS)
     longest = len(streams[0]) if streams else 0
-    wide = np.zeros((longest, len(streams)), np.int64)
-    real = np.zeros((longest, len(streams)), np.float32)
-    for i, s in enumerate(streams):
-        wide[: len(s), i], real[: len(s), i] = s, 1
     h = np.zeros((len(streams), HIDDEN), np.float32)
     before = np.zeros(len(streams), np.int64)  # a stream begins as if a text had ended
     m, v = np.zeros_like(net.flat), np.zeros_like(net.flat)
     for k, cut in enumerate(range(0, longest, WINDOW), 1):
-        target, mask = wide[cut : cut + WINDOW], real[cut : cut + WINDOW]
-        alive = int(mask[0].sum())  # streams are sorted by length
-        target, mask, h, before = target[:, :alive], mask[:, :alive], h[:alive], before[:alive]
+        alive = sum(len(s) > cut for s in streams)  # streams are sorted by length
+        target, length = side_by_side(streams[:alive], cut)
+        mask = (np.arange(len(target))[:, None] < length).astype(np.float32)
+        h, before = h[:alive], before[:alive]
         steps, states = [], np.zeros((len(target), alive, HIDDEN), np.float32)
         for t in range(len(target)):
             h, record = net.step(before, h * (before != 0)[:, None])
@@ -362,19 +372,16 @@ def score_texts(flat: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
         total = np.zeros(len(own))
         h = np.zeros((len(own), HIDDEN), np.float32)
         before = np.zeros(len(own), np.int64)
-        wide = np.zeros((len(own), int(length[0])), np.int64)
-        for j, i in enumerate(own):
-            wide[j, : length[j]] = texts[i]
-        wide = np.ascontiguousarray(wide.T)
-        for cut in range(0, len(wide), WINDOW):
+        for cut in range(0, int(length[0]), WINDOW):
             # Texts are in order of length, so those that go on stand in front.
-            alive = [int(np.searchsorted(-length, -t)) for t in range(cut, min(cut + WINDOW, len(wide)))]
+            wide, left = side_by_side([texts[i] for i in own[: int(np.searchsorted(-length, -cut))]], cut)
+            alive = [int(np.searchsorted(-left, -t)) for t in range(len(wide))]
             states = []
-            for t, n in enumerate(alive, cut):
+            for t, n in enumerate(alive):
                 h, _ = net.step(before[:n], h[:n])
                 states.append(h)
                 before = wide[t, :n]
-            now = np.concatenate([wide[t, :n] for t, n in enumerate(alive, cut)])
+            now = np.concatenate([wide[t, :n] for t, n in enumerate(alive)])
             s = np.concatenate(states) @ net.o
             s += net.b
             picked = s[np.arange(len(now)), now]
