@@ -152,7 +152,7 @@ def _signed(names: np.ndarray) -> pa.Array:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: id, sig, n_words, kept_sha256 (of all words), symbols."""
+    """One row per row of ``docs``: id, text_hash, sig, n_words, kept_sha256 (of all words), symbols."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _batches(batches):
@@ -165,21 +165,29 @@ def scan(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
+                    batch.column("text_hash"),
                     _signed(signatures(words)),
                     pa.array(np.diff(words.bounds), pa.int64()),
                     pa.array(digests),
                     _lists(_signed(pairs[1]), pairs[0].astype(np.int64), len(words)),
                 ],
-                ["id", "sig", "n_words", "kept_sha256", "symbols"],
+                ["id", "text_hash", "sig", "n_words", "kept_sha256", "symbols"],
             )
 
-    return arrow_map(_keyed(docs), step, "id long, sig long, n_words long, kept_sha256 string, symbols array<long>")
+    schema = "id long, text_hash long, sig long, n_words long, kept_sha256 string, symbols array<long>"
+    return arrow_map(_keyed(docs), step, schema)
+
+
+#: A row's key: rows that share an id, or have none, are told apart by their texts.
+KEY = ["id", "text_hash"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
-        F.col("text").cast("string").alias("text"),
+        F.xxhash64(text).alias("text_hash"),
+        text.alias("text"),
     )
 
 
@@ -189,17 +197,17 @@ def first_copies(scanned: DataFrame) -> DataFrame:
 
 
 def shared_symbols(scanned: DataFrame) -> DataFrame:
-    """id and the high-level symbols it shares with a text of other words."""
-    rows = scanned.select("id", "sig", F.explode("symbols").alias("symbol"))
+    """The key of a text and the high-level symbols it shares with a text of other words."""
+    rows = scanned.select(*KEY, "sig", F.explode("symbols").alias("symbol"))
     shared = rows.groupBy("symbol").agg(F.min("sig").alias("low"), F.max("sig").alias("high"))
     shared = shared.where("low <> high").select("symbol")
-    return rows.select("id", "symbol").join(shared, "symbol").groupBy("id").agg(F.collect_set("symbol").alias("symbols"))
+    return rows.select(*KEY, "symbol").join(shared, "symbol").groupBy(*KEY).agg(F.collect_set("symbol").alias("symbols"))
 
 
 def repeated_windows(affected: DataFrame) -> DataFrame:
-    """id, sig and starts: the windows of each text that stand in a text of smaller id.
+    """The key and starts: the windows of each text that stand in a text of smaller id.
 
-    ``affected`` has id, text and symbols, the shared ones.
+    ``affected`` has the key, text and symbols, the shared ones.
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,43 +219,40 @@ def repeated_windows(affected: DataFrame) -> DataFrame:
             owner = np.searchsorted(words.bounds, at, side="right") - 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id").take(pa.array(owner)),
-                    _signed(signatures(words)[owner]),
+                    *(batch.column(c).take(pa.array(owner)) for c in KEY),
                     _signed(ranges.name(at, at + WINDOW)),
                     pa.array(at - words.bounds[owner], pa.int32()),
                 ],
-                ["id", "sig", "name", "start"],
+                [*KEY, "name", "start"],
             )
 
-    rows = staged(arrow_map(affected, step, "id long, sig long, name long, start int"), "windows")
+    rows = staged(arrow_map(affected, step, "id long, text_hash long, name long, start int"), "windows")
     first = rows.groupBy("name").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     later = rows.join(first.select("name", "first"), "name").where("id > first")
-    return later.groupBy("id", "sig").agg(F.collect_set("start").alias("starts"))
+    return later.groupBy(*KEY).agg(F.collect_set("start").alias("starts"))
 
 
 def changed_texts(docs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """id, sig, n_removed, kept_sha256, kept: the first copies of texts that lose words.
+    """The key, n_removed, kept_sha256, kept: the first copies of texts that lose words.
 
     ``kept`` is the text without the removed words and without the space before each of them.
+    Rows of one key have one text and are worked on once.
     """
-    firsts = scanned.join(first_copies(scanned), "sig").where("id = first").select("id").distinct()
-    with_symbols = shared_symbols(scanned).join(firsts, "id", "left_semi")
-    affected = staged(_keyed(docs).join(with_symbols, "id"), "affected")
-    starts = repeated_windows(affected)
-    starts = starts.groupBy("id").agg(F.collect_list(F.struct("sig", "starts")).alias("by_sig"))
-    joined = affected.select("id", "text").join(starts, "id")
+    firsts = scanned.join(first_copies(scanned), "sig").where("id = first").select(*KEY).distinct()
+    with_symbols = shared_symbols(scanned).join(firsts, KEY, "left_semi")
+    affected = staged(_keyed(docs).join(with_symbols, KEY).dropDuplicates(KEY), "affected")
+    joined = affected.select(*KEY, "text").join(repeated_windows(affected), KEY)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, words in _batches(batches):
-            sig = signatures(words).view(np.int64)
             raw = words.data.tobytes()
             out = []
-            for i, found in enumerate(batch.column("by_sig").to_pylist()):
-                own = [s for entry in found if entry["sig"] == sig[i] for s in entry["starts"]]
+            for i, starts in enumerate(batch.column("starts")):
+                own = starts.values.to_numpy().astype(np.int64)
                 a, b = words.bounds[i], words.bounds[i + 1]
                 edges = np.zeros(b - a + 1, np.int64)
-                np.add.at(edges, np.array(own, np.int64), 1)
-                np.add.at(edges, np.array(own, np.int64) + WINDOW, -1)
+                np.add.at(edges, own, 1)
+                np.add.at(edges, own + WINDOW, -1)
                 gone = np.cumsum(edges)[: b - a] > 0
                 # From the end of the word before to the end of each removed word.
                 begin, end = words.offsets[i], words.offsets[i + 1]
@@ -264,25 +269,24 @@ def changed_texts(docs: DataFrame, scanned: DataFrame) -> DataFrame:
             columns = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"),
-                    _signed(sig),
+                    *(batch.column(c) for c in KEY),
                     pa.array(columns[0], pa.int64()),
                     pa.array(columns[1], pa.string()),
                     pa.array(columns[2], pa.string()),
                 ],
-                ["id", "sig", "n_removed", "kept_sha256", "kept"],
+                [*KEY, "n_removed", "kept_sha256", "kept"],
             )
 
-    schema = "id long, sig long, n_removed long, kept_sha256 string, kept string"
-    return arrow_map(joined, step, schema).where("n_removed > 0").dropDuplicates(["id", "sig"])
+    schema = "id long, text_hash long, n_removed long, kept_sha256 string, kept string"
+    return arrow_map(joined, step, schema)
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row of ``docs``."""
     scanned = staged(scan(docs), "substring-scan")
-    changed = changed_texts(docs, scanned).select("id", "sig", "n_removed", F.col("kept_sha256").alias("new_sha256"))
+    changed = changed_texts(docs, scanned).select(*KEY, "n_removed", F.col("kept_sha256").alias("new_sha256"))
     copied = (F.col("id") > F.col("first")) & (F.col("n_words") >= WINDOW)
-    rows = scanned.drop("symbols").join(first_copies(scanned), "sig").join(changed, ["id", "sig"], "left")
+    rows = scanned.drop("symbols").join(first_copies(scanned), "sig").join(changed, KEY, "left")
     return rows.select(
         F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"),
         "n_words",
@@ -300,33 +304,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     scanned = staged(scan(docs), "substring-scan")
     copies = scanned.join(first_copies(scanned), "sig").where((F.col("id") > F.col("first")) & (F.col("n_words") >= WINDOW))
-    gone = copies.select("id", "sig", F.lit(None).cast("string").alias("kept")).distinct()
-    news = changed_texts(docs, scanned).select("id", "sig", "kept").unionByName(gone)
-    news = news.groupBy("id").agg(F.collect_list(F.struct("sig", "kept")).alias("news"))
+    gone = copies.select(*KEY, F.lit(None).cast("string").alias("_kept")).distinct()
+    news = changed_texts(docs, scanned).select(*KEY, F.col("kept").alias("_kept")).unionByName(gone)
+    news = news.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(True).alias("_found"), "_kept")
     inner = [f"_in_{i}" for i in range(len(docs.columns))]
     place = {c.lower(): inner[i] for i, c in enumerate(docs.columns)}
-    rows = docs.toDF(*inner).withColumn("_id", F.coalesce(F.col(place["doc_id"]).cast("long"), F.lit(NULL_ID)))
-    joined = rows.join(news.withColumnRenamed("id", "_id"), "_id", "left").drop("_id")
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in batches_by_bytes(whole, place["text"]):
-                news = batch.column("news")
-                found, kept = [False] * batch.num_rows, [None] * batch.num_rows
-                at = np.flatnonzero(news.is_valid().to_numpy(zero_copy_only=False))
-                texts = batch.column(place["text"]).take(pa.array(at))
-                sig = signatures(find_words(texts)).view(np.int64).tolist()
-                for i, mine in zip(at.tolist(), sig, strict=True):
-                    for entry in news[i].as_py():
-                        if entry["sig"] == mine:
-                            found[i], kept[i] = True, entry["kept"]
-                arrays = [batch.column(c) for c in inner] + [pa.array(found, pa.bool_()), pa.array(kept, pa.string())]
-                yield pa.RecordBatch.from_arrays(arrays, [*inner, "_found", "_kept"])
-
-    kinds = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "_id")
-    edited = arrow_map(joined, step, f"{kinds}, _found boolean, _kept string")
+    text = F.col(place["text"])
+    rows = docs.toDF(*inner).withColumns(
+        {
+            "_id": F.coalesce(F.col(place["doc_id"]).cast("long"), F.lit(NULL_ID)),
+            "_hash": F.xxhash64(text.cast("string")),
+        }
+    )
+    edited = rows.join(news, ["_id", "_hash"], "left").withColumn("_found", F.coalesce("_found", F.lit(False)))
     edited = edited.where(~F.col("_found") | F.coalesce(F.col("_kept").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)))
-    new = {place["text"]: F.when(F.col("_found"), F.col("_kept")).otherwise(F.col(place["text"]))}
+    new = {place["text"]: F.when(F.col("_found"), F.col("_kept")).otherwise(text)}
     if "n_chars" in place:
         length = F.length("_kept").cast(dict(rows.dtypes)[place["n_chars"]])
         new[place["n_chars"]] = F.when(F.col("_found"), length).otherwise(F.col(place["n_chars"]))
