@@ -60,16 +60,17 @@ def test_shards_of_few_and_no_rows(spark):
 
 
 def brute_top(rows, k=5):
-    vectors = {}
+    """The best k other rows of each query row; of equal scores the smaller id."""
+    vectors = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            whole = [math.floor(256 * float(np.float32(x))) for x in v]
-            vectors[i] = min(vectors.get(i, whole), whole)
+            vectors.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
     out = []
-    for q, a in vectors.items():
+    for n, (q, a) in enumerate(vectors):
         if q % 5 == 0:
-            scored = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in vectors.items() if i != q and len(a) == len(b)]
-            out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k], 1)]
+            others = [(i, b) for m, (i, b) in enumerate(vectors) if m != n and len(a) == len(b)]
+            scored = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in others]
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out)
 
 
@@ -98,6 +99,16 @@ def test_query_of_large_vectors_and_repeated_ids_matches_sql(spark, tmp_path):
     assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
 
 
+def test_rows_of_one_id_are_queries_of_their_own(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 1.0]), (2, [0.5, 0.0]), (3, [0.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sorted(tuple(r) for r in topk.top_k(topk.whole_numbers(df), F.col("vec_id") % 50 == 0).collect())
+    assert found == brute_top(rows) and len(found) == 8
+    equal = spark.createDataFrame([(50, [1.0])] * 300, "vec_id long, embedding array<float>")
+    found = topk.top_k(topk.whole_numbers(equal), F.lit(True), candidates=40, queries=40)
+    assert found.groupBy("rank").count().collect() and {r["count"] for r in found.groupBy("rank").count().collect()} == {300}
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(topk.whole_numbers(df), F.col("vec_id") % 50 == 0).count() == 0
