@@ -37,6 +37,8 @@ THRESHOLD = 0.8
 BANDS = 16
 MOST_TEMPLATES = 10_000
 _WORD = "[a-z0-9]+(?:\\.[0-9]+)*"
+#: Words of a text that go on together.
+BLOCK = 1024
 _COMMON = frozenset("a an and any are as at be by for from in is it its no not of on or that the this to under with".split())
 
 #: Short notices of public licenses.
@@ -192,7 +194,12 @@ def shingles_between(words: str, first: Column, size: Column) -> Column:
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] = TEMPLATES | STANDARD, threshold: float = THRESHOLD, bands: int = BANDS
 ) -> DataFrame:
-    """doc_id, license, containment (the best), n_places (separate matches), first_word (from 0)."""
+    """doc_id, license, containment (the best), n_cells (stretches of text that hold a match), first_word (from 0).
+
+    Words are dealt out in blocks that overlap by the widest window, so that what an occurrence of
+    an anchor carries does not grow with its text; a window belongs to the first occurrence of the
+    anchor in it, so that neighbouring occurrences do not make the same windows.
+    """
     spark = docs.sparkSession
     known = template_table(spark, templates, threshold)
     grids: dict[str, set[tuple[int, int]]] = {}
@@ -214,11 +221,26 @@ def scan_licenses(
             F.regexp_extract_all("lowered", F.lit(f"({_WORD})")).alias("words"),
         )
     )
+    widest = max(size + 2 * step for grid in grids.values() for size, step in grid)
+    begin = lambda b: F.greatest(F.lit(1), b - widest)
+    blocks = F.transform(
+        F.sequence(F.lit(1), F.size("words"), F.lit(BLOCK)),
+        lambda b: F.struct(
+            b.alias("from"),
+            (begin(b) - 1).alias("before"),
+            F.slice("words", begin(b), b - begin(b) + BLOCK + widest).alias("words"),
+        ),
+    )
+    cut = rows.where(F.size("words") > 0).select("doc_id", "row", F.explode(blocks).alias("block"))
+    cut = cut.select("doc_id", "row", "block.*")
     places = F.filter(
-        F.sequence(F.lit(1), F.size("words")),
-        lambda i: F.array_contains(F.array(*(F.lit(w) for w in chosen)), F.element_at("words", i)),
+        F.sequence(F.col("from"), F.least(F.col("from") + BLOCK - 1, F.col("before") + F.size("words"))),
+        lambda i: F.array_contains(F.array(*(F.lit(w) for w in chosen)), F.element_at("words", (i - F.col("before")).cast("int"))),
     )
-    at = rows.where(F.size("words") > 0).withColumn("anchor", F.explode(places))
+    at = cut.withColumn("anchor", F.explode(places)).withColumn("here", F.col("anchor") - F.col("before"))
+    word = F.element_at("words", F.col("here"))
+    back = F.greatest(F.lit(1), F.col("here") - widest)
+    since = F.array_position(F.reverse(F.slice("words", back, F.col("here") - back)), word).cast("int")
     # Windows that hold the anchor, of each size of the templates it is chosen for, on the grid of
     # that size. Only the words around it go on.
     per_word = F.create_map(
@@ -231,21 +253,26 @@ def scan_licenses(
             )
         )
     )
-    sizes = F.explode(F.element_at(per_word, F.element_at("words", F.col("anchor"))))
-    first = F.greatest(F.lit(1), F.col("anchor") - F.col("g.size") + 1)
+    sizes = F.explode(F.element_at(per_word, word))
+    behind = F.when(F.col("since") > 0, F.col("anchor") - F.col("since") + 1)  # after the occurrence before
+    first = F.greatest(F.lit(1), F.col("anchor") - F.col("g.size") + 1, behind)
     on_grid = F.ceil((first - 1) / F.col("g.step")).cast("int") * F.col("g.step") + 1
+    starts = F.when(on_grid <= F.col("anchor"), F.sequence(on_grid, F.col("anchor"), F.col("g.step")))
     windows = (
-        at.withColumn("g", sizes)
-        .withColumn("start", F.explode(F.sequence(F.least(on_grid, F.col("anchor")), F.col("anchor"), F.col("g.step"))))
+        at.withColumn("since", since)
+        .withColumn("g", sizes)
+        .withColumn("start", F.explode(starts))
         .select(
             "doc_id",
             "row",
             "start",
             F.col("g.size").alias("size"),
             F.col("g.step").alias("step"),
-            shingles_between("words", F.col("start"), F.col("g.size")).alias("shingles"),
+            shingles_between("words", F.col("start") - F.col("before"), F.col("g.size")).alias("shingles"),
             shingles_between(
-                "words", F.greatest(F.lit(1), F.col("start") - F.col("g.step")), F.col("g.size") + 2 * F.col("g.step")
+                "words",
+                F.greatest(F.lit(1), F.col("start") - F.col("g.step")) - F.col("before"),
+                F.col("g.size") + 2 * F.col("g.step"),
             ).alias("around"),
         )
     )

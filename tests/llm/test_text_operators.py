@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -617,3 +618,80 @@ def test_pipeline_stages(spark, docs):
         rows = spark.createDataFrame(out.collect(), out.schema)
     last = corpus_pipeline.STAGES[-1][1](spark, rows, "")
     assert sum(r.length for r in last.collect()) == sum(len(encoded(r.text)) for r in rows.collect())
+
+
+# -- rows without an id, one id for many rows, very long texts --------------------------------
+
+
+def many_of(spark, ids):
+    """Texts of 60 words under the given ids: each third is near another, two are equal, one repeats a passage."""
+    rng = random.Random(21)
+    rows = []
+    for i in ids:
+        words = [f"v{rng.randrange(5000)}" for _ in range(60)]
+        if rows and rng.random() < 0.3:
+            words = rows[rng.randrange(len(rows))][1].split()
+            if rng.random() < 0.7:
+                words[rng.randrange(60)] = "changed"
+        rows.append((i, " ".join(words), "s"))
+    return rows, table(spark, rows)
+
+
+@pytest.mark.parametrize("kind", ["a third without id", "one id for half"])
+def test_ids_do_not_bring_texts_together(spark, kind):
+    ids = [None if kind == "a third without id" and i % 3 == 0 else 7 if kind == "one id for half" and i % 2 else 100 + i for i in range(240)]
+    rows, docs = many_of(spark, ids)
+    assert collected(substrings.removals(docs)) == sorted(brute_removals(rows), key=repr)
+    found = jaccard.jaccard_components(docs, words=4, percent=85).select("doc_id", "n_shingles", "component_id")
+    assert collected(found) == sorted(((d, n, c) for d, n, c, *_ in brute_components(rows, 4, 85)), key=repr)
+
+
+def test_joins_are_by_id_and_text(spark, plan):
+    """No join or grouping of whole texts is by id alone, or a million rows without an id would be one."""
+    _, docs = many_of(spark, [None] * 30)
+    texts = jaccard._keyed(docs)
+    assert "text_hash" in texts.columns and substrings.KEY == ["id", "text_hash"]
+    scanned = substrings.scan(docs)
+    shared = plan(substrings.shared_symbols(scanned))
+    assert "hashpartitioning(id#" not in shared or "text_hash" in shared.split("hashpartitioning(id#")[1][:40]
+
+
+def test_memory_of_the_model_does_not_follow_the_longest_text():
+    """Windows are laid out one by one: 200 short texts beside one of 60,000 tokens."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(1, 40, 20).astype("<u2") for _ in range(200)] + [rng.integers(1, 40, 60_000).astype("<u2")]
+    flat = lm.Gru.start(np.ones(lm.CLASSES), 0)
+    tracemalloc.start()
+    scores = lm.score_texts(flat, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6 and np.isfinite(scores).all()
+    alone = lm.score_texts(flat, texts[-1:])
+    assert math.isclose(scores[-1], alone[0], rel_tol=1e-4)
+
+
+def test_texts_of_many_words(spark):
+    """A text of 60,000 words goes through the operators on texts like any other."""
+    rng = random.Random(9)
+    long = " ".join(f"w{rng.randrange(20_000)}" for _ in range(60_000))
+    rows = [(1, long, "s"), (2, "a short text of ten words or some more of them", "s"), (3, long, "t")]
+    docs = table(spark, rows)
+    assert collected(substrings.removals(docs)) == sorted(brute_removals(rows), key=repr)
+    found = {r.doc_id: r for r in jaccard.jaccard_components(docs).collect()}
+    assert [found[i].component_id for i in (1, 2, 3)] == [1, 2, 1]
+    assert {r.doc_id: r.n_words for r in quality.rule_ledger(docs).collect()} == {1: 60_000, 2: 11, 3: 60_000}
+    assert mixing.mix(docs).count() == 3 and lm.score(docs).count() == 3
+
+
+def test_license_scan_of_long_texts(spark):
+    """16,000 times the same anchor, and notices across the ends of blocks, in time that follows the text."""
+    notice = "Licensed under the Apache License, Version 2.0"
+    spread = " ".join(f"w{i}" for i in range(licenses.BLOCK - 4)) + " " + notice + " " + "x " * 3000 + notice
+    rows = [(1, "license " * 16_000, None), (2, spread, None), (3, "the license of the " * 4000 + notice, None)]
+    got = {(r.doc_id, r.license, round(r.containment, 6)) for r in licenses.scan_licenses(table(spark, rows)).collect()}
+    best = {}
+    for d, name, share in brute_licenses(rows[1:]):
+        best[d, name] = max(share, best.get((d, name), 0))
+    assert got == {(*k, v) for k, v in best.items()} and (2, "Apache-2.0", 1.0) in got
