@@ -437,16 +437,6 @@ def _cells(df: DataFrame, columns: Sequence[str], as_key: bool) -> DataFrame:
     return df.select(F.inline(cells)).where(F.col("value").isNotNull())
 
 
-def value_frequencies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """How often every value of every column occurs: (column_name, value, frequency)."""
-    columns = list(columns) if columns is not None else df.columns
-    return (
-        _cells(df, columns, as_key=False)
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("frequency"))
-    )
-
-
 def most_frequent(frequencies: DataFrame, k: int) -> DataFrame:
     """The ``k`` first values per column by frequency, then by value."""
     rank = F.row_number().over(

@@ -11,9 +11,9 @@ from sluicegate.operators import profile as P
 def column_profile(df: DataFrame, k: int = 5) -> DataFrame:
     """Type, missing and distinct counts of every column, numeric or text facts, top values.
 
-    Counts, numeric and text facts share one aggregate; distinct counts and top values share
-    one grouping by (column, value), whose shuffle is written once and read by both. The
-    parts have one row per column, so joining them moves only report rows.
+    Counts, numeric and text facts share one aggregate; distinct counts and top values move
+    digests of long texts, not the texts. The parts have one row per column, so joining them moves
+    only report rows.
     """
     numbers, texts = set(P.numeric_columns(df)), set(P.string_columns(df))
     nothing = F.max(F.lit(None).cast("double"))
@@ -34,13 +34,9 @@ def column_profile(df: DataFrame, k: int = 5) -> DataFrame:
         },
         {"row_count": F.count(F.lit(1))},
     )
-    frequencies = P.value_frequencies(df)
-    # counting on the frequency keeps both readers of the shuffle alike
-    unique = frequencies.groupBy("column_name").agg(
-        F.count_if(F.col("frequency") > 0).alias("unique_count")
-    )
+    unique = P.unique_counts(df)
     entry = F.struct("rank", "value", "frequency")
-    top = P.most_frequent(frequencies, k).groupBy("column_name").agg(
+    top = P.top_values(df, sorted(texts), k).groupBy("column_name").agg(
         F.transform(
             F.sort_array(F.collect_list(entry)),  # k entries per column
             lambda e: F.struct(e["value"].alias("value"), e["frequency"].alias("frequency")),

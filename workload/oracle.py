@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from sluicegate.functions import patterns as P
 from workload.fixtures import (
     CUSTOMER_COLUMNS,
     DIALECTS,
@@ -16,7 +15,24 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-MISSING = ", ".join(_text(t) for t in P.MISSING_TOKENS)
+# -- fixed values: written out, so that a wrong one in the library shows -------------------
+
+MISSING_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+DATE_PREFIXES = [r"\d{4}-\d{2}-\d{2}", r"\d{2}/\d{2}/\d{4}", r"\d{2}-\d{2}-\d{4}", r"\d{2}\.\d{2}\.\d{4}"]
+TIME_PREFIXES = [r"\d{2}:\d{2}:\d{2}", r"\d{2}:\d{2}"]
+EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+PHONE = r"^\+?[\d\s\(\)-]{7,20}$"
+DATETIME_PREFIXES = [
+    r"\d{4}-\d{2}-\d{2}", r"\d{2}/\d{2}/\d{4}", r"\d{2}-\d{2}-\d{4}", r"\d{4}/\d{2}/\d{2}", r"\d{2}/\d{2}/\d{2}",
+    r"\d{2}-\d{2}-\d{2}", r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", r"\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}",
+]
+
+# -- end of fixed values ---------------------------------------------------------------
+
+MISSING = ", ".join(_text(t) for t in MISSING_TOKENS)
 
 MESSY = """messy AS (
   SELECT o_orderkey AS k,
@@ -99,17 +115,17 @@ def _cell_facts(table: str, column: str, position: int) -> str:
     count(*) FILTER ({date_dmy} IS NOT NULL AND {clock}) AS sdmy,
     count(*) FILTER ({date_mdy} IS NOT NULL AND {clock}) AS smdy,
     count(*) FILTER (regexp_matches(v, '^([01]\\d|2[0-3]):[0-5]\\d(:[0-5]\\d)?$')) AS times,
-    count(*) FILTER (regexp_matches(v, {_prefix(P.DATE_PREFIXES)})) AS pdate,
-    count(*) FILTER (regexp_matches(v, {_prefix(P.TIME_PREFIXES)})) AS ptime,
-    count(*) FILTER (regexp_matches(v, {_text(P.EMAIL)})) AS emails,
-    count(*) FILTER (regexp_matches(v, {_text(P.PHONE)})) AS phones,
+    count(*) FILTER (regexp_matches(v, {_prefix(DATE_PREFIXES)})) AS pdate,
+    count(*) FILTER (regexp_matches(v, {_prefix(TIME_PREFIXES)})) AS ptime,
+    count(*) FILTER (regexp_matches(v, {_text(EMAIL)})) AS emails,
+    count(*) FILTER (regexp_matches(v, {_text(PHONE)})) AS phones,
     max(length(v)) AS len,
     count(*) FILTER (TRY_CAST(v AS TIMESTAMP) IS NOT NULL OR TRY_CAST(v AS TIME) IS NOT NULL) AS parsed,
     count(*) FILTER (regexp_matches(replace(replace(v, ',', ''), ' ', ''),
       '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$')) AS plain,
     {", ".join(
         f"count(*) FILTER (regexp_matches(v, {_text('^(?:' + p + ')')})) AS d{i}"
-        for i, p in enumerate(P.DATETIME_PREFIXES))}
+        for i, p in enumerate(DATETIME_PREFIXES))}
   FROM (SELECT CASE WHEN "{column}" IN ({MISSING}) THEN NULL ELSE "{column}" END AS v FROM {table})"""
 
 
@@ -144,7 +160,7 @@ facts AS ({_facts("messy", ORDER_COLUMNS)}
 SELECT CAST(position AS BIGINT) AS position, column_name, {expression} AS {name} FROM facts"""
 
 
-DATETIME_HITS = ", ".join(f"d{i}" for i in range(len(P.DATETIME_PREFIXES)))
+DATETIME_HITS = ", ".join(f"d{i}" for i in range(len(DATETIME_PREFIXES)))
 
 # -- file sets --------------------------------------------------------------------------
 
@@ -240,7 +256,13 @@ def _profile(column: str, position: int) -> str:
         return f"round(CAST({expression} AS DOUBLE), 4)" if number else "CAST(NULL AS DOUBLE)"
 
     length = "CAST(NULL AS DOUBLE)" if number else f"round(avg(length({column})), 4)"
+    top = "CAST(NULL AS VARCHAR)" if number else (
+        f"""(SELECT '[' || string_agg('{{"value":' || CAST(to_json(v) AS VARCHAR) || ',"frequency":' || n || '}}', ','
+    ORDER BY n DESC, v) || ']' FROM (SELECT {column} AS v, count(*) AS n FROM parsed WHERE {column} IS NOT NULL
+    GROUP BY 1 ORDER BY n DESC, v LIMIT 5))"""
+    )
     return f"""SELECT '{column}' AS column_name, '{kind}' AS dtype, CAST({position} AS BIGINT) AS position,
+  count(*) AS row_count, {top} AS top_values,
   count(*) - count({column}) AS null_count,
   round((count(*) - count({column})) * 100.0::DOUBLE / count(*), 2) AS null_percentage,
   count(DISTINCT {column}) AS unique_count, {n(f"min({column})")} AS min_val,

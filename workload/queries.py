@@ -397,7 +397,7 @@ def data_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cast.typed_cast(X.parsed_orders(spark, sf_dir), PARSE_TYPES)
-    report = column_profile(rows).drop("top_values", "row_count")
+    report = column_profile(rows).withColumn("top_values", F.to_json("top_values"))
     return rounded(report, 4)
 
 
