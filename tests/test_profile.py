@@ -41,7 +41,7 @@ def test_nothing_to_profile(spark):
     assert profile.numeric_summary(texts).count() == 0
     numbers = spark.range(0)
     assert tuple(profile.column_stats(numbers).first())[1:] == (None, None, None, None, 0, 0)
-    assert tuple(profile.numeric_summary(numbers).first())[1:] == (None,) * 5
+    assert tuple(profile.numeric_summary(numbers).first())[1:] == (None,) * 8
     assert profile.null_counts(numbers).first().null_percentage == 0.0
     assert tuple(profile.table_summary(numbers).first()) == (0, 1, 0, 0)
     assert tuple(profile.data_size(numbers).first()) == (0, "0 B")
