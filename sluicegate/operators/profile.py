@@ -9,16 +9,20 @@ third of the table.
 from __future__ import annotations
 
 import math
-import struct
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from decimal import Decimal, localcontext
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.functions.rows import grouping_keys, value_key
 from sluicegate.functions.sizes import size_text
+from sluicegate.workspace import ship, staged, stages_removed
 
 FLOATING = (T.FloatType, T.DoubleType)
 
@@ -167,8 +171,6 @@ def string_lengths(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 #: Bits of a key that the first scan tells apart, and those that the second does.
 FIRST_BITS, SECOND_BITS = 20, 42
-#: The bits of a key that its first prefix leaves out.
-_REST = (1 << (64 - FIRST_BITS)) - 1
 #: Rows around a median from which on the second scan is made.
 MEDIAN_GROUP_LIMIT = 1_000_000
 
@@ -182,60 +184,136 @@ def _is_wide(kind: T.DataType) -> bool:
     return isinstance(kind, T.DecimalType) and kind.precision > 18
 
 
-def order_key(df: DataFrame, name: str) -> Column:
-    """A 64-bit number in the order of a numeric column's values; NULL for a missing one.
-
-    Different values have different keys, except decimals of more than 18 digits, which have
-    the key of the nearest floating-point number.
-    """
-    kind, value = df.schema[name].dataType, present(df, name)
-    if isinstance(kind, T.IntegralType):
-        return value.cast("bigint")
-    if isinstance(kind, T.DecimalType) and not _is_wide(kind):
-        return (value * F.lit(10**kind.scale).cast(T.DecimalType(kind.scale + 1, 0))).cast("bigint")
-    # the bits of a positive double are in its order, those of a negative one in the opposite
-    plain = value.cast("double") + F.lit(0.0)  # one zero
-    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), plain).cast("bigint")
-    ordered = F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
-    return F.when(value.isNotNull(), ordered)
-
-
 def _number(kind: T.DataType, key: int) -> Decimal | float:
-    """The value that :func:`order_key` made a key of."""
+    """The value that a key was made of."""
     if isinstance(kind, T.IntegralType):
         return Decimal(key)
     if isinstance(kind, T.DecimalType):
         return Decimal(key).scaleb(-kind.scale)
-    bits = key if key >= 0 else key ^ ((1 << 63) - 1)
-    return struct.unpack("<d", struct.pack("<q", bits))[0]
+    return float(np.array([key if key >= 0 else key ^ _ORDERED], np.int64).view(np.float64)[0])
+
+
+_ORDERED = (1 << 63) - 1
+_GROUPS = "idx int, prefix long, text string, task int, rows long, low long, high long, mean double, squares double"
 
 
-def _cells_by_key(
-    df: DataFrame, columns: Sequence[str], near: dict[int, list[int]] | None, bits: int, lows: dict | None = None
+def order_keys(values: np.ndarray) -> np.ndarray:
+    """64-bit numbers in the order of the values: whole numbers as they are, of doubles their bits.
+
+    The bits of a positive double are in its order, those of a negative one in the opposite.
+    """
+    if values.dtype.kind == "i":
+        return values.astype(np.int64)
+    bits = (values.astype(np.float64) + 0.0).view(np.int64)  # one zero
+    return np.where(bits < 0, bits ^ np.int64(_ORDERED), bits)
+
+
+@dataclass
+class _Moments:
+    """Count, extreme keys, mean and sum of squared distances of the numbers of one task.
+
+    Keys are taken from the first one on, so that large whole numbers lose nothing.
+    """
+
+    n: int = 0
+    low: int = 0
+    high: int = 0
+    start: int = 0
+    mean: float = 0.0
+    squares: float = 0.0
+
+    def add(self, keys: np.ndarray, values: np.ndarray | None) -> None:
+        low, high = int(keys.min()), int(keys.max())
+        if not self.n:
+            self.low, self.high, self.start = low, high, int(keys[0])
+        self.low, self.high = min(low, self.low), max(high, self.high)
+        if values is None:
+            near = max(high - self.start, self.start - low) < 1 << 62
+            values = (keys - np.int64(self.start) if near else keys.astype(float) - self.start).astype(float)
+        with np.errstate(invalid="ignore", over="ignore"):
+            mean = float(values.mean())
+            squares = float(((values - mean) ** 2).sum())
+            n, apart = self.n + len(keys), mean - self.mean
+            self.squares += squares + apart * apart * (self.n * len(keys) / n)
+            self.mean += apart * (len(keys) / n) if self.n else mean
+        self.n = n
+
+
+def _key_groups(
+    df: DataFrame, columns: Sequence[str], near: dict[int, list[int]] | None, held: int, bits: int, lows: dict | None = None
 ) -> DataFrame:
-    """(idx, key, value, text) of every number present, or of those whose prefix is in ``near``.
+    """Rows by the first ``bits`` of their keys, counted where they are read: idx, prefix, rows, ...
 
-    ``value`` is a double that loses nothing where it can: the last bits of an exact key, a wide
-    decimal's distance from its column's least (``lows``), else the number. ``text`` is exact
-    where the key is not.
+    With ``near`` only keys whose first ``held`` bits are in it. All 64 bits of a wide decimal do
+    not tell its value, so its text comes along then. ``lows`` asks for moments too: one row
+    without prefix for each task and column, of distances from ``lows`` for wide decimals.
     """
-    cells = []
-    for i, c in enumerate(columns):
-        if near is not None and i not in near:
-            continue
-        key, kind, number = order_key(df, c), df.schema[c].dataType, present(df, c)
-        text = number.cast("string") if _is_wide(kind) else F.lit(None).cast("string")
-        if _is_wide(kind):
-            value = number - F.lit((lows or {}).get(c) or 0).cast(kind)
-        else:
-            value = key.bitwiseAND(F.lit(_REST)) if is_exact(kind) else number
-        cell = F.struct(F.lit(i).alias("idx"), key.alias("key"), value.cast("double").alias("value"), text.alias("text"))
-        wanted = key.isNotNull()
-        if near is not None:
-            wanted = wanted & F.shiftright(key, 64 - bits).isin(near[i])
-        cells.append(F.when(wanted, cell))
-    # the generator drops numbers that are missing or far from the median before anything is grouped
-    return df.select(F.inline(F.filter(F.array(*cells), lambda cell: cell.isNotNull())))
+    kinds = {i: df.schema[c].dataType for i, c in enumerate(columns) if near is None or i in near}
+    wide = {i for i, kind in kinds.items() if _is_wide(kind)}
+    chosen = []
+    for i, kind in kinds.items():
+        number = present(df, columns[i])
+        if isinstance(kind, T.DecimalType) and i not in wide:
+            number = number * F.lit(10**kind.scale).cast(T.DecimalType(kind.scale + 1, 0))
+        chosen.append(number.cast("bigint" if is_exact(kind) and i not in wide else "double").alias(f"k{i}"))
+        if i in wide and lows is not None:
+            chosen.append((present(df, columns[i]) - F.lit(lows.get(columns[i]) or 0).cast(kind)).cast("double").alias(f"v{i}"))
+        if i in wide and bits == 64:
+            chosen.append(present(df, columns[i]).cast("string").alias(f"t{i}"))
+    whole = {i for i, kind in kinds.items() if is_exact(kind) and i not in wide}
+
+    def batch_of(idx: int, prefix, rows, text=None) -> pa.RecordBatch:
+        n = len(rows)
+        none = lambda kind: pa.nulls(n, kind)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n, idx, np.int32)), pa.array(prefix, pa.int64()),
+                none(pa.string()) if text is None else text, pa.array(np.full(n, -1, np.int32)), pa.array(rows, pa.int64()),
+                none(pa.int64()), none(pa.int64()), none(pa.float64()), none(pa.float64()),
+            ],
+            [field.split()[0] for field in _GROUPS.split(", ")],
+        )
+
+    def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moments = {i: _Moments() for i in kinds}
+        for batch in batches:
+            for i in kinds:
+                column = batch.column(f"k{i}")
+                there = column.is_valid()
+                keys = order_keys(column.drop_null().to_numpy(zero_copy_only=False))
+                if near is not None:
+                    kept = np.isin(keys >> np.int64(64 - held), near[i])
+                    keys = keys[kept]
+                if not len(keys):
+                    continue
+                if lows is not None:
+                    values = batch.column(f"v{i}" if i in wide else f"k{i}").filter(there)
+                    moments[i].add(keys, None if i in whole else values.to_numpy(zero_copy_only=False))
+                if bits == 64 and i in wide:
+                    texts = batch.column(f"t{i}").filter(there)
+                    texts = texts if near is None else texts.filter(pa.array(kept))
+                    counted = pa.table({"key": keys, "text": texts}).group_by(["key", "text"]).aggregate([([], "count_all")])
+                    yield batch_of(i, counted["key"].to_numpy(), counted["count_all"].to_numpy(), counted["text"].combine_chunks())
+                else:
+                    yield batch_of(i, *np.unique(keys >> np.int64(64 - bits), return_counts=True))
+        task = TaskContext.get().partitionId()
+        rows = [
+            (i, None, None, task, m.n, m.low, m.high, m.mean + (m.start - m.low if i in whole else 0.0), m.squares)
+            for i, m in moments.items()
+            if lows is not None and m.n
+        ]
+        if rows:
+            types = [pa.int32(), pa.int64(), pa.string(), pa.int32(), *[pa.int64()] * 3, *[pa.float64()] * 2]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), types, strict=True)],
+                [field.split()[0] for field in _GROUPS.split(", ")],
+            )
+
+    ship(df.sparkSession)
+    counted = df.select(*chosen).mapInArrow(step, _GROUPS)
+    return counted.groupBy("idx", "prefix", "text", "task").agg(
+        F.sum("rows").alias("rows"), *[F.max(c).alias(c) for c in ("low", "high", "mean", "squares")]
+    )
 
 
 def _middle(groups: DataFrame, by: list[str], below: dict[int, int], ranks: dict[int, tuple[int, int]] | None) -> DataFrame:
@@ -266,7 +344,8 @@ def _middle(groups: DataFrame, by: list[str], below: dict[int, int], ranks: dict
 def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIAN_GROUP_LIMIT) -> dict[str, dict]:
     """Count, extremes, mean, sample deviation and exact median of numeric columns.
 
-    Values become 64-bit keys in their order. The first scan counts keys by their first bits and
+    Values become 64-bit keys in their order, made and counted where they are read (numpy on Arrow
+    batches; only counters leave a task). The first scan counts keys by their first bits and
     takes all other facts along; where more than ``group_limit`` rows share the prefix of a
     median, a second scan counts them by further bits; the last one counts the keys that are left,
     at most 2**22 different ones for a prefix. So there are three scans at most, whatever the
@@ -281,38 +360,30 @@ def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIA
         for k, c in enumerate(wide):
             facts[c] |= {"low": ends[2 * k], "high": ends[2 * k + 1]}
     whole = [i for i in kinds if is_exact(kinds[i]) and not _is_wide(kinds[i])]
-    groups = (
-        _cells_by_key(df, columns, None, 0, {c: facts[c]["low"] for c in wide})
-        .groupBy("idx", F.shiftright("key", 64 - FIRST_BITS).alias("prefix"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.min("key").alias("low"),
-            F.max("key").alias("high"),
-            F.avg("value").alias("mean"),
-            F.var_pop("value").alias("spread"),
-        )
-    )
-    column = Window.partitionBy("idx")
-    # means of exact keys are taken from the column's least key on
-    exact = F.col("idx").isin(whole) if whole else F.lit(False)
-    start = F.shiftleft("prefix", 64 - FIRST_BITS).cast("decimal(20,0)") - F.min("low").over(column).cast("decimal(20,0)")
-    mean = F.when(exact, F.col("mean") + start.cast("double")).otherwise(F.col("mean"))
-    centre = F.sum(F.col("rows") * F.col("mean")).over(column) / F.sum("rows").over(column)
-    found = (
-        _middle(groups, ["prefix"], {}, None)
-        .withColumn("mean", mean)
-        .withColumn("centre", centre)
-        .groupBy("idx")
-        .agg(
-            F.max("n").alias("n"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-            F.max("centre").alias("mean"),
-            F.sum(F.col("rows") * (F.col("spread") + (F.col("mean") - F.col("centre")) ** 2)).alias("squares"),
-            F.collect_list(F.when(F.col("middle"), F.struct("prefix", "below", "rows"))).alias("near"),  # at most two
+    with stages_removed(df.sparkSession):
+        lows = {c: facts[c]["low"] for c in wide}
+        groups = staged(_key_groups(df, columns, None, 0, FIRST_BITS, lows), "number-groups")
+        near_rows = _middle(groups.where("prefix IS NOT NULL"), ["prefix"], {}, None).where("middle").collect()
+        moments = groups.where("prefix IS NULL").drop("prefix")  # a row for every task and column
+        column = Window.partitionBy("idx")
+        # means of whole numbers are taken from the column's least key on
+        exact = F.col("idx").isin(whole) if whole else F.lit(False)
+        apart = F.col("low").cast("decimal(20,0)") - F.min("low").over(column).cast("decimal(20,0)")
+        mean = F.when(exact, F.col("mean") + apart.cast("double")).otherwise(F.col("mean"))
+        placed = moments.withColumn("mean", mean)
+        centre = F.sum(F.col("rows") * F.col("mean")).over(column) / F.sum("rows").over(column)
+        found = (
+            placed.withColumn("centre", centre)
+            .groupBy("idx")
+            .agg(
+                F.sum("rows").alias("n"),
+                F.min("low").alias("low"),
+                F.max("high").alias("high"),
+                F.max("centre").alias("mean"),
+                F.sum(F.col("squares") + F.col("rows") * (F.col("mean") - F.col("centre")) ** 2).alias("squares"),
+            )
+            .collect()
         )
-        .collect()
-    )
     ranks, below, near, rows = {}, {}, {}, {}
 
     def keep(i: int, groups: list) -> None:
@@ -323,7 +394,7 @@ def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIA
     for r in found:
         i, n = r["idx"], r["n"]
         ranks[i] = (n - 1) // 2, n // 2
-        keep(i, r["near"])
+        keep(i, [g for g in near_rows if g["idx"] == i])  # at most two
         fact, mean = facts[columns[i]], r["mean"]
         deviation = math.sqrt(r["squares"] / (n - 1)) if n > 1 else None
         if i in whole:
@@ -337,22 +408,14 @@ def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIA
     bits = FIRST_BITS
     if any(count > group_limit for count in rows.values()):
         # prefixes between the two that hold the middle rows hold nothing, so ranks go on in order
-        finer = (
-            _cells_by_key(df, columns, near, FIRST_BITS)
-            .groupBy("idx", F.shiftright("key", 64 - SECOND_BITS).alias("prefix"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
+        finer = _key_groups(df, columns, near, FIRST_BITS, SECOND_BITS)
         bits, by_column = SECOND_BITS, {}
         for g in _middle(finer, ["prefix"], dict(below), ranks).where("middle").collect():
             by_column.setdefault(g["idx"], []).append(g)
         for i, groups in by_column.items():
             keep(i, groups)
     if near:
-        values = (
-            _cells_by_key(df, columns, near, bits)
-            .groupBy("idx", "key", "text")
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
+        values = _key_groups(df, columns, near, bits, 64).withColumnRenamed("prefix", "key")
         middle: dict[int, list] = {}
         for g in _middle(values, ["key", *_text_order()], dict(below), ranks).where("middle").collect():
             middle.setdefault(g["idx"], []).append(g)

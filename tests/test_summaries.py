@@ -67,11 +67,11 @@ def test_medians_of_random_columns(spark):
 
 def test_medians_take_three_scans(spark, monkeypatch):
     scans = []
-    whole = profile._cells_by_key
-    monkeypatch.setattr(profile, "_cells_by_key", lambda *a: scans.append(a[3]) or whole(*a))
+    whole = profile._key_groups
+    monkeypatch.setattr(profile, "_key_groups", lambda *a: scans.append(a[4]) or whole(*a))
     df = spark.range(5000).select(F.rand(1).alias("x"), (F.col("id") % 3).alias("y"), F.lit(2**60).alias("z"))
     profile.number_facts(df, df.columns, group_limit=0)
-    assert scans == [0, profile.FIRST_BITS, profile.SECOND_BITS]
+    assert scans == [profile.FIRST_BITS, profile.SECOND_BITS, 64]
     scans.clear()
     profile.number_facts(df, df.columns)
     assert len(scans) == 2
