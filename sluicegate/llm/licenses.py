@@ -22,7 +22,7 @@ by itself; one row per text and template, with the best containment and how ofte
 an empty table gives an empty result; other columns are neither read nor returned.
 
 Shape: one pass over the texts; windows exist only around anchors; templates are a small table
-(at most ``MOST_TEMPLATES``), so all joins with them are broadcast.
+(up to ``BROADCAST_TEMPLATES``, which are broadcast; more are joined by shuffle).
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
 BANDS = 16
-MOST_TEMPLATES = 10_000
+BROADCAST_TEMPLATES = 10_000
 _WORD = "[a-z0-9]+(?:\\.[0-9]+)*"
 #: Words of a text that go on together.
 BLOCK = 1024
@@ -160,8 +160,6 @@ def _step(size: int) -> int:
 
 def template_table(spark: SparkSession, templates: dict[str, str], threshold: float) -> DataFrame:
     """license, size (words), step (between windows), shingles and marks of each template."""
-    if len(templates) > MOST_TEMPLATES:
-        raise ValueError(f"more than {MOST_TEMPLATES} templates")
     rows = []
     for name, text in templates.items():
         words = template_words(text)
@@ -284,8 +282,10 @@ def scan_licenses(
         "marks",
         F.posexplode(signature(F.col("shingles"), bands)).alias("t_band", "t_least"),
     )
+    if len(templates) <= BROADCAST_TEMPLATES:
+        banded = F.broadcast(banded)
     candidates = hashed.join(
-        F.broadcast(banded),
+        banded,
         (F.col("size") == F.col("t_size")) & (F.col("band") == F.col("t_band")) & (F.col("least") == F.col("t_least")),
     )
     share = F.size(F.array_intersect("t_shingles", "around")) / F.size("t_shingles")

@@ -695,3 +695,10 @@ def test_license_scan_of_long_texts(spark):
     for d, name, share in brute_licenses(rows[1:]):
         best[d, name] = max(share, best.get((d, name), 0))
     assert got == {(*k, v) for k, v in best.items()} and (2, "Apache-2.0", 1.0) in got
+
+
+def test_templates_beyond_a_broadcast_are_joined(spark, monkeypatch):
+    rows = [(1, "Released under the MIT License", None), (2, "nothing", None)]
+    monkeypatch.setattr(licenses, "BROADCAST_TEMPLATES", 0)
+    found = [(r.doc_id, r.license) for r in licenses.scan_licenses(table(spark, rows)).collect()]
+    assert found == [(1, "MIT")]
