@@ -7,8 +7,8 @@ reader that filters on any of them skips most files.
 
 Defined results: a null or empty text has size 16; null metadata sorts in the first cell of its
 dimension; equal texts of one cell stand together, then rows go by ``doc_id``, null first;
-repeated rows get different slots; an empty table gives an empty result; other columns are
-neither read nor returned.
+repeated rows get different slots; of a very long text only size and checksum go on; an empty
+table gives an empty result; other columns are neither read nor returned.
 
 Shape: texts are read once, to a staged table of narrow rows. One range partitioning orders it
 (the key ends in the document's id and a hash, so no cell and no copied text overfills a task);

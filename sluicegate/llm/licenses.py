@@ -18,8 +18,8 @@ one-row bands with probability 1 - (1 - J)**b. Windows start at every word for t
 more, and 16 bands miss it once in 5 * 10**7.
 
 Defined results: a null or empty text matches nothing and has no row; repeated rows match each
-by itself; one row per text and template, with the best containment and how often it occurs;
-an empty table gives an empty result; other columns are neither read nor returned.
+by itself; one row per text and template, with the best containment and in how many stretches it
+occurs; a very long text is read in blocks; an empty table gives an empty result; other columns are neither read nor returned.
 
 Shape: one pass over the texts; windows exist only around anchors; templates are a small table
 (up to ``BROADCAST_TEMPLATES``, which are broadcast; more are joined by shuffle).

@@ -21,7 +21,8 @@ the tasks with their counts; the counts of all others meet their occurrences in
 table that grows with the corpus is broadcast.
 
 Defined results: a null or empty text is its end token alone; repeated rows are scored (and,
-if not held out, counted) one by one; a null ``doc_id`` counts as the text "null"; with no
+if not held out, counted) one by one; a very long text is scored window by window, its state
+carried along; a null ``doc_id`` counts as the text "null"; with no
 training text every word is unseen; an empty table gives an empty result; other columns are
 neither read nor returned.
 """

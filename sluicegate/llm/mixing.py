@@ -9,8 +9,8 @@ time 1 is left out, so a source falls short of its target by less than one docum
 
 Defined results: a null text has size 0; a null source is a source of its own, the last one;
 documents of size 0 take no part in the queue and get ``taken`` 0; repeated rows with one id are
-queued one by one and share nothing; empty input gives an empty result; other columns are
-neither read nor returned.
+queued one by one and share nothing; of a very long text only its size goes on, and it is taken
+or left whole; empty input gives an empty result; other columns are neither read nor returned.
 
 Shape: texts are read once, to a staged table of sizes. The prefix sums of a flow come in two
 steps, over slices of its random order and then inside each slice, so that no task holds a

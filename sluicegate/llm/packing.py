@@ -6,7 +6,8 @@ packed by first-fit decreasing: longest first, each into the first sequence with
 tournament tree over the room left finds in logarithmic time.
 
 Defined results: a null or empty text is its end token alone; repeated rows are packed one by
-one; an empty table gives an empty result; other columns are neither read nor returned.
+one; a very long text is cut into full sequences and a rest; an empty table gives an empty result;
+other columns are neither read nor returned.
 
 Shape: texts are tokenised where they are read; only one narrow row per piece is shuffled, to
 groups of about ``group_size`` documents, so a task never holds more than a group.

@@ -5,8 +5,8 @@ failed rule; a policy is a version with a bit mask, so changing the policy, comp
 and asking what a rule alone rejects are bitwise operations on the ledger, without the texts.
 
 Defined results: a null text has no words and fails ``few_words``; repeated rows and repeated
-ids are judged row by row; a null ``doc_id`` stays null; other columns of the input are
-neither read nor returned.
+ids are judged row by row; a null ``doc_id`` stays null; a very long text is measured whole,
+inside its row; other columns of the input are neither read nor returned.
 """
 
 from __future__ import annotations

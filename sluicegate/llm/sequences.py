@@ -10,8 +10,8 @@ there by seeking. An index of what stands in each slot lies beside the shards, a
 appears under its name only when it is whole.
 
 Defined results: a null or empty text is one sequence with its end token; repeated rows are
-sequences of their own; an empty table gives no sequence; a null ``doc_id`` stays null; other
-columns are neither read nor returned.
+sequences of their own; an empty table gives no sequence; a null ``doc_id`` stays null; a very long
+text is as many sequences as its tokens fill; other columns are neither read nor returned.
 
 Shape: texts are tokenised once, to a staged table; numbering needs the row counts of its
 partitions only. Token ids cross the network once, to one partition per shard; these are even
