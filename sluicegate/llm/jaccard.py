@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicegate.llm.packing import batches_by_bytes
-from sluicegate.llm.staging import arrow_groups, arrow_map, shuffle_partitions, staged
+from sluicegate.llm.staging import arrow_groups, arrow_map, drop_staged, shuffle_partitions, staged
 from sluicegate.llm.substrings import NULL_ID, Ranges
 from sluicegate.llm.words import Words, find_words, mix
 
@@ -243,7 +243,9 @@ def chunk_pairs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     other = by_chunk.join(marks, at).select("mark", F.col("chunk").alias("other"), "asked").distinct()
     across = own.join(other, "mark").where("chunk <> other AND (asks OR asked)")
     pairs = across.select(F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "node").distinct()
-    return nodes, pairs.union(nodes.select("chunk", F.col("chunk"), "node"))
+    pairs = staged(pairs.union(nodes.select("chunk", F.col("chunk"), "node")), "jaccard-pairs")
+    drop_staged(meeting)
+    return nodes, pairs
 
 
 def local_components(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -350,7 +352,8 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame:
     """id, text_hash, node, n, component (its least node), least (id of the component) and links of every row of ``docs``."""
-    scanned = staged(scan(docs, words, percent, lower), "jaccard-scan")
+    whole = staged(scan(docs, words, percent, lower), "jaccard-scan")
+    scanned = staged(whole.drop("prefix"), "jaccard-rows")
     rows = scanned.where("n > 0")
     least = F.min(F.struct("id", "text_hash")).alias("least")
     classes = staged(
@@ -359,8 +362,10 @@ def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame
         .select("node", F.col("least.id").alias("first"), "least.text_hash", "size"),
         "jaccard-classes",
     )
-    found = staged(probes(shared_names(rows, percent), percent), "jaccard-probes")
+    found = staged(probes(shared_names(whole.where("n > 0"), percent), percent), "jaccard-probes")
+    drop_staged(whole)
     nodes, pairs = chunk_pairs(found)
+    drop_staged(found)
     links = staged(verify(docs, scanned, classes, nodes, pairs, words, percent, lower), "jaccard-links")
     parts = connected(links, "node", "root")
     least = parts.join(classes, "node").groupBy("component").agg(F.min("first").alias("least"))
@@ -376,7 +381,7 @@ def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
         )
     )
-    full = scanned.drop("prefix").join(grouped, F.col("node") == F.col("of"), "left")
+    full = scanned.join(grouped, F.col("node") == F.col("of"), "left")
     alone = F.col("n") == 0
     return full.select(
         "id",

@@ -8,19 +8,37 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.workspace import staging_path
+from sluicegate.workspace import remove_staged, staging_path
+
+
+#: Spark's own switch: shuffle files go when the execution that wrote them ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
     What follows reads the table instead of computing it anew, and a lost executor loses
-    nothing of it.
+    nothing of it. The shuffles behind the table are not needed any more once it is written, so
+    they go at once.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        remove_staged(table.sparkSession, table.staged_path)
 
 
 def file_system(path: str):
