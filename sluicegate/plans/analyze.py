@@ -7,10 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.functions.names import UNNAMED, sanitize_name
 from sluicegate.operators.infer import schema_report
+from sluicegate.plans.mixed import file_layouts
 from sluicegate.sources.delimited import Layout, scan_delimited
-from sluicegate.sources.dialect import dialect_report
+from sluicegate.workspace import stages_removed
 
 
 def layouts(dialects: DataFrame) -> DataFrame:
@@ -20,39 +20,24 @@ def layouts(dialects: DataFrame) -> DataFrame:
     )
 
 
-def distinct_names(names: list[str]) -> list[str]:
-    """Names told apart by a number when two became the same."""
-    seen: dict[str, int] = {}
-    out = []
-    for name in names:
-        seen[name.lower()] = n = seen.get(name.lower(), 0) + 1
-        out.append(name if n == 1 else f"{name}_{n}")
-    return out
-
-
 def detect_layout(spark: SparkSession, path: str | list[str]) -> tuple[Layout, list[str]]:
     """The layout shared by all files, and their column names made safe for a table.
 
+    A file that holds nothing but the header of the others is read like them, one without a line
+    of text has no say (:func:`sluicegate.plans.mixed.file_layouts`).
     Files that are written differently cannot be one scan: that raises, and
     :func:`sluicegate.sources.dialect.dialect_report` tells which files differ.
     """
-    dialects = dialect_report(spark, path).withColumn(
-        "names", F.transform("column_names", lambda c: sanitize_name(F.trim(c)))
-    )
-    found = (
-        layouts(dialects.withColumn("column_names", F.col("names")))
-        .orderBy(F.desc("file_count"))
-        .limit(2)
-        .collect()
-    )
+    with stages_removed(spark):
+        files = file_layouts(spark, path).withColumnRenamed("names", "column_names")
+        found = layouts(files).orderBy(F.desc("file_count")).limit(2).collect()
     if len(found) != 1:
         raise ValueError(
             "no files with text" if not found else "the files do not share one layout: "
             + "; ".join(f"{r.encoding} {r.delimiter!r} {r.column_names}" for r in found)
         )
     row = found[0]
-    layout = Layout(sep=row.delimiter, encoding=row.encoding, header=row.has_header)
-    return layout, distinct_names([name or UNNAMED for name in row.column_names])
+    return Layout(sep=row.delimiter, encoding=row.encoding, header=row.has_header), list(row.column_names)
 
 
 def analyze_files(

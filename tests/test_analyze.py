@@ -3,6 +3,7 @@ import pytest
 from sluicegate.plans.analyze import analyze_files, detect_layout, layouts
 from sluicegate.plans.load import load_delimited
 from sluicegate.sources.dialect import dialect_report
+from sluicegate.streaming.tables import load_incremental
 
 SEMI = "Order No;Unit price;2nd;unit-price;\n" + "".join(
     f"{i};{i / 4};x{i};y;z{i}\n" for i in range(1, 40)
@@ -47,6 +48,23 @@ def test_load_detects_everything(spark, write, encoding):
         spark.sql("DROP TABLE IF EXISTS detected")
 
 
+def test_files_that_hold_only_the_header(spark, write, tmp_path):
+    """A writer leaves such a file for an empty partition, next to the files with its rows."""
+    rows = "".join(f"{i},n{i}\n" for i in range(1, 30))
+    for name, content in {"a": "id,name\n", "b": "id,name\n" + rows, "c": "id,name\n", "blank": "\n\n"}.items():
+        write(f"in/{name}.csv", content)
+    folder = str(tmp_path / "in")
+    layout, names = detect_layout(spark, folder)
+    assert (layout.sep, layout.header, names) == (",", True, ["id", "name"])
+    assert {r.column_name: r.sql_type for r in analyze_files(spark, folder).collect()} == {"id": "INT", "name": "VARCHAR(10)"}
+    spark.sql("CREATE DATABASE header_only_db")
+    try:
+        load_incremental(spark, folder, "header_only_db.t", str(tmp_path / "state"), id_column="no").awaitTermination()
+        assert sorted((r.id, r.name) for r in spark.table("header_only_db.t").collect()) == [(i, f"n{i}") for i in range(1, 30)]
+    finally:
+        spark.sql("DROP DATABASE header_only_db CASCADE")
+
+
 def test_rejected_rows_as_csv(spark, write, tmp_path):
     path = write("in/a.csv", "id,v\n1,a\n2,b,c\n3,d\n")
     out = str(tmp_path / "bad")
