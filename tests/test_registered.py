@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from check_queries import _rows
@@ -34,3 +35,9 @@ def test_query_matches_sql(spark, sf_dir, sql, name):
 def test_entry(spark):
     found = {(r.section, r.subject): r.value for r in contract.entry(spark).collect()}
     assert found[("load", "total_rows")] == found[("load", "successful_rows")] + found[("load", "failed_rows")]
+
+def test_every_note_of_the_mixed_files_holds_separators(spark, sf_dir):
+    rows = QUERIES["load_mixed_files"](spark, sf_dir)
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    held = rows.where(F.col("note").rlike("^café, [a-z]+; visit[|]call$")).count()
+    assert held == customers > 0

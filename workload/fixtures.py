@@ -167,7 +167,7 @@ DIALECTS = [
     # (separator, encoding, header?, what is special about it)
     (",", "UTF-8", True, "plain"),
     (";", "ISO-8859-1", True, "plain"),
-    ("\t", "UTF-8", False, "plain"),
+    ("\t", "UTF-8", False, "quoted"),  # a separator of the notes, on all lines alike, would win by the rule
     ("|", "UTF-16", True, "plain"),
     (",", "UTF-8", True, "byte-order mark and a column too many"),
     (";", "UTF-8", True, "lacks the segment"),
@@ -184,7 +184,7 @@ EXTRACT_TYPES = {
 
 
 def extract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All customers with a date and a note, every other one holding separators."""
+    """All customers with a date and a note that holds separators."""
     customers = customer_cells(spark, sf_dir)
     return customers.select(
         file_number(),
@@ -194,10 +194,7 @@ def extract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("balance"),
         F.expr("date_add(date'2020-01-01', cast(c_custkey % 365 as int))").alias("opened"),
         F.col("c_mktsegment").alias("segment"),
-        # not on every line: a separator that stands equally often on all would be one by the rule
-        F.when(
-            F.col("c_custkey") % 2 == 0, F.concat(F.lit("café, "), F.lower("c_mktsegment"), F.lit("; visit|call"))
-        ).otherwise("café").alias("note"),
+        F.concat(F.lit("café, "), F.lower("c_mktsegment"), F.lit("; visit|call")).alias("note"),
     )
 
 
@@ -219,7 +216,7 @@ def mixed_files(spark: SparkSession, sf_dir: str) -> str:
             .sortWithinPartitions("file_no", "customer_id")
             .select("file_no", *columns)
             .write.partitionBy("file_no")
-            .options(sep=sep, encoding=encoding, header=header, escape='"')
+            .options(sep=sep, encoding=encoding, header=header, escape='"', quoteAll="quoted" in special)
             .csv(f"{path}/dialect={i}")
         )
     return path
