@@ -7,6 +7,8 @@ import codecs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sluicegate.workspace import few_listing_tasks
+
 NUL = "\u0000"
 
 
@@ -16,7 +18,8 @@ def raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ``value`` holds the bytes as they are in the file, whatever its encoding; lines are cut
     at the byte of a line feed. ``pos`` grows with the line number inside one split.
     """
-    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    with few_listing_tasks(spark):
+        lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
     return lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),

@@ -22,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.workspace import ship, staging_path
+from sluicegate.workspace import ship, staging_path, tasks_for_small_work
 
 #: Bytes asked for at first; twice as many again while that is not enough.
 FIRST_BYTES = 1 << 16
@@ -162,7 +162,7 @@ def list_files(spark: SparkSession, path: str | list[str], at_once: int = ENTRIE
     roots = [(base, rest, None, uri_of(base)) for base, rest in _roots(path)]
     below, folders, rounds = spark.createDataFrame(roots, _ENTRY), len(roots), 0
     while folders:
-        parts, left = min(folders, 4 * spark.sparkContext.defaultParallelism), Observation()
+        parts, left = min(folders, tasks_for_small_work(spark)), Observation()
         found = below.repartition(parts) if rounds else below.coalesce(parts)
         found = found.mapInArrow(_list_step(at_once), _ENTRY).withColumn("folder", F.col("file_size").isNull())
         counted = found.observe(left, F.count_if("folder").alias("folders"))
@@ -257,8 +257,12 @@ def has_unknown_codec(files: DataFrame) -> bool:
 
 
 def with_beginning(files: DataFrame, name: str, kind: str, arrow_kind: pa.DataType, read) -> DataFrame:
-    """``files`` (file, ...) with a column of what ``read`` makes of each file's beginning and row."""
+    """``files`` (file, ...) with a column of what ``read`` makes of each file's beginning and row.
+
+    A list of many files has few bytes and would come to one task, so it is dealt to all cores.
+    """
     ship(files.sparkSession)
+    files = files.repartition(tasks_for_small_work(files.sparkSession))
     schema = f"{files.schema.toDDL()}, {name} {kind}"
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,6 +466,6 @@ def range_lines(files: DataFrame, tag: str | None = None) -> DataFrame:
     count, total = files.agg(
         F.coalesce(F.sum(F.ceil(F.col("file_size") / size)), F.lit(0)), F.coalesce(F.sum("file_size"), F.lit(0))
     ).first()
-    parts = max(1, min(count, max(spark.sparkContext.defaultParallelism, -(-total // size))))
+    parts = max(1, min(count, max(tasks_for_small_work(spark), -(-total // size))))
     ranges = ranges.drop("file_size", "skip").repartition(parts)
     return ranges.mapInArrow(_lines_step(tag), f"{LINES}, {tag} bigint" if tag else LINES)

@@ -80,6 +80,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_for_small_work(spark: SparkSession) -> int:
+    """Into how many tasks to deal work whose bytes tell nothing of its cost, such as many small files."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Let a scan that is made inside list many folders by a few tasks per core, not by a task for each."""
+    before = spark.conf.get(_LISTING_TASKS)
+    spark.conf.set(_LISTING_TASKS, min(int(before), tasks_for_small_work(spark)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING_TASKS, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

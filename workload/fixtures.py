@@ -5,11 +5,11 @@ The modulo rules only decide *which defect* a row gets. They never leave rows ou
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.sources.delimited import Layout, parse_lines
-from sluicegate.workspace import staging_path
+from sluicegate.workspace import staging_path, tasks_for_small_work
 
 # Messy orders -------------------------------------------------------------------------
 
@@ -126,6 +126,15 @@ def file_number() -> Column:
     return F.expr(f"c_custkey div {ROWS_PER_FILE}").alias("file_no")
 
 
+def written_by_file(rows: DataFrame, *order: str) -> DataFrameWriter:
+    """A writer of one file for each file number, by all cores.
+
+    The rows are few bytes and would come to a task or two unless the number of tasks is given.
+    """
+    dealt = rows.repartition(tasks_for_small_work(rows.sparkSession), "file_no").sortWithinPartitions("file_no", *order)
+    return dealt.drop(*[c for c in order if c.startswith("_")]).write.partitionBy("file_no")
+
+
 def preamble_files(spark: SparkSession, sf_dir: str, encoding: str = "UTF-8") -> str:
     """Customers in files of 50, each with two comment lines and a blank one above the header.
 
@@ -146,14 +155,8 @@ def preamble_files(spark: SparkSession, sf_dir: str, encoding: str = "UTF-8") ->
         .select("file_no", F.inline(top))
         .select("file_no", "part", F.lit(-1).cast("bigint").alias("c_custkey"), "line")
     )
-    written = (
-        lines.select("file_no", F.col("part"), "c_custkey", "line")
-        .unionAll(heads)
-        .repartition("file_no")
-        .sortWithinPartitions("file_no", "part", "c_custkey")
-        .select("file_no", "line")
-        .write.partitionBy("file_no")
-    )
+    rows = lines.unionAll(heads).select("file_no", "line", F.col("part").alias("_part"), F.col("c_custkey").alias("_key"))
+    written = written_by_file(rows, "_part", "_key")
     if encoding == "UTF-8":
         written.text(path)
     else:  # lines as they are: a separator and a quote that they do not hold
@@ -212,10 +215,7 @@ def mixed_files(spark: SparkSession, sf_dir: str) -> str:
             columns[0] = F.col("customer_id").alias("\ufeffcustomer_id")
             columns.append(F.lit("web").alias("channel"))
         (
-            part.repartition("file_no")
-            .sortWithinPartitions("file_no", "customer_id")
-            .select("file_no", *columns)
-            .write.partitionBy("file_no")
+            written_by_file(part.select("file_no", *columns, F.col("customer_id").alias("_key")), "_key")
             .options(sep=sep, encoding=encoding, header=header, escape='"', quoteAll="quoted" in special)
             .csv(f"{path}/dialect={i}")
         )
