@@ -169,10 +169,13 @@ def string_lengths(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 # --------------------------------------------------------------------------- medians
 
-#: Bits of a key that the first scan tells apart, and those that the second does.
+#: Leading bits of a key that the first scan tells apart at least, and those that the second does.
 FIRST_BITS, SECOND_BITS = 20, 42
-#: Rows around a median from which on the second scan is made.
-MEDIAN_GROUP_LIMIT = 1_000_000
+#: Buckets that a further scan cuts the keys around a median into, unless too many bits would be left.
+KEY_BUCKETS = 1 << 16
+#: Rows around a median up to which keys are counted one by one, however far apart.
+MEDIAN_GROUP_LIMIT = 1 << 16
+_LEAST_KEY, _LAST_KEY = -(1 << 63), (1 << 63) - 1
 
 
 def is_exact(kind: T.DataType) -> bool:
@@ -239,17 +242,34 @@ class _Moments:
         self.n = n
 
 
+def _buckets(keys: np.ndarray, low: int, width: int) -> np.ndarray:
+    """Which bucket of ``width`` keys from ``low`` on each key is in; differences may need all 64 bits."""
+    return ((keys.view(np.uint64) - np.uint64(low % (1 << 64))) // np.uint64(width)).astype(np.int64)
+
+
+def _width(found: tuple[list[tuple[int, int]], float], bits: int, group_limit: int) -> int:
+    """Keys in a bucket of the spans (first key, last key) that hold so many rows; see :func:`number_facts`."""
+    spans, rows = found
+    keys = sum(high - low + 1 for low, high in spans)
+    return 1 if rows <= group_limit else min(1 << (64 - bits), -(-keys // KEY_BUCKETS))
+
+
 def _key_groups(
-    df: DataFrame, columns: Sequence[str], near: dict[int, list[int]] | None, held: int, bits: int, lows: dict | None = None
+    df: DataFrame, columns: Sequence[str], near: dict[int, tuple], lows: dict | None, bits: int, group_limit: int
 ) -> DataFrame:
-    """Rows by the first ``bits`` of their keys, counted where they are read: idx, prefix, rows, ...
+    """Rows by buckets of their keys, counted where they are read: idx, prefix (the least key), rows, ...
 
-    With ``near`` only keys whose first ``held`` bits are in it. All 64 bits of a wide decimal do
-    not tell its value, so its text comes along then. ``lows`` asks for moments too: one row
-    without prefix for each task and column, of distances from ``lows`` for wide decimals.
+    ``near`` has the spans of keys that are read of a column, and the rows in them. A task holds a
+    counter for each of 2**16 buckets, or the keys of few rows; finer buckets are counted batch by
+    batch. All 64 bits of a wide decimal do not tell its value, so its text comes along then. ``lows``
+    asks for moments too: one row without prefix for each task and column, of distances from
+    ``lows`` for wide decimals.
     """
-    kinds = {i: df.schema[c].dataType for i, c in enumerate(columns) if near is None or i in near}
+    widths = {i: _width(found, bits, group_limit) for i, found in near.items()}
+    spans, few = {i: found[0] for i, found in near.items()}, {i for i, found in near.items() if found[1] <= group_limit}
+    kinds = {i: df.schema[c].dataType for i, c in enumerate(columns) if i in spans}
     wide = {i for i, kind in kinds.items() if _is_wide(kind)}
+    texts_of = {i for i in wide if widths[i] == 1}
     chosen = []
     for i, kind in kinds.items():
         number = present(df, columns[i])
@@ -258,7 +278,7 @@ def _key_groups(
         chosen.append(number.cast("bigint" if is_exact(kind) and i not in wide else "double").alias(f"k{i}"))
         if i in wide and lows is not None:
             chosen.append((present(df, columns[i]) - F.lit(lows.get(columns[i]) or 0).cast(kind)).cast("double").alias(f"v{i}"))
-        if i in wide and bits == 64:
+        if i in texts_of:
             chosen.append(present(df, columns[i]).cast("string").alias(f"t{i}"))
     whole = {i for i, kind in kinds.items() if is_exact(kind) and i not in wide}
 
@@ -274,28 +294,45 @@ def _key_groups(
             [field.split()[0] for field in _GROUPS.split(", ")],
         )
 
+    def first_keys(buckets: np.ndarray, low: int, width: int) -> np.ndarray:
+        return (np.uint64(low % (1 << 64)) + buckets.astype(np.uint64) * np.uint64(width)).view(np.int64)
+
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moments = {i: _Moments() for i in kinds}
+        moments, held = {i: _Moments() for i in kinds}, {}
         for batch in batches:
             for i in kinds:
                 column = batch.column(f"k{i}")
                 there = column.is_valid()
                 keys = order_keys(column.drop_null().to_numpy(zero_copy_only=False))
-                if near is not None:
-                    kept = np.isin(keys >> np.int64(64 - held), near[i])
-                    keys = keys[kept]
                 if not len(keys):
                     continue
                 if lows is not None:
                     values = batch.column(f"v{i}" if i in wide else f"k{i}").filter(there)
                     moments[i].add(keys, None if i in whole else values.to_numpy(zero_copy_only=False))
-                if bits == 64 and i in wide:
-                    texts = batch.column(f"t{i}").filter(there)
-                    texts = texts if near is None else texts.filter(pa.array(kept))
-                    counted = pa.table({"key": keys, "text": texts}).group_by(["key", "text"]).aggregate([([], "count_all")])
-                    yield batch_of(i, counted["key"].to_numpy(), counted["count_all"].to_numpy(), counted["text"].combine_chunks())
-                else:
-                    yield batch_of(i, *np.unique(keys >> np.int64(64 - bits), return_counts=True))
+                for place, (low, high) in enumerate(spans[i]):
+                    kept = (keys >= low) & (keys <= high)
+                    if not kept.any():
+                        continue
+                    ours = keys[kept]
+                    if i in texts_of:
+                        texts = batch.column(f"t{i}").filter(there).filter(pa.array(kept))
+                        counted = pa.table({"key": ours, "text": texts}).group_by(["key", "text"]).aggregate([([], "count_all")])
+                        yield batch_of(i, counted["key"].to_numpy(), counted["count_all"].to_numpy(), counted["text"].combine_chunks())
+                    elif (size := -(-(high - low + 1) // widths[i])) <= KEY_BUCKETS:
+                        if (i, place) not in held:
+                            held[i, place] = np.zeros(size, np.int64)
+                        held[i, place] += np.bincount(_buckets(ours, low, widths[i]), minlength=size)
+                    elif i in few:
+                        held.setdefault((i, place), []).append(ours)
+                    else:
+                        buckets, counted = np.unique(_buckets(ours, low, widths[i]), return_counts=True)
+                        yield batch_of(i, first_keys(buckets, low, widths[i]), counted)
+        for (i, place), found in held.items():
+            if isinstance(found, list):
+                yield batch_of(i, *np.unique(np.concatenate(found), return_counts=True))
+            else:
+                there = np.flatnonzero(found)
+                yield batch_of(i, first_keys(there, spans[i][place][0], widths[i]), found[there])
         task = TaskContext.get().partitionId()
         rows = [
             (i, None, None, task, m.n, m.low, m.high, m.mean + (m.start - m.low if i in whole else 0.0), m.squares)
@@ -345,11 +382,13 @@ def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIA
     """Count, extremes, mean, sample deviation and exact median of numeric columns.
 
     Values become 64-bit keys in their order, made and counted where they are read (numpy on Arrow
-    batches; only counters leave a task). The first scan counts keys by their first bits and
-    takes all other facts along; where more than ``group_limit`` rows share the prefix of a
-    median, a second scan counts them by further bits; the last one counts the keys that are left,
-    at most 2**22 different ones for a prefix. So there are three scans at most, whatever the
-    values are, no column is gathered anywhere, and a few rows per column reach the driver.
+    batches; only counters leave a task). The first scan counts keys by their first bits and takes
+    all other facts along. Where more than ``group_limit`` rows share the bucket of a median, a second scan
+    cuts the keys there, between the column's extremes, into 2**16 buckets, or as many more as let a
+    third scan count single keys. So there are three scans at most, whatever the values are; a
+    column has 2**16 counters in each, and only a column with more than 2**32 possible keys and
+    very many different ones in one bucket has up to 2**22. No column is gathered anywhere, and a
+    few rows per column reach the driver.
     Wide decimals take one aggregate more for their exact extremes.
     """
     columns, kinds = list(columns), {i: df.schema[c].dataType for i, c in enumerate(columns)}
@@ -362,7 +401,10 @@ def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIA
     whole = [i for i in kinds if is_exact(kinds[i]) and not _is_wide(kinds[i])]
     with stages_removed(df.sparkSession):
         lows = {c: facts[c]["low"] for c in wide}
-        groups = staged(_key_groups(df, columns, None, 0, FIRST_BITS, lows), "number-groups")
+        groups = staged(
+            _key_groups(df, columns, {i: ([(_LEAST_KEY, _LAST_KEY)], math.inf) for i in kinds}, lows, FIRST_BITS, group_limit),
+            "number-groups",
+        )
         near_rows = _middle(groups.where("prefix IS NOT NULL"), ["prefix"], {}, None).where("middle").collect()
         moments = groups.where("prefix IS NULL").drop("prefix")  # a row for every task and column
         column = Window.partitionBy("idx")
@@ -384,17 +426,18 @@ def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIA
             )
             .collect()
         )
-    ranks, below, near, rows = {}, {}, {}, {}
+    ranks, below, near, ends = {}, {}, {}, {}
 
-    def keep(i: int, groups: list) -> None:
-        near[i] = [g["prefix"] for g in groups]
+    def keep(i: int, groups: list, width: int, low: int, high: int) -> None:
+        spans = [(max(low, g["prefix"]), min(high, g["prefix"] + width - 1)) for g in groups]
+        near[i] = spans, sum(g["rows"] for g in groups)
         below[i] = min(g["below"] for g in groups)
-        rows[i] = sum(g["rows"] for g in groups)
 
     for r in found:
         i, n = r["idx"], r["n"]
         ranks[i] = (n - 1) // 2, n // 2
-        keep(i, [g for g in near_rows if g["idx"] == i])  # at most two
+        ends[i] = r["low"], r["high"]
+        keep(i, [g for g in near_rows if g["idx"] == i], 1 << (64 - FIRST_BITS), *ends[i])  # at most two
         fact, mean = facts[columns[i]], r["mean"]
         deviation = math.sqrt(r["squares"] / (n - 1)) if n > 1 else None
         if i in whole:
@@ -405,22 +448,21 @@ def number_facts(df: DataFrame, columns: Sequence[str], group_limit: int = MEDIA
         fact |= {"n": n, "mean": mean, "deviation": deviation}
         if fact["low"] is None:
             fact |= {"low": _number(kinds[i], r["low"]), "high": _number(kinds[i], r["high"])}
-    bits = FIRST_BITS
-    if any(count > group_limit for count in rows.values()):
-        # prefixes between the two that hold the middle rows hold nothing, so ranks go on in order
-        finer = _key_groups(df, columns, near, FIRST_BITS, SECOND_BITS)
-        bits, by_column = SECOND_BITS, {}
-        for g in _middle(finer, ["prefix"], dict(below), ranks).where("middle").collect():
-            by_column.setdefault(g["idx"], []).append(g)
-        for i, groups in by_column.items():
-            keep(i, groups)
-    if near:
-        values = _key_groups(df, columns, near, bits, 64).withColumnRenamed("prefix", "key")
-        middle: dict[int, list] = {}
-        for g in _middle(values, ["key", *_text_order()], dict(below), ranks).where("middle").collect():
+    done = FIRST_BITS
+    while near:
+        # between the two buckets that hold the middle rows there is nothing, so ranks go on in order
+        finer = done == FIRST_BITS and any(_width(found, SECOND_BITS, group_limit) > 1 for found in near.values())
+        done = SECOND_BITS if finer else 64
+        widths = {i: _width(found, done, group_limit) for i, found in near.items()}
+        groups, middle = _key_groups(df, columns, dict(near), None, done, group_limit), {}
+        for g in _middle(groups, ["prefix", *_text_order()], dict(below), ranks).where("middle").collect():
             middle.setdefault(g["idx"], []).append(g)
-        for i, groups in middle.items():
-            numbers = sorted(Decimal(g["text"]) if g["text"] is not None else _number(kinds[i], g["key"]) for g in groups)
+        near.clear()
+        for i, found in middle.items():
+            if widths[i] > 1:
+                keep(i, found, widths[i], *ends[i])
+                continue
+            numbers = sorted(Decimal(g["text"]) if g["text"] is not None else _number(kinds[i], g["prefix"]) for g in found)
             facts[columns[i]]["median"] = numbers[0] if len(numbers) == 1 else _halfway(numbers[0], numbers[-1])
     return facts
 

@@ -168,3 +168,14 @@ def test_table_summary(spark, plan):
     assert tuple(profile.table_summary(df).first()) == (3, 3, 1, 4)
     assert tuple(profile.table_summary(df.limit(0)).first()) == (0, 3, 0, 0)
     assert plan(profile.table_summary(df)).count("Scan") <= 2
+
+
+def test_whole_numbers_have_few_counters_in_a_scan(spark, monkeypatch):
+    """As many different numbers as rows: their median is found by 2**16 buckets, not by a counter each."""
+    groups = []
+    whole = profile._key_groups
+    monkeypatch.setattr(profile, "_key_groups", lambda *a: groups.append(whole(*a)) or groups[-1])
+    facts = profile.number_facts(spark.range(-100_000, 500_000), ["id"])
+    assert (facts["id"]["median"], facts["id"]["n"]) == (199_999.5, 600_000)
+    assert len(groups) == 3
+    assert max(g.count() for g in groups[1:]) <= 2 * profile.KEY_BUCKETS
