@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.operators import profile as P
+from sluicegate.workspace import staged
 
 
 def column_profile(df: DataFrame, k: int = 5) -> DataFrame:
@@ -13,8 +14,10 @@ def column_profile(df: DataFrame, k: int = 5) -> DataFrame:
 
     Counts, numeric and text facts share one aggregate; distinct counts and top values move
     digests of long texts, not the texts. The parts have one row per column, so joining them moves
-    only report rows.
+    only report rows. The parts read the table several times, so it is staged first: what it is
+    made of, such as parsed lines, is computed once.
     """
+    df = staged(df, "profiled")
     numbers, texts = set(P.numeric_columns(df)), set(P.string_columns(df))
     nothing = F.max(F.lit(None).cast("double"))
 

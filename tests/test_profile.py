@@ -7,6 +7,7 @@ from sluicegate.functions.rows import grouping_keys
 from sluicegate.functions.sizes import size_text
 from sluicegate.operators import profile
 from sluicegate.plans.profile import column_profile
+from sluicegate.sources.delimited import Layout
 
 NAN = float("nan")
 
@@ -164,3 +165,13 @@ def test_wide_tables_are_profiled_in_column_groups(spark, plan):
     rows = as_dict(profile.null_counts(df))
     assert len(rows) == 150 and rows["c149"].position == 150
     assert as_dict(profile.column_stats(df))["c100"].max_val == 102.0
+
+
+def test_column_profile_parses_its_lines_once(spark, plan):
+    from sluicegate.sources.delimited import parse_lines
+
+    lines = spark.createDataFrame([("1;a",), ("2;b",), ("3;b",)], "line string")
+    rows = parse_lines(lines, "line", ["k", "v"], Layout(sep=";", header=False)).drop("_bad_line")
+    report = column_profile(rows.withColumn("k", rows["k"].cast("int")))
+    assert "from_csv" not in plan(report)
+    assert {r.column_name: r.unique_count for r in report.collect()} == {"k": 3, "v": 2}
