@@ -7,12 +7,15 @@ more must be shared. Two lengths of prefix are tried per text (``GROWTH``). From
 that only one text has among its prefix, a text is dropped that shares too few at any length;
 for the others, the most frequent names of a prefix, which may all be among the l - 1 spare
 ones, need not be probed. A text probes with the length for which the texts to compare with are
-fewest, by the frequencies counted over all texts.
+fewest, by the frequencies counted over all texts. The smaller of two similar sets holds at
+least the threshold's share of the larger one's number of names, so a name counts for a text only
+if a text of such a size has it too.
 
-What probes find is verified exactly. Texts that meet are collected into classes, classes into
-chunks of bounded size, and each pair of chunks that holds a candidate pair is compared as a
+What probes find is verified exactly. Texts that meet are collected into classes, classes by size
+into chunks of bounded size, and each pair of chunks that holds a candidate pair is compared as a
 whole by products of incidence matrices, so a group of copies costs no row per pair, each pair
-of texts is compared once, and no link is lost.
+of texts is compared once, and no link is lost. A text goes to another chunk only if one that it
+meets there may be similar by its size.
 
 Defined results: texts of equal sets (exact copies) are one node, compared once; a text with
 fewer words than a shingle is one shingle of all its words; a null, empty or blank text has no
@@ -24,8 +27,9 @@ whole where its shingles are named and where it is compared, about 60 bytes a wo
 
 Names have 64 bits: two different shingles are taken for one with a chance of 2**-64 a pair.
 
-Shape: texts are read twice, the second time shuffled once by id. Prefix names travel as packed
-arrays, by name; only names that two texts share become rows.
+Shape: texts are read twice; the second time those to compare are shuffled once by id, others
+fall out before that, but for the few whose bit in a table of fixed size (``PLACES``) is set too.
+Prefix names travel as packed arrays, by name; only names that two texts share become rows.
 """
 
 from __future__ import annotations
@@ -52,6 +56,8 @@ CHUNK = 1 << 18
 SETS = 2048
 #: Rows of that table that are made at once.
 ROWS = 512
+#: Rows of 64 bits in the table that tells most texts apart from those to compare.
+PLACES = 1 << 18
 
 
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -132,7 +138,7 @@ def scan(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame:
 
 
 def shared_names(scanned: DataFrame, percent: int) -> DataFrame:
-    """node, n, name, level (of the shortest prefix that has it) and df, for names of two nodes or more."""
+    """node, n, name, level (of the shortest prefix that has it) and df, for names that a node of a similar size has too."""
     buckets = 4 * shuffle_partitions(scanned.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +154,7 @@ def shared_names(scanned: DataFrame, percent: int) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) > 0)) if len(order) else order
             ends = np.append(cuts[1:], len(order))
-            columns = [x[order] for x in (name, node, n * 4 + level)]
+            columns = [x[order] for x in (name, node, (n * 4 + level).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(bucket[order][cuts], pa.int64()),
@@ -158,10 +164,10 @@ def shared_names(scanned: DataFrame, percent: int) -> DataFrame:
             )
 
     def count(table: pa.Table) -> pa.Table:
-        name, node, info = (
-            np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("name", "node", "info")
-        )
-        order = np.lexsort((node, name))
+        kinds = {"name": np.int64, "node": np.int64, "info": np.int32}
+        name, node, info = (np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in kinds.items())
+        info = info.astype(np.int64)
+        order = np.lexsort((node, info // 4, name))
         name, node, info = name[order], node[order], info[order]
         new = np.ones(len(name), dtype=bool)
         new[1:] = (name[1:] != name[:-1]) | (node[1:] != node[:-1])  # rows of one set count once
@@ -169,7 +175,12 @@ def shared_names(scanned: DataFrame, percent: int) -> DataFrame:
         first = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else order
         size = np.diff(np.append(first, len(name)))
         df = np.repeat(size, size)
-        keep = df > 1
+        # Of all sizes that have a name, those next to a size are nearest to it.
+        n = info // 4
+        near = (name[1:] == name[:-1]) & (100 * n[:-1] >= percent * n[1:])
+        keep = np.zeros(len(name), dtype=bool)
+        keep[1:] |= near
+        keep[:-1] |= near
         columns = [node[keep], info[keep] // 4, name[keep], info[keep] % 4, df[keep]]
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["node", "n", "name", "level", "df"])
 
@@ -216,35 +227,51 @@ def probes(shared: DataFrame, percent: int) -> DataFrame:
     return arrow_groups(rows, ["part"], choose, schema)
 
 
-def chunk_pairs(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+def chunk_pairs(found: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(nodes with their chunk, pairs of chunks (a, b) with the nodes to compare in each).
 
     A node's label is the least node that it or what it meets has met; the nodes of a label are
-    dealt to as many chunks as their names or their number fill. Every node is compared inside its chunk, and in
-    a pair of chunks if it meets a node of the other chunk at a name that one of them asks for.
+    dealt to chunks by size: bands of like sizes are put together up to what a chunk holds, and a larger band is
+    dealt to as many as its names or its number fill. Every node is compared inside its chunk, and in a pair of
+    chunks if it meets a node of the other chunk, of a size that may be similar, at a name that one of them asks for.
     """
     at = ["level", "name"]
     groups = found.groupBy(*at).agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c"), F.max("asks").alias("asked"))
     groups = groups.where("c > 1 AND asked").select(*at, "hub")
     meeting = staged(found.join(groups, at), "jaccard-meeting")
-    near = meeting.groupBy("node").agg(F.min("hub").alias("near"))
-    hubs = meeting.select(*at, "node").join(near, "node").groupBy(*at).agg(F.min("near").alias("far"))
+    # A node has no more rows than its longest prefix has names, at two levels.
+    near = F.min("hub").over(Window.partitionBy("node"))
+    hubs = meeting.select(*at, near.alias("near")).groupBy(*at).agg(F.min("near").alias("far"))
     labels = meeting.select(*at, "node", "n").join(hubs, at).groupBy("node").agg(F.min("far").alias("label"), F.max("n").alias("n"))
-    filled = F.ceil(F.greatest(F.sum("n") / CHUNK, F.count(F.lit(1)) / SETS))
-    chunks = labels.groupBy("label").agg(filled.alias("chunks"))
-    chunk = F.xxhash64("label", F.pmod(F.xxhash64("node"), "chunks"))
-    nodes = staged(labels.join(chunks, "label").select("node", chunk.alias("chunk")), "jaccard-nodes")
-    placed = meeting.select(*at, "node", "asks").join(nodes, "node")
-    by_chunk = placed.groupBy(*at, "chunk").agg(F.max("asks").alias("asked"))
+    labels = labels.withColumn("band", F.floor(8 * F.log2("n")))
+    halves = F.greatest(2 * F.sum("n") / CHUNK, 2 * F.count(F.lit(1)) / SETS)
+    bands = labels.groupBy("label", "band").agg(halves.alias("halves"))
+    smaller = Window.partitionBy("label").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)  # some 200 bands at most
+    before = F.coalesce(F.sum("halves").over(smaller), F.lit(0.0))
+    bands = bands.select(
+        "label",
+        "band",
+        F.floor(before).alias("place"),
+        F.when(F.col("halves") > 1, F.col("band")).otherwise(-1).alias("alone"),
+        F.ceil(F.col("halves") / 2).alias("chunks"),
+    )
+    chunk = F.xxhash64("label", "place", "alone", F.pmod(F.xxhash64("node"), "chunks"))
+    nodes = staged(labels.join(bands, ["label", "band"]).select("node", chunk.alias("chunk")), "jaccard-nodes")
+    placed = staged(meeting.select(*at, "node", "n", "asks").join(nodes, "node"), "jaccard-placed")
+    drop_staged(meeting)
+    sizes = [F.min("n").alias("lo"), F.max("n").alias("hi")]
+    by_chunk = placed.groupBy(*at, "chunk").agg(F.max("asks").alias("asked"), *sizes)
     # Names that stand in the same chunks are put together before they meet those.
     mark = F.xxhash64("level", F.bit_xor(F.xxhash64("chunk", "asked")), F.count(F.lit(1)))
     marks = by_chunk.groupBy(*at).agg(mark.alias("mark"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    own = placed.join(marks, at).groupBy("mark", "node", "chunk").agg(F.max("asks").alias("asks"))
-    other = by_chunk.join(marks, at).select("mark", F.col("chunk").alias("other"), "asked").distinct()
-    across = own.join(other, "mark").where("chunk <> other AND (asks OR asked)")
+    own = placed.join(marks, at).groupBy("mark", "node", "n", "chunk").agg(F.max("asks").alias("asks"))
+    other = by_chunk.join(marks, at).groupBy("mark", F.col("chunk").alias("other"), "asked")
+    other = other.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    alike = f"{percent} * lo <= 100 * n AND 100 * hi >= {percent} * n"
+    across = own.join(other, "mark").where(f"chunk <> other AND (asks OR asked) AND {alike}")
     pairs = across.select(F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "node").distinct()
     pairs = staged(pairs.union(nodes.select("chunk", F.col("chunk"), "node")), "jaccard-pairs")
-    drop_staged(meeting)
+    drop_staged(placed)
     return nodes, pairs
 
 
@@ -281,22 +308,35 @@ def overlaps(name: np.ndarray, owner: np.ndarray, count: int) -> Iterator[tuple[
         yield first, total
 
 
+def likely(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``texts`` without most of those that are not ``chosen``, by bits of ``text_hash``."""
+    place = F.expr(f"pmod(shiftright(text_hash, 6), {PLACES})").alias("place")
+    bit = F.expr("shiftleft(1L, CAST(text_hash & 63 AS int))")
+    bits = chosen.groupBy(place).agg(F.bit_or(bit).alias("bits"))
+    # PLACES rows at most.
+    return texts.select("*", place).join(F.broadcast(bits), "place").where(F.col("bits").bitwiseAND(bit) != 0).drop("place", "bits")
+
+
 def verify(docs: DataFrame, scanned: DataFrame, classes: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int,
            percent: int, lower: bool) -> DataFrame:
     """node, root, links: links of each node inside each pair of chunks, and its component there."""
-    chosen = nodes.join(classes, "node").select(F.col("first").alias("id"), "text_hash", "node", "chunk", "size")
+    meets = pairs.groupBy("node").agg(F.collect_list(F.struct("a", "b")).alias("meets"))
+    chosen = nodes.join(classes, "node").join(meets, "node")
+    chosen = chosen.select(F.col("first").alias("id"), "text_hash", "node", "chunk", "size", "meets")
+    chosen = staged(chosen, "jaccard-chosen")
     # by id and text: rows without an id, or of one id, meet the sets of their own text only
-    texts = _keyed(docs).join(chosen, ["id", "text_hash"])
+    texts = likely(_keyed(docs), chosen).join(chosen, ["id", "text_hash"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, name, bounds in _batches(batches, words, lower):
             own = set_signatures(name, bounds).view(np.int64) == batch.column("node").to_numpy()
             packed = [name[a:b].tobytes() for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]
-            kept = [batch.column(c) for c in ("node", "chunk", "size")]
-            made = pa.RecordBatch.from_arrays([*kept, pa.array(packed, pa.binary())], ["node", "chunk", "size", "names"])
+            kept = [batch.column(c) for c in ("node", "chunk", "size", "meets")]
+            made = pa.RecordBatch.from_arrays([*kept, pa.array(packed, pa.binary())], ["node", "chunk", "size", "meets", "names"])
             yield made.filter(pa.array(own))
 
-    members = arrow_map(texts, sets, "node long, chunk long, size long, names binary")
+    members = arrow_map(texts, sets, "node long, chunk long, size long, meets array<struct<a: long, b: long>>, names binary")
+    members = members.select("node", "chunk", "size", "names", F.inline("meets"))
 
     def compare(table: pa.Table) -> pa.Table:
         node, which = np.unique(table.column("node").to_numpy(), return_index=True)
@@ -322,7 +362,7 @@ def verify(docs: DataFrame, scanned: DataFrame, classes: DataFrame, nodes: DataF
         keep = links > 0
         return pa.table([pa.array(x[keep], pa.int64()) for x in (node, root, links)], ["node", "root", "links"])
 
-    return arrow_groups(members.join(pairs, "node"), ["a", "b"], compare, "node long, root long, links long")
+    return arrow_groups(members, ["a", "b"], compare, "node long, root long, links long")
 
 
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -362,9 +402,11 @@ def _joined(docs: DataFrame, words: int, percent: int, lower: bool) -> DataFrame
         .select("node", F.col("least.id").alias("first"), "least.text_hash", "size"),
         "jaccard-classes",
     )
-    found = staged(probes(shared_names(whole.where("n > 0"), percent), percent), "jaccard-probes")
+    shared = staged(shared_names(whole.where("n > 0"), percent), "jaccard-shared")
     drop_staged(whole)
-    nodes, pairs = chunk_pairs(found)
+    found = staged(probes(shared, percent), "jaccard-probes")
+    drop_staged(shared)
+    nodes, pairs = chunk_pairs(found, percent)
     drop_staged(found)
     links = staged(verify(docs, scanned, classes, nodes, pairs, words, percent, lower), "jaccard-links")
     parts = connected(links, "node", "root")

@@ -532,6 +532,34 @@ def test_chunks_are_bounded_by_their_number_of_sets(spark, monkeypatch):
     assert collected(jaccard.jaccard_components(table(spark, short), 4, 85)) == brute_components(short, 4, 85)
 
 
+def test_only_sets_of_similar_sizes_are_brought_together(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SETS", 40)
+    # One name in 600 sets of eight sizes, each twice the one before.
+    found = spark.range(600).selectExpr("0L level", "5L name", "id node", "shiftleft(10L, CAST(id % 8 AS int)) n", "true asks")
+    nodes, pairs = jaccard.chunk_pairs(found, 85)
+    together = pairs.join(found.select("node", "n"), "node").groupBy("a", "b").agg(F.countDistinct("n").alias("sizes"))
+    assert nodes.count() == 600 and {r.sizes for r in together.collect()} == {1}
+    # Name 1 is in sets of 100, 86 and 10 names, name 2 in ones of 100 and 84.
+    sets = [(1, 100, [1, 2]), (2, 86, [1]), (3, 10, [1]), (4, 84, [2])]
+    scanned = spark.createDataFrame(sets, "node long, n long, prefix array<long>")
+    shared = jaccard.shared_names(scanned, 85).collect()
+    assert sorted((r.node, r.name, r.df) for r in shared) == [(1, 1, 3), (2, 1, 3)]
+
+
+def test_components_of_nested_texts_in_small_chunks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SETS", 6)
+    rows = [(k, " ".join(f"w{i}" for i in range(k)), "s") for k in range(4, 260, 3)]
+    rows += [(1000 + k, " ".join(f"w{i}" for i in range(k, 2 * k)), "s") for k in range(4, 130, 3)]
+    assert collected(jaccard.jaccard_components(table(spark, rows), 4, 85)) == brute_components(rows, 4, 85)
+
+
+def test_texts_that_meet_nothing_fall_out_before_the_shuffle(spark):
+    texts = spark.range(20_000).selectExpr("id", "xxhash64(id) text_hash")
+    chosen = texts.where("id % 1000 = 7")
+    kept = {r.id for r in jaccard.likely(texts, chosen).collect()}
+    assert {r.id for r in chosen.collect()} <= kept and len(kept) < 40
+
+
 def test_keep_one(docs, rows):
     kept = jaccard.keep_one(docs)
     want = Counter(r[1] for r in {(r[0], r[2]) for r in brute_components(rows, 5, 80) if r[1] and r[0] == r[2]})
