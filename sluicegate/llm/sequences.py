@@ -15,15 +15,19 @@ text is as many sequences as its tokens fill; other columns are neither read nor
 
 Shape: texts are tokenised once, to a staged table; numbering needs the row counts of its
 partitions only. Token ids cross the network once, to one partition per shard; these are even
-because slots are dense. Shards are written by the workers to a folder that all of them reach
+because slots are dense. Shards are written in a few waves (``WAVES``), and the shuffle of a wave
+goes when its shards are written, so little of it stands beside the last of them; each wave reads
+the staged table. Shards are written by the workers to a folder that all of them reach
 (``staging.file_system``).
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +37,14 @@ from pyspark.sql import functions as F
 
 from sluicegate.llm import tokens
 from sluicegate.llm.packing import batches_by_bytes
-from sluicegate.llm.staging import arrow_map, file_system, staged
+from sluicegate.llm.staging import arrow_map, drop_staged, file_system, staged
 from sluicegate.llm.words import mix
 
 LENGTH = 512
 PER_SHARD = 8192
 ROUNDS = 6
+#: Shares of the shards that are written after each wave: the later a wave, the fewer shards it shuffles.
+WAVES = (0.5, 0.8, 1.0)
 _PLACE_BITS = 33
 
 
@@ -136,19 +142,25 @@ def training_order(
     """Every sequence at its place: doc_id, part, n_tokens, ids, number, slot, shard, offset.
 
     ``offset`` is the first byte of the sequence in its shard. A partition is a shard, sorted by
-    slot.
+    slot. The result keeps how to make some of its shards only, for ``write_order``.
     """
     cut = cut_sequences(docs, length, vocabulary).withColumn("_at", F.monotonically_increasing_id())
     rows = staged(cut, "sequences", "zstd")
     shards = max(1, -(-rows.count() // per_shard))
     placed = assign_slots(rows, key)
     stride = np.dtype(tokens.id_type(vocabulary)).itemsize * length
-    return (
-        placed.withColumn("shard", F.expr(f"slot div {per_shard}").cast("int"))
-        .withColumn("offset", F.col("slot") % per_shard * stride)
-        .repartitionById(shards, F.col("shard"))
-        .sortWithinPartitions("slot")
+    placed = placed.withColumn("shard", F.expr(f"slot div {per_shard}").cast("int")).withColumn(
+        "offset", F.col("slot") % per_shard * stride
     )
+    ordered = deal(placed, 0, shards)
+    ordered.placed, ordered.shards = placed, shards
+    return ordered
+
+
+def deal(placed: DataFrame, first: int, last: int) -> DataFrame:
+    """The shards from ``first`` to before ``last``, each a partition sorted by slot."""
+    some = placed.where(F.col("shard").between(first, last - 1))
+    return some.repartitionById(last - first, F.col("shard") - first).sortWithinPartitions("slot")
 
 
 def shard_file(folder: str, shard: int) -> str:
@@ -195,8 +207,14 @@ def write_order(ordered: DataFrame, path: str) -> DataFrame:
             close()
 
     schema = ", ".join(f"`{c}` {t}" for c, t in ordered.dtypes if c != "ids") + ", stride int"
-    index = arrow_map(ordered, write, schema)
+    cuts = sorted({0, *(math.ceil(ordered.shards * share) for share in WAVES)})
+    waves = [
+        staged(arrow_map(deal(ordered.placed, a, b), write, schema), "order-index")
+        for a, b in zip(cuts, cuts[1:], strict=False)
+    ]
+    index = reduce(DataFrame.union, waves)
     index.write.parquet(f"{path}/index")
+    drop_staged(*waves)
     return ordered.sparkSession.read.schema(index.schema).parquet(f"{path}/index")
 
 

@@ -325,6 +325,27 @@ def test_shards_are_raw_files_of_a_fixed_stride(spark, docs, tmp_path):
     assert [r.slot for r in last] == [len(got) - 3, len(got) - 2, len(got) - 1]
 
 
+def test_shards_are_written_in_waves(spark, docs, tmp_path, monkeypatch):
+    """No wave shuffles more than half of the sequences, the last ones a fifth."""
+    waves = []
+
+    def staged(df, label, *how):
+        waves.append(kept(df, label, *how))
+        return waves[-1]
+
+    ordered = sequences.training_order(docs, length=64, per_shard=20, key=3)
+    want = ordered.drop("ids").collect()
+    kept = sequences.staged
+    monkeypatch.setattr(sequences, "staged", staged)
+    monkeypatch.setattr(sequences, "drop_staged", lambda *tables: None)
+    index = sequences.write_order(ordered, str(tmp_path / "order"))
+    assert sorted(index.drop("stride").collect(), key=lambda r: r.slot) == want
+    rows = [wave.count() for wave in waves]
+    shards = -(-len(want) // 20)
+    assert shards > 10 and sum(rows) == len(want) and max(rows) <= 20 * (shards // 2 + 1) and rows[-1] <= 20 * (shards // 5 + 1)
+    assert len(list((tmp_path / "order" / "shards").iterdir())) == shards
+
+
 # -- license scan ---------------------------------------------------------------------------
 
 
